@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from isoforge.llm.byte_bpe import op8_byte_bpe
 from isoforge.llm.license_scan import op10_license_scan
+from isoforge.llm.packing import op7_packing
+from isoforge.llm.progressive_jpeg import op9_progressive_jpeg
 from isoforge.llm.secret_scan import op3_secret_scan
+from isoforge.llm.warc import SQL as WARC_SQL
+from isoforge.llm.warc import op4_warc
 
 QUERIES = {
     "op3_secret_scan": op3_secret_scan,
+    "op4_warc": op4_warc,
+    "op7_packing": op7_packing,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_progressive_jpeg": op9_progressive_jpeg,
     "op10_license_scan": op10_license_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_warc": WARC_SQL}
