@@ -16,11 +16,10 @@ first common token lies in the first ``|x| - ceil(t|x|) + 1`` tokens of x, and l
 Frequency classes come from a count sketch over all documents: a bucket's count is never less
 than its tokens' frequencies, and any fixed classes give right results.
 
-Sets that share a key are candidates. First each set of a key is verified against one of them;
-the links give components; then pairs of different components are verified. Pairs within a
-component need no proof, so groups of copies are not multiplied out. Before that, signatures
-of 512 parities bound each pair: the bits in which two signatures differ are at most the
-tokens that are not common, so too many of them rule the pair out, without error.
+Sets that share a key are candidates. Signatures of 512 parities bound each pair: the bits in
+which two signatures differ are at most the tokens that are not common, so too many of them
+rule the pair out, without error. Twice each set is verified against the one with the nearest
+signature, outside its component so far; then all pairs of different components are. Pairs within a component need no proof, so groups of copies are not multiplied out.
 """
 
 from __future__ import annotations
@@ -45,6 +44,8 @@ CLASSES = ((64, 4, 3), (1024, 64, 5))
 FILTER_BITS = 25
 SIGNATURE_BITS = 512
 PAIRS_AT_ONCE = 50_000
+#: Pairs of a key that are compared at once.
+CELLS = 1 << 16
 
 
 def _sketch_blocks(batches, at: int, k: int) -> Iterator[pa.RecordBatch]:
@@ -174,7 +175,7 @@ def _lists(batches) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def _shared(batches) -> Iterator[pa.RecordBatch]:
-    """Rows of keys that several sets have; ``least`` is the smallest name of a key."""
+    """Rows of keys that several sets have."""
     for key, name, size in _lists(batches):
         again = np.concatenate(([False], (key[1:] == key[:-1]) & (name[1:] == name[:-1])))
         key, name, size = key[~again], name[~again], size[~again]
@@ -182,74 +183,121 @@ def _shared(batches) -> Iterator[pa.RecordBatch]:
         counts = np.diff(np.concatenate((starts, [len(key)])))
         several = np.repeat(counts > 1, counts)
         if several.any():
-            least, least_size = np.repeat(name[starts], counts), np.repeat(size[starts], counts)
-            yield pa.RecordBatch.from_arrays([pa.array(x[several]) for x in (key, name, size, least, least_size)], names=["key", "name", "size", "least", "least_size"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[several]) for x in (key, name, size)], names=["key", "name", "size"])
 
 
-def _cross(batches, share) -> Iterator[pa.RecordBatch]:
-    """Pairs of sets of the same key whose components differ and whose sizes allow the similarity."""
+def _pairs(batches, share, nearest: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of sets of the same key that are of different components and that sizes and signatures don't rule out.
+
+    All such pairs, or for each set only the one whose signature is nearest.
+    """
     p, q = share
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
-    for key, size, name, group, raw in _lists(batches):
-        signs = np.frombuffer(b"".join(raw.tolist()), np.uint64).reshape(len(key), -1)
+    for key, name, size, group, raw in _lists(batches):
+        signs, size = np.frombuffer(b"".join(raw.tolist()), np.uint64).reshape(len(key), -1), size.astype(np.int64)
         starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        ends = np.concatenate((starts[1:], [len(key)]))
+        counts = np.diff(np.concatenate((starts, [len(key)])))
         mixed = np.maximum.reduceat(group, starts) != np.minimum.reduceat(group, starts)
-        for a, b in zip(starts[mixed].tolist(), ends[mixed].tolist(), strict=True):
-            for i in range(a, b - 1):  # sorted by size
-                last = a + np.searchsorted(size[a:b], size[i] * q // p, side="right")
-                other = np.flatnonzero(group[i + 1 : last] != group[i]) + i + 1
-                differ = np.bitwise_count(signs[other] ^ signs[i]).sum(1, dtype=np.int64)
-                other = other[differ * (p + q) <= (size[other].astype(np.int64) + size[i]) * (q - p)]
-                if len(other):
-                    waiting.append((np.minimum(name[other], name[i]), np.maximum(name[other], name[i])))
-            if sum(len(x) for x, _ in waiting) >= PAIRS_AT_ONCE:
-                yield _distinct(waiting)
+        # Keys with the same sets have the same pairs.
+        same = np.add.reduceat(bytescan.mix(name.astype(np.uint64)), starts)
+        once = np.zeros(len(starts), bool)
+        once[np.unique(same, return_index=True)[1]] = True
+        starts, counts = starts[mixed & once], counts[mixed & once]
+        two = starts[counts == 2]
+        if len(two):
+            differ = np.bitwise_count(signs[two] ^ signs[two + 1]).sum(1, dtype=np.int64)
+            fits = _fits(differ, size[two], size[two + 1], p, q)
+            two, differ = two[fits], differ[fits]
+            waiting.append((name[two], name[two + 1], differ))
+            if nearest:
+                waiting.append((name[two + 1], name[two], differ))
+        for a, n in zip(starts[counts > 2].tolist(), counts[counts > 2].tolist(), strict=True):
+            rows, own = max(1, CELLS // n), slice(a, a + n)
+            for i in range(a, a + n, rows):
+                part = slice(i, min(i + rows, a + n))
+                differ = np.bitwise_count(signs[part, None, :] ^ signs[None, own, :]).sum(2, dtype=np.int64)
+                fits = _fits(differ, size[part, None], size[None, own], p, q) & (group[part, None] != group[None, own])
+                if nearest:
+                    x = np.flatnonzero(fits.any(1))
+                    y = np.where(fits, differ, 1 << 30)[x].argmin(1)
+                else:
+                    x, y = np.nonzero(fits)
+                    x, y = x[y > x + i - a], y[y > x + i - a]
+                if len(x):
+                    waiting.append((name[x + i], name[y + a], differ[x, y]))
+                if sum(len(x[0]) for x in waiting) >= PAIRS_AT_ONCE:
+                    yield _distinct(waiting)
     if waiting:
         yield _distinct(waiting)
 
 
+def _fits(differ, size, other, p: int, q: int):
+    """Neither the sizes nor the bits that differ rule out a similarity of p / q."""
+    return (differ * (p + q) <= (size + other) * (q - p)) & (np.minimum(size, other) * q >= np.maximum(size, other) * p)
+
+
 def _distinct(waiting) -> pa.RecordBatch:
-    pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*waiting, strict=True)], 1), axis=0)
+    """Distinct rows of a, b and the bits that differ."""
+    rows = np.unique(np.stack([np.concatenate(x) for x in zip(*waiting, strict=True)], 1), axis=0)
     waiting.clear()
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names=["a", "b", "differ"])
+
+
+def _in_filter(bits: bytes, at: np.ndarray) -> np.ndarray:
+    at = at & ((1 << FILTER_BITS) - 1)
+    return np.frombuffer(bits, np.uint8)[at >> 3] >> (at & 7) & 1 == 1
+
+
+def _id_mark(name: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Bits that stand for a set and one of its documents."""
+    return bytescan.mix(name.astype(np.uint64) ^ bytescan.mix(ids.astype(np.uint64))).astype(np.int64)
 
 
 def _named_sets(batches, k: int, wanted) -> Iterator[pa.RecordBatch]:
-    """Name and tokens of the sets that the filter lets through, once in each batch."""
+    """Name, size and tokens of the sets of the documents that the filter lets through.
+
+    Tokens are cut to 40 bits and their order kept: with the size beside them enough to count
+    common ones, at five bytes each.
+    """
     for batch in batches:
-        texts, seen = bytescan.encoded(batch.column(0)), set()
+        ids, texts = batch.column(0).fill_null(0).to_numpy(), bytescan.encoded(batch.column(1))
         for a, b in runs(texts):
-            names, sets = [], []
-            for _, own in bytescan.shingle_sets(texts[a:b], k):
-                name = set_name(own)
-                bit = name & ((1 << FILTER_BITS) - 1)
-                if name not in seen and wanted.value[bit >> 3] >> (bit & 7) & 1:
-                    seen.add(name)
-                    names.append(name)
-                    sets.append(own.tobytes())
+            names, sizes, sets = [], [], []
+            for i, own in bytescan.shingle_sets(texts[a:b], k):
+                name = np.array([set_name(own)])
+                if _in_filter(wanted.value, _id_mark(name, ids[a + i : a + i + 1]))[0]:
+                    names.append(int(name[0]))
+                    sizes.append(len(own))
+                    sets.append(own.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes())
             if names:
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], names=["name", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int32()), pa.array(sets, pa.binary())], names=["name", "size", "tokens"])
+
+
+def _numbers(tokens: pa.Scalar) -> np.ndarray:
+    five = np.frombuffer(tokens.as_buffer(), np.uint8).reshape(-1, 5)
+    wide = np.zeros((len(five), 8), np.uint8)
+    wide[:, 3:] = five
+    return wide.view(">u8").ravel().astype(np.uint64)
 
 
 def _verified(batches, share) -> Iterator[pa.RecordBatch]:
     p, q = share
     for batch in batches:
         keep = []
-        for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
+        for x, y, m, n in zip(*(batch.column(i) for i in range(2, 6)), strict=True):
+            x, y, total = _numbers(x), _numbers(y), m.as_py() + n.as_py()
             if len(x) > len(y):
                 x, y = y, x
             at = np.searchsorted(y, x)
             common = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-            keep.append(q * common >= p * (len(x) + len(y) - common))
+            keep.append(q * common >= p * (total - common))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _filter_of(spark: SparkSession, names: DataFrame):
-    """A bit for each name, 4 MB in all: names beyond those asked for may pass, and are dropped by the join."""
-    bit = F.col("name").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1  # bucket 1 starts with 1
-    own = names.groupBy(F.bitmap_bucket_number(bit).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+def _filter_of(spark: SparkSession, marks: DataFrame):
+    """A bit for each ``mark``, 4 MB in all. Others may pass too; a join drops them."""
+    bit = F.col("mark").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1  # bucket 1 starts with 1
+    own = marks.groupBy(F.bitmap_bucket_number(bit).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
     bits = bytearray((1 << FILTER_BITS) // 8)
     for row in own.toLocalIterator():
         begin = (row["n"] - 1) * 4096
@@ -257,39 +305,65 @@ def _filter_of(spark: SparkSession, names: DataFrame):
     return spark.sparkContext.broadcast(bytes(bits))
 
 
-def verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, text: str, k: int, share: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) whose sets are similar, by their whole sets."""
-    names = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
-    wanted = _filter_of(spark, names)
-    sets = docs.select(text).mapInArrow(lambda b: _named_sets(b, k, wanted), "name long, tokens binary")
-    sets = save(spark, sets.dropDuplicates(["name"]), "sets")
-    one = pairs.join(sets.select(F.col("name").alias("a"), F.col("tokens").alias("x")), "a")
-    both = one.join(sets.select(F.col("name").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
-    return save(spark, both.mapInArrow(lambda b: _verified(b, share), "a long, b long"), "links")
+def _sets_of(spark: SparkSession, docs: DataFrame, named: DataFrame, names: DataFrame, k: int) -> DataFrame:
+    """The sets of ``names``, saved, each from the document with its smallest id."""
+
+    def marks(batches):
+        for batch in batches:
+            own = _id_mark(batch.column(0).to_numpy(), batch.column(1).fill_null(0).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(own)], names=["mark"])
 
+    first = named.join(names, "name", "left_semi").groupBy("name").agg(F.min("id").alias("id"))
+    wanted = _filter_of(spark, first.select("name", "id").mapInArrow(marks, "mark long"))
+    return save(spark, docs.mapInArrow(lambda b: _named_sets(b, k, wanted), "name long, size int, tokens binary"), "sets")
 
-def jaccard_links(spark: SparkSession, docs: DataFrame, signatures: DataFrame, text: str = "text", k: int = 3, share: tuple[int, int] = (9, 10)) -> DataFrame:
+
+def verify(spark: SparkSession, sets: DataFrame, pairs: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) whose sets are similar, by their whole sets; only sets that have a pair are shuffled."""
+    wanted = _filter_of(spark, pairs.select(F.explode(F.array("a", "b")).alias("mark")))
+
+    def there(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(_in_filter(wanted.value, batch.column(0).to_numpy())))
+
+    own = sets.mapInArrow(there, sets.schema)
+    one = pairs.select("a", "b").join(own.select(F.col("name").alias("a"), F.col("tokens").alias("x"), F.col("size").alias("m")), "a")
+    both = one.join(own.select(F.col("name").alias("b"), F.col("tokens").alias("y"), F.col("size").alias("n")), "b").select("a", "b", "x", "y", "m", "n")
+    return save(spark, both.mapInArrow(lambda b: _verified(b, share), "a long, b long").distinct(), "links")
+
+
+def jaccard_links(spark: SparkSession, docs: DataFrame, named: DataFrame, k: int = 3, share: tuple[int, int] = (9, 10)) -> DataFrame:
     """Verified links (a, b) between names of different sets that join all sets which any links join.
 
-    Two sets are linked with Jaccard similarity of ``share`` or more. ``signatures`` has the
-    ``name`` and ``signature`` of each set. Links within a component
-    that others already join may be left out.
+    ``docs`` has a whole-number id and a text, ``named`` the ``id``, ``name`` and ``signature``
+    of each document's set. Two sets are linked with Jaccard similarity of ``share`` or more.
+    Links within a component that others already join may be left out.
     """
-    classes = spark.sparkContext.broadcast(token_classes(docs, text, k))
-    postings = docs.select(text).mapInArrow(lambda b: _postings(b, k, classes, share), "key long, name long, size int")
+    classes = spark.sparkContext.broadcast(token_classes(docs, docs.columns[1], k))
+    postings = docs.select(docs.columns[1]).mapInArrow(lambda b: _postings(b, k, classes, share), "key long, name long, size int")
     dealt = postings.repartition("key").sortWithinPartitions("key", "name")
-    shared = save(spark, dealt.mapInArrow(_shared, "key long, name long, size int, least long, least_size int"), "shared")
-    p, q = share
-    fits = (F.least("size", "least_size") * q >= F.greatest("size", "least_size") * p) & (F.col("name") != F.col("least"))
-    first = save(spark, shared.filter(fits).select(F.col("least").alias("a"), F.col("name").alias("b")).distinct(), "pairs")
-    links = verify(spark, docs, first, text, k, share)
-    groups = components(spark, links)
-    labelled = shared.select("key", "name", "size").join(groups.withColumnRenamed("node", "name"), "name", "left")
-    labelled = labelled.join(signatures, "name")
-    labelled = labelled.select("key", "size", "name", F.coalesce("component", "name").alias("component"), "signature")
-    cross = labelled.repartition("key").sortWithinPartitions("key", "size").mapInArrow(lambda b: _cross(b, share), "a long, b long")
-    second = save(spark, cross.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    return links.unionByName(verify(spark, docs, second, text, k, share))
+    shared = save(spark, dealt.mapInArrow(_shared, "key long, name long, size int"), "shared")
+    signatures = named.select("name", "signature").dropDuplicates(["name"])
+    links = tried = groups = names = sets = None
+    for nearest in (True, True, False):
+        own = shared.join(signatures, "name")
+        if groups is not None:
+            own = own.join(names, "name", "left_semi").join(groups.withColumnRenamed("node", "name"), "name", "left")
+        group = F.col("name") if groups is None else F.coalesce("component", "name")
+        rows = own.select("key", "name", "size", group.alias("group"), "signature").repartition("key").sortWithinPartitions("key", "name")
+        found = rows.mapInArrow(lambda b, n=nearest: _pairs(b, share, n), "a long, b long, differ long")
+        if nearest:  # of all keys, the nearest one
+            found = save(spark, found.groupBy("a").agg(F.min_by("b", F.struct("differ", "b")).alias("b")), "nearest")
+        if names is None:
+            names = save(spark, found.select(F.explode(F.array("a", "b")).alias("name")).distinct(), "names")
+            sets = _sets_of(spark, docs, named, names, k)
+        pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = save(spark, pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        right = verify(spark, sets, pairs, share)
+        links, tried = (right, pairs) if links is None else (links.unionByName(right), tried.unionByName(pairs))
+        if nearest:
+            groups = components(spark, links)
+    return links
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 3, share: tuple[int, int] = (9, 10)) -> DataFrame:
@@ -305,8 +379,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_
         return list(zip(*((len(x), set_name(x), signature(x)) for _, x in bytescan.shingle_sets(texts, k)), strict=True))
 
     named = save(spark, per_text(docs.select(F.col(doc_id), F.col(text)), (doc_id,), text, "n_shingles long, __name long, signature binary", columns), "named")
-    signatures = named.filter("n_shingles > 0").select(F.col("__name").alias("name"), "signature").dropDuplicates(["name"])
-    groups = components(spark, jaccard_links(spark, docs, signatures, text, k, share)).select(F.col("node").alias("__name"), "component")
+    own = named.filter("n_shingles > 0").select(F.col(doc_id).cast("long").alias("id"), F.col("__name").alias("name"), "signature")
+    groups = components(spark, jaccard_links(spark, docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), own, k, share)).select(F.col("node").alias("__name"), "component")
     sets = named.filter("n_shingles > 0").groupBy("__name").agg(F.min(doc_id).alias("least"))
     sets = sets.join(groups, "__name", "left").withColumn("component", F.coalesce("component", "__name"))
     ids = sets.groupBy("component").agg(F.min("least").alias("component_id"))
