@@ -19,7 +19,10 @@ than its tokens' frequencies, and any fixed classes give right results.
 Sets that share a key are candidates. Signatures of 512 parities bound each pair: the bits in
 which two signatures differ are at most the tokens that are not common, so too many of them
 rule the pair out, without error. Twice each set is verified against the one with the nearest
-signature, outside its component so far; then all pairs of different components are. Pairs within a component need no proof, so groups of copies are not multiplied out.
+signature, outside its component so far; then all pairs of different components are. Pairs within
+a component need no proof, so groups of copies are not multiplied out. So few parities say nothing
+of a set of thousands of tokens: such pairs are bounded once more, by signatures as wide as the
+smaller set, before the sets themselves travel.
 """
 
 from __future__ import annotations
@@ -109,6 +112,24 @@ def signature(own: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
+def wide_signature(own: np.ndarray) -> bytes:
+    """As many parities as the set has tokens, rounded up to a power of two; none where ``signature`` has as many."""
+    width = 1 << (len(own) - 1).bit_length()
+    if width <= SIGNATURE_BITS:
+        return b""
+    counts = np.bincount((bytescan.mix(own) & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def wide_difference(x: bytes, y: bytes) -> int:
+    """Bits in which two wide signatures differ, the wider one folded: halves of a signature add up to one half as wide."""
+    if not x or not y:
+        return 0
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    a, b = (a, b) if len(a) <= len(b) else (b, a)
+    return int(np.bitwise_count(np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0) ^ a).sum())
+
+
 def keys_of(own: np.ndarray, classes: np.ndarray, share: tuple[int, int]) -> np.ndarray:
     """Keys of a sorted set under which each similar set that isn't equal has one too. share: similarity as a fraction."""
     n, (p, q) = len(own), share
@@ -254,7 +275,7 @@ def _id_mark(name: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def _named_sets(batches, k: int, wanted) -> Iterator[pa.RecordBatch]:
-    """Name, size and tokens of the sets of the documents that the filter lets through.
+    """Name, size, wide signature and tokens of the sets of the documents that the filter lets through.
 
     Tokens are cut to 40 bits and their order kept: with the size beside them enough to count
     common ones, at five bytes each.
@@ -262,15 +283,16 @@ def _named_sets(batches, k: int, wanted) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = batch.column(0).fill_null(0).to_numpy(), bytescan.encoded(batch.column(1))
         for a, b in runs(texts):
-            names, sizes, sets = [], [], []
+            names, sizes, signs, sets = [], [], [], []
             for i, own in bytescan.shingle_sets(texts[a:b], k):
                 name = np.array([set_name(own)])
                 if _in_filter(wanted.value, _id_mark(name, ids[a + i : a + i + 1]))[0]:
                     names.append(int(name[0]))
                     sizes.append(len(own))
+                    signs.append(wide_signature(own))
                     sets.append(own.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes())
             if names:
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int32()), pa.array(sets, pa.binary())], names=["name", "size", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int32()), pa.array(signs, pa.binary()), pa.array(sets, pa.binary())], names=["name", "size", "wide", "tokens"])
 
 
 def _numbers(tokens: pa.Scalar) -> np.ndarray:
@@ -294,6 +316,21 @@ def _verified(batches, share) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _near(batches, share) -> Iterator[pa.RecordBatch]:
+    """Pairs that the wide signatures don't rule out."""
+    p, q = share
+    for batch in batches:
+        rows = zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)
+        keep = [wide_difference(x, y) * (p + q) <= (m + n) * (q - p) for x, y, m, n in rows]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _beside(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """a, b, the column and the size of both sets."""
+    one = pairs.select("a", "b").join(sets.select(F.col("name").alias("a"), F.col(column).alias("x"), F.col("size").alias("m")), "a")
+    return one.join(sets.select(F.col("name").alias("b"), F.col(column).alias("y"), F.col("size").alias("n")), "b").select("a", "b", "x", "y", "m", "n")
+
+
 def _filter_of(spark: SparkSession, marks: DataFrame):
     """A bit for each ``mark``, 4 MB in all. Others may pass too; a join drops them."""
     bit = F.col("mark").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1  # bucket 1 starts with 1
@@ -315,20 +352,20 @@ def _sets_of(spark: SparkSession, docs: DataFrame, named: DataFrame, names: Data
 
     first = named.join(names, "name", "left_semi").groupBy("name").agg(F.min("id").alias("id"))
     wanted = _filter_of(spark, first.select("name", "id").mapInArrow(marks, "mark long"))
-    return save(spark, docs.mapInArrow(lambda b: _named_sets(b, k, wanted), "name long, size int, tokens binary"), "sets")
+    return save(spark, docs.mapInArrow(lambda b: _named_sets(b, k, wanted), "name long, size int, wide binary, tokens binary"), "sets")
 
 
 def verify(spark: SparkSession, sets: DataFrame, pairs: DataFrame, share: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) whose sets are similar, by their whole sets; only sets that have a pair are shuffled."""
-    wanted = _filter_of(spark, pairs.select(F.explode(F.array("a", "b")).alias("mark")))
+    near = save(spark, _beside(pairs, sets, "wide").mapInArrow(lambda b: _near(b, share), "a long, b long"), "near")
+    wanted = _filter_of(spark, near.select(F.explode(F.array("a", "b")).alias("mark")))
 
     def there(batches):
         for batch in batches:
             yield batch.filter(pa.array(_in_filter(wanted.value, batch.column(0).to_numpy())))
 
-    own = sets.mapInArrow(there, sets.schema)
-    one = pairs.select("a", "b").join(own.select(F.col("name").alias("a"), F.col("tokens").alias("x"), F.col("size").alias("m")), "a")
-    both = one.join(own.select(F.col("name").alias("b"), F.col("tokens").alias("y"), F.col("size").alias("n")), "b").select("a", "b", "x", "y", "m", "n")
+    own = sets.select("name", "size", "tokens")
+    both = _beside(near, own.mapInArrow(there, own.schema), "tokens")
     return save(spark, both.mapInArrow(lambda b: _verified(b, share), "a long, b long").distinct(), "links")
 
 

@@ -83,6 +83,18 @@ def test_keys_of_similar_sets_meet(monkeypatch, k):
                 assert np.intersect1d(ngram_join.keys_of(x, classes, (9, 10)), ngram_join.keys_of(y, classes, (9, 10))).size
 
 
+def test_wide_signatures_bound_what_is_not_common():
+    rng = np.random.default_rng(7)
+    for n, m in ((600, 600), (1000, 1100), (4000, 4200), (4200, 9000)):
+        x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        y = np.unique(np.concatenate((x[: n - n // 20], rng.integers(0, 1 << 63, m - n + n // 20).astype(np.uint64))))
+        differ = ngram_join.wide_difference(ngram_join.wide_signature(x), ngram_join.wide_signature(y))
+        assert n // 20 < differ <= len(np.setxor1d(x, y))
+        other = np.unique(rng.integers(0, 1 << 63, m).astype(np.uint64))
+        assert 19 * ngram_join.wide_difference(ngram_join.wide_signature(x), ngram_join.wide_signature(other)) > len(x) + len(other)
+    assert ngram_join.wide_signature(x[:512]) == b"" and ngram_join.wide_difference(b"", ngram_join.wide_signature(x)) == 0
+
+
 def labelled(spark, n=1500):
     rng = random.Random(1)
     words = [f"w{i}" for i in range(300)]
