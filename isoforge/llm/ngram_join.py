@@ -12,6 +12,9 @@ first common token lies in the first ``|x| - ceil(t|x|) + 1`` tokens of x, and l
   most D + 1 runs, one of which has k tokens that follow each other in both sets. So every k
   neighbouring tokens of class c or above are indexed, in the prefix extended by that many
   tokens. Their number grows with the prefix, not with its k-th power.
+- Long sets have so many tokens that even rare ones meet by chance, in passages that documents
+  share. There the rare class has combinations too, of two tokens. A set a little shorter than a long
+  one, which may be similar to one, has both kinds of keys.
 
 Frequency classes come from a count sketch over all documents: a bucket's count is never less
 than its tokens' frequencies, and any fixed classes give right results.
@@ -43,6 +46,8 @@ SKETCH_BITS = 21
 SKETCH_BLOCK_BITS = 15
 #: Least count of a bucket, and times the mean count, of each frequent class, and its tokens to a combination.
 CLASSES = ((64, 4, 3), (1024, 64, 5))
+#: Tokens of a long set, and tokens to a combination of its rare class.
+LONG, LONG_K = 2048, 2
 #: Bits of the filter that picks the sets of candidates.
 FILTER_BITS = 25
 SIGNATURE_BITS = 512
@@ -141,10 +146,10 @@ def keys_of(own: np.ndarray, classes: np.ndarray, share: tuple[int, int]) -> np.
     apart = n - -(-p * n // q)
     most = n * (q - p) // p
     prefix = apart + 1
-    out = [tokens[:prefix][kind[:prefix] == 0]]
+    out = [tokens[:prefix][kind[:prefix] == 0]] if n < LONG else []
     for c in np.unique(kind[:prefix]):
-        if c:
-            k = CLASSES[c - 1][2]
+        if c or n * q >= LONG * p:
+            k = CLASSES[c - 1][2] if c else LONG_K
             first = int(np.searchsorted(kind, c))
             window = tokens[first : min(n, apart + (k - 1) * (most + 1) + 1)]
             count = len(window) - k + 1
@@ -154,7 +159,7 @@ def keys_of(own: np.ndarray, classes: np.ndarray, share: tuple[int, int]) -> np.
                     for i in range(k):
                         key = bytescan.mix(key * np.uint64(0x100000001B3) + window[i : i + count])
                 out.append(key)
-    return np.concatenate(out)
+    return np.concatenate(out) if out else own[:0]
 
 
 def _postings(batches, k: int, classes, share) -> Iterator[pa.RecordBatch]:

@@ -60,16 +60,18 @@ def brute_components(texts):
     return {i: (len(sets[i]), find(i)) for i in range(len(texts))}
 
 
-@pytest.mark.parametrize("classes", [ngram_join.CLASSES, ((2, 0, 2), (4, 0, 3))])
-def test_jaccard_components(spark, monkeypatch, classes):
+@pytest.mark.parametrize("classes,long", [(ngram_join.CLASSES, ngram_join.LONG), (((2, 0, 2), (4, 0, 3)), 40)])
+def test_jaccard_components(spark, monkeypatch, classes, long):
     monkeypatch.setattr(ngram_join, "CLASSES", classes)
+    monkeypatch.setattr(ngram_join, "LONG", long)
     texts = ODD + near_copies()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.jaccard_components(spark, documents(spark, texts)).collect()}
     assert got == brute_components(texts)
 
 
-@pytest.mark.parametrize("k", [2, 3, 5])
-def test_keys_of_similar_sets_meet(monkeypatch, k):
+@pytest.mark.parametrize("k,long", [(2, 1000), (3, 1000), (5, 1000), (3, 20), (3, 100), (3, 490)])
+def test_keys_of_similar_sets_meet(monkeypatch, k, long):
+    monkeypatch.setattr(ngram_join, "LONG", long)
     monkeypatch.setattr(ngram_join, "CLASSES", ((0, 0, k),))
     rng = np.random.default_rng(5)
     classes = (rng.random(1 << ngram_join.SKETCH_BITS) < 0.9).astype(np.uint8)
