@@ -1,16 +1,16 @@
 """Mixture-controlled packing: deficit round-robin over source queues.
 
-A document's ids are cut into pieces of a power of two, at most ``LARGEST``: full ones,
-then the rest's binary digits, so a piece's bytes are known when the text is read and only
-its size travels. Documents are dealt by a hash of their id over shards of about
-``SHARD_TOKENS`` tokens, whatever the size of a source. In a shard each source has a queue;
-each window of 1024 tokens adds a source's target share to its deficit, the source with the
-largest deficit sends its next piece, and deficits are carried to the next window.
-A shard starts with the deficits that all shards before it leave: target less sent tokens.
+Each source's documents, in the order of a hash, are dealt in proportion over shards of about
+``SHARD_TOKENS`` tokens, so that each shard has about the corpus's mixture. In a shard each source
+has a queue; each window of 1024 tokens adds a source's target share to its deficit, the source
+with the largest deficit sends as many tokens of its next document as the deficit asks for, and
+deficits are carried to the next window. Documents are cut wherever that ends. What dealing
+leaves between shards, at most about a document of a source, is spread over the next shard's windows.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -26,109 +26,114 @@ from isoforge.llm.byte_bpe import PACKING_FILE, PART, coder
 from isoforge.llm.common import per_text, save, table
 
 WINDOW = 1024
-LARGEST = 256
+#: Tokens that a source sends at once, at least, if its document and the window have them.
+LEAST = 32
 SHARD_TOKENS = 1 << 18
 #: Shards over which running sums are taken at once.
 BLOCK = 1024
 END_ID = 0
 
-PIECES = "doc_tokens long, pieces array<struct<start:long,length:long,ids_crc32:long>>"
+CODED = "doc_tokens long, ids_crc32 long, width int, ids binary"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def piece_lengths(n: int) -> list[int]:
-    full, rest = divmod(n, LARGEST)
-    return [LARGEST] * full + [1 << b for b in range(LARGEST.bit_length() - 2, -1, -1) if rest >> b & 1]
+def coded_texts(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
+    """Each whole text's ids and a final id 0, in two bytes each if they fit; null counts as empty and has that id alone.
 
-
-def pieces_of_texts(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
-    """Pieces of each whole text's ids and a final id 0; null counts as empty and has that id alone."""
+    All first bytes stand before all second ones, and so on, and are compressed.
+    """
 
     def columns(texts):
         rows = []
         for ids in coder(path).ids(texts):
-            raw = np.append(ids, END_ID).astype("<u4").tobytes()
-            own, at = [], 0
-            for length in piece_lengths(len(raw) // 4):
-                own.append({"start": at, "length": length, "ids_crc32": zlib.crc32(raw[4 * at : 4 * (at + length)])})
-                at += length
-            rows.append((at, own))
+            own = np.append(ids, END_ID)
+            width = 2 if own.max() < 1 << 16 else 4
+            raw = own.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+            rows.append((len(own), zlib.crc32(raw), width, pa.compress(raw, "zstd", asbytes=True)))
         return list(zip(*rows, strict=True))
 
-    return per_text(docs, keep, text, PIECES, columns, PART)
+    return per_text(docs, keep, text, CODED, columns, PART)
 
 
-def windows(queues: dict[int, dict[str, deque]], deficits: dict[str, float], shares: dict[str, float]) -> Iterator[list]:
-    """Lists of (length, piece) that fill a window each, from queues by length and source.
+def windows(queues: dict[str, deque], shares: dict[str, float], starts: dict[str, float]) -> Iterator[list]:
+    """Lists of (document, start, length) that fill a window each, from queues of (document, tokens) by source.
 
-    The longest pieces go first, so that what is left of a window is a multiple of any piece
-    still waiting: only the last window is short. Among the sources that have such a piece the
-    one with the largest deficit sends. Shares of empty queues go to the others in proportion.
+    The source with the largest deficit sends, as much as its deficit is, and LEAST at least.
+    The deficits of waiting sources sum up to the window's room: shares of empty queues go to the
+    others in proportion. Only the last tokens, less than a window, make windows of a power of two each.
     """
-    left = {s for own in queues.values() for s in own}
-    while queues:
-        total = sum(shares.get(s, 0.0) for s in left) or 1.0
-        for s in left:
-            deficits[s] = deficits.get(s, 0.0) + WINDOW * shares.get(s, 0.0) / total
-        room, own = WINDOW, []
-        while room and queues:
-            length = max(queues)
-            ready = queues[length]
-            s = min(ready, key=lambda s: (-deficits[s], s))
-            own.append((length, ready[s].popleft()))
-            deficits[s] -= length
-            room -= length
-            if not ready[s]:
-                del ready[s]
-                if not any(s in other for other in queues.values()):
-                    left.discard(s)
-                if not ready:
-                    del queues[length]
+    left = sum(n for own in queues.values() for _, n in own)
+    each = {s: starts.get(s, 0.0) * WINDOW / max(left, WINDOW) for s in queues}
+    deficits = dict.fromkeys(queues, 0.0)
+    sent = dict.fromkeys(queues, 0)
+
+    def fill(room):
+        gap, total = room - sum(deficits.values()), sum(shares.get(s, 0.0) for s in deficits)
+        for s in deficits:
+            deficits[s] += gap * (shares.get(s, 0.0) / total if total else 1 / len(deficits))
+
+    while left:
+        room, own = min(WINDOW, 1 << left.bit_length() - 1), []
+        left -= room
+        for s in deficits:
+            deficits[s] += each[s]
+        fill(room)
+        while room:
+            s = min(deficits, key=lambda s: (-deficits[s], s))
+            document, tokens = queues[s][0]
+            n = max(LEAST, math.ceil(deficits[s]))
+            n = min(room if room - n < LEAST else n, tokens - sent[s])
+            own.append((document, sent[s], n))
+            deficits[s] -= n
+            sent[s] += n
+            room -= n
+            if sent[s] == tokens:
+                queues[s].popleft()
+                sent[s] = 0
+                if not queues[s]:
+                    del deficits[s]
+                    if deficits:
+                        fill(room)
         yield own
 
 
-def binary_runs(own: list) -> list[list]:
-    """A short window's pieces as sequences of a power of two each, so that none needs padding."""
-    out, total = [], sum(length for length, _ in own)
-    at = 0
-    for b in range(total.bit_length() - 1, -1, -1):
-        if total >> b & 1:
-            size, part = 1 << b, []
-            while size:
-                part.append(own[at])
-                size -= own[at][0]
-                at += 1
-            out.append(part)
-    return out
-
-
 def pack(spark: SparkSession, docs: DataFrame, path: str, shares: dict[str, float] | None = None, text: str = "text", source: str = "source") -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     ``shares`` are target token proportions by source; by default those of the corpus, and a
     source without one is sent when the others' queues are empty. Null sources are one source
-    of their own. Repeated rows are packed each. A window that all of a shard's queues leave
-    short is cut into sequences of powers of two. Sequences are numbered shard x 2**32 + n.
+    of their own. Repeated rows are packed each. What all of a shard's queues leave for the last
+    window is cut into sequences of powers of two. Sequences are numbered shard x 2**32 + n.
     """
     name = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("-"))
-    cut = save(spark, pieces_of_texts(docs.select("doc_id", name.alias("queue"), text), path, text, ("doc_id", "queue")), "pieces")
+    cut = save(spark, coded_texts(docs.select("doc_id", name.alias("queue"), text), path, text, ("doc_id", "queue")), "ids")
     total = cut.agg(F.sum("doc_tokens")).first()[0] or 0
-    shards = max(1, -(-total // SHARD_TOKENS))
-    shard: Column = F.pmod(F.xxhash64("doc_id", F.element_at("pieces", -1)["ids_crc32"]), F.lit(shards))
-    cut = cut.withColumn("shard", shard)
-
-    sent = cut.groupBy("shard", "queue").agg(F.sum("doc_tokens").alias("tokens"))
-    by_queue = sent.groupBy("queue").agg(F.sum("tokens").alias("all"))
+    by_queue = cut.groupBy("queue").agg(F.sum("doc_tokens").alias("all")).withColumn("part", F.col("all") / F.lit(max(total, 1)))
     if shares is None:
-        target = by_queue.select("queue", (F.col("all") / F.lit(max(total, 1))).alias("share"))
+        target = by_queue.withColumn("share", F.col("part"))
     else:
         whole = sum(shares.values())
         given = spark.createDataFrame([(f"={k}", v / whole) for k, v in shares.items()], "queue string, share double")
-        target = by_queue.select("queue").join(given, "queue", "left").na.fill(0.0)
+        target = by_queue.join(given, "queue", "left").na.fill(0.0)
+    target = save(spark, target, "targets")
+    cut = _dealt(spark, cut, target, max(1, -(-total // SHARD_TOKENS)))
+    sent = save(spark, cut.groupBy("shard", "queue").agg(F.sum("doc_tokens").alias("tokens")), "sent")
     starts = save(spark, _carried(sent.join(target, "queue")), "deficits")
     return cut.groupBy("shard").cogroup(starts.groupBy("shard")).applyInArrow(_pack_shard, PACKED)
 
 
+def _dealt(spark: SparkSession, cut: DataFrame, target: DataFrame, shards: int) -> DataFrame:
+    """``shard`` beside each document: its source's tokens before it, in the order of hashes, as a part of all of them."""
+    place = F.xxhash64("doc_id", "ids_crc32")
+    cut = cut.withColumn("place", place).withColumn("bucket", F.pmod(place, F.lit(shards)))
+    sums = cut.groupBy("queue", F.col("bucket").alias("shard")).agg(F.sum("doc_tokens").alias("tokens"))
+    lower = save(spark, _before(sums, ["queue"], "tokens", "lower").withColumnRenamed("shard", "bucket").join(target.select("queue", "all"), "queue"), "lower")
+    inside = W.partitionBy("queue", "bucket").orderBy("place", "doc_id", "ids_crc32", "doc_tokens").rowsBetween(W.unboundedPreceding, -1)
+    own = cut.join(lower, ["queue", "bucket"]).withColumn("inside", F.coalesce(F.sum("doc_tokens").over(inside), F.lit(0)))
+    shard = F.floor((F.col("lower") + F.col("inside")) / F.col("all") * shards)
+    return own.select("doc_id", "queue", "doc_tokens", "ids_crc32", "width", "ids", F.least(shard, F.lit(shards - 1)).cast("long").alias("shard"))
+
+
 def _before(sums: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     """``name``: the sum of ``value`` over all lower shards with the same ``keys``.
 
@@ -144,32 +149,34 @@ def _before(sums: DataFrame, keys: list[str], value: str, name: str) -> DataFram
 
 
 def _carried(sent: DataFrame) -> DataFrame:
-    """Shard, queue, share, and the deficit that the lower shards leave: its target less what they sent."""
+    """Shard, queue, share, and the deficit that the lower shards leave: its part of the corpus less what they sent."""
     totals = sent.groupBy("shard").agg(F.sum("tokens").alias("tokens"))
     all_before = _before(totals, [], "tokens", "all_before")
     own_before = _before(sent.select("queue", "shard", "tokens"), ["queue"], "tokens", "own_before")
     joined = sent.join(own_before, ["queue", "shard"]).join(all_before, "shard")
-    return joined.select("shard", "queue", "share", (F.col("share") * F.col("all_before") - F.col("own_before")).alias("deficit"))
+    deficit = F.when(F.col("share") > 0, F.col("part") * F.col("all_before") - F.col("own_before")).otherwise(0.0)
+    return joined.select("shard", "queue", "share", deficit.alias("deficit"))
 
 
 def _pack_shard(docs: pa.Table, starts: pa.Table) -> pa.Table:
     shares = dict(zip(starts["queue"].to_pylist(), starts["share"].to_pylist(), strict=True))
     deficits = dict(zip(starts["queue"].to_pylist(), starts["deficit"].to_pylist(), strict=True))
-    queues: dict[int, dict[str, deque]] = {}
+    queues: dict[str, deque] = {}
     shard = 0
-    names = ("doc_id", "queue", "doc_tokens", "pieces", "shard")
-    rows = zip(*(docs[c].to_pylist() for c in names), strict=True)
-    for doc_id, queue, tokens, pieces, shard in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2], r[3][0]["ids_crc32"])):
-        for p in pieces:
-            queues.setdefault(p["length"], {}).setdefault(queue, deque()).append((doc_id, p["start"], p["ids_crc32"], tokens))
-    out, sequence = [], shard << 32
-    for own in windows(queues, deficits, shares):
-        for part in [own] if sum(x for x, _ in own) == WINDOW else binary_runs(own):
-            offset = 0
-            for length, (doc_id, start, crc, tokens) in part:
-                out.append((doc_id, start, length, crc, tokens, sequence, offset))
-                offset += length
-            sequence += 1
+    names = ("doc_id", "queue", "doc_tokens", "ids_crc32", "width", "ids", "shard")
+    rows = sorted(zip(*(docs[c].to_pylist() for c in names), strict=True), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2], r[3]))
+    coded = []
+    for i, (_, queue, tokens, _, width, raw, shard) in enumerate(rows):
+        queues.setdefault(queue, deque()).append((i, tokens))
+        planes = np.frombuffer(pa.decompress(raw, tokens * width, "zstd"), np.uint8).reshape(width, -1)
+        coded.append(np.ascontiguousarray(planes.T).view(f"<u{width}").ravel())
+    out = []
+    for sequence, own in enumerate(windows(queues, shares, deficits), shard << 32):
+        offset = 0
+        for i, start, length in own:
+            ids = coded[i][start : start + length].astype("<u4")
+            out.append((rows[i][0], start, length, zlib.crc32(ids), rows[i][2], sequence, offset))
+            offset += length
     return pa.table([pa.array(c, pa.int64()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.int64())] * 7, names=[f.split()[0] for f in PACKED.split(", ")])
 
 

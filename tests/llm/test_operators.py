@@ -194,6 +194,20 @@ def test_packing(spark):
     assert packing.pack(spark, documents(spark, texts).limit(0), path).count() == 0
 
 
+def test_each_window_has_the_target_mixture(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 1 << 14)
+    rng = random.Random(6)
+    sizes = [("long", 1000)] * 32 + [("short", 100)] * 320
+    rows = [(i, " ".join(rng.choice(("red", "blue", "green")) for _ in range(n)), s) for i, (s, n) in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = packing.pack(spark, docs, public_tokenizers.path(byte_bpe.PACKING_FILE), {"long": 1, "short": 1}).toPandas()
+    got["source"] = got.doc_id.map({r[0]: r[2] for r in rows})
+    used = got.pivot_table(index="sequence_id", columns="source", values="length", aggfunc="sum", fill_value=0)
+    full = used[used.sum(axis=1) == packing.WINDOW]
+    early = full[(full.index & (2**32 - 1)) < 10]
+    assert len(full) > 40 and len(early) > 20 and (early.short / packing.WINDOW).between(0.4, 0.6).all()
+
+
 def test_bpe_equals_tiktoken(spark):
     import tiktoken
 
