@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from isoforge.llm import byte_bpe, bytescan, license_scan, ngram_join, one_bit_neighbours, packing, progressive_jpeg, secret_scan, warc
 from isoforge.llm.common import held_out
 from isoforge.llm.quality import score_quality
-from isoforge.llm.toxicity import score_toxicity
+from isoforge.llm.toxicity import build_model, score_toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, spans string"
 
@@ -122,6 +122,14 @@ def test_scores_on_held_out_rows(spark, score, column, held):
     assert score(spark, docs, none, held_out(*held)).count() == len(got)
 
 
+def test_toxicity_model_keeps_rare_bigrams(spark):
+    n = 600_000
+    pairs = spark.range(n).selectExpr("1 AS kind", "id % 1000 AS v", "id DIV 1000 AS w", "id % 2 AS t", "1 - id % 2 AS o", "1L AS n")
+    words = spark.range(1000).selectExpr("0 AS kind", "0L AS v", "id AS w", "0L AS t", "0L AS o", "600L AS n")
+    known, ratios, _ = build_model(spark, pairs.unionByName(words))["bigram"]
+    assert len(known) == n and np.isfinite(ratios).all() and (ratios != 0).all()
+
+
 def test_secrets(spark):
     key = "AKIA" + "A1" * 8
     texts = [*ODD, f'Password: "abcdefghijkl" and {key}', *[f"api_key = {'ab12' * 5}"] * 12, "é token=short", None]
