@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoforge.llm.byte_bpe import PACKING_FILE
-from isoforge.llm.common import held_out, shared_dir, table
+from isoforge.llm.common import held_out, save, shared_dir, table
 from isoforge.llm.ngram_join import jaccard_components
 from isoforge.llm.packing import pack
 from isoforge.llm.quality import score_quality
@@ -38,10 +38,17 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that n-gram similarity joins, the one with the smallest doc_id; of repeated rows, one."""
-    groups = jaccard_components(spark, docs)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id").dropDuplicates(["doc_id"])
+    """Of rows that n-gram similarity joins, the one with the smallest doc_id, then row number; of equal rows without words, one.
+
+    Rows are told apart by a number of their own, so that null and shared doc_ids join nothing.
+    """
+    rows = save(spark, docs.select(F.monotonically_increasing_id().alias("__row"), F.struct("*").alias("row")), "rows")
+    groups = jaccard_components(spark, rows.select("__row", F.col("row.text").alias("text")), "__row")
+    groups = save(spark, groups.join(rows.select("__row", F.col("row.doc_id").alias("doc_id")), "__row"), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))["__row"]
+    kept = groups.filter("n_shingles > 0").groupBy("component_id").agg(first.alias("__row")).select("__row")
+    wordless = rows.join(groups.filter("n_shingles = 0").select("__row"), "__row").dropDuplicates(["row"])
+    return _as_documents(rows.join(kept, "__row").unionByName(wordless), docs)
 
 
 def cut_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

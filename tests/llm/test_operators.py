@@ -12,6 +12,7 @@ pytest.importorskip("public_tokenizers")
 import public_tokenizers
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from isoforge.llm import byte_bpe, bytescan, license_scan, ngram_join, one_bit_neighbours, packing, progressive_jpeg, secret_scan, warc
 from isoforge.llm.common import held_out
 from isoforge.llm.quality import score_quality
@@ -69,6 +70,15 @@ def test_jaccard_components(spark, monkeypatch, classes, long):
     assert got == brute_components(texts)
 
 
+def test_one_of_each_group_keeps_by_row(spark):
+    copies = ["one two three four five", "six seven eight nine ten", "a b c d e f"]
+    rows = [(None, copies[0]), (None, copies[1]), (None, copies[1]), (5, "p q r s"), (5, "t u v w"), (7, copies[2]), (3, copies[2]), (None, copies[2]), (8, ""), (8, ""), (9, None), (None, None), (None, "")]
+    docs = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()]
+    truth = [(None, copies[0]), (None, copies[1]), (5, "p q r s"), (5, "t u v w"), (3, copies[2]), (8, ""), (9, None), (None, None), (None, "")]
+    assert sorted(got, key=repr) == sorted(truth, key=repr)
+
+
 @pytest.mark.parametrize("k,long", [(2, 1000), (3, 1000), (5, 1000), (3, 20), (3, 100), (3, 490)])
 def test_keys_of_similar_sets_meet(monkeypatch, k, long):
     monkeypatch.setattr(ngram_join, "LONG", long)
