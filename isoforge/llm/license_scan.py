@@ -76,6 +76,15 @@ def _compiled():
     return phrases, automaton, fuzzy
 
 
+def _matches(pattern, text: str, a: int, b: int, least: int):
+    """Best matches, and those left of each that a best match (?b) skips; none is shorter than ``least``."""
+    for m in pattern.finditer(text, a, b):
+        if m.start() - a >= least:
+            yield from _matches(pattern, text, a, m.start(), least)
+        yield m
+        a = m.end()
+
+
 def fuzzy_notices(lowered: str) -> list[tuple[int, int, int, str]]:
     """Start, end, edits and label of each notice's best places in a lower-cased text.
 
@@ -98,7 +107,7 @@ def fuzzy_notices(lowered: str) -> list[tuple[int, int, int, str]]:
     out = []
     for notice, own in windows.items():
         for a, b in own:
-            for m in fuzzy[notice].finditer(flat, a, b):
+            for m in _matches(fuzzy[notice], flat, a, b, len(notice) - edits_allowed(notice)):
                 out.append((m.start(), m.end(), sum(m.fuzzy_counts), NOTICES[notice]))
     return sorted(out)
 

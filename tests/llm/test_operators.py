@@ -266,6 +266,12 @@ def test_licenses(spark):
     assert got[n + 2]["n_base"] == got[n + 3]["n_base"] == 0 and got[0]["n_words"] == 0
 
 
+def test_adjacent_notices_are_all_found():
+    spans = [x[:3] for x in license_scan.fuzzy_notices("x all rights reservd. all rights reserved. y")]
+    assert len(spans) == 2 and spans[0][1] <= spans[1][0] and spans[0][2] == 1 and spans[1] == (22, 41, 0)
+    assert len([x for x in license_scan.fuzzy_notices("gnu genral public license gnu general public license") if x[3] == "gpl"]) == 2
+
+
 def test_hashes_follow_words():
     texts = [b"Ab  cd", b"", b"ab cd", b"x"]
     own = {i: s.tolist() for i, s in bytescan.shingle_sets(texts, 3)}
