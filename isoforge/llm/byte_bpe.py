@@ -1,10 +1,9 @@
 """Byte-level BPE: the tokenizers library over Arrow batches.
 
-A text is cut where a space stands before a word; no match of the splitting pattern spans
-such a place, so each piece encodes by itself. Pieces repeat a lot: numpy finds the distinct
-ones of some megabytes of text, each worker keeps the ids of those it has met and hands only
-new ones to the library, and numpy lays the ids out again. A text with repeated or mixed white
-space at a piece's edge is cut by the whole pattern instead.
+numpy cuts some megabytes of text at the splitting pattern's matches and finds the distinct ones.
+Each worker keeps the ids of those it has met and hands only new ones, byte by byte spelt as
+characters, to the library's model; numpy lays the ids out again. A match is known by its bytes:
+hashes only sort them, and equal hashes are compared byte by byte.
 """
 
 from __future__ import annotations
@@ -19,10 +18,10 @@ from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
-import regex
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from isoforge.llm import bytescan
+from isoforge.llm import bytescan, pretokens
 from isoforge.llm.common import per_text, table
 
 #: Vocabulary files, in the folder of the public tokenizers.
@@ -30,10 +29,10 @@ PACKING_FILE = "byte_bpe_50k.json"
 RANKS_FILE = "byte_bpe_multi_50k.tiktoken"
 #: Bytes of whole texts that are handled together.
 PART = 4 << 20
-#: Pieces that a worker remembers; beyond that it starts again.
-REMEMBERED = 1_000_000
-
-_PATTERN = regex.compile(public_tokenizers.PATTERN)
+#: Matches that a worker remembers; beyond that it starts again.
+REMEMBERED = 600_000
+#: Stands between spelt matches; no byte is spelt so.
+_APART = "\uffff"
 
 
 @lru_cache(1)
@@ -69,8 +68,41 @@ def tokenizer_of_ranks(ranks: dict[bytes, int]):
     return out
 
 
+def distinct_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each kind of equal runs of bytes, and the kind of each run."""
+    coded = pa.array(bytescan.hashed_runs(data, starts, ends)).dictionary_encode()
+    which = coded.indices.to_numpy()
+    first = np.empty(len(coded.dictionary), np.int64)
+    first[which[::-1]] = np.arange(len(which))[::-1]
+    if not _equal_runs(data, starts, ends, first[which]):
+        raw, kinds = data.tobytes(), {}
+        which = np.array([kinds.setdefault(raw[a:b], len(kinds)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+        first = np.empty(len(kinds), np.int64)
+        first[which[::-1]] = np.arange(len(which))[::-1]
+    return first, which
+
+
+def _equal_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> bool:
+    """Whether each run has the same bytes as the run ``other`` says."""
+    size, twin = ends - starts, starts[other]
+    if not np.array_equal(size, size[other]):
+        return False
+    eight, at, done = bytescan.eights(data), np.arange(len(starts)), 0
+    while len(at):
+        rest = np.minimum(size[at] - done, 8)
+        shift = (8 * (8 - rest)).astype(np.uint64)
+        if ((eight[starts[at] + done] ^ eight[twin[at] + done]) << shift).any():
+            return False
+        done += 8
+        at = at[size[at] > done]
+        if done == 256:  # few are longer
+            raw = data.tobytes()
+            return all(raw[a : a + n] == raw[b : b + n] for a, b, n in zip(starts[at].tolist(), twin[at].tolist(), size[at].tolist(), strict=True))
+    return True
+
+
 class Coder:
-    """Ids of texts, and bytes of ids, of one vocabulary file."""
+    """Ids of texts, and bytes of ids, of one vocabulary file. Special tokens' strings in a text are ordinary text."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -79,85 +111,45 @@ class Coder:
         if path.endswith(".tiktoken"):
             ranks = read_ranks(path)
             self.model = tokenizer_of_ranks(ranks)
-            self.special = ()
             vocabulary = {i: t for t, i in ranks.items()}
         else:
             self.model = Tokenizer.from_file(path)
+            self.model.encode_special_tokens = True
             back = {c: b for b, c in byte_characters().items()}
             added = {i: t.content.encode() for i, t in self.model.get_added_tokens_decoder().items()}
-            self.special = tuple(added.values())
             vocabulary = {i: added[i] if i in added else bytes(back[c] for c in t) for t, i in self.model.get_vocab().items()}
         self.bytes_of = [vocabulary.get(i, b"") for i in range(max(vocabulary) + 1)]
-        self.known: dict[int, bytes | None] = {}
+        self.merges = self.model.model
+        self.spelling = byte_characters()
+        self.known: dict[bytes, bytes] = {}
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text, unsigned 32-bit."""
-        return [ids for part in bytescan.slices(texts, PART) for ids in self._of_slice(part, texts)]
-
-    def _of_slice(self, part: bytescan.Slice, texts: list[bytes]) -> Iterator[np.ndarray]:
-        """Pieces run from a space, or a text's start, up to the next space or the text's end."""
-        spaces = np.flatnonzero(part.data == 0x20)
-        ends_of_texts = part.begins[1:] - 1
-        starts = np.sort(np.concatenate((part.begins[:-1][part.lengths > 0], np.setdiff1d(spaces, ends_of_texts, assume_unique=True))))
-        ends = np.minimum(np.concatenate((starts[1:], [len(part.data)])), ends_of_texts[np.searchsorted(ends_of_texts, starts)])
-        full = ends > starts  # a text that starts with a space starts with no empty piece
-        starts, ends = starts[full], ends[full]
-        names, where, which = np.unique(bytescan.word_hashes(part, starts, ends, fold=False), return_index=True, return_inverse=True)
+        """Ids of each text, unsigned 32-bit. Bytes that are no UTF-8 count as U+FFFD."""
+        return [ids for part in bytescan.slices([_valid(t) for t in texts], PART) for ids in self._of_slice(part)]
+
+    def _of_slice(self, part: bytescan.Slice) -> Iterator[np.ndarray]:
+        starts, ends = pretokens.pieces(part)
+        first, which = distinct_runs(part.data, starts, ends)
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        keys = names.tolist()
         raw = part.data.tobytes()
-        new = [(k, raw[starts[i] : ends[i]].decode("utf-8", "replace")) for k, i in zip(keys, where.tolist(), strict=True) if k not in self.known]
-        self._learn(new)
-        packed = list(map(self.known.__getitem__, keys))
-        odd = np.fromiter((p is None for p in packed), bool, len(packed))
-        sizes = np.fromiter((len(p or b"") // 4 for p in packed), np.int64, len(packed))
-        pool = np.frombuffer(b"".join(p or b"" for p in packed), "<u4")
+        kinds = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        self._learn([k for k in kinds if k not in self.known])
+        packed = list(map(self.known.__getitem__, kinds))
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        pool = np.frombuffer(b"".join(packed), "<u4")
         own = sizes[which]
         ends_of_ids = np.cumsum(own)
         all_ids = pool[np.repeat((np.cumsum(sizes) - sizes)[which] - (ends_of_ids - own), own) + np.arange(own.sum())]
-        firsts = np.searchsorted(starts, part.begins)
-        at = np.concatenate(([0], ends_of_ids))[firsts]
-        odd_before = np.concatenate(([0], np.cumsum(odd[which])))[firsts]
+        at = np.concatenate(([0], ends_of_ids))[np.searchsorted(starts, part.begins)]
         for i in range(len(part)):
-            text = texts[part.first + i]
-            if odd_before[i + 1] > odd_before[i] or any(s in text for s in self.special):
-                yield np.frombuffer(b"".join(self._whole(text.decode("utf-8", "replace"))), "<u4")
-            else:
-                yield all_ids[at[i] : at[i + 1]]
-
-    def _learn(self, new: list[tuple[int, str]]) -> None:
-        """None marks a piece whose white space may join that of its neighbours."""
-        good = []
-        for k, p in new:
-            word = p[1:] if p[0] == " " else p
-            if not word or word[0].isspace() or word[-1].isspace():
-                self.known[k] = None
-            else:
-                good.append((k, p))
-        if good:
-            # A text's first piece has no space: it may not stand next to another one.
-            bare = [x for x in good if x[1][0] != " "]
-            rest = [x for x in good if x[1][0] == " "]
-            self.known.update((k, _packed(self.model.encode(p, add_special_tokens=False).ids)) for k, p in bare)
-            self.known.update(zip([k for k, _ in rest], self._joined([p for _, p in rest]), strict=True))
-
-    def _joined(self, pieces: list[str]) -> list[bytes]:
-        """Of pieces that each start with a space before a word: encoded as one text, then parted by the offsets."""
-        e = self.model.encode("".join(pieces), add_special_tokens=False)
-        begins = np.cumsum([0, *map(len, pieces)])
-        cuts = (4 * np.searchsorted(np.array([a for a, _ in e.offsets], np.int64), begins)).tolist()
-        packed = _packed(e.ids)
-        return [packed[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-
-    def _whole(self, text: str) -> list[bytes]:
-        """Each match of the pattern by itself; special tokens, if the vocabulary has them, as the library takes them."""
-        if any(s.decode() in text for s in self.special):
-            return [_packed(self.model.encode(text, add_special_tokens=False).ids)]
-        matches = _PATTERN.findall(text)
-        new = [*set(matches)]
-        known = {p: _packed(e.ids) for p, e in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False), strict=True)}
-        return [known[p] for p in matches]
+            yield all_ids[at[i] : at[i + 1]]
+
+    def _learn(self, new: list[bytes]) -> None:
+        if new:
+            spelt = _APART.join(p.decode("latin-1") for p in new).translate(self.spelling).split(_APART)
+            tokenize = self.merges.tokenize
+            self.known.update((p, _packed([t.id for t in tokenize(word)])) for p, word in zip(new, spelt, strict=True))
 
     def with_offsets(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
         """Ids, and the characters of the text that each covers; a split character's tokens share it."""
@@ -172,6 +164,14 @@ class Coder:
         return self.decode_bytes(ids).decode("utf-8", "replace")
 
 
+def _valid(text: bytes) -> bytes:
+    try:
+        text.decode()
+        return text
+    except UnicodeDecodeError:
+        return text.decode("utf-8", "replace").encode()
+
+
 def _packed(ids: list[int]) -> bytes:
     return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
 

@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SLICE = 1 << 20
-_RADIX = np.uint64(0x9E3779B97F4A7C15 | 1)
 _SPACES = bytes([0x20, *range(0x09, 0x0E)])
 
 
@@ -32,25 +31,13 @@ NOT_SPACE = word_table(_SPACES)
 ALNUM = word_table(bytes(x for x in range(0x80) if not (0x30 <= x <= 0x39 or 0x41 <= x <= 0x5A or 0x61 <= x <= 0x7A)))
 
 
-@lru_cache(2)
-def _byte_codes(fold: bool) -> np.ndarray:
-    codes = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64)
-    if fold:
-        codes[0x41:0x5B] = codes[0x61:0x7B]  # A-Z count as a-z
-    return codes
-
-
-_powers: list[np.ndarray] = []
-
-
-def _radix_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the radix and of its inverse modulo 2**64."""
-    if not _powers or len(_powers[0]) < n:
-        inverse = np.uint64(pow(int(_RADIX), -1, 1 << 64))
-        size = max(n, SLICE + (1 << 16))
-        with np.errstate(over="ignore"):
-            _powers[:] = [np.cumprod(np.concatenate(([np.uint64(1)], np.full(size - 1, r, np.uint64)))) for r in (_RADIX, inverse)]
-    return _powers[0], _powers[1]
+#: A-Z as a-z, everything else as it is.
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[0x41:0x5B] += 0x20
+#: Bytes of a word up to which numpy hashes it, eight at a time; a library hashes longer ones.
+_LONGEST = 256
+_MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -102,13 +89,35 @@ def bounds(part: Slice, in_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return starts, ends, np.searchsorted(starts, part.begins)
 
 
-def word_hashes(part: Slice, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
-    """Of the bytes from each start to its end, letters A-Z as a-z if ``fold``."""
-    power, inverse = _radix_powers(len(part.data))
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each byte on as one number; zeros follow the data."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray(len(data) + 1, "<u8", padded.data, strides=(1,))
+
+
+def hashed_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes from each start to its end: eight bytes at a time, each mixed into what came before.
+
+    Runs of up to eight bytes and of one length never share a hash. Longer ones than ``_LONGEST``
+    are hashed by a library, so that one long word takes no loop over all words.
+    """
+    eight, size = eights(data), ends - starts
     with np.errstate(over="ignore"):
-        total = np.cumsum(_byte_codes(fold)[part.data] * power[: len(part.data)])
-        before = np.where(starts > 0, total[starts - 1], np.uint64(0))
-        return mix((total[ends - 1] - before) * inverse[starts])
+        out = mix(mix(size.astype(np.uint64) * _STEP) ^ (eight[starts] & _MASKS[np.minimum(size, 8)]))
+        more = np.flatnonzero((size > 8) & (size <= _LONGEST))
+        done = 8
+        while len(more):
+            out[more] = mix(out[more] * _STEP ^ (eight[starts[more] + done] & _MASKS[np.minimum(size[more] - done, 8)]))
+            done += 8
+            more = more[size[more] > done]
+    for i in np.flatnonzero(size > _LONGEST).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]])
+    return out
+
+
+def word_hashes(part: Slice, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Of the bytes from each start to its end, letters A-Z as a-z."""
+    return hashed_runs(FOLD[part.data], starts, ends)
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
