@@ -137,8 +137,9 @@ def rts_bool(column: str) -> Column:
     return F.coalesce(F.lower(column).isin("true", "t", "1", "yes"), F.lit(False))
 
 
-def junction_label() -> Column:
-    return F.concat_ws("_", "chrom", "strand", F.col("genomic_start_coord").cast("string"), F.col("genomic_end_coord").cast("string"))
+def junction_label(start: str = "genomic_start_coord", end: str = "genomic_end_coord", chrom: str = "chrom", strand: str = "strand") -> Column:
+    """Contig, strand, start and end; other columns may be named where a table calls them otherwise."""
+    return F.concat_ws("_", chrom, strand, *(F.col(c).cast("long").cast("string") for c in (start, end)))
 
 
 def format_chr(column: str) -> Column:
@@ -175,7 +176,7 @@ def category_tag(column: str = "structural_category") -> Column:
 
 
 def isoform_weight(column: str = "FL") -> Column:
-    """Sum of a comma list; 1 if it is null or 0."""
+    """Sum of a comma list; 1 if it is null or not positive."""
     total = F.aggregate(F.split(column, ","), F.lit(0.0), lambda a, x: a + F.coalesce(x.try_cast("double"), F.lit(0.0)))
     return F.when(total > 0, total).otherwise(1.0)
 

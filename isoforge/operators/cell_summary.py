@@ -1,7 +1,9 @@
 """Per-cell summary.
 
-All weighted sums come from one aggregate by cell and category, so that no aggregate is wide;
-distinct counts come from two small pre-aggregates. Parts are per cell and joined on the cell.
+Weighted sums come from one narrow aggregate by cell, category and subcategory; its few rows of
+each cell then become one record: a struct of totals and a map from category to a struct. Distinct
+counts come from one pre-aggregate of genes, junction chains and molecules. So each table is read
+once for each of the two, and the hundreds of columns are projections of one row, never aggregates.
 """
 
 from __future__ import annotations
@@ -9,6 +11,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from isoforge.functions import columns as C
@@ -17,43 +20,72 @@ from isoforge.operators.explode import KEY
 _BINS = tuple(C.LENGTH_BINS)
 
 
-def category_sums(cells: DataFrame, mt_names=("MT",), ref_cov_min_pct: float = 45.0, min_cov: float = 1.0, ratio_tss: float = 2.0) -> DataFrame:
-    """Weighted sums of every measure by cell and category."""
-    measures = {"w": F.lit(True), "not_mono": C.not_mono(), "multi": C.multi_exon(), "mt": F.coalesce(F.col("chrom").isin(*mt_names), F.lit(False)), "ref_cov": C.ref_body_covered(ref_cov_min_pct)}
+def category_sums(
+    cells: DataFrame, mt_names=("MT",), ref_cov_min_pct: float = 45.0, min_cov: float = 1.0, ratio_tss: float = 2.0
+) -> DataFrame:
+    """A record of each cell: ``total``, weighted sums of every measure, and ``by``, the same by category.
+
+    A category's struct also has ``sub``, a map from subcategory to weight. Rows of an unknown
+    category count in the totals.
+    """
+    measures = {
+        "w": F.lit(True), "not_mono": C.not_mono(), "multi": C.multi_exon(),
+        "mt": F.coalesce(F.col("chrom").isin(*mt_names), F.lit(False)), "ref_cov": C.ref_body_covered(ref_cov_min_pct),
+    }
     tests = C.quality_predicates(min_cov, ratio_tss)
     measures |= tests | {f"multi_{k}": tests[k] & C.multi_exon() for k in ("canon", "noncanon")}
     mono = F.coalesce(F.col("exons") == 1, F.lit(False))
     for b in _BINS:
         measures |= {f"len_{b}": C.length_bin() == b, f"len_mono_{b}": (C.length_bin() == b) & mono}
-    return cells.groupBy(*KEY, "structural_category").agg(*(F.sum(F.when(t, F.col("_count")).otherwise(0.0)).alias(k) for k, t in measures.items()))
+    sums = [F.sum(F.when(t, F.col("_count")).otherwise(0.0)).alias(k) for k, t in measures.items()]
+    fine = cells.groupBy(*KEY, "structural_category", "subcategory").agg(*sums).repartition(*KEY)
+    again = [F.sum(k).alias(k) for k in measures]
+    known = F.when(F.col("subcategory").isNotNull(), F.struct("subcategory", "w"))
+    by_category = fine.groupBy(*KEY, "structural_category").agg(*again, F.map_from_entries(F.collect_list(known)).alias("sub"))
+    one = F.struct("structural_category", F.struct(*measures, "sub"))
+    named = F.when(F.col("structural_category").isNotNull(), one)
+    record = by_category.groupBy(*KEY).agg(*again, F.map_from_entries(F.collect_list(named)).alias("by"))
+    return record.select(*KEY, F.struct(*measures).alias("total"), "by")
 
 
 def _of(category: str, measure: str) -> Column:
-    return F.coalesce(F.sum(F.when(F.col("structural_category") == category, F.col(measure))), F.lit(0.0))
+    return F.coalesce(F.col("by")[category][measure], F.lit(0.0))
 
 
 def _all(measure: str) -> Column:
-    return F.sum(measure)
+    return F.col("total")[measure]
+
 
+def _select(record: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    return record.select(*KEY, *(c.alias(k) for k, c in columns.items()))
 
-def _per_cell(sums: DataFrame, **columns: Column) -> DataFrame:
-    return sums.groupBy(*KEY).agg(*(c.alias(k) for k, c in columns.items()))
+
+def total_columns() -> dict[str, Column]:
+    return {"total_reads": _all("w"), "total_reads_no_monoexon": _all("not_mono")}
 
 
 def cell_totals(cells: DataFrame, sums: DataFrame, mode: str = "reads") -> DataFrame:
-    out = _per_cell(sums, total_reads=_all("w"), total_reads_no_monoexon=_all("not_mono"))
+    out = _select(sums, total_columns())
     if mode == "reads":
         out = out.join(cells.groupBy(*KEY).agg(F.countDistinct("UMI").alias("total_UMI")), KEY)
     return out
 
 
-def category_counts(sums: DataFrame) -> DataFrame:
+def category_columns() -> dict[str, Column]:
     counts = {C.count_name(c): _of(c, "w") for c in C.CATEGORIES}
-    return _per_cell(sums, **counts, **{f"{k}_prop": C.safe_prop(v, _all("w")) for k, v in counts.items()})
+    return counts | {f"{k}_prop": C.safe_prop(v, _all("w")) for k, v in counts.items()}
+
+
+def category_counts(sums: DataFrame) -> DataFrame:
+    return _select(sums, category_columns())
+
+
+def mt_columns() -> dict[str, Column]:
+    return {"MT_reads_count": _all("mt"), "MT_perc": C.safe_prop(_all("mt"), _all("w"))}
 
 
 def mt_share(sums: DataFrame) -> DataFrame:
-    return _per_cell(sums, MT_reads_count=_all("mt"), MT_perc=C.safe_prop(_all("mt"), _all("w")))
+    return _select(sums, mt_columns())
 
 
 def gene_counts(cells: DataFrame) -> DataFrame:
@@ -61,110 +93,187 @@ def gene_counts(cells: DataFrame) -> DataFrame:
     return cells.filter(F.col("associated_gene").isNotNull()).groupBy(*KEY, "associated_gene").agg(F.sum("_count").alias("n"))
 
 
-def gene_metrics(cells: DataFrame) -> DataFrame:
-    novel = C.starts_novel("associated_gene")
-    count = lambda test: F.count(F.when(test, 1))
-    own = gene_counts(cells).groupBy(*KEY).agg(F.count("*").alias("Genes_in_cell"), count(~novel).alias("Annotated_genes"), count(novel).alias("Novel_genes"))
-    return own.withColumn("Annotated_genes_prop_in_cell", C.safe_prop(F.col("Annotated_genes"), F.col("Genes_in_cell")))
+def chains(cells: DataFrame) -> DataFrame:
+    """Distinct junction chains of multi-exon rows by cell and gene."""
+    own = cells.filter(C.multi_exon())
+    return own.groupBy(*KEY, "associated_gene", "jxn_string").agg(F.max(~C.starts_novel("associated_transcript")).alias("annotated"))
 
 
-def _bin_props(counts: DataFrame, bin_of, bins) -> DataFrame:
-    novel = C.starts_novel("associated_gene")
-    binned = counts.withColumn("bin", bin_of(F.col("n")))
-    out = []
+def key_counts(cells: DataFrame) -> DataFrame:
+    """Distinct genes, junction chains and molecules of each cell, and genes by the size of their counts.
+
+    A row stands for its gene and chain and for its molecule; both are aggregated together, by cell.
+    Windows then tell the first row of each gene and of each chain.
+    """
+    chain = F.when(C.multi_exon(), F.col("jxn_string"))
+    known = C.multi_exon() & ~C.starts_novel("associated_transcript")
+    of_gene = F.struct(
+        F.lit("g").alias("kind"), F.col("associated_gene").alias("a"), chain.alias("b"), C.multi_exon().alias("multi"), known.alias("known"), F.col("_count").alias("n")
+    )
+    of_molecule = F.struct(F.lit("u").alias("kind"), F.col("UMI").alias("a"), F.lit(None).cast("string").alias("b"), F.lit(False).alias("multi"), F.lit(False).alias("known"), F.lit(0.0).alias("n"))
+    each = cells.select(*KEY, F.inline(F.array(of_gene, of_molecule)))
+    each = each.groupBy(*KEY, "kind", "a", "b").agg(F.sum("n").alias("n"), F.max("known").alias("known"), F.max("multi").alias("multi")).repartition(*KEY)
+    by_a, by_b = W.partitionBy(*KEY, "kind", "a"), W.partitionBy(*KEY, "kind", "b")
+    each = each.withColumns({"gene_n": F.sum("n").over(by_a), "gene_chains": F.count("b").over(by_a), "gene_multi": F.max("multi").over(by_a), "a_at": F.row_number().over(by_a.orderBy("b"))})
+    each = each.withColumns({"chain_known": F.max("known").over(by_b), "b_at": F.row_number().over(by_b.orderBy("a"))})
+    novel = C.starts_novel("a")
+    gene = (F.col("kind") == "g") & F.col("a").isNotNull() & (F.col("a_at") == 1)
+    first_chain = (F.col("kind") == "g") & F.col("b").isNotNull() & (F.col("b_at") == 1)
+    molecule = (F.col("kind") == "u") & F.col("a").isNotNull() & (F.col("a_at") == 1)
+    count = lambda test: F.count(F.when(test, 1))
+    columns = {
+        "total_UMI": count(molecule), "Genes_in_cell": count(gene), "Annotated_genes": count(gene & ~novel), "Novel_genes": count(gene & novel),
+        "UJCs_in_cell": count(first_chain), "annotated_chains": count(first_chain & F.col("chain_known")),
+    }
     for kind, test in (("anno", ~novel), ("novel", novel)):
-        total = F.count(F.when(test, 1))
-        out += [C.safe_prop(F.count(F.when(test & (F.col("bin") == name), 1)), total).alias(f"{kind}_{name}_perc") for name, _, _ in bins]
-    return binned.groupBy(*KEY).agg(*out)
+        bins = C.gene_count_bin(F.col("gene_n"))
+        columns |= {f"{kind}_{name}": count(gene & test & (bins == name)) for name, _, _ in C.GENE_BINS}
+        several = gene & test & F.col("gene_multi")
+        bins = C.ujc_count_bin(F.col("gene_chains"))
+        columns |= {f"{kind}_multi_genes": count(several)} | {f"{kind}_{name}": count(several & (bins == name)) for name, _, _ in C.UJC_BINS}
+    return each.groupBy(*KEY).agg(*(c.alias(k) for k, c in columns.items()))
 
 
-def gene_bin_props(cells: DataFrame) -> DataFrame:
-    return _bin_props(gene_counts(cells), C.gene_count_bin, C.GENE_BINS)
+def gene_columns() -> dict[str, Column]:
+    names = ("Genes_in_cell", "Annotated_genes", "Novel_genes")
+    return {n: F.col(n) for n in names} | {"Annotated_genes_prop_in_cell": C.safe_prop(F.col("Annotated_genes"), F.col("Genes_in_cell"))}
 
 
-def chains(cells: DataFrame) -> DataFrame:
-    """Distinct junction chains of multi-exon rows by cell and gene."""
-    own = cells.filter(C.multi_exon())
-    return own.groupBy(*KEY, "associated_gene", "jxn_string").agg(F.max(~C.starts_novel("associated_transcript")).alias("annotated"))
+def gene_metrics(keys: DataFrame) -> DataFrame:
+    return _select(keys, gene_columns())
+
+
+def _bin_columns(bins, total: dict[str, str]) -> dict[str, Column]:
+    return {f"{kind}_{name}_perc": C.safe_prop(F.col(f"{kind}_{name}"), F.col(total[kind])) for kind in ("anno", "novel") for name, _, _ in bins}
+
+
+def gene_bin_columns() -> dict[str, Column]:
+    return _bin_columns(C.GENE_BINS, {"anno": "Annotated_genes", "novel": "Novel_genes"})
+
+
+def gene_bin_props(keys: DataFrame) -> DataFrame:
+    return _select(keys, gene_bin_columns())
 
 
-def ujc_bin_props(cells: DataFrame) -> DataFrame:
-    per_gene = chains(cells).filter(F.col("associated_gene").isNotNull()).groupBy(*KEY, "associated_gene").agg(F.count("jxn_string").alias("n"))
-    return _bin_props(per_gene, C.ujc_count_bin, C.UJC_BINS)
+def ujc_bin_columns() -> dict[str, Column]:
+    return _bin_columns(C.UJC_BINS, {"anno": "anno_multi_genes", "novel": "novel_multi_genes"})
 
 
-def ujc_metrics(cells: DataFrame) -> DataFrame:
+def ujc_bin_props(keys: DataFrame) -> DataFrame:
+    """Genes of multi-exon rows by their number of chains."""
+    return _select(keys, ujc_bin_columns())
+
+
+def ujc_columns() -> dict[str, Column]:
+    return {"UJCs_in_cell": F.col("UJCs_in_cell"), "Annotated_juction_strings_prop_in_cell": C.safe_prop(F.col("annotated_chains"), F.col("UJCs_in_cell"))}
+
+
+def ujc_metrics(keys: DataFrame) -> DataFrame:
     """Distinct chains of each cell, and the share that have an annotated transcript."""
-    own = chains(cells).filter(F.col("jxn_string").isNotNull()).groupBy(*KEY, "jxn_string").agg(F.max("annotated").alias("annotated"))
-    out = own.groupBy(*KEY).agg(F.count("*").alias("UJCs_in_cell"), F.count(F.when(F.col("annotated"), 1)).alias("a"))
-    return out.withColumn("Annotated_juction_strings_prop_in_cell", C.safe_prop(F.col("a"), F.col("UJCs_in_cell"))).drop("a")
+    return _select(keys, ujc_columns())
 
 
 def junction_type_counts(junctions: DataFrame) -> DataFrame:
     """Unweighted junctions of each cell by type, and their shares of all."""
     names = {t: t[0].upper() + t[1:] + "_junctions" for t in C.JUNCTION_TYPES}
     own = junctions.filter(C.valid_cell()).withColumn("type", C.junction_type())
-    counts = {name: F.count(F.when(F.col("type") == t, 1)) for t, name in names.items()}
-    total = F.count("*")
-    return _per_cell(own, **counts, total_junctions=total, **{f"{k}_prop": C.safe_prop(v, total) for k, v in counts.items()})
+    counts = [F.count(F.when(F.col("type") == t, 1)).alias(name) for t, name in names.items()]
+    own = own.groupBy(*KEY).agg(*counts, F.count("*").alias("total_junctions"))
+    return own.withColumns({f"{n}_prop": C.safe_prop(F.col(n), F.col("total_junctions")) for n in names.values()})
 
 
-def subcategory_props(cells: DataFrame) -> DataFrame:
-    sums = cells.groupBy(*KEY, "structural_category", "subcategory").agg(F.sum("_count").alias("w"))
+def subcategory_columns() -> dict[str, Column]:
     out = {}
     for category, own in C.SUBCATEGORIES.items():
         for s in own:
-            part = F.sum(F.when((F.col("structural_category") == category) & (F.col("subcategory") == s), F.col("w")).otherwise(0.0))
+            part = F.coalesce(F.col("by")[category]["sub"][s], F.lit(0.0))
             out[f"{C.TAGS[category]}_{s.replace('-', '_')}_prop"] = C.safe_prop(part, _of(category, "w"))
-    return _per_cell(sums, **out)
+    return out
 
 
-def length_bin_props(sums: DataFrame) -> DataFrame:
+def subcategory_props(sums: DataFrame) -> DataFrame:
+    return _select(sums, subcategory_columns())
+
+
+def length_bin_columns() -> dict[str, Column]:
     out = {}
     for mono in ("", "mono_"):
         out |= {f"Total_{name}_length_{mono}prop": C.safe_prop(_all(f"len_{mono}{b}"), _all("w")) for b, name in C.LENGTH_BINS.items()}
-        out |= {f"{C.TAGS[c]}_{name}_length_{mono}prop": C.safe_prop(_of(c, f"len_{mono}{b}"), _of(c, "w")) for c in C.CATEGORIES for b, name in C.LENGTH_BINS.items()}
-    return _per_cell(sums, **out)
+        for c in C.CATEGORIES:
+            out |= {f"{C.TAGS[c]}_{name}_length_{mono}prop": C.safe_prop(_of(c, f"len_{mono}{b}"), _of(c, "w")) for b, name in C.LENGTH_BINS.items()}
+    return out
 
 
-def ref_coverage_props(sums: DataFrame, ref_cov_min_pct: float = 45.0) -> DataFrame:
+def length_bin_props(sums: DataFrame) -> DataFrame:
+    return _select(sums, length_bin_columns())
+
+
+def ref_coverage_columns(ref_cov_min_pct: float = 45.0) -> dict[str, Column]:
     out = {f"{C.TAGS[c]}_ref_coverage_prop": C.safe_prop(_of(c, "ref_cov"), _of(c, "w")) for c in C.CATEGORIES}
-    return _per_cell(sums, **out, ref_cov_min_pct=F.lit(ref_cov_min_pct))
+    return out | {"ref_cov_min_pct": F.lit(ref_cov_min_pct)}
 
 
-#: Measure, overall column, suffix of the columns by category, and whether their names are the ORF ones.
-QUALITY = (
-    ("rts", "RTS_prop_in_cell", "RTS_prop", False), ("intrapriming", "Intrapriming_prop_in_cell", "intrapriming_prop", False), ("tss", "TSSAnnotationSupport_prop", "TSSAnnotationSupport", False),
-    ("nmd", "NMD_prop_in_cell", "NMD_prop", True), ("cage", "CAGE_peak_support_prop", "CAGE_peak_support_prop", False), ("polya", "PolyA_motif_support_prop", "PolyA_motif_support_prop", False),
-    ("cov", "srjunctions_support_prop", "srjunctions_support_prop", False), ("ratio", "TSS_ratio_validated_prop", "TSS_ratio_validated_prop", False),
-)
+def ref_coverage_props(sums: DataFrame, ref_cov_min_pct: float = 45.0) -> DataFrame:
+    return _select(sums, ref_coverage_columns(ref_cov_min_pct))
 
 
-def quality_props(sums: DataFrame, skip_orf: bool = False, cage: bool = True, polya: bool = True) -> DataFrame:
+#: Measure, overall column, suffix of the columns by category, and whether their names are the ORF ones.
+QUALITY = (
+    ("rts", "RTS_prop_in_cell", "RTS_prop", False),
+    ("intrapriming", "Intrapriming_prop_in_cell", "intrapriming_prop", False),
+    ("tss", "TSSAnnotationSupport_prop", "TSSAnnotationSupport", False),
+    ("nmd", "NMD_prop_in_cell", "NMD_prop", True),
+    ("cage", "CAGE_peak_support_prop", "CAGE_peak_support_prop", False),
+    ("polya", "PolyA_motif_support_prop", "PolyA_motif_support_prop", False),
+    ("cov", "srjunctions_support_prop", "srjunctions_support_prop", False),
+    ("ratio", "TSS_ratio_validated_prop", "TSS_ratio_validated_prop", False),
+)
+CANONICAL = (("noncanon", "Non_canonical_prop_in_cell", "noncanon_prop"), ("canon", "Canonical_prop_in_cell", "canon_prop"))
+
+
+def quality_columns(skip_orf: bool = False, cage: bool = True, polya: bool = True) -> dict[str, Column]:
     """Shares of each cell's rows, and of each category's, that pass each quality test."""
     out = {}
     for measure, overall, suffix, orf in QUALITY:
         off = measure == "cage" and not cage or measure == "polya" and not polya or orf and skip_orf
         out[overall] = F.lit(0.0) if off else C.safe_prop(_all(measure), _all("w"))
         if not (orf and skip_orf):
-            out |= {f"{C.coding_tag(c) if orf else C.TAGS[c]}_{suffix}": F.lit(0.0) if off else C.safe_prop(_of(c, measure), _of(c, "w")) for c in C.CATEGORIES}
-    for measure, overall, suffix in (("noncanon", "Non_canonical_prop_in_cell", "noncanon_prop"), ("canon", "Canonical_prop_in_cell", "canon_prop")):
+            tag = C.coding_tag if orf else C.TAGS.get
+            out |= {f"{tag(c)}_{suffix}": F.lit(0.0) if off else C.safe_prop(_of(c, measure), _of(c, "w")) for c in C.CATEGORIES}
+    for measure, overall, suffix in CANONICAL:
         out[overall] = C.safe_prop(_all(measure), _all("not_mono"))
         out |= {f"{C.TAGS[c]}_{suffix}": C.safe_prop(_of(c, f"multi_{measure}"), _of(c, "multi")) for c in C.CATEGORIES}
     for measure, when_skipped in (("coding", 0.0), ("non_coding", 100.0)):
         out |= {f"{C.coding_tag(c)}_{measure}_prop": F.lit(when_skipped) if skip_orf else C.safe_prop(_of(c, measure), _of(c, "w")) for c in C.CATEGORIES}
-    return _per_cell(sums, **out)
+    return out
+
+
+def quality_props(sums: DataFrame, skip_orf: bool = False, cage: bool = True, polya: bool = True) -> DataFrame:
+    return _select(sums, quality_columns(skip_orf, cage, polya))
+
+
+#: Names of the written summary.
+NAMES = {
+    "reads": {"total_reads": "Reads_in_cell", "total_UMI": "UMIs_in_cell"},
+    "isoforms": {"total_reads": "Transcripts_in_cell", "total_reads_no_monoexon": "total_transcripts_no_monoexon", "MT_reads_count": "MT_transcripts_count"},
+}
 
 
-def cell_summary(cells: DataFrame, junctions: DataFrame, mode: str = "reads", skip_orf: bool = False, cage: bool = True, polya: bool = True, ref_cov_min_pct: float = 45.0, **thresholds) -> DataFrame:
-    """One wide row for each cell; what a cell lacks is 0."""
+def cell_summary(
+    cells: DataFrame, junctions: DataFrame, mode: str = "reads", skip_orf: bool = False, cage: bool = True, polya: bool = True, ref_cov_min_pct: float = 45.0, **thresholds
+) -> DataFrame:
+    """One wide row for each cell, named as the mode says; what a cell lacks is 0."""
     sums = category_sums(cells, ref_cov_min_pct=ref_cov_min_pct, **thresholds)
-    parts = [cell_totals(cells, sums, mode), category_counts(sums), mt_share(sums), gene_metrics(cells), junction_type_counts(junctions), subcategory_props(cells), gene_bin_props(cells)]
+    of_sums = total_columns() | category_columns() | mt_columns() | subcategory_columns() | length_bin_columns() | ref_coverage_columns(ref_cov_min_pct)
+    of_sums |= quality_columns(skip_orf, cage, polya)
+    of_keys = gene_columns() | gene_bin_columns()
     if mode == "reads":
-        parts += [ujc_metrics(cells), ujc_bin_props(cells)]
-    parts += [length_bin_props(sums), ref_coverage_props(sums, ref_cov_min_pct), quality_props(sums, skip_orf, cage, polya)]
+        of_keys |= {"total_UMI": F.col("total_UMI")} | ujc_columns() | ujc_bin_columns()
+    parts = [_select(sums, of_sums), _select(key_counts(cells), of_keys), junction_type_counts(junctions)]
     out = reduce(lambda a, b: a.join(b, KEY, "left"), parts).na.fill(0)
-    return out if mode == "reads" else out.withColumn("Annotated_juction_strings_prop_in_cell", F.lit(0.0))
+    if mode != "reads":
+        out = out.withColumn("Annotated_juction_strings_prop_in_cell", F.lit(0.0))
+    return out.withColumnsRenamed(NAMES[mode])
 
 
 def long_form(summary: DataFrame) -> DataFrame:

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from isoforge.functions import columns as C
-from isoforge.operators.explode import KEY
+from isoforge.operators.explode import KEY, ROW
+
+
+def _annotated() -> Column:
+    return F.when(C.starts_novel("associated_gene"), 0).otherwise(1)
 
 
 def gene_counts_by_cell(cells: DataFrame) -> DataFrame:
+    """Rows of each gene and cell by category; without a ``jxnHash`` column isoforms count as chains."""
     own = cells.filter(F.col("associated_gene").isNotNull())
     by = {c: F.count(F.when(F.col("structural_category") == c, 1)).alias(c) for c in C.CATEGORIES}
-    out = own.groupBy("sampleID", "associated_gene", "CB").agg(*by.values(), F.count("*").alias("total_read_count"), F.countDistinct("jxnHash").alias("unique_jxnHash_counts"), F.count("structural_category").alias("__known"))
-    return out.filter("__known > 0").drop("__known").withColumn("flag_annotated_gene", F.when(C.starts_novel("associated_gene"), 0).otherwise(1))
+    chain = "jxnHash" if "jxnHash" in cells.columns else "isoform"
+    out = own.groupBy("sampleID", "associated_gene", "CB").agg(
+        *by.values(), F.count("*").alias("total_read_count"), F.countDistinct(chain).alias("unique_jxnHash_counts"), F.count("structural_category").alias("__known")
+    )
+    return out.filter("__known > 0").drop("__known").withColumn("flag_annotated_gene", _annotated())
 
 
 def majority_value(df: DataFrame, keys: list[str], column: str) -> DataFrame:
@@ -24,47 +32,55 @@ def majority_value(df: DataFrame, keys: list[str], column: str) -> DataFrame:
 
 
 def junction_counts_by_chain(cells: DataFrame, junctions: DataFrame) -> DataFrame:
-    """Junctions of each type for each chain, over all cells and reads."""
-    chain = cells.select("isoform", "jxnHash").filter("jxnHash IS NOT NULL AND jxnHash != ''").distinct()
-    typed = junctions.withColumn("type", C.junction_type()).join(chain, "isoform")
-    return typed.groupBy("jxnHash").agg(*(F.count(F.when(F.col("type") == t, 1)).alias(t) for t in C.JUNCTION_TYPES))
+    """Junctions of each type for each sample's chains, over all cells and reads."""
+    chain = cells.select(*ROW, "jxnHash").filter("jxnHash IS NOT NULL AND jxnHash != ''").distinct()
+    typed = junctions.withColumn("type", C.junction_type()).join(chain, ROW)
+    return typed.groupBy("sampleID", "jxnHash").agg(*(F.count(F.when(F.col("type") == t, 1)).alias(t) for t in C.JUNCTION_TYPES))
 
 
 def ujc_counts_by_cell(cells: DataFrame, junctions: DataFrame) -> DataFrame:
-    keys = ["sampleID", "jxnHash", "CB"]
-    multi = cells.filter("exons > 1 AND jxnHash IS NOT NULL")
-    counts = multi.groupBy(*keys).agg(F.count("*").alias("read_count"))
-    for column in ("associated_gene", "structural_category"):
-        counts = counts.join(majority_value(multi, keys, column), keys, "left")
-    counts = counts.join(junction_counts_by_chain(cells, junctions), "jxnHash", "left").na.fill(0, list(C.JUNCTION_TYPES))
-    mono = cells.filter("exons <= 1 AND jxnHash IS NOT NULL AND associated_gene IS NOT NULL AND structural_category IS NOT NULL")
-    mono = mono.groupBy(*keys, "associated_gene", "structural_category").agg(F.count("*").alias("read_count"))
-    mono = mono.withColumns({t: F.lit(0).cast("long") for t in C.JUNCTION_TYPES})
-    both = counts.unionByName(mono)
-    most = F.max("read_count").over(W.partitionBy("sampleID", "associated_gene", "CB"))
-    flag = F.when(F.col("associated_gene").isNotNull(), (F.col("read_count") == most).cast("int"))
-    return both.withColumn("flag_MEI", flag).withColumn("flag_annotated_gene", F.when(C.starts_novel("associated_gene"), 0).otherwise(1))
-
-
-def _variation(junctions: DataFrame, side: str, site: str, donor: str) -> DataFrame:
-    own = junctions.withColumn("coord", (F.col(f"genomic_{side}_coord") + F.col(f"diff_to_Ref_{side}_site")).cast("long")).withColumn("d", F.abs(f"diff_to_Ref_{side}_site").cast("double"))
-    out = own.groupBy("sampleID", "chrom", "strand", "coord", "CB").agg(
-        F.avg("d").alias("mean_abs_diff"), F.stddev_samp("d").alias("std_abs_diff"), F.stddev_pop("d").alias("__pop"), F.count("*").alias("count"),
-        F.array_sort(F.collect_set("associated_gene")).alias("genes"),
-    )
-    mean, genes = F.col("mean_abs_diff"), F.col("genes")
-    return out.select(
-        "sampleID", "chrom", "strand", "coord", "mean_abs_diff", "std_abs_diff", F.when(mean != 0, F.col("__pop") / mean).alias("cv"), "count",
-        F.array_join(genes, "|").alias("associated_gene"), F.size(genes).alias("gene_count"), (F.size(genes) > 1).cast("int").alias("flag_multi_gene"),
-        ((F.size(genes) > 0) & F.forall(genes, lambda g: ~g.startswith("novel"))).cast("int").alias("flag_annotated_gene"),
-        (F.col("strand") == donor).cast("int").alias("flag_donor"), (F.col("strand") == ("-" if donor == "+" else "+")).cast("int").alias("flag_acceptor"),
-        (mean == 0).cast("int").alias("flag_mean_0"), F.coalesce((F.col("std_abs_diff") == 0).cast("int"), F.lit(0)).alias("flag_std_0"), (mean == 0).cast("int").alias("flag_ref_match"),
-        ((mean != 0) & (F.col("__pop") == 0)).cast("int").alias("flag_cv_0"), ((mean != 0) & (F.col("__pop") > 0)).cast("int").alias("flag_cv_gt_0"), "CB",
-    )
+    """Chains of each cell: multi-exon ones with the gene and category of most rows, mono-exon ones by gene and category.
+
+    One aggregate by chain, cell, gene and category serves both; the majorities are taken of its rows.
+    """
+    keys, values = ["sampleID", "jxnHash", "CB"], ["associated_gene", "structural_category"]
+    own = cells.filter("jxnHash IS NOT NULL AND exons IS NOT NULL").groupBy(*keys, *values, C.multi_exon().alias("multi")).agg(F.count("*").alias("read_count"))
+    own = own.repartition(*keys)
+    multi = own.filter("multi")
+    most = {v: F.sum("read_count").over(W.partitionBy(*keys, v)) for v in values}
+    multi = multi.withColumns({f"__{v}": n for v, n in most.items()})
+    majority = [F.min_by(v, F.when(F.col(v).isNotNull(), F.struct(-F.col(f"__{v}"), F.col(v)))).alias(v) for v in values]
+    multi = multi.groupBy(*keys).agg(F.sum("read_count").alias("read_count"), *majority)
+    counts = multi.join(junction_counts_by_chain(cells, junctions), ["sampleID", "jxnHash"], "left").na.fill(0, list(C.JUNCTION_TYPES))
+    mono = own.filter("NOT multi AND associated_gene IS NOT NULL AND structural_category IS NOT NULL").drop("multi")
+    both = counts.unionByName(mono.withColumns({t: F.lit(0).cast("long") for t in C.JUNCTION_TYPES}))
+    top = F.max("read_count").over(W.partitionBy("sampleID", "associated_gene", "CB"))
+    flag = F.when(F.col("associated_gene").isNotNull(), (F.col("read_count") == top).cast("int"))
+    return both.withColumn("flag_MEI", flag).withColumn("flag_annotated_gene", _annotated())
+
+
+def _end(side: str, donor: str) -> Column:
+    difference = F.col(f"diff_to_Ref_{side}_site")
+    return F.struct(F.lit(donor).alias("donor"), (F.col(f"genomic_{side}_coord") + difference).cast("long").alias("coord"), F.abs(difference).cast("double").alias("d"))
 
 
 def junction_cv_by_cell(cells: DataFrame, junctions: DataFrame) -> DataFrame:
-    """Variation of both junction ends around each reference site in each cell."""
-    own = junctions.drop("CB", "sampleID").join(cells.select("isoform", "associated_gene", *KEY), "isoform")
+    """Variation of both junction ends around each reference site in each cell: one join, each row for both its ends."""
+    own = junctions.drop("CB").join(cells.select(*ROW, "associated_gene", "CB"), ROW)
     own = own.filter("diff_to_Ref_start_site IS NOT NULL AND diff_to_Ref_end_site IS NOT NULL")
-    return _variation(own, "start", "start", "+").unionByName(_variation(own, "end", "end", "-"))
+    ends = own.select(*KEY, "chrom", "strand", "associated_gene", F.inline(F.array(_end("start", "+"), _end("end", "-"))))
+    out = ends.groupBy("sampleID", "chrom", "strand", "coord", "CB", "donor").agg(
+        F.avg("d").alias("mean_abs_diff"), F.stddev_samp("d").alias("std_abs_diff"), F.stddev_pop("d").alias("__pop"),
+        F.count("*").alias("count"), F.array_sort(F.collect_set("associated_gene")).alias("genes"),
+    )
+    mean, genes, pop = F.col("mean_abs_diff"), F.col("genes"), F.col("__pop")
+    known = (F.size(genes) > 0) & F.forall(genes, lambda g: ~g.startswith("novel"))
+    return out.select(
+        "sampleID", "chrom", "strand", "coord", "mean_abs_diff", "std_abs_diff", F.when(mean != 0, pop / mean).alias("cv"), "count",
+        F.array_join(genes, "|").alias("associated_gene"), F.size(genes).alias("gene_count"),
+        (F.size(genes) > 1).cast("int").alias("flag_multi_gene"), known.cast("int").alias("flag_annotated_gene"),
+        (F.col("strand") == F.col("donor")).cast("int").alias("flag_donor"), (F.col("strand") != F.col("donor")).cast("int").alias("flag_acceptor"),
+        (mean == 0).cast("int").alias("flag_mean_0"), F.coalesce((F.col("std_abs_diff") == 0).cast("int"), F.lit(0)).alias("flag_std_0"),
+        (mean == 0).cast("int").alias("flag_ref_match"), ((mean != 0) & (pop == 0)).cast("int").alias("flag_cv_0"),
+        ((mean != 0) & (pop > 0)).cast("int").alias("flag_cv_gt_0"), "CB",
+    )

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA
+from pyspark.ml.feature import PCA, BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-KEYS = ("CB", "associated_gene")
+#: A cell is a barcode of one sample; cells of all samples meet in one space.
+CELL = ["sampleID", "CB"]
+KEYS = (*CELL, "associated_gene")
+#: Cells up to which neighbours are searched exactly.
+EXACT_CELLS = 50_000
 
 
 def _of_cell(m: DataFrame):
-    return F.sum("count").over(W.partitionBy("CB"))
+    return F.sum("count").over(W.partitionBy(*CELL))
 
 
 def normalize_log1p(m: DataFrame, target: float = 1e4) -> DataFrame:
@@ -25,27 +29,30 @@ def normalize_sqrt(m: DataFrame) -> DataFrame:
 
 
 def dense(m: DataFrame, genes: DataFrame, value: str = "x") -> DataFrame:
-    """Zeros for the chosen genes that a cell lacks: cells times chosen genes rows, so choose genes first."""
-    names = [r[0] for r in genes.select("associated_gene").collect()]
-    grid = m.select("CB").distinct().withColumn("associated_gene", F.explode(F.array(*map(F.lit, names))))
+    """Zeros for the chosen genes that a cell lacks: cells times chosen genes rows, so choose genes first.
+
+    The genes, a list that its choice bounds, are one row of an array that is broadcast.
+    """
+    names = genes.agg(F.array_sort(F.collect_set("associated_gene")).alias("names"))
+    grid = m.select(*CELL).distinct().join(F.broadcast(names)).select(*CELL, F.explode("names").alias("associated_gene"))
     return grid.join(m, list(KEYS), "left").na.fill(0.0, [value])
 
 
 def normalize_pearson(m: DataFrame, genes: DataFrame, theta: float = 100.0) -> DataFrame:
     """Residuals over the chosen genes, zeros too, cut at the square root of the number of cells."""
     full = dense(m.select(*KEYS, F.col("count").cast("double").alias("count")), genes, "count")
-    cells = full.groupBy("CB").agg(F.sum("count").alias("r"))
+    cells = full.groupBy(*CELL).agg(F.sum("count").alias("r"))
     columns = full.groupBy("associated_gene").agg(F.sum("count").alias("c"))
     total, n = cells.agg(F.sum("r"), F.count("*")).first()
     mu = F.col("r") * F.col("c") / total
     z = (F.col("count") - mu) / F.sqrt(mu + mu * mu / theta)
-    own = full.join(cells, "CB").join(columns, "associated_gene")
+    own = full.join(cells, CELL).join(columns, "associated_gene")
     return own.select(*KEYS, F.coalesce(F.greatest(F.least(z, F.lit(n**0.5)), F.lit(-(n**0.5))), F.lit(0.0)).alias("x"))
 
 
 def highly_variable_genes(x: DataFrame, n_top: int = 2000, bins: int = 20) -> DataFrame:
     """associated_gene, score: dispersion against that of genes with a like mean; zeros count."""
-    n = x.select("CB").distinct().count()
+    n = x.select(*CELL).distinct().count()
     s = x.groupBy("associated_gene").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"))
     mean = F.col("s") / n
     stats = s.select("associated_gene", mean.alias("mean"), F.try_divide((F.col("q") / n - mean * mean) * n / max(n - 1, 1), mean).alias("d"))
@@ -58,49 +65,83 @@ def highly_variable_genes(x: DataFrame, n_top: int = 2000, bins: int = 20) -> Da
 
 
 def scale_clip(full: DataFrame, most: float = 10.0) -> DataFrame:
-    gene = W.partitionBy("associated_gene")
-    z = F.try_divide(F.col("x") - F.avg("x").over(gene), F.stddev_samp("x").over(gene))
-    return full.select(*KEYS, F.least(F.coalesce(z, F.lit(0.0)), F.lit(most)).alias("x"))
+    """Standardised by gene and cut at ``most``; each gene's mean and deviation are aggregated and joined."""
+    stats = full.groupBy("associated_gene").agg(F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"))
+    z = F.try_divide(F.col("x") - F.col("mean"), F.col("sd"))
+    return full.join(stats, "associated_gene").select(*KEYS, F.least(F.coalesce(z, F.lit(0.0)), F.lit(most)).alias("x"))
 
 
 def pca_cells(full: DataFrame, n_pc: int = 30) -> DataFrame:
-    """CB, pcs: principal components of dense rows."""
+    """sampleID, CB, pcs: principal components of dense rows, at most as many as genes."""
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("associated_gene", "x"))), lambda s: s["x"])
-    vectors = full.groupBy("CB").agg(array_to_vector(ordered).alias("v"))
-    model = PCA(k=n_pc, inputCol="v", outputCol="p").fit(vectors)
-    return model.transform(vectors).select("CB", vector_to_array("p").alias("pcs"))
-
-
-def knn_cells(pcs: DataFrame, k: int = 15, block: int = 1000) -> DataFrame:
-    """CB, neighbour, rank, distance: exact, all cells in blocks."""
-    blocks = max(1, -(-pcs.count() // block))
-    dealt = pcs.withColumn("b", F.pmod(F.xxhash64("CB"), F.lit(blocks)))
-    left = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("CB", "pcs", F.col("o").cast("long").alias("o"))
-    right = dealt.select(F.col("CB").alias("neighbour"), F.col("pcs").alias("other"), F.col("b").alias("o"))
-    distance = F.sqrt(F.aggregate(F.zip_with("pcs", "other", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x))
-    pairs = left.join(right, "o").filter("CB != neighbour").select("CB", "neighbour", distance.alias("distance"))
-    rank = F.row_number().over(W.partitionBy("CB").orderBy("distance", "neighbour"))
+    vectors = full.groupBy(*CELL).agg(ordered.alias("a"))
+    width = vectors.select(F.size("a")).first()
+    vectors = vectors.select(*CELL, array_to_vector("a").alias("v"))
+    model = PCA(k=min(n_pc, width[0]), inputCol="v", outputCol="p").fit(vectors)
+    return model.transform(vectors).select(*CELL, vector_to_array("p").alias("pcs"))
+
+
+def _distance(a: str, b: str) -> Column:
+    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x))
+
+
+def _ranked(pairs: DataFrame, k: int) -> DataFrame:
+    rank = F.row_number().over(W.partitionBy(*CELL).orderBy("distance", "neighbour"))
     return pairs.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
+def knn_cells(pcs: DataFrame, k: int = 15, block: int = 1000, radius: float | None = None) -> DataFrame:
+    """sampleID, CB, neighbour (a struct of both), rank, distance.
+
+    Exact up to EXACT_CELLS cells: all cells in blocks. Beyond, random projections put near cells
+    into the same buckets, and those within ``radius`` are neighbours: approximate, and it must be given.
+    """
+    n = pcs.count()
+    own = pcs.select(*CELL, F.struct(*CELL).alias("neighbour"), F.col("pcs").alias("other"))
+    if n > EXACT_CELLS:
+        if radius is None:
+            raise ValueError(f"beyond {EXACT_CELLS} cells a radius must be given")
+        vectors = own.select("neighbour", array_to_vector("other").alias("v"))
+        model = BucketedRandomProjectionLSH(inputCol="v", outputCol="hashes", bucketLength=2 * radius, numHashTables=4, seed=0).fit(vectors)
+        near = model.approxSimilarityJoin(vectors, vectors, radius, "distance").select(F.col("datasetA.neighbour").alias("cell"), F.col("datasetB.neighbour").alias("neighbour"), "distance")
+        return _ranked(near.filter("cell != neighbour").select("cell.*", "neighbour", "distance"), k)
+    blocks = max(1, -(-n // block))
+    at = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    left = pcs.select(*CELL, "pcs", at.alias("o"))
+    right = own.select("neighbour", "other", F.pmod(F.xxhash64(*CELL), F.lit(blocks)).alias("o"))
+    pairs = left.join(right, "o").filter(F.struct(*CELL) != F.col("neighbour")).select(*CELL, "neighbour", _distance("pcs", "other").alias("distance"))
+    return _ranked(pairs, k)
+
+
 def cluster_kmeans(pcs: DataFrame, k: int = 10, seed: int = 0) -> DataFrame:
-    vectors = pcs.select("CB", "pcs", array_to_vector("pcs").alias("features"))
-    return KMeans(k=k, seed=seed).fit(vectors).transform(vectors).select("CB", F.col("prediction").alias("cluster"), "pcs")
+    vectors = pcs.select(*CELL, "pcs", array_to_vector("pcs").alias("features"))
+    return KMeans(k=k, seed=seed).fit(vectors).transform(vectors).select(*CELL, F.col("prediction").alias("cluster"), "pcs")
 
 
 def cluster_graph(neighbours: DataFrame, rounds: int = 10) -> DataFrame:
-    """CB, cluster: label propagation over the neighbour graph; the most frequent label, then the smallest."""
-    edges = neighbours.select("CB", "neighbour").unionByName(neighbours.select(F.col("neighbour").alias("CB"), F.col("CB").alias("neighbour"))).distinct().checkpoint()
-    labels = edges.select("CB").distinct().withColumn("cluster", F.col("CB"))
+    """sampleID, CB, cluster: label propagation over the neighbour graph; the most frequent label, then the smallest.
+
+    Each round is checkpointed, in the folder that the session's checkpoint directory names.
+    """
+    context = neighbours.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        folder = neighbours.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(folder)
+    one = neighbours.select(F.struct(*CELL).alias("cell"), "neighbour")
+    edges = one.unionByName(one.select(F.col("neighbour").alias("cell"), F.col("cell").alias("neighbour"))).distinct().checkpoint()
+    labels = edges.select("cell").distinct().withColumn("cluster", F.concat_ws(":", "cell.sampleID", "cell.CB"))
     for _ in range(rounds):
-        votes = edges.join(labels.withColumnRenamed("CB", "neighbour"), "neighbour").groupBy("CB", "cluster").agg(F.count("*").alias("n"))
-        new = votes.groupBy("CB").agg(F.min_by("cluster", F.struct(-F.col("n"), F.col("cluster"))).alias("cluster")).checkpoint()
-        same = new.join(labels.withColumnRenamed("cluster", "old"), "CB").filter("cluster != old").isEmpty()
+        votes = edges.join(labels.withColumnRenamed("cell", "neighbour"), "neighbour").groupBy("cell", "cluster").agg(F.count("*").alias("n"))
+        new = votes.groupBy("cell").agg(F.min_by("cluster", F.struct(-F.col("n"), F.col("cluster"))).alias("cluster")).checkpoint()
+        same = new.join(labels.withColumnRenamed("cluster", "old"), "cell").filter("cluster != old").isEmpty()
         labels = new
         if same:
             break
-    return labels
+    return labels.select("cell.*", "cluster")
 
 
 def cluster_table(clusters: DataFrame) -> DataFrame:
-    return clusters.select(F.col("CB").alias("Barcode"), F.col("cluster").alias("Cluster"), F.col("pcs")[0].alias("PC1"), F.col("pcs")[1].alias("PC2"))
+    pcs = (F.col("pcs")[i].alias(f"PC{i + 1}") for i in (0, 1))
+    return clusters.select("sampleID", F.col("CB").alias("Barcode"), F.col("cluster").alias("Cluster"), *pcs)

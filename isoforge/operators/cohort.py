@@ -19,7 +19,8 @@ def cohort_union(summaries: list[DataFrame]) -> DataFrame:
 
 
 def cohort_stats(summary: DataFrame) -> DataFrame:
-    names = ("total_reads", "total_UMI", "Genes_in_cell", "UJCs_in_cell")
+    """Cells of each sample, and means and medians of their counts, of those that the mode's summary has."""
+    names = [n for n in ("Reads_in_cell", "Transcripts_in_cell", "UMIs_in_cell", "Genes_in_cell", "UJCs_in_cell") if n in summary.columns]
     both = [x for n in names for x in (F.avg(n).alias(f"mean_{n}"), F.percentile(n, F.lit(0.5)).alias(f"median_{n}"))]
     return summary.groupBy("sampleID").agg(F.countDistinct("CB").alias("cells"), *both, F.avg("MT_perc").alias("mean_MT_perc"))
 
@@ -52,7 +53,7 @@ def scale_to_percent(long: DataFrame) -> DataFrame:
 
 
 def cohort_pca(medians: DataFrame, k: int = 2) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Scores by sample, loadings by metric and component, and shares of variance with their running sum.
+    """Scores by sample, loadings by metric and component, and shares of variance with their running sum (``running_shares``).
 
     Medians are standardised. A component's sign makes its largest loading positive. The
     table has a row for each sample, so only samples x metrics meet on the driver.
@@ -69,8 +70,12 @@ def cohort_pca(medians: DataFrame, k: int = 2) -> tuple[DataFrame, DataFrame, Da
     spark = medians.sparkSession
     loadings = spark.createDataFrame([(n, f"PC{j + 1}", float(matrix[i, j] * signs[j])) for i, n in enumerate(names) for j in range(len(signs))], "metric string, pc string, loading double")
     shares = spark.createDataFrame([(j + 1, float(v)) for j, v in enumerate(model.explainedVariance.toArray())], "pc int, share double")
-    shares = shares.withColumn("running", F.sum("share").over(W.orderBy("pc").rowsBetween(W.unboundedPreceding, 0)))
-    return scores, loadings, shares
+    return scores, loadings, running_shares(shares)
+
+
+def running_shares(shares: DataFrame) -> DataFrame:
+    """``running``: the sum of ``share`` up to each component; a row for each of a few components."""
+    return shares.withColumn("running", F.sum("share").over(W.orderBy("pc").rowsBetween(W.unboundedPreceding, 0)))
 
 
 def top_loadings(loadings: DataFrame, n: int = 10) -> DataFrame:
@@ -85,5 +90,6 @@ def first_components(top: DataFrame) -> DataFrame:
 
 
 def feature_distribution(long: DataFrame, top: DataFrame) -> DataFrame:
+    """Statistics over each sample's cells of the metrics in ``top``, as percent where they are shares."""
     own = scale_to_percent(long.join(F.broadcast(top.select("metric").distinct()), "metric", "left_semi"))
     return own.groupBy("sampleID", "metric").agg(F.avg("value").alias("mean"), F.percentile("value", F.lit(0.5)).alias("median"), F.countDistinct("value").alias("different"))

@@ -1,4 +1,4 @@
-"""Cells, molecules and junction chains for classification and junction rows."""
+"""Cells, molecules and junction chains for classification and junction rows, sample by sample."""
 
 from __future__ import annotations
 
@@ -7,47 +7,61 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from isoforge.functions import columns as C
+from isoforge.operators.explode import ROW
 
 
 def annotate_cells_reads(cls: DataFrame, assoc: DataFrame) -> DataFrame:
-    """CB and UMI by read; a ``_dupN`` row takes its primary's when the primary is in the table."""
-    cells = assoc.select(F.col("isoform").alias("__id"), F.col("CB").alias("__cb"), F.col("UMI").alias("__umi"))
-    own = cls.drop("CB", "UMI").withColumn("__primary", C.dup_primary())
-    there = cls.select(F.col("isoform").alias("__primary"), F.lit(True).alias("__there")).distinct()
-    own = own.join(there, "__primary", "left").withColumn("__look", F.when(F.col("__there"), F.col("__primary")).otherwise(F.col("isoform")))
-    return own.join(cells, F.col("__look") == F.col("__id"), "left").withColumnsRenamed({"__cb": "CB", "__umi": "UMI"}).drop("__id", "__look", "__primary", "__there")
+    """CB and UMI by read; a ``_dupN`` row takes its primary's when the primary is in the association.
+
+    ``assoc`` has a row for each sampleID and isoform at most.
+    """
+    own = assoc.select(*ROW, F.struct("CB", "UMI").alias("__own"))
+    primary = assoc.select("sampleID", F.col("isoform").alias("__look"), F.struct("CB", "UMI").alias("__primary"))
+    out = cls.drop("CB", "UMI").withColumn("__look", F.coalesce(C.dup_primary(), F.col("isoform")))
+    out = out.join(primary, ["sampleID", "__look"], "left").join(own, ROW, "left")
+    taken = F.coalesce("__primary", "__own")
+    return out.withColumns({"CB": taken["CB"], "UMI": taken["UMI"]}).drop("__look", "__primary", "__own")
 
 
 def annotate_cells_isoforms(cls: DataFrame, assoc: DataFrame | None = None, abundance: DataFrame | None = None) -> DataFrame:
     """A row for each isoform and cell; counts of ``abundance`` win over a list of ``assoc`` (weight 1 each)."""
     if abundance is not None:
-        counts = abundance.select("isoform", "CB", F.col("count").cast("double").alias("_count"))
+        counts = abundance.select(*ROW, "CB", F.col("count").cast("double").alias("_count"))
     else:
-        counts = assoc.select("isoform", F.explode(F.split("CB", ",")).alias("CB"), F.lit(1.0).alias("_count"))
-    return cls.drop("CB", "FL", "_count").join(counts, "isoform", "left")
+        counts = assoc.select(*ROW, F.explode(F.split("CB", ",")).alias("CB"), F.lit(1.0).alias("_count"))
+    return cls.drop("CB", "FL", "_count").join(counts, ROW, "left")
 
 
 def annotate_junction_cells(junctions: DataFrame, assoc: DataFrame) -> DataFrame:
-    return junctions.drop("CB").join(assoc.select("isoform", "CB"), "isoform", "left")
+    """CB by read or isoform; ``_dupN`` rows have no rule of their own here."""
+    return junctions.drop("CB").join(assoc.select(*ROW, "CB"), ROW, "left")
 
 
 def junction_cells_fallback(junctions: DataFrame, cls: DataFrame) -> DataFrame:
     """Cells of junctions from their isoforms' classification rows."""
-    return junctions.drop("CB", "sampleID").join(cls.select("isoform", "CB", "sampleID").distinct(), "isoform", "left")
+    return junctions.drop("CB").join(cls.select(*ROW, "CB").distinct(), ROW, "left")
+
+
+def junction_weights(junctions: DataFrame, cls: DataFrame, column: str = "_weight") -> DataFrame:
+    """Each junction's weight: its isoform's sum of ``FL``, 1 if that is unknown or the isoform is."""
+    weights = cls.groupBy(*ROW).agg(F.max(C.isoform_weight("FL")).alias(column))
+    return junctions.join(weights, ROW, "left").withColumn(column, F.coalesce(column, F.lit(1.0)))
 
 
 def attach_ujc(cls: DataFrame, ujc: DataFrame) -> DataFrame:
     """Junction chain and hash by isoform; mono-exon rows get a chain of their transcript."""
-    own = cls.drop("jxn_string", "jxnHash").join(ujc.select("isoform", "jxn_string"), "isoform", "left")
+    own = cls.drop("jxn_string", "jxnHash").join(ujc.select(*ROW, "jxn_string"), ROW, "left")
     mono = F.concat_ws("_", C.format_chr("chrom"), "strand", F.lit("monoexon"), F.coalesce("associated_transcript", F.lit("NA")))
     own = own.withColumn("jxn_string", F.when(F.col("exons") == 1, mono).otherwise(F.col("jxn_string")))
     return own.withColumn("jxnHash", C.ujc_hash("jxn_string"))
 
 
 def ujc_from_gtf(exons: DataFrame) -> DataFrame:
-    """isoform, jxn_string: introns between consecutive exons, in order, of transcripts with several."""
-    following = F.lead("start").over(W.partitionBy("transcript_id").orderBy("start", "end"))
+    """sampleID, isoform, jxn_string: introns between consecutive exons, in order, of transcripts with several."""
+    keys = ["sampleID", "transcript_id", "chrom", "strand"]
+    following = F.lead("start").over(W.partitionBy(*keys).orderBy("start", "end"))
     introns = exons.withColumn("next", following).filter("next IS NOT NULL")
-    ordered = introns.groupBy("transcript_id", "chrom", "strand").agg(F.array_sort(F.collect_list(F.struct((F.col("end") + 1).alias("a"), (F.col("next") - 1).alias("b")))).alias("i"))
+    pairs = F.array_sort(F.collect_list(F.struct((F.col("end") + 1).alias("a"), (F.col("next") - 1).alias("b"))))
     chain = F.array_join(F.transform("i", lambda x: F.concat_ws("_", x["a"].cast("string"), x["b"].cast("string"))), "_")
-    return ordered.select(F.col("transcript_id").alias("isoform"), F.concat_ws("_", C.format_chr("chrom"), "strand", chain).alias("jxn_string"))
+    ordered = introns.groupBy(*keys).agg(pairs.alias("i"))
+    return ordered.select("sampleID", F.col("transcript_id").alias("isoform"), F.concat_ws("_", C.format_chr("chrom"), "strand", chain).alias("jxn_string"))

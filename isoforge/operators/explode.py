@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from isoforge.functions.columns import valid_cell
 
+#: A cell; a read or isoform.
 KEY = ["sampleID", "CB"]
+ROW = ["sampleID", "isoform"]
 
 
 def _lists(cls: DataFrame) -> DataFrame:
@@ -35,3 +37,8 @@ def explode_cells(cls: DataFrame, mode: str = "reads") -> DataFrame:
 def unequal_lists(cls: DataFrame) -> DataFrame:
     """Isoform rows that ``explode_cells`` can't pair."""
     return _lists(cls).filter(F.size("__cells") != F.size("__weights")).drop("__cells", "__weights")
+
+
+def explode_junction_cells(junctions: DataFrame) -> DataFrame:
+    """Junction rows with one barcode each; lists of barcodes (isoforms mode) give a row for each."""
+    return junctions.withColumn("CB", F.explode_outer(F.split("CB", ","))).withColumn("CB", F.trim("CB"))

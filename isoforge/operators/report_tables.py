@@ -7,8 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from isoforge.functions import columns as C
-from isoforge.operators.cell_summary import chains, gene_counts
-from isoforge.operators.explode import KEY
+from isoforge.operators.cell_summary import chains
+from isoforge.operators.explode import KEY, ROW
 
 
 def share_within(df: DataFrame, keys: list[str], value: str = "n") -> DataFrame:
@@ -22,9 +22,10 @@ def complete(df: DataFrame, keys: list[str], column: str, levels, fill: dict) ->
     return grid.join(df, [*keys, column], "left").na.fill(fill)
 
 
-def bulk_totals(cells: DataFrame) -> DataFrame:
-    chain = F.when(C.multi_exon(), F.col("jxn_string"))
-    return cells.agg(F.sum("_count").alias("rows"), F.countDistinct("associated_gene").alias("genes"), F.countDistinct(chain).alias("ujcs"))
+def bulk_totals(cells: DataFrame, mode: str = "reads") -> DataFrame:
+    """Weighted rows, distinct genes, and distinct chains (0 in isoforms mode)."""
+    chain = F.countDistinct(F.when(C.multi_exon(), F.col("jxn_string"))) if mode == "reads" else F.lit(0).cast("long")
+    return cells.agg(F.sum("_count").alias("rows"), F.countDistinct("associated_gene").alias("genes"), chain.alias("ujcs"))
 
 
 def bulk_gene_classes(cells: DataFrame) -> DataFrame:
@@ -34,11 +35,25 @@ def bulk_gene_classes(cells: DataFrame) -> DataFrame:
 
 
 def bulk_category_table(cells: DataFrame) -> DataFrame:
-    return share_within(cells.groupBy("structural_category").agg(F.sum("_count").alias("n")).filter("n > 0"), []).withColumn("percent", F.round("percent", 1))
+    """Weighted rows of each category that has any, and their percent of all rows with a known category."""
+    own = cells.filter(F.col("structural_category").isin(*C.CATEGORIES)).groupBy("structural_category").agg(F.sum("_count").alias("n"))
+    return share_within(own.filter("n > 0"), []).withColumn("percent", F.round("percent", 1))
 
 
-def bulk_junction_table(junctions: DataFrame) -> DataFrame:
-    own = junctions.groupBy(C.junction_type().alias("junction_type")).agg(F.count("*").alias("n")).filter(F.col("junction_type").isin(*C.JUNCTION_TYPES))
+def bulk_category_levels(cells: DataFrame) -> DataFrame:
+    """The nine categories with their weighted rows, 0 where there are none."""
+    levels = cells.sparkSession.createDataFrame([(c,) for c in C.CATEGORIES], "structural_category string")
+    return levels.join(bulk_category_table(cells).select("structural_category", "n"), "structural_category", "left").na.fill(0.0, ["n"])
+
+
+def _junctions(weight: str | None) -> Column:
+    """Number of junctions, or the sum of their weights."""
+    return F.count("*") if weight is None else F.sum(F.col(weight).cast("double"))
+
+
+def bulk_junction_table(junctions: DataFrame, weight: str | None = None) -> DataFrame:
+    """Junctions by type, or their weights (isoforms mode), and percents."""
+    own = junctions.groupBy(C.junction_type().alias("junction_type")).agg(_junctions(weight).alias("n")).filter(F.col("junction_type").isin(*C.JUNCTION_TYPES))
     return share_within(own, []).withColumn("percent", F.round("percent", 2))
 
 
@@ -55,12 +70,19 @@ def distribution_stats(long: DataFrame, keys: list[str], value: str = "value") -
     return own.select(*keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "mean", "n")
 
 
-def junction_type_percents(junctions: DataFrame) -> DataFrame:
-    own = junctions.filter(C.valid_cell()).groupBy(*KEY, C.junction_type().alias("metric")).agg(F.count("*").alias("n"))
+def junction_type_percents(junctions: DataFrame, weight: str | None = None) -> DataFrame:
+    """Percent of each junction type in each cell, by junctions or by their weights."""
+    own = junctions.filter(C.valid_cell()).groupBy(*KEY, C.junction_type().alias("metric")).agg(_junctions(weight).alias("n"))
     full = complete(own, KEY, "metric", C.JUNCTION_TYPES, {"n": 0})
     return share_within(full, KEY).withColumnRenamed("percent", "value")
 
 
+def gene_annotation_percent(summary: DataFrame) -> DataFrame:
+    """Percent of each cell's genes that are annotated, and that are novel."""
+    both = {f"{k}_genes_perc": C.safe_prop(F.col(f"{k}_genes"), F.col("Genes_in_cell")) for k in ("Annotated", "Novel")}
+    return summary.select(*KEY, *(c.alias(n) for n, c in both.items()))
+
+
 def reads_by_gene_annotation(cells: DataFrame) -> DataFrame:
     novel = F.col("associated_gene").isNotNull() & C.starts_novel("associated_gene")
     known = F.col("associated_gene").isNotNull() & ~C.starts_novel("associated_gene")
@@ -69,11 +91,24 @@ def reads_by_gene_annotation(cells: DataFrame) -> DataFrame:
     return cells.groupBy(*KEY).agg(C.safe_prop(part(known), total).alias("annotated_percent"), C.safe_prop(part(novel), total).alias("novel_percent"))
 
 
-def gene_bins_report(cells: DataFrame) -> DataFrame:
+def _gene_bins(cells: DataFrame) -> DataFrame:
+    """kind and bin of each cell's genes, by rows."""
     kind = F.when(C.starts_novel("associated_gene"), "novel").otherwise("annotated")
-    own = gene_counts(cells).groupBy(*KEY, kind.alias("kind"), C.report_gene_bin(F.col("n")).alias("bin")).agg(F.count("*").alias("n"))
-    names = [b[0] for b in C.REPORT_GENE_BINS]
-    return share_within(complete(own.filter("bin IS NOT NULL"), [*KEY, "kind"], "bin", names, {"n": 0}), [*KEY, "kind"])
+    own = cells.filter(F.col("associated_gene").isNotNull()).groupBy(*KEY, "associated_gene").agg(F.count("*").alias("rows"))
+    return own.select(*KEY, kind.alias("kind"), C.report_gene_bin(F.col("rows")).alias("bin")).filter("bin IS NOT NULL")
+
+
+def gene_bins_report(cells: DataFrame) -> DataFrame:
+    """Share of each cell's annotated, and of its novel, genes in each bin of rows."""
+    own = _gene_bins(cells).groupBy(*KEY, "kind", "bin").agg(F.count("*").alias("n"))
+    return share_within(complete(own, [*KEY, "kind"], "bin", [b[0] for b in C.REPORT_GENE_BINS], {"n": 0}), [*KEY, "kind"])
+
+
+def gene_bins_combined(cells: DataFrame, mode: str = "reads") -> DataFrame:
+    """Share of each cell's genes in each bin of rows: of annotated ones in reads mode, of all in isoforms mode."""
+    own = _gene_bins(cells)
+    own = (own.filter("kind = 'annotated'") if mode == "reads" else own).groupBy(*KEY, "bin").agg(F.count("*").alias("n"))
+    return share_within(complete(own, KEY, "bin", [b[0] for b in C.REPORT_GENE_BINS], {"n": 0}), KEY)
 
 
 def ujc_bins_report(cells: DataFrame) -> DataFrame:
@@ -98,25 +133,39 @@ def exon_bin_percent(cells: DataFrame) -> DataFrame:
 def exon_profile(cells: DataFrame, most: int = 20, least_rows: int = 5) -> DataFrame:
     """Share of each exon count (capped) over cells with enough rows of the category, or all cells if none has."""
     keys = [*KEY, "structural_category"]
-    own = cells.filter("exons IS NOT NULL").groupBy(*keys, F.least(F.col("exons"), F.lit(float(most))).cast("int").alias("exons")).agg(F.count("*").alias("n"))
-    by_cell = W.partitionBy(*keys)
-    own = own.withColumn("rows", F.sum("n").over(by_cell)).withColumn("any", F.max("rows").over(W.partitionBy("structural_category")) >= least_rows)
-    own = own.filter(~F.col("any") | (F.col("rows") >= least_rows)).drop("rows", "any")
+    capped = F.least(F.col("exons"), F.lit(float(most))).cast("int")
+    own = cells.filter("exons IS NOT NULL").groupBy(*keys, capped.alias("exons")).agg(F.count("*").alias("n"))
+    own = own.withColumn("rows", F.sum("n").over(W.partitionBy(*keys)))
+    enough = own.groupBy("structural_category").agg((F.max("rows") >= least_rows).alias("any"))  # a row for each category
+    own = own.join(F.broadcast(enough), "structural_category").filter(~F.col("any") | (F.col("rows") >= least_rows)).drop("rows", "any")
     full = share_within(complete(own, keys, "exons", range(1, most + 1), {"n": 0}), keys)
     return distribution_stats(full, ["structural_category", "exons"], "percent")
 
 
-def junction_type_by_category(cells: DataFrame, junctions: DataFrame, weight: Column | None = None) -> DataFrame:
-    """Percent of each junction type in each cell and category, by rows or by ``weight``."""
-    typed = junctions.drop("CB", "sampleID").join(cells.select("isoform", *KEY, "structural_category"), "isoform").withColumn("junction_type", C.junction_type())
+def junction_type_by_category(cells: DataFrame, junctions: DataFrame, weight: str | None = None) -> DataFrame:
+    """Percent of each junction type in each cell and category, by junctions or by their weights; joined by isoform and cell."""
+    typed = junctions.filter(C.valid_cell()).withColumn("junction_type", C.junction_type())
+    typed = typed.join(cells.select(*ROW, "CB", "structural_category"), [*ROW, "CB"]).filter("structural_category IS NOT NULL")
     keys = [*KEY, "structural_category"]
-    own = typed.groupBy(*keys, "junction_type").agg(F.sum(F.lit(1.0) if weight is None else weight).alias("n"))
+    own = typed.groupBy(*keys, "junction_type").agg(_junctions(weight).alias("n"))
     return share_within(complete(own, keys, "junction_type", C.JUNCTION_TYPES, {"n": 0}), keys)
 
 
+def label_of(junctions: DataFrame) -> Column:
+    """What names a junction: its label, its place by either names of the columns, its id, or else each row itself."""
+    there = set(junctions.columns)
+    if "junctionLabel" in there:
+        return F.col("junctionLabel")
+    for start, end in (("genomic_start_coord", "genomic_end_coord"), ("genomic_start", "genomic_end")):
+        if {"chrom", "strand", start, end} <= there:
+            return C.junction_label(start, end)
+    return F.col("junction_id").cast("string") if "junction_id" in there else F.monotonically_increasing_id().cast("string")
+
+
 def rts_by_junction_type(junctions: DataFrame, unique: bool = False) -> DataFrame:
     """Share of junctions with RTS in each cell and type; of distinct ones if ``unique`` (any RTS counts)."""
-    own = junctions.filter(C.valid_cell()).select(*KEY, C.junction_type().alias("junction_type"), C.junction_label().alias("label"), C.rts_bool("RTS_junction").alias("rts"))
+    own = junctions.filter(C.valid_cell())
+    own = own.select(*KEY, C.junction_type().alias("junction_type"), label_of(junctions).alias("label"), C.rts_bool("RTS_junction").alias("rts"))
     if unique:
         own = own.groupBy(*KEY, "junction_type", "label").agg(F.bool_or("rts").alias("rts"))
     return own.groupBy(*KEY, "junction_type").agg(C.safe_prop(F.count(F.when(F.col("rts"), 1)), F.count("*")).alias("percent"))
@@ -136,4 +185,5 @@ def feature_panel(long: DataFrame, suffix: str) -> DataFrame:
 
 
 def cluster_profile(long: DataFrame, clusters: DataFrame) -> DataFrame:
-    return distribution_stats(long.join(clusters.select("CB", "cluster"), "CB"), ["cluster", "metric"])
+    """Distribution of each metric in each cluster of cells."""
+    return distribution_stats(long.join(clusters.select(*KEY, "cluster"), KEY), ["cluster", "metric"])

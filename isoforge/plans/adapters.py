@@ -12,16 +12,21 @@ from isoforge.functions.columns import CATEGORIES, SUBCATEGORIES
 _T = "CAST({} AS VARCHAR(20))".format
 _CATEGORY = "CASE l_partkey % 9 " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(CATEGORIES)) + " END"
 _SUB = ", ".join(f"({c}, {i}, {len(own)}, '{name}')" for c, own in enumerate(SUBCATEGORIES.values()) for i, name in enumerate(own))
-_ISOFORM = f"concat('r', {_T('l_orderkey')}, '/', {_T('l_linenumber')}, '/', {_T('l_partkey')}, '/', {_T('l_suppkey')}, '/', {_T('CAST(round(l_extendedprice * 100) AS BIGINT)')})"
 _CENT = "CAST(floor(l_extendedprice) AS BIGINT)"
 
+#: Order lines as reads of a sample. Every fifth order's lines are reads of the next sample too, with the same
+#: names and barcodes but other genes, so that a join that forgets the sample gives wrong rows.
+_LINES = f"""(SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey AS part_id, l_partkey + 3 * u.again AS l_partkey, l_extendedprice, l_quantity, l_tax,
+    l_discount, l_linestatus, l_returnflag, concat('S', {_T('(l_suppkey + u.again) % 4')}) AS sampleID,
+    concat('r', {_T('l_orderkey')}, '/', {_T('l_linenumber')}, '/', {_T('l_partkey')}, '/', {_T('l_suppkey')}, '/',
+      {_T('CAST(round(l_extendedprice * 100) AS BIGINT)')}) AS isoform
+  FROM {{lineitem}} JOIN (VALUES (0), (1)) AS u(again) ON u.again = 0 OR l_orderkey % 5 = 0) AS l"""
+_CB = f"CASE WHEN o_custkey % 17 = 0 THEN NULL ELSE concat('CB', {_T('l_suppkey')}) END AS CB"
+_CHROM = f"CASE WHEN l_partkey % 20 = 0 THEN 'MT' ELSE concat('chr', {_T('l_partkey % 22 + 1')}) END AS chrom"
+_STRAND = "CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand"
+
 CLASSIFICATION = f"""
-SELECT {_ISOFORM} AS isoform,
-  concat('S', {_T('l_suppkey % 4')}) AS sampleID,
-  CASE WHEN o_custkey % 17 = 0 THEN NULL ELSE concat('CB', {_T('l_suppkey')}) END AS CB,
-  concat('U', {_T('l_orderkey % 400')}) AS UMI,
-  CASE WHEN l_partkey % 20 = 0 THEN 'MT' ELSE concat('chr', {_T('l_partkey % 22 + 1')}) END AS chrom,
-  CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand,
+SELECT isoform, sampleID, {_CB}, {_CHROM}, {_STRAND}, concat('U', {_T('l_orderkey % 400')}) AS UMI,
   {_CATEGORY} AS structural_category, s.name AS subcategory,
   CASE WHEN l_partkey % 7 = 0 THEN concat('novelGene_', {_T('l_partkey % 35')}) ELSE concat('GENE', {_T('l_partkey % 400')}) END AS associated_gene,
   CASE WHEN l_partkey % 9 IN (0, 1) THEN concat('TX', {_T('l_partkey % 90')}) ELSE 'novel' END AS associated_transcript,
@@ -35,22 +40,28 @@ SELECT {_ISOFORM} AS isoform,
   CASE WHEN l_suppkey % 4 = 1 OR l_linenumber = 2 THEN 'TRUE' ELSE 'FALSE' END AS within_CAGE_peak,
   CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber % 3 = 0 THEN 'TRUE' ELSE 'FALSE' END AS polyA_motif_found,
   CASE WHEN l_orderkey % 9 = 0 THEN NULL ELSE CAST(l_orderkey % 4 AS DOUBLE) END AS min_cov,
-  CASE WHEN l_orderkey % 8 = 0 THEN NULL ELSE CAST({_CENT} % 5 AS DOUBLE) END AS ratio_TSS
-FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{part}} ON l_partkey = p_partkey
+  CASE WHEN l_orderkey % 8 = 0 THEN NULL ELSE CAST({_CENT} % 5 AS DOUBLE) END AS ratio_TSS,
+  CASE WHEN l_orderkey % 6 = 0 THEN NULL ELSE concat({_T('l_linenumber')}, ',', {_T('l_orderkey % 6')}) END AS FL
+FROM {_LINES} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{part}} ON part_id = p_partkey
 LEFT JOIN (VALUES {_SUB}) AS s(c, i, n, name) ON s.c = l_partkey % 9 AND s.i = l_orderkey % s.n
 """
 
 _D, _E = "CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE (l_orderkey + k) % 5 - 2 END", "(l_suppkey + k) % 3 - 1"
+_AT = "(l_partkey % 60) * 10000 + k * 500"
 JUNCTIONS = f"""
-SELECT {_ISOFORM} AS isoform, concat('S', {_T('l_suppkey % 4')}) AS sampleID,
-  CASE WHEN o_custkey % 17 = 0 THEN NULL ELSE concat('CB', {_T('l_suppkey')}) END AS CB,
-  CASE WHEN l_partkey % 20 = 0 THEN 'MT' ELSE concat('chr', {_T('l_partkey % 22 + 1')}) END AS chrom,
-  CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand,
-  (l_partkey % 60) * 10000 + k * 500 - coalesce({_D}, 0) AS genomic_start_coord, (l_partkey % 60) * 10000 + k * 500 + 200 - ({_E}) AS genomic_end_coord,
+SELECT isoform, sampleID, {_CB}, {_CHROM}, {_STRAND},
+  {_AT} - coalesce({_D}, 0) AS genomic_start_coord, {_AT} + 200 - ({_E}) AS genomic_end_coord,
   {_D} AS diff_to_Ref_start_site, {_E} AS diff_to_Ref_end_site,
-  CASE WHEN {_D} = 0 THEN 'known' ELSE 'novel' END AS junction_category, CASE WHEN (l_orderkey + k) % 13 = 0 THEN 'non_canonical' ELSE 'canonical' END AS canonical,
+  CASE WHEN {_D} = 0 THEN 'known' ELSE 'novel' END AS junction_category,
+  CASE WHEN (l_orderkey + k) % 13 = 0 THEN 'non_canonical' ELSE 'canonical' END AS canonical,
   CASE WHEN l_returnflag = 'R' AND k % 2 = 0 THEN 'true' ELSE 'false' END AS RTS_junction
-FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN (VALUES (1), (2), (3), (4), (5), (6)) AS t(k) ON k < l_linenumber
+FROM {_LINES} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN (VALUES (1), (2), (3), (4), (5), (6)) AS t(k) ON k < l_linenumber
+"""
+
+#: Isoforms mode: an isoform of each sample in each cell, weighted.
+ISOFORMS = f"""
+SELECT sampleID, concat('i', {_T('l_partkey % 500')}) AS isoform, concat('CB', {_T('l_suppkey')}) AS CB, count(*) AS n
+FROM {_LINES} GROUP BY sampleID, concat('i', {_T('l_partkey % 500')}), concat('CB', {_T('l_suppkey')})
 """
 
 
@@ -69,3 +80,7 @@ def classification(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def junctions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, JUNCTIONS)
+
+
+def isoform_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, ISOFORMS)

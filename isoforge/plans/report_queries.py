@@ -1,4 +1,4 @@
-"""Queries of the matrix, report, cohort and clustering operators."""
+"""A query for each operator that yields a table, and its SQL: enrichment, matrices, report, cohort and clusters."""
 
 from __future__ import annotations
 
@@ -12,272 +12,581 @@ from isoforge.operators import enrich as E
 from isoforge.operators import matrix as M
 from isoforge.operators import report_tables as R
 from isoforge.operators.explode import explode_cells
-from isoforge.plans.adapters import classification, junctions
-from isoforge.plans.queries import add, cells_of, prop, sums_of, w
+from isoforge.plans.adapters import classification, isoform_counts, junctions
+from isoforge.plans.queries import JUNCTION_CELLS, NOVEL, TYPE, add, cells_of, prop, rounded, summary_of, summary_sql, w, weighted_cells
 
-_NOVEL = "coalesce(associated_gene, '') LIKE 'novel%'"
-_TYPE = "concat(junction_category, '_', canonical)"
-_JCELLS = "(SELECT * FROM junc WHERE CB IS NOT NULL)"
+KEYS = "sampleID, CB"
 
 
 def grid(source: str, keys: str, column: str, levels) -> str:
     """Counts ``n`` of ``source`` completed over levels, with their percent."""
     values = ", ".join(f"({repr(x)})" for x in levels)
-    return f"""SELECT {keys}, {column}, coalesce(n, 0) AS n, CASE WHEN sum(coalesce(n, 0)) OVER (PARTITION BY {keys}) > 0 THEN round(100.0 * CAST(coalesce(n, 0) AS DOUBLE) / sum(coalesce(n, 0)) OVER (PARTITION BY {keys}), 6) ELSE CAST(0 AS DOUBLE) END AS percent
+    total = f"sum(coalesce(n, 0)) OVER (PARTITION BY {keys})"
+    return f"""SELECT {keys}, {column}, coalesce(n, 0) AS n,
+  CASE WHEN {total} > 0 THEN round(100.0 * CAST(coalesce(n, 0) AS DOUBLE) / {total}, 6) ELSE CAST(0 AS DOUBLE) END AS percent
 FROM (SELECT DISTINCT {keys} FROM {source}) CROSS JOIN (VALUES {values}) AS l({column}) LEFT JOIN {source} AS o USING ({keys}, {column})"""
 
 
-@add("p02_isoform_lists", """, g AS (SELECT l_partkey % 500 AS i, concat('CB', CAST(l_suppkey AS VARCHAR)) AS CB, count(*) AS n FROM lineitem GROUP BY ALL)
-SELECT CB, CAST(sum(n) AS DOUBLE) AS weight, count(*) AS isoforms FROM g GROUP BY CB""")
+def isoform_lists(spark, d):
+    """Isoform rows with parallel lists of cells and weights."""
+    pairs = isoform_counts(spark, d).groupBy("sampleID", "isoform").agg(F.array_sort(F.collect_list(F.struct("CB", "n"))).alias("x"))
+    weights = F.array_join(F.transform("x", lambda p: p["n"].cast("string")), ",")
+    return pairs.select("sampleID", "isoform", F.array_join("x.CB", ",").alias("CB"), weights.alias("FL"))
+
+
+@add("p02_isoform_lists", "SELECT sampleID, CB, CAST(sum(n) AS DOUBLE) AS weight, count(*) AS isoforms FROM isoforms GROUP BY sampleID, CB")
 def _(spark, d):
-    own = spark.read.parquet(f"{d}/lineitem.parquet").groupBy((F.col("l_partkey") % 500).alias("i"), F.concat(F.lit("CB"), F.col("l_suppkey").cast("string")).alias("CB")).agg(F.count("*").alias("n"))
-    pairs = own.groupBy("i").agg(F.array_sort(F.collect_list(F.struct("CB", "n"))).alias("x"))
-    cls = pairs.select(F.col("i").cast("string").alias("isoform"), F.array_join("x.CB", ",").alias("CB"), F.array_join(F.transform("x", lambda p: p["n"].cast("string")), ",").alias("FL"))
-    return explode_cells(cls, "isoforms").groupBy("CB").agg(F.sum("_count").alias("weight"), F.count("*").alias("isoforms"))
+    return explode_cells(isoform_lists(spark, d), "isoforms").groupBy("sampleID", "CB").agg(F.sum("_count").alias("weight"), F.count("*").alias("isoforms"))
+
+
+_EXPRESSIONS = {
+    "tag": "CASE structural_category " + " ".join(f"WHEN '{c}' THEN '{t}'" for c, t in C.TAGS.items()) + " END",
+    "weight": "CASE WHEN sum_fl > 0 THEN sum_fl ELSE 1 END",
+    "clamped": "least(greatest(diff_to_gene_TSS, 0), 100)",
+    "primary_id": "nullif(regexp_extract(concat(isoform, CASE WHEN exons = 2 THEN '_dup1' ELSE '' END), '^(.+)_dup[0-9]+$', 1), '')",
+}
+
+
+@add("p19_p22_p23_p25_expressions", f"SELECT sampleID, isoform, {', '.join(f'{v} AS {k}' for k, v in _EXPRESSIONS.items())} FROM (SELECT * FROM weighted)")
+def _(spark, d):
+    cells = cells_of(spark, d).withColumn("name", F.concat("isoform", F.when(F.col("exons") == 2, "_dup1").otherwise("")))
+    return cells.select(
+        "sampleID", "isoform", C.category_tag().alias("tag"), C.isoform_weight().alias("weight"),
+        C.clamp(F.col("diff_to_gene_TSS")).alias("clamped"), C.dup_primary("name").alias("primary_id"),
+    )
+
+
+_TYPES = {"known": "coding = 'coding'", "novel": "coding = 'non_coding' AND exons > 3"}
+_KIND = f"CASE WHEN {_TYPES['known']} THEN 'known' WHEN {_TYPES['novel']} THEN 'novel' ELSE 'known_ambiguous' END"
 
 
-@add("j01_annotate_cells_reads", "SELECT isoform, CB, UMI FROM cls")
+@add("p20_read_types", f"SELECT sampleID, k AS read_type, count(*) AS n FROM (SELECT *, {_KIND} AS k FROM cells) WHERE k IN ('known', 'novel', 'known_ambiguous') GROUP BY ALL")
 def _(spark, d):
+    reads = cells_of(spark, d).select("sampleID", F.expr(_KIND).alias("read_type"))
+    return reads.filter(C.read_type_filter("read_type", novel=True, ambiguous=True)).groupBy("sampleID", "read_type").agg(F.count("*").alias("n"))
+
+
+#: Rows of one exon have no entry of their own; those of two are duplicates of the isoform whose number of lines is three.
+_NAMES = "SELECT * REPLACE (CASE WHEN exons = 2 THEN concat(isoform, '_dup1') ELSE isoform END AS isoform) FROM cls"
+_ASSOC = """SELECT sampleID, isoform, CB, UMI FROM cls WHERE exons > 2
+  UNION ALL SELECT sampleID, isoform, 'primary' || CB, UMI FROM cls WHERE exons = 2 AND ratio_TSS > 1
+  UNION ALL SELECT sampleID, concat(isoform, '_dup1'), CB, UMI FROM cls WHERE exons = 2 AND min_cov > 1"""
+
+
+def _names_and_association(spark, d):
     cls = classification(spark, d)
-    return E.annotate_cells_reads(cls, cls.select("isoform", "CB", "UMI")).select("isoform", "CB", "UMI")
+    name = F.when(F.col("exons") == 2, F.concat("isoform", F.lit("_dup1"))).otherwise(F.col("isoform"))
+    own = ["sampleID", "isoform", "CB", "UMI"]
+    primary = cls.filter("exons = 2 AND ratio_TSS > 1").withColumn("CB", F.concat(F.lit("primary"), "CB"))
+    copies = cls.filter("exons = 2 AND min_cov > 1").withColumn("isoform", F.concat("isoform", F.lit("_dup1")))
+    assoc = cls.filter("exons > 2").select(own).unionByName(primary.select(own)).unionByName(copies.select(own))
+    return cls.withColumn("isoform", name), assoc
+
+
+@add("j01_annotate_cells_reads", f""", a AS ({_ASSOC}), n AS ({_NAMES})
+SELECT n.sampleID, n.isoform, CASE WHEN p.isoform IS NOT NULL THEN p.CB ELSE o.CB END AS CB, CASE WHEN p.isoform IS NOT NULL THEN p.UMI ELSE o.UMI END AS UMI
+FROM n LEFT JOIN a o ON n.sampleID = o.sampleID AND n.isoform = o.isoform
+LEFT JOIN a p ON n.sampleID = p.sampleID AND p.isoform = regexp_extract(n.isoform, '^(.+)_dup[0-9]+$', 1)""")
+def _(spark, d):
+    cls, assoc = _names_and_association(spark, d)
+    return E.annotate_cells_reads(cls, assoc).select("sampleID", "isoform", "CB", "UMI")
+
+
+@add("j02_annotate_cells_isoforms", "SELECT sampleID, isoform, structural_category, i.CB, CAST(i.n AS DOUBLE) AS _count FROM (SELECT DISTINCT sampleID, isoform, 'genic' AS structural_category FROM isoforms) LEFT JOIN isoforms i USING (sampleID, isoform)")
+def _(spark, d):
+    counts = isoform_counts(spark, d)
+    cls = counts.select("sampleID", "isoform", F.lit("genic").alias("structural_category")).distinct()
+    return E.annotate_cells_isoforms(cls, abundance=counts.withColumnRenamed("n", "count"))
 
 
-@add("j04_junction_cells_fallback", "SELECT j.isoform, j.genomic_start_coord, c.CB, c.sampleID FROM junc j LEFT JOIN (SELECT DISTINCT isoform, CB, sampleID FROM cells) c USING (isoform)")
+@add("j02_annotate_cells_isoform_lists", "SELECT sampleID, isoform, i.CB, CAST(1 AS DOUBLE) AS _count FROM (SELECT DISTINCT sampleID, isoform FROM isoforms) LEFT JOIN isoforms i USING (sampleID, isoform)")
 def _(spark, d):
-    return E.junction_cells_fallback(junctions(spark, d), cells_of(spark, d)).select("isoform", "genomic_start_coord", "CB", "sampleID")
+    lists = isoform_lists(spark, d)
+    return E.annotate_cells_isoforms(lists.select("sampleID", "isoform"), assoc=lists)
+
+
+@add("j03_annotate_junction_cells", "SELECT j.sampleID, j.isoform, genomic_start_coord, a.CB FROM junc j LEFT JOIN (SELECT * FROM cls WHERE exons > 4) a USING (sampleID, isoform)")
+def _(spark, d):
+    assoc = classification(spark, d).filter("exons > 4")
+    return E.annotate_junction_cells(junctions(spark, d), assoc).select("sampleID", "isoform", "genomic_start_coord", "CB")
+
+
+@add("j04_junction_cells_fallback", "SELECT j.sampleID, j.isoform, j.genomic_start_coord, c.CB FROM junc j LEFT JOIN (SELECT DISTINCT sampleID, isoform, CB FROM cells) c USING (sampleID, isoform)")
+def _(spark, d):
+    return E.junction_cells_fallback(junctions(spark, d), cells_of(spark, d)).select("sampleID", "isoform", "genomic_start_coord", "CB")
+
+
+_CHAIN = """CASE WHEN exons = 1 THEN concat(CASE WHEN chrom LIKE 'chr%' THEN chrom ELSE concat('chr', chrom) END, '_', strand, '_monoexon_', associated_transcript)
+  ELSE jxn_string END"""
 
 
-@add("j05_attach_ujc", "SELECT isoform, x AS jxn_string, sha256(x) AS jxnHash FROM (SELECT isoform, CASE WHEN exons = 1 THEN concat(CASE WHEN chrom LIKE 'chr%' THEN chrom ELSE concat('chr', chrom) END, '_', strand, '_monoexon_', associated_transcript) ELSE jxn_string END AS x FROM cls)")
+@add("j05_attach_ujc", f"SELECT sampleID, isoform, x AS jxn_string, sha256(x) AS jxnHash FROM (SELECT sampleID, isoform, {_CHAIN} AS x FROM cls)")
 def _(spark, d):
     cls = classification(spark, d)
-    return E.attach_ujc(cls, cls.select("isoform", "jxn_string")).select("isoform", "jxn_string", "jxnHash")
+    return E.attach_ujc(cls, cls.select("sampleID", "isoform", "jxn_string")).select("sampleID", "isoform", "jxn_string", "jxnHash")
 
 
-_EXONS = "SELECT DISTINCT concat('T', CAST(l_partkey % 300 AS VARCHAR(20))) AS transcript_id, concat('chr', CAST(l_partkey % 300 % 22 + 1 AS VARCHAR(20))) AS chrom, '+' AS strand, l_suppkey % 50 * 1000 AS \"start\", l_suppkey % 50 * 1000 + 300 AS \"end\" FROM lineitem"
+@add("j10_junction_weights", "SELECT j.sampleID, j.isoform, genomic_start_coord, coalesce(x.w, 1) AS _weight FROM junc j LEFT JOIN weighted x USING (sampleID, isoform)")
+def _(spark, d):
+    return E.junction_weights(junctions(spark, d), cells_of(spark, d)).select("sampleID", "isoform", "genomic_start_coord", "_weight")
+
+
+_EXONS = """SELECT DISTINCT concat('S', CAST(l_suppkey % 4 AS VARCHAR(20))) AS sampleID, concat('T', CAST(l_partkey % 300 AS VARCHAR(20))) AS transcript_id,
+  concat('chr', CAST(l_partkey % 300 % 22 + 1 AS VARCHAR(20))) AS chrom, '+' AS strand, l_suppkey % 50 * 1000 AS "start", l_suppkey % 50 * 1000 + 300 AS "end"
+FROM lineitem"""
 
 
-@add("a54_ujc_from_gtf", f""", x AS ({_EXONS}), i AS (SELECT *, lead("start") OVER (PARTITION BY transcript_id ORDER BY "start", "end") AS nx FROM x)
-SELECT transcript_id AS isoform, concat(chrom, '_', strand, '_', string_agg(concat(CAST("end" + 1 AS VARCHAR), '_', CAST(nx - 1 AS VARCHAR)), '_' ORDER BY "end")) AS jxn_string FROM i WHERE nx IS NOT NULL GROUP BY transcript_id, chrom, strand""")
+@add("a54_ujc_from_gtf", f""", x AS ({_EXONS}), i AS (SELECT *, lead("start") OVER (PARTITION BY sampleID, transcript_id ORDER BY "start", "end") AS nx FROM x)
+SELECT sampleID, transcript_id AS isoform,
+  concat(chrom, '_', strand, '_', string_agg(concat(CAST("end" + 1 AS VARCHAR), '_', CAST(nx - 1 AS VARCHAR)), '_' ORDER BY "end")) AS jxn_string
+FROM i WHERE nx IS NOT NULL GROUP BY sampleID, transcript_id, chrom, strand""")
 def _(spark, d):
     exons = spark.sql(_EXONS.replace('"', "`").replace("FROM lineitem", "FROM {t}"), t=spark.read.parquet(f"{d}/lineitem.parquet"))
     return E.ujc_from_gtf(exons)
 
 
-@add("a50_count_matrix", "SELECT sampleID, CB, associated_gene, sum(w) AS count FROM cells WHERE associated_gene IS NOT NULL GROUP BY ALL")
+_GENES = "associated_gene IS NOT NULL GROUP BY ALL"
+
+
+@add("a50_count_matrix", f"SELECT sampleID, CB, associated_gene, sum(w) AS count FROM cells WHERE {_GENES}")
 def _(spark, d):
     return M.count_matrix(cells_of(spark, d))
 
 
-@add("a51_isoform_cell_counts", "SELECT c.CB, g.isoform, count(*) AS count FROM cells c JOIN (SELECT isoform AS molecule, jxn_string AS isoform FROM cls) g ON c.isoform = g.molecule GROUP BY ALL")
+@add("a50_count_matrix_isoforms", f"SELECT sampleID, CB, associated_gene, sum(w) AS count FROM weighted WHERE {_GENES}")
 def _(spark, d):
-    cls = classification(spark, d)
-    return M.isoform_cell_counts(cells_of(spark, d).select(F.col("isoform").alias("read_name"), "CB"), cls.select(F.col("isoform").alias("molecule"), F.col("jxn_string").alias("isoform")))
+    return M.count_matrix(weighted_cells(spark, d))
+
+
+@add("a51_isoform_cell_counts", """SELECT c.sampleID, c.CB, g.isoform, count(*) AS count FROM cells c
+JOIN (SELECT sampleID, isoform AS molecule, jxn_string AS isoform FROM cls) g ON c.isoform = g.molecule AND c.sampleID = g.sampleID GROUP BY ALL""")
+def _(spark, d):
+    groups = classification(spark, d).select("sampleID", F.col("isoform").alias("molecule"), F.col("jxn_string").alias("isoform"))
+    return M.isoform_cell_counts(cells_of(spark, d).select("sampleID", F.col("isoform").alias("read_name"), "CB"), groups)
 
 
-@add("a52_transcript_cell_counts", "SELECT associated_transcript AS isoform, CB, count(*) AS count FROM cells WHERE coding = 'coding' GROUP BY ALL")
+@add("a52_transcript_cell_counts", f"SELECT sampleID, associated_transcript AS isoform, CB, count(*) AS count FROM (SELECT *, {_KIND} AS k FROM cells) WHERE k <> 'novel' GROUP BY ALL")
 def _(spark, d):
-    kind = F.when(F.col("coding") == "coding", "known").otherwise("other")
-    reads = cells_of(spark, d).select(F.col("associated_transcript").alias("transcript"), F.col("CB").alias("barcode"), kind.alias("read_type"))
-    return M.transcript_cell_counts(reads)
+    reads = cells_of(spark, d).select("sampleID", F.col("associated_transcript").alias("transcript"), F.col("CB").alias("barcode"), F.expr(_KIND).alias("read_type"))
+    return M.transcript_cell_counts(reads, ambiguous=True)
 
 
-@add("a53_umi_dedup", "SELECT read_name, CB, GE, UB, mapq FROM (SELECT isoform AS read_name, CB, associated_gene AS GE, UMI AS UB, exons AS mapq, row_number() OVER (PARTITION BY CB, associated_gene, UMI ORDER BY exons DESC, isoform) AS rn FROM cells) WHERE rn = 1")
+@add("a52_transcript_features", """SELECT sampleID, associated_transcript AS transcript, associated_gene AS gene, coding AS transcript_type FROM
+(SELECT *, row_number() OVER (PARTITION BY sampleID, associated_transcript ORDER BY isoform DESC) AS rn FROM cells) WHERE rn = 1""")
 def _(spark, d):
-    return M.umi_dedup(cells_of(spark, d).select(F.col("isoform").alias("read_name"), "CB", F.col("associated_gene").alias("GE"), F.col("UMI").alias("UB"), F.col("exons").alias("mapq")))
+    reads = cells_of(spark, d).select("sampleID", F.col("associated_transcript").alias("transcript"), F.col("associated_gene").alias("gene"), F.col("coding").alias("transcript_type"), "isoform")
+    return M.transcript_features(reads, "isoform")
 
 
-@add("s13_mex_triplets", """, t AS (SELECT associated_gene AS isoform, CB, count(*) AS n FROM cells GROUP BY ALL)
+@add("a53_umi_dedup", """SELECT sampleID, read_name, CB, GE, UB, mapq FROM (SELECT sampleID, isoform AS read_name, CB, associated_gene AS GE, UMI AS UB, exons AS mapq,
+  row_number() OVER (PARTITION BY sampleID, CB, associated_gene, UMI ORDER BY exons DESC, isoform) AS rn FROM cells) WHERE rn = 1""")
+def _(spark, d):
+    tags = {"associated_gene": "GE", "UMI": "UB", "exons": "mapq"}
+    return M.umi_dedup(cells_of(spark, d).select("sampleID", F.col("isoform").alias("read_name"), "CB", *(F.col(c).alias(t) for c, t in tags.items())))
+
+
+@add("s13_mex_triplets", """, t AS (SELECT associated_gene AS isoform, CB, count(*) AS n FROM cells WHERE sampleID = 'S1' GROUP BY ALL)
 SELECT dense_rank() OVER (ORDER BY isoform) AS row, dense_rank() OVER (ORDER BY CB) AS col, n AS count FROM t""")
 def _(spark, d):
     from isoforge.sources.sinks import mex_triplets
 
-    return mex_triplets(cells_of(spark, d).groupBy(F.col("associated_gene").alias("isoform"), "CB").agg(F.count("*").alias("count")))
+    one = cells_of(spark, d).filter("sampleID = 'S1'")  # a matrix is one sample's
+    return mex_triplets(one.groupBy(F.col("associated_gene").alias("isoform"), "CB").agg(F.count("*").alias("count")))
+
+
+_UJCS = "count(DISTINCT CASE WHEN exons > 1 THEN jxn_string END)"
 
 
-@add("a60_bulk_totals", 'SELECT sum(w) AS "rows", count(DISTINCT associated_gene) AS genes, count(DISTINCT CASE WHEN exons > 1 THEN jxn_string END) AS ujcs FROM cells')
+@add("a60_bulk_totals", f'SELECT sum(w) AS "rows", count(DISTINCT associated_gene) AS genes, {_UJCS} AS ujcs FROM cells')
 def _(spark, d):
     return R.bulk_totals(cells_of(spark, d))
 
 
-@add("a61_bulk_gene_classes", f"SELECT *, round(100.0 * CAST(n AS DOUBLE) / sum(n) OVER (), 1) AS percent FROM (SELECT CASE WHEN {_NOVEL} THEN 'novel' ELSE 'annotated' END AS kind, count(DISTINCT associated_gene) AS n FROM cells GROUP BY ALL)")
+@add("a60_bulk_totals_isoforms", 'SELECT sum(w) AS "rows", count(DISTINCT associated_gene) AS genes, CAST(0 AS BIGINT) AS ujcs FROM weighted')
+def _(spark, d):
+    return R.bulk_totals(weighted_cells(spark, d), "isoforms")
+
+
+@add("a61_bulk_gene_classes", f"""SELECT *, round(100.0 * CAST(n AS DOUBLE) / sum(n) OVER (), 1) AS percent
+FROM (SELECT CASE WHEN {NOVEL} THEN 'novel' ELSE 'annotated' END AS kind, count(DISTINCT associated_gene) AS n FROM cells GROUP BY ALL)""")
 def _(spark, d):
     return R.bulk_gene_classes(cells_of(spark, d))
 
 
-@add("a62_bulk_category_table", "SELECT *, round(100.0 * n / sum(n) OVER (), 1) AS percent FROM (SELECT structural_category, sum(w) AS n FROM cells GROUP BY ALL)")
+def _categories(source: str) -> str:
+    return f"SELECT *, round(100.0 * n / sum(n) OVER (), 1) AS percent FROM (SELECT structural_category, sum(w) AS n FROM {source} GROUP BY ALL)"
+
+
+@add("a62_bulk_category_table", _categories("cells"))
 def _(spark, d):
     return R.bulk_category_table(cells_of(spark, d))
 
 
-@add("a63_bulk_junction_table", f"SELECT *, round(100.0 * CAST(n AS DOUBLE) / sum(n) OVER (), 2) AS percent FROM (SELECT {_TYPE} AS junction_type, count(*) AS n FROM junc GROUP BY ALL)")
+@add("a62_bulk_category_table_isoforms", _categories("weighted"))
+def _(spark, d):
+    return R.bulk_category_table(weighted_cells(spark, d))
+
+
+@add("j15_bulk_category_levels", f"SELECT c AS structural_category, coalesce(n, 0) AS n FROM (VALUES {', '.join(f'({c!r})' for c in C.CATEGORIES)}) AS l(c) LEFT JOIN (SELECT structural_category, sum(w) AS n FROM cells WHERE exons > 6 AND structural_category <> 'fusion' GROUP BY ALL) ON c = structural_category")
+def _(spark, d):
+    return R.bulk_category_levels(cells_of(spark, d).filter("exons > 6 AND structural_category <> 'fusion'"))
+
+
+_WEIGHTED_JUNC = "(SELECT j.*, coalesce(x.w, 1) AS weight FROM junc j LEFT JOIN weighted x USING (sampleID, isoform))"
+
+
+def _bulk_junctions(n: str, source: str) -> str:
+    return f"SELECT *, round(100.0 * CAST(n AS DOUBLE) / sum(n) OVER (), 2) AS percent FROM (SELECT {TYPE} AS junction_type, {n} AS n FROM {source} GROUP BY ALL)"
+
+
+@add("a63_bulk_junction_table", _bulk_junctions("count(*)", "junc"))
 def _(spark, d):
     return R.bulk_junction_table(junctions(spark, d))
 
 
-_STATS = "round(avg(value), 3) AS mean, round(quantile_cont(value, 0.5), 3) AS median, round(min(value), 3) AS min, round(max(value), 3) AS max, round(stddev_samp(value), 3) AS sd"
-_LONG = f"SELECT sampleID, CB, metric, CAST(value AS DOUBLE) AS value FROM (UNPIVOT (SELECT sampleID, CB, CAST(total_reads AS DOUBLE) AS total_reads, CAST(total_UMI AS DOUBLE) AS total_UMI, CAST(Genes_in_cell AS DOUBLE) AS Genes_in_cell, MT_perc, FSM_prop FROM s) ON COLUMNS(* EXCLUDE (sampleID, CB)) INTO NAME metric VALUE value)"
-_SUMMARY = f", s AS (SELECT sampleID, CB, sum(w) AS total_reads, count(DISTINCT UMI) AS total_UMI, count(DISTINCT associated_gene) AS Genes_in_cell, {prop(w(chr(99) + 'hrom = ' + chr(39) + 'MT' + chr(39)), 'sum(w)')} AS MT_perc, {prop(w(chr(115) + 'tructural_category = ' + chr(39) + 'full-splice_match' + chr(39)), 'sum(w)')} AS FSM_prop FROM cells GROUP BY sampleID, CB), long AS ({_LONG})"
+def weighted_junctions(spark, d):
+    return E.junction_weights(junctions(spark, d), cells_of(spark, d))
 
 
-def few_metrics(spark, d):
-    cells = cells_of(spark, d)
-    sums = S.category_sums(cells)
-    own = S.cell_totals(cells, sums).join(S.gene_metrics(cells), ["sampleID", "CB"]).join(S.mt_share(sums), ["sampleID", "CB"]).join(S.category_counts(sums), ["sampleID", "CB"])
-    own = own.select("sampleID", "CB", "total_reads", "total_UMI", "Genes_in_cell", *(F.round(c, 6).alias(c) for c in ("MT_perc", "FSM_prop")))
-    return S.long_form(own)
+@add("a63_bulk_junction_table_isoforms", _bulk_junctions("sum(weight)", _WEIGHTED_JUNC))
+def _(spark, d):
+    return R.bulk_junction_table(weighted_junctions(spark, d), "_weight")
+
+
+_SUMMARY = f""", s AS ({summary_sql()}), doubles AS (SELECT sampleID, CB, CAST(COLUMNS(* EXCLUDE (sampleID, CB)) AS DOUBLE) FROM s),
+long AS (SELECT * FROM (UNPIVOT doubles ON COLUMNS(* EXCLUDE (sampleID, CB)) INTO NAME metric VALUE value))"""
+_STATS = """round(avg(value), 3) AS mean, round(quantile_cont(value, 0.5), 3) AS median, round(min(value), 3) AS min, round(max(value), 3) AS max,
+round(stddev_samp(value), 3) AS sd"""
+
+
+def all_metrics(spark, d):
+    """The whole summary, long, of values rounded as in a15."""
+    return S.long_form(rounded(summary_of(spark, d)))
 
 
 @add("a64_describe_cells", f"{_SUMMARY} SELECT metric, {_STATS} FROM long GROUP BY metric")
 def _(spark, d):
-    return R.describe_cells(few_metrics(spark, d))
+    return R.describe_cells(all_metrics(spark, d))
 
 
-_PERCENTS = grid(f"(SELECT sampleID, CB, {_TYPE} AS metric, count(*) AS n FROM {_JCELLS} GROUP BY ALL)", "sampleID, CB", "metric", C.JUNCTION_TYPES)
+def _junction_stats(n: str, source: str) -> str:
+    percents = grid(f"(SELECT sampleID, CB, {TYPE} AS metric, {n} AS n FROM {source} WHERE CB IS NOT NULL GROUP BY ALL)", KEYS, "metric", C.JUNCTION_TYPES)
+    percents = percents.replace("round(", "(").replace(", 6)", ")")
+    return f", p AS ({percents}) SELECT metric, {_STATS} FROM (SELECT metric, percent AS value FROM p) GROUP BY metric"
 
 
-@add("a65_junction_stats", f", p AS ({_PERCENTS.replace('round(', '(').replace(', 6)', ')')}) SELECT metric, {_STATS} FROM (SELECT metric, percent AS value FROM p) GROUP BY metric")
+@add("a65_junction_stats", _junction_stats("count(*)", "junc"))
 def _(spark, d):
     return R.describe_cells(R.junction_type_percents(junctions(spark, d)))
 
 
-@add("a67_reads_by_gene_annotation", f"SELECT sampleID, CB, {prop(w(f'associated_gene IS NOT NULL AND NOT {_NOVEL}'), 'sum(w)')} AS annotated_percent, {prop(w(_NOVEL), 'sum(w)')} AS novel_percent FROM cells GROUP BY ALL")
+@add("a65_junction_stats_isoforms", _junction_stats("sum(weight)", _WEIGHTED_JUNC))
+def _(spark, d):
+    return R.describe_cells(R.junction_type_percents(weighted_junctions(spark, d), "_weight"))
+
+
+@add("a66_gene_annotation_percent", f"SELECT sampleID, CB, {', '.join(f'{prop(f'count(DISTINCT CASE WHEN {t} THEN associated_gene END)', 'count(DISTINCT associated_gene)')} AS {k}_genes_perc' for k, t in (('Annotated', f'NOT {NOVEL}'), ('Novel', NOVEL)))} FROM cells GROUP BY ALL")
+def _(spark, d):
+    return R.gene_annotation_percent(S.key_counts(cells_of(spark, d)))
+
+
+@add("a67_reads_by_gene_annotation", f"""SELECT sampleID, CB, {prop(w(f'associated_gene IS NOT NULL AND NOT {NOVEL}'), 'sum(w)')} AS annotated_percent,
+{prop(w(NOVEL), 'sum(w)')} AS novel_percent FROM cells GROUP BY ALL""")
 def _(spark, d):
     return R.reads_by_gene_annotation(cells_of(spark, d))
 
 
-_gene_n = f"(SELECT sampleID, CB, kind, bin, count(*) AS n FROM (SELECT sampleID, CB, CASE WHEN {_NOVEL} THEN 'novel' ELSE 'annotated' END AS kind, CASE WHEN sum(w) = 1 THEN '1' WHEN sum(w) <= 5 THEN '2-5' WHEN sum(w) <= 9 THEN '6-9' ELSE '>=10' END AS bin FROM cells GROUP BY sampleID, CB, associated_gene) GROUP BY ALL)"
+_GENE_BIN = "CASE WHEN count(*) = 1 THEN '1' WHEN count(*) <= 5 THEN '2-5' WHEN count(*) <= 9 THEN '6-9' ELSE '>=10' END"
+_GENE_ROWS = f"(SELECT sampleID, CB, CASE WHEN {NOVEL} THEN 'novel' ELSE 'annotated' END AS kind, {_GENE_BIN} AS bin FROM cells GROUP BY sampleID, CB, associated_gene)"
+_GENE_LEVELS = ("1", "2-5", "6-9", ">=10")
 
 
-@add("a68_gene_bins_report", grid(_gene_n, "sampleID, CB, kind", "bin", ("1", "2-5", "6-9", ">=10")))
+@add("a68_gene_bins_report", grid(f"(SELECT sampleID, CB, kind, bin, count(*) AS n FROM {_GENE_ROWS} GROUP BY ALL)", f"{KEYS}, kind", "bin", _GENE_LEVELS))
 def _(spark, d):
     return R.gene_bins_report(cells_of(spark, d))
 
 
-_ujc_n = f"(SELECT sampleID, CB, bin, count(*) AS n FROM (SELECT sampleID, CB, CASE WHEN count(DISTINCT jxn_string) = 1 THEN 'ujc_bin1' WHEN count(DISTINCT jxn_string) <= 3 THEN 'ujc_bin2_3' WHEN count(DISTINCT jxn_string) <= 5 THEN 'ujc_bin4_5' ELSE 'ujc_bin6plus' END AS bin FROM cells WHERE exons > 1 AND NOT {_NOVEL} GROUP BY sampleID, CB, associated_gene) GROUP BY ALL)"
+def _combined(test: str) -> str:
+    return grid(f"(SELECT sampleID, CB, bin, count(*) AS n FROM {_GENE_ROWS} WHERE {test} GROUP BY ALL)", KEYS, "bin", _GENE_LEVELS)
+
+
+@add("a68_gene_bins_combined", _combined("kind = 'annotated'"))
+def _(spark, d):
+    return R.gene_bins_combined(cells_of(spark, d))
+
+
+@add("a68_gene_bins_combined_isoforms", _combined("true"))
+def _(spark, d):
+    return R.gene_bins_combined(cells_of(spark, d), "isoforms")
+
 
+_UJC_BIN = f"""CASE WHEN {_UJCS} = 1 THEN 'ujc_bin1' WHEN {_UJCS} <= 3 THEN 'ujc_bin2_3' WHEN {_UJCS} <= 5 THEN 'ujc_bin4_5' ELSE 'ujc_bin6plus' END"""
+_UJC_N = f"""(SELECT sampleID, CB, bin, count(*) AS n
+  FROM (SELECT sampleID, CB, {_UJC_BIN} AS bin FROM cells WHERE exons > 1 AND NOT {NOVEL} GROUP BY sampleID, CB, associated_gene) GROUP BY ALL)"""
 
-@add("a69_ujc_bins_report", grid(_ujc_n, "sampleID, CB", "bin", [b[0] for b in C.UJC_BINS]))
+
+@add("a69_ujc_bins_report", grid(_UJC_N, KEYS, "bin", [b[0] for b in C.UJC_BINS]))
 def _(spark, d):
     return R.ujc_bins_report(cells_of(spark, d))
 
 
-@add("a70_median_exons", "SELECT sampleID, CB, structural_category, quantile_cont(exons, 0.5) AS median_exons FROM cells GROUP BY ALL")
+_CAT = f"{KEYS}, structural_category"
+
+
+@add("a70_median_exons", f"SELECT {_CAT}, quantile_cont(exons, 0.5) AS median_exons FROM cells GROUP BY ALL")
 def _(spark, d):
     return R.median_exons(cells_of(spark, d))
 
 
-@add("a71_mono_exon_percent", f"SELECT sampleID, CB, structural_category, {prop('count(CASE WHEN exons = 1 THEN 1 END)', 'count(*)')} AS percent FROM cells GROUP BY ALL")
+@add("a71_mono_exon_percent", f"SELECT {_CAT}, {prop('count(CASE WHEN exons = 1 THEN 1 END)', 'count(*)')} AS percent FROM cells GROUP BY ALL")
 def _(spark, d):
     return R.mono_exon_percent(cells_of(spark, d))
 
 
-_exon_n = "(SELECT sampleID, CB, structural_category, CASE WHEN exons <= 1 THEN '1' WHEN exons <= 3 THEN '2-3' WHEN exons <= 5 THEN '4-5' ELSE '>=6' END AS bin, count(*) AS n FROM cells GROUP BY ALL)"
+_EXON_BIN = "CASE WHEN exons <= 1 THEN '1' WHEN exons <= 3 THEN '2-3' WHEN exons <= 5 THEN '4-5' ELSE '>=6' END"
 
 
-@add("a72_exon_bin_percent", grid(_exon_n, "sampleID, CB, structural_category", "bin", ("1", "2-3", "4-5", ">=6")))
+@add("a72_exon_bin_percent", grid(f"(SELECT {_CAT}, {_EXON_BIN} AS bin, count(*) AS n FROM cells GROUP BY ALL)", _CAT, "bin", ("1", "2-3", "4-5", ">=6")))
 def _(spark, d):
     return R.exon_bin_percent(cells_of(spark, d))
 
 
-_profile = grid("o", "sampleID, CB, structural_category", "exons", range(1, 21)).replace("round(100.0", "(100.0").replace(", 6)", ")")
+_PROFILE = grid("o", _CAT, "exons", range(1, 21)).replace("round(100.0", "(100.0").replace(", 6)", ")")
 
 
-@add("a73_exon_profile", f""", r AS (SELECT *, sum(n) OVER (PARTITION BY sampleID, CB, structural_category) AS t FROM (SELECT sampleID, CB, structural_category, CAST(least(exons, 20) AS INT) AS exons, count(*) AS n FROM cells GROUP BY ALL)),
-o AS (SELECT * EXCLUDE (t, m) FROM (SELECT *, max(t) OVER (PARTITION BY structural_category) AS m FROM r) WHERE m < 5 OR t >= 5), g AS ({_profile})
-SELECT structural_category, exons, round(quantile_cont(percent, 0.25), 6) AS q1, round(quantile_cont(percent, 0.5), 6) AS median, round(quantile_cont(percent, 0.75), 6) AS q3, round(avg(percent), 6) AS mean, count(*) AS n FROM g GROUP BY ALL""")
+@add("a73_exon_profile", f""", r AS (SELECT *, sum(n) OVER (PARTITION BY {_CAT}) AS t
+  FROM (SELECT {_CAT}, CAST(least(exons, 20) AS INT) AS exons, count(*) AS n FROM cells GROUP BY ALL)),
+o AS (SELECT * EXCLUDE (t, m) FROM (SELECT *, max(t) OVER (PARTITION BY structural_category) AS m FROM r) WHERE m < 5 OR t >= 5), g AS ({_PROFILE})
+SELECT structural_category, exons, round(quantile_cont(percent, 0.25), 6) AS q1, round(quantile_cont(percent, 0.5), 6) AS median,
+  round(quantile_cont(percent, 0.75), 6) AS q3, round(avg(percent), 6) AS mean, count(*) AS n FROM g GROUP BY ALL""")
 def _(spark, d):
     return R.exon_profile(cells_of(spark, d))
 
 
-_jcat = f"(SELECT c.sampleID, c.CB, structural_category, {_TYPE} AS junction_type, CAST(count(*) AS DOUBLE) AS n FROM junc j JOIN cells c USING (isoform) GROUP BY ALL)"
+def _by_category(n: str, source: str) -> str:
+    own = f"(SELECT {_CAT}, {TYPE} AS junction_type, {n} AS n FROM {source} j JOIN (SELECT sampleID, isoform, CB, structural_category FROM cells) c USING (sampleID, isoform, CB) GROUP BY ALL)"
+    return grid(own, _CAT, "junction_type", C.JUNCTION_TYPES)
 
 
-@add("a74_junction_type_by_category", grid(_jcat, "sampleID, CB, structural_category", "junction_type", C.JUNCTION_TYPES))
+@add("a74_junction_type_by_category", _by_category("count(*)", "junc"))
 def _(spark, d):
     return R.junction_type_by_category(cells_of(spark, d), junctions(spark, d))
 
 
-@add("a75_rts_by_junction_type", f"SELECT sampleID, CB, {_TYPE} AS junction_type, {prop('count(CASE WHEN RTS_junction = ' + chr(39) + 'true' + chr(39) + ' THEN 1 END)', 'count(*)')} AS percent FROM {_JCELLS} GROUP BY ALL")
+@add("a74_junction_type_by_category_weighted", _by_category("sum(weight)", _WEIGHTED_JUNC))
+def _(spark, d):
+    return R.junction_type_by_category(cells_of(spark, d), weighted_junctions(spark, d), "_weight")
+
+
+_RTS = "count(CASE WHEN RTS_junction = 'true' THEN 1 END)"
+
+
+@add("a75_rts_by_junction_type", f"SELECT sampleID, CB, {TYPE} AS junction_type, {prop(_RTS, 'count(*)')} AS percent FROM {JUNCTION_CELLS} GROUP BY ALL")
 def _(spark, d):
     return R.rts_by_junction_type(junctions(spark, d))
 
 
-@add("a76_rts_unique_junctions", f"SELECT sampleID, CB, junction_type, {prop('count(CASE WHEN r THEN 1 END)', 'count(*)')} AS percent FROM (SELECT sampleID, CB, {_TYPE} AS junction_type, bool_or(RTS_junction = 'true') AS r FROM {_JCELLS} GROUP BY sampleID, CB, junction_type, chrom, strand, genomic_start_coord, genomic_end_coord) GROUP BY ALL")
+@add("a76_rts_unique_junctions", f"""SELECT sampleID, CB, junction_type, {prop('count(CASE WHEN r THEN 1 END)', 'count(*)')} AS percent
+FROM (SELECT sampleID, CB, {TYPE} AS junction_type, bool_or(RTS_junction = 'true') AS r FROM {JUNCTION_CELLS}
+  GROUP BY sampleID, CB, junction_type, chrom, strand, genomic_start_coord, genomic_end_coord) GROUP BY ALL""")
 def _(spark, d):
     return R.rts_by_junction_type(junctions(spark, d), unique=True)
 
 
-_canon = "(SELECT sampleID, CB, structural_category, CASE WHEN all_canonical = 'canonical' THEN 'true' ELSE 'false' END AS status, count(*) AS n FROM cells WHERE all_canonical IS NOT NULL GROUP BY ALL)"
+_CANON = f"""(SELECT {_CAT}, CASE WHEN all_canonical = 'canonical' THEN 'true' ELSE 'false' END AS status, count(*) AS n
+  FROM cells WHERE all_canonical IS NOT NULL GROUP BY ALL)"""
 
 
-@add("a77_all_canonical_by_category", grid(_canon, "sampleID, CB, structural_category", "status", ("true", "false")))
+@add("a77_all_canonical_by_category", grid(_CANON, _CAT, "status", ("true", "false")))
 def _(spark, d):
     return R.all_canonical_by_category(cells_of(spark, d))
 
 
-@add("a78_feature_panel", f"{_SUMMARY} SELECT * FROM long WHERE metric = 'FSM_prop'")
+@add("a78_feature_panel", f"{_SUMMARY} SELECT * FROM long WHERE metric LIKE '%prop' AND metric IN (SELECT metric FROM long GROUP BY metric HAVING max(abs(value)) > 0)")
+def _(spark, d):
+    return R.feature_panel(all_metrics(spark, d), "prop").select("sampleID", "CB", "metric", "value")
+
+
+_QUART = """round(quantile_cont(value, 0.25), 9) AS q1, round(quantile_cont(value, 0.5), 9) AS median, round(quantile_cont(value, 0.75), 9) AS q3,
+round(avg(value), 9) AS mean, count(*) AS n"""
+
+
+@add("a79_distribution_stats", f"{_SUMMARY} SELECT sampleID, metric, {_QUART} FROM long GROUP BY ALL", places=9)
+def _(spark, d):
+    return R.distribution_stats(all_metrics(spark, d), ["sampleID", "metric"])
+
+
+@add("a80_cluster_profile", f"""{_SUMMARY}, k AS (SELECT sampleID, CB, row_number() OVER (PARTITION BY sampleID ORDER BY Reads_in_cell DESC, CB) % 5 AS cluster FROM s)
+SELECT CAST(cluster AS INT) AS cluster, metric, {_QUART} FROM long JOIN k USING (sampleID, CB) GROUP BY ALL""", places=9)
+def _(spark, d):
+    summary = rounded(summary_of(spark, d)).persist()  # used twice
+    from pyspark.sql import Window as W
+
+    by_size = F.row_number().over(W.partitionBy("sampleID").orderBy(F.desc("Reads_in_cell"), "CB"))
+    return R.cluster_profile(S.long_form(summary), summary.select("sampleID", "CB", (by_size % 5).alias("cluster")))
+
+
+_COHORT_NAMES = ("Reads_in_cell", "UMIs_in_cell", "Genes_in_cell", "UJCs_in_cell")
+_COHORT = ", ".join(f"round(avg({n}), 6) AS mean_{n}, CAST(quantile_cont({n}, 0.5) AS DOUBLE) AS median_{n}" for n in _COHORT_NAMES)
+
+
+@add("a90_cohort_stats", f"{_SUMMARY} SELECT sampleID, count(DISTINCT CB) AS cells, {_COHORT}, round(avg(MT_perc), 6) AS mean_MT_perc FROM s GROUP BY sampleID")
+def _(spark, d):
+    return H.cohort_stats(rounded(summary_of(spark, d)))
+
+
+_SHARES = ", ".join(f"'{C.count_name(c)}_prop'" for c in C.CATEGORIES)
+
+
+@add("a91_category_means", f"{_SUMMARY} SELECT sampleID, metric AS category, round(avg(value), 9) AS mean_percent FROM long WHERE metric IN ({_SHARES}) GROUP BY ALL", places=9)
+def _(spark, d):
+    return H.category_means(rounded(summary_of(spark, d)))
+
+
+_MEDIANS = f"{_SUMMARY}, m AS (SELECT sampleID, metric, round(quantile_cont(value, 0.5), 9) AS median FROM long GROUP BY ALL)"
+
+
+@add("a92_cohort_medians", f"{_MEDIANS} SELECT * FROM m", places=9)
+def _(spark, d):
+    return H.cohort_medians(all_metrics(spark, d))
+
+
+@add("a93_varying_features", f"{_MEDIANS} SELECT * FROM m WHERE metric IN (SELECT metric FROM m GROUP BY metric HAVING max(median) > min(median))", places=9)
 def _(spark, d):
-    return R.feature_panel(few_metrics(spark, d), "_prop").select("sampleID", "CB", "metric", "value")
+    return H.drop_constant_features(H.cohort_medians(all_metrics(spark, d))).select("sampleID", "metric", "median")
+
 
+_SCALED = f"""{_SUMMARY}, r AS (SELECT metric, max(value) AS top, min(value) AS low FROM long GROUP BY metric),
+scaled AS (SELECT sampleID, CB, metric,
+  CASE WHEN top <= 1.5 AND (low >= 0 OR regexp_matches(lower(metric), 'prop|perc|pct|ratio|fraction')) THEN value * 100 ELSE value END AS value
+  FROM long JOIN r USING (metric))"""
 
-_QUART = "round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.75), 6) AS q3, round(avg(value), 6) AS mean, count(*) AS n"
+
+@add("p24_scale_to_percent", f"{_SCALED} SELECT sampleID, CB, metric, round(value, 6) AS value FROM scaled")
+def _(spark, d):
+    return H.scale_to_percent(all_metrics(spark, d)).select("sampleID", "CB", "metric", "value")
 
 
-@add("a79_distribution_stats", f"{_SUMMARY} SELECT sampleID, metric, {_QUART} FROM long GROUP BY ALL")
+@add("a94_feature_distribution", f"""{_SCALED} SELECT sampleID, metric, round(avg(value), 6) AS mean, round(quantile_cont(value, 0.5), 6) AS median,
+count(DISTINCT value) AS different FROM scaled WHERE metric IN ('MT_perc', 'Genes_in_cell', 'ISM_prop', 'UJCs_in_cell') GROUP BY ALL""")
 def _(spark, d):
-    return R.distribution_stats(few_metrics(spark, d), ["sampleID", "metric"])
+    top = spark.createDataFrame([(m,) for m in ("MT_perc", "Genes_in_cell", "ISM_prop", "UJCs_in_cell")], "metric string")
+    return H.feature_distribution(all_metrics(spark, d), top)
 
 
-@add("a80_cluster_profile", f"{_SUMMARY} SELECT CAST(CAST(substr(CB, 3) AS INT) % 5 AS INT) AS cluster, metric, {_QUART} FROM long GROUP BY ALL")
+@add("t05_cohort_union", f"""{_SUMMARY}, u AS (SELECT sampleID, CB, Reads_in_cell, UJCs_in_cell FROM s WHERE sampleID = 'S1'
+  UNION ALL SELECT sampleID, CB, Reads_in_cell, 0 FROM s WHERE sampleID = 'S2') SELECT sampleID, CB, Reads_in_cell, UJCs_in_cell FROM u""")
 def _(spark, d):
-    long = few_metrics(spark, d)
-    return R.cluster_profile(long, long.select("CB", (F.substring("CB", 3, 10).cast("int") % 5).alias("cluster")).distinct())
+    names = ["sampleID", "CB", "Reads_in_cell"]
+    own = summary_of(spark, d).select(*names, "UJCs_in_cell")
+    return H.cohort_union([own.filter("sampleID = 'S1'"), own.filter("sampleID = 'S2'").select(names)])
+
+
+#: Stand-ins for loadings: each metric's mean over cells and share of the sum, in two components.
+_LOADINGS = f"""{_SUMMARY}, l AS (SELECT metric, 'PC' || p AS pc, CASE WHEN p = '1' THEN round(avg(value), 6) ELSE -round(max(value), 6) END AS loading
+  FROM long JOIN (VALUES ('1'), ('2')) AS c(p) ON true GROUP BY metric, p),
+t AS (SELECT *, CAST(row_number() OVER (PARTITION BY pc ORDER BY abs(loading) DESC, metric) AS INT) AS rank FROM l)"""
+
+
+def _loadings(spark, d):
+    each = all_metrics(spark, d).groupBy("metric").agg(F.round(F.avg("value"), 6).alias("a"), (-F.round(F.max("value"), 6)).alias("b"))
+    return each.select("metric", F.inline(F.array(F.struct(F.lit("PC1").alias("pc"), F.col("a").alias("loading")), F.struct(F.lit("PC2").alias("pc"), F.col("b").alias("loading")))))
 
 
-@add("a91_category_means", "SELECT sampleID, 'FSM_prop' AS category, round(avg(p), 6) AS mean_percent FROM (SELECT sampleID, CB, 100.0 * " + w("structural_category = 'full-splice_match'") + " / sum(w) AS p FROM cells GROUP BY sampleID, CB) GROUP BY sampleID")
+@add("w03_t03_top_loadings", f"{_LOADINGS} SELECT *, CAST(sign(loading) AS INT) AS sign FROM t WHERE rank <= 10")
 def _(spark, d):
-    return H.category_means(S.category_counts(sums_of(spark, d))).filter("category = 'FSM_prop'")
+    return H.top_loadings(_loadings(spark, d))
 
 
-@add("a92_cohort_medians", f"{_SUMMARY} SELECT sampleID, metric, round(quantile_cont(value, 0.5), 6) AS median FROM long GROUP BY ALL")
+@add("t07_first_components", f"""{_LOADINGS} SELECT * EXCLUDE (rn) FROM (SELECT *, CAST(sign(loading) AS INT) AS sign,
+  row_number() OVER (PARTITION BY metric ORDER BY pc, rank) AS rn FROM t WHERE rank <= 10) WHERE rn = 1""")
 def _(spark, d):
-    return H.cohort_medians(few_metrics(spark, d))
+    return H.first_components(H.top_loadings(_loadings(spark, d)))
 
 
-@add("a93_varying_features", f"{_SUMMARY}, m AS (SELECT sampleID, metric, round(quantile_cont(value, 0.5), 6) AS median FROM long GROUP BY ALL) SELECT * FROM m WHERE metric IN (SELECT metric FROM m GROUP BY metric HAVING stddev_samp(median) > 0)")
+@add("w04_running_shares", "SELECT CAST(exons AS INT) AS pc, CAST(n AS DOUBLE) / t AS share, round(sum(CAST(n AS DOUBLE) / t) OVER (ORDER BY exons), 6) AS running FROM (SELECT exons, count(*) AS n, sum(count(*)) OVER () AS t FROM cells GROUP BY exons)".replace("CAST(n AS DOUBLE) / t AS share", "round(CAST(n AS DOUBLE) / t, 6) AS share"))
 def _(spark, d):
-    return H.drop_constant_features(H.cohort_medians(few_metrics(spark, d))).select("sampleID", "metric", "median")
+    cells = cells_of(spark, d)
+    n = cells.groupBy(F.col("exons").cast("int").alias("pc")).agg(F.count("*").alias("n"))
+    total = n.agg(F.sum("n").alias("t"))
+    return H.running_shares(n.join(F.broadcast(total)).select("pc", (F.col("n") / F.col("t")).alias("share")))
+
+
+_M = "(SELECT sampleID, CB, associated_gene, sum(w) AS n FROM cells WHERE associated_gene IS NOT NULL GROUP BY ALL)"
+_LOG = f"SELECT sampleID, CB, associated_gene, ln(1 + n / sum(n) OVER (PARTITION BY sampleID, CB) * 10000) AS x FROM {_M}"
 
 
-@add("m01_normalize_log1p", "SELECT CB, associated_gene, round(ln(1 + n / sum(n) OVER (PARTITION BY CB) * 10000), 6) AS x FROM (SELECT CB, associated_gene, sum(w) AS n FROM cells WHERE associated_gene IS NOT NULL GROUP BY ALL)")
+@add("m01_normalize_log1p", f"SELECT sampleID, CB, associated_gene, round(x, 6) AS x FROM ({_LOG})")
 def _(spark, d):
     return K.normalize_log1p(M.count_matrix(cells_of(spark, d)))
 
 
-@add("m02_normalize_sqrt", "SELECT CB, associated_gene, round(sqrt(sum(w)), 6) AS x FROM cells WHERE associated_gene IS NOT NULL GROUP BY ALL")
+@add("m02_normalize_sqrt", f"SELECT sampleID, CB, associated_gene, round(sqrt(n), 6) AS x FROM {_M}")
 def _(spark, d):
     return K.normalize_sqrt(M.count_matrix(cells_of(spark, d)))
 
 
-@add("a90_cohort_stats", ", s AS (SELECT sampleID, CB, sum(w) AS total_reads, count(DISTINCT UMI) AS total_UMI, count(DISTINCT associated_gene) AS Genes_in_cell, count(DISTINCT CASE WHEN exons > 1 THEN jxn_string END) AS UJCs_in_cell, 100.0 * " + w("chrom = 'MT'") + " / sum(w) AS MT_perc FROM cells GROUP BY sampleID, CB) SELECT sampleID, count(DISTINCT CB) AS cells, " + ", ".join(f"round(avg({n}), 6) AS mean_{n}, CAST(quantile_cont({n}, 0.5) AS DOUBLE) AS median_{n}" for n in ("total_reads", "total_UMI", "Genes_in_cell", "UJCs_in_cell")) + ", round(avg(MT_perc), 6) AS mean_MT_perc FROM s GROUP BY sampleID")
+_GRID = f"""g AS (SELECT c.sampleID, c.CB, a.associated_gene FROM (SELECT DISTINCT sampleID, CB FROM {_M}) c CROSS JOIN (SELECT DISTINCT associated_gene FROM {_M}) a)"""
+
+
+@add("m03_normalize_pearson", f""", {_GRID}, f AS (SELECT g.*, coalesce(n, 0) AS n FROM g LEFT JOIN {_M} USING (sampleID, CB, associated_gene)),
+z AS (SELECT *, sum(n) OVER (PARTITION BY sampleID, CB) * sum(n) OVER (PARTITION BY associated_gene) / sum(n) OVER () AS mu,
+  sqrt((SELECT count(DISTINCT (sampleID, CB)) FROM g)) AS most FROM f)
+SELECT sampleID, CB, associated_gene, round(greatest(least((n - mu) / sqrt(mu + mu * mu / 100), most), -most), 6) AS x FROM z""")
 def _(spark, d):
-    cells = cells_of(spark, d)
-    sums = S.category_sums(cells)
-    key = ["sampleID", "CB"]
-    return H.cohort_stats(S.cell_totals(cells, sums).join(S.gene_metrics(cells), key).join(S.ujc_metrics(cells), key, "left").join(S.mt_share(sums), key).na.fill(0))
+    m = M.count_matrix(cells_of(spark, d))
+    return K.normalize_pearson(m, m.select("associated_gene").distinct())
+
+
+_HVG = f""", x AS ({_LOG}), c AS (SELECT count(DISTINCT (sampleID, CB)) AS n FROM x),
+s AS (SELECT associated_gene, sum(x) / any_value(n) AS mean, (sum(x * x) / any_value(n) - (sum(x) / any_value(n)) ** 2) * any_value(n) / (any_value(n) - 1) / (sum(x) / any_value(n)) AS d
+  FROM x, c GROUP BY associated_gene),
+b AS (SELECT *, least(floor((mean - min(mean) OVER ()) / ((max(mean) OVER () - min(mean) OVER ()) / 20)), 19) AS bin FROM s)
+SELECT associated_gene, round(coalesce((d - avg(d) OVER (PARTITION BY bin)) / nullif(stddev_samp(d) OVER (PARTITION BY bin), 0), 0), 6) AS score FROM b"""
+
+
+@add("m04_highly_variable_genes", _HVG)
+def _(spark, d):
+    return K.highly_variable_genes(K.normalize_log1p(M.count_matrix(cells_of(spark, d))))
 
 
-@add("m04_to_m10_clusters")
+@add("m05_scale_clip", f""", {_GRID}, f AS (SELECT g.*, coalesce(x, 0) AS x FROM g LEFT JOIN ({_LOG}) USING (sampleID, CB, associated_gene))
+SELECT sampleID, CB, associated_gene, round(least(coalesce((x - avg(x) OVER (PARTITION BY associated_gene)) / nullif(stddev_samp(x) OVER (PARTITION BY associated_gene), 0), 0), 10), 6) AS x FROM f""")
 def _(spark, d):
     x = K.normalize_log1p(M.count_matrix(cells_of(spark, d)))
-    genes = K.highly_variable_genes(x, 100)
-    pcs = K.pca_cells(K.scale_clip(K.dense(x, genes)), 10)
+    return K.scale_clip(K.dense(x, x.select("associated_gene").distinct()))
+
+
+@add("m06_m08_m10_clusters")
+def _(spark, d):
+    x = K.normalize_log1p(M.count_matrix(cells_of(spark, d)))
+    pcs = K.pca_cells(K.scale_clip(K.dense(x, K.highly_variable_genes(x))))
     return K.cluster_table(K.cluster_kmeans(pcs))
 
 
-@add("m11_m12_cohort_loadings")
+def _embedded_cells(spark, d):
+    """Embeddings stand for cells' components."""
+    own = spark.read.parquet(f"{d}/embeddings.parquet").filter("embedding IS NOT NULL")
+    return own.select(F.concat(F.lit("S"), F.col("vec_id") % 4).alias("sampleID"), F.col("vec_id").cast("string").alias("CB"), F.col("embedding").cast("array<double>").alias("pcs"))
+
+
+_NEAR = """SELECT sampleID, CB, other, rank, round(distance, 6) AS distance FROM (SELECT concat('S', CAST(a.vec_id % 4 AS VARCHAR)) AS sampleID, CAST(a.vec_id AS VARCHAR) AS CB,
+  CAST(b.vec_id AS VARCHAR) AS other, distance, CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY distance, b.vec_id % 4, CAST(b.vec_id AS VARCHAR)) AS INT) AS rank
+  FROM (SELECT a, b, list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS distance FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)) WHERE rank <= 15"""
+
+
+@add("m07_knn_cells", _NEAR)
 def _(spark, d):
-    medians = H.drop_constant_features(H.cohort_medians(few_metrics(spark, d)))
-    return H.top_loadings(H.cohort_pca(medians)[1])
+    near = K.knn_cells(_embedded_cells(spark, d))
+    return near.select("sampleID", "CB", F.col("neighbour.CB").alias("other"), "rank", "distance")
 
 
+@add("m09_cluster_graph")
+def _(spark, d):
+    return K.cluster_graph(K.knn_cells(_embedded_cells(spark, d)))
+
+
+@add("m11_m12_cohort_loadings")
+def _(spark, d):
+    medians = H.drop_constant_features(H.cohort_medians(all_metrics(spark, d)))
+    return H.top_loadings(H.cohort_pca(medians)[1])

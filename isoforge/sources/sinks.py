@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 
 def write_cell_summary(df: DataFrame, path: str) -> None:
+    """A folder of gzipped parts, tab-separated, with a header; nulls as 0. Columns have the names of the summary's mode."""
     df.na.fill(0).write.option("sep", "\t").option("header", True).option("compression", "gzip").csv(path)
 
 
@@ -18,21 +19,25 @@ def write_table_csv(df: DataFrame, path: str) -> None:
 
 def write_enriched_classification(df: DataFrame, path: str) -> None:
     """Null as NA, booleans as TRUE and FALSE."""
-    out = df.select(*(F.upper(F.col(c).cast("string")).alias(c) if t == "boolean" else F.col(c).cast("string").alias(c) for c, t in df.dtypes))
-    out.na.fill("NA").write.option("sep", "\t").option("header", True).csv(path)
+    text = (F.upper(F.col(c).cast("string")).alias(c) if t == "boolean" else F.col(c).cast("string").alias(c) for c, t in df.dtypes)
+    df.select(*text).na.fill("NA").write.option("sep", "\t").option("header", True).csv(path)
 
 
 def numbered(df: DataFrame, column: str) -> DataFrame:
-    """1-based ranks of the distinct values only: ranges are counted first, so no window holds them all."""
+    """1-based ranks of the distinct values only: sorted ranges are counted first, so no window holds them all.
+
+    The sorted values are persisted, so that both uses see the same ranges.
+    """
     own = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    ordered = own.orderBy(column).withColumn("part", F.spark_partition_id())
-    before = ordered.groupBy("part").count().withColumn("before", F.coalesce(F.sum("count").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    ordered = own.orderBy(column).withColumn("part", F.spark_partition_id()).persist()
+    lower = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    before = ordered.groupBy("part").count().withColumn("before", F.coalesce(F.sum("count").over(lower), F.lit(0)))
     rank = F.row_number().over(W.partitionBy("part").orderBy(column))
     return ordered.withColumn("rank", rank).join(before, "part").select(column, (F.col("rank") + F.col("before")).alias("n"))
 
 
 def mex_triplets(counts: DataFrame, features: DataFrame | None = None) -> DataFrame:
-    """row, col, count of (isoform, CB, count), 1-based; ``features`` may hold isoforms without counts."""
+    """row, col, count of (isoform, CB, count) of one sample, 1-based; ``features`` may hold isoforms without counts."""
     rows = numbered(features if features is not None else counts, "isoform").withColumnRenamed("n", "row")
     cols = numbered(counts, "CB").withColumnRenamed("n", "col")
     return counts.join(rows, "isoform").join(cols, "CB").select("row", "col", "count")
@@ -46,7 +51,8 @@ def write_mex(counts: DataFrame, folder: str, features: DataFrame | None = None)
     head = f"%%MatrixMarket matrix coordinate integer general\n{rows.count()} {cols.count()} {triplets.count()}"
     spark = counts.sparkSession
     lines = triplets.select(F.struct("col", "row").alias("at"), F.concat_ws(" ", "row", "col", F.col("count").cast("long")).alias("value"))
-    first = spark.createDataFrame([(head,)], "value string").select(F.struct(F.lit(0).cast("long").alias("col"), F.lit(0).cast("long").alias("row")).alias("at"), "value")
+    zero = F.lit(0).cast("long")
+    first = spark.createDataFrame([(head,)], "value string").select(F.struct(zero.alias("col"), zero.alias("row")).alias("at"), "value")
     first.unionByName(lines).orderBy("at").select("value").write.text(f"{folder}/matrix.mtx")
     rows.orderBy("isoform").write.text(f"{folder}/features.tsv")
     cols.orderBy("CB").write.text(f"{folder}/barcodes.tsv")

@@ -1,32 +1,56 @@
-"""Readers of the text inputs; each gives a DataFrame of fixed columns."""
+"""Readers of the text inputs; each gives a DataFrame of fixed columns, rows of all samples told apart by ``sampleID``."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-STRINGS = ["isoform", "CB", "UMI", "chrom", "strand", "associated_gene", "associated_transcript", "structural_category", "subcategory", "all_canonical", "RTS_stage", "predicted_NMD", "within_CAGE_peak", "polyA_motif_found", "coding", "jxn_string", "jxnHash", "FL"]
+from isoforge.operators.explode import ROW
+
+STRINGS = [
+    "isoform", "CB", "UMI", "chrom", "strand", "associated_gene", "associated_transcript", "structural_category", "subcategory", "all_canonical",
+    "RTS_stage", "predicted_NMD", "within_CAGE_peak", "polyA_motif_found", "coding", "jxn_string", "jxnHash", "FL",
+]
 NUMBERS = ["exons", "length", "ref_length", "perc_A_downstream_TTS", "diff_to_gene_TSS", "min_cov", "ratio_TSS"]
 JUNCTION_STRINGS = ["isoform", "chrom", "strand", "junction_category", "canonical", "RTS_junction", "CB"]
 JUNCTION_NUMBERS = ["genomic_start_coord", "genomic_end_coord", "diff_to_Ref_start_site", "diff_to_Ref_end_site"]
 MANIFEST = ["cell_association", "abundance", "coverage", "SR_bam"]
-SUFFIXES = (".UMI_filtered.ED4.allinfo", ".allinfo", ".tagged.bam", ".bam", "_SQANTI_cell_summary.txt.gz", "_SQANTI_cell_summary.txt")
+#: Ends of file names that are not part of a sample's name. Fixed values but for the summary, which may have another.
+SUFFIXES = (
+    "_classification.txt", "_junctions.txt", ".UMI_filtered.ED4.allinfo", ".allinfo", ".tagged.bam", ".bam", "_cell_summary.txt.gz", "_cell_summary.txt",
+)
+#: Where a row stands: file, block and order in it; unlike the order of partitions it follows the files' lines.
+_AT = ("_metadata.file_path", "_metadata.file_block_start")
 
 
 def conform(df: DataFrame, strings: list[str], numbers: list[str]) -> DataFrame:
     """Missing columns as null, empty and 'NA' texts as null, numbers by try_cast with NaN as null."""
-    for c in strings:
-        df = df.withColumn(c, F.when(~F.col(c).isin("", "NA"), F.col(c)) if c in df.columns else F.lit(None).cast("string"))
+    there = set(df.columns)
+    out = {c: F.when(~F.col(c).isin("", "NA"), F.col(c)) if c in there else F.lit(None).cast("string") for c in strings}
     for c in numbers:
-        x = F.col(c).try_cast("double") if c in df.columns else F.lit(None).cast("double")
-        df = df.withColumn(c, F.when(~F.isnan(x), x))
-    return df
+        x = F.col(c).try_cast("double") if c in there else F.lit(None).cast("double")
+        out[c] = F.when(~F.isnan(x), x)
+    return df.withColumns(out)
 
 
-def sample_id_from_path(path: Column) -> Column:
+def sample_id_from_path(path: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
     """A file's name without its known suffix."""
     name = F.element_at(F.split(path, "/"), -1)
-    return F.regexp_replace(name, "(" + "|".join(s.replace(".", "\\.") for s in SUFFIXES) + ")$", "")
+    return F.regexp_replace(name, "(" + "|".join(s.replace(".", "\\.") for s in suffixes) + ")$", "")
+
+
+def path_key(path: Column) -> Column:
+    """A path without the scheme of local files, so that both ways of writing it are equal."""
+    return F.regexp_replace(F.regexp_replace(path, "^file:/*", "/"), "/+", "/")
+
+
+def _with_sample(df: DataFrame, manifest: DataFrame | None, column: str) -> DataFrame:
+    """``sampleID`` from the manifest's column of paths, or from the file's name."""
+    if manifest is None:
+        return df.withColumn("sampleID", sample_id_from_path(F.col("_metadata.file_path")))
+    return manifest_join(df.withColumn("source_file", F.col("_metadata.file_path")), manifest, column).drop("source_file")
 
 
 def _tsv(spark: SparkSession, paths, header: bool = True, comment: str | None = None, sep: str = "\t") -> DataFrame:
@@ -34,78 +58,137 @@ def _tsv(spark: SparkSession, paths, header: bool = True, comment: str | None =
     return (reader.option("comment", comment) if comment else reader).csv(paths)
 
 
-def read_classification(spark: SparkSession, paths) -> DataFrame:
-    return conform(_tsv(spark, paths).withColumn("sampleID", sample_id_from_path(F.col("_metadata.file_path"))), STRINGS, NUMBERS)
+def _tables(spark: SparkSession, paths, manifest: DataFrame | None, column: str, **options) -> DataFrame:
+    """Files, which may differ in their columns, as one table."""
+    each = [_with_sample(_tsv(spark, p, **options), manifest, column) for p in ([paths] if isinstance(paths, str) else paths)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), each)
+
+
+def read_classification(spark: SparkSession, paths, manifest: DataFrame | None = None) -> DataFrame:
+    return conform(_tables(spark, paths, manifest, "classification_file"), STRINGS, NUMBERS)
 
 
-def read_junctions(spark: SparkSession, paths=None) -> DataFrame:
+def read_junctions(spark: SparkSession, paths=None, manifest: DataFrame | None = None) -> DataFrame:
     """No path: no junctions."""
-    raw = _tsv(spark, paths) if paths else spark.createDataFrame([], "isoform string")
+    raw = _tables(spark, paths, manifest, "junction_file") if paths else spark.createDataFrame([], "sampleID string, isoform string")
     return conform(raw, JUNCTION_STRINGS, JUNCTION_NUMBERS)
 
 
-def read_manifest(spark: SparkSession, path: str, mode: str = "reads") -> tuple[DataFrame, DataFrame]:
-    """The samples, and those that lack what the mode needs, with the reason. Missing columns raise ValueError."""
+def read_cell_summaries(spark: SparkSession, paths, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+    """Written summaries, numbers as such; a file without ``sampleID`` has it from its name, columns that a sample lacks are 0."""
+    each = []
+    for p in [paths] if isinstance(paths, str) else paths:
+        df = _tsv(spark, p)
+        if "sampleID" not in df.columns:
+            df = df.withColumn("sampleID", sample_id_from_path(F.col("_metadata.file_path"), suffixes))
+        each.append(df.select("sampleID", "CB", *(F.col(c).try_cast("double").alias(c) for c in df.columns if c not in ("sampleID", "CB"))))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), each).na.fill(0)
+
+
+def manifest_violations(manifest: DataFrame, mode: str = "reads") -> DataFrame:
+    """Samples that lack what the mode needs, with the reason."""
+    lacks = F.col("cell_association") == "" if mode == "reads" else (F.col("cell_association") == "") & (F.col("abundance") == "")
+    reason = "no cell association" if mode == "reads" else "neither cell association nor abundance"
+    return manifest.filter(lacks).select("sampleID", F.lit(reason).alias("reason"))
+
+
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
+def _searched(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFrame:
+    """Associations that the manifest leaves out: ``<file_acc>*.bam`` or ``<file_acc>_cell_association.txt`` in the folder."""
+    rows = []
+    for r in manifest.filter("cell_association = ''").select("sampleID", "file_acc").collect():  # a row for each sample
+        found = _glob(spark, f"{folder}/{r['file_acc']}*.bam") or _glob(spark, f"{folder}/{r['file_acc']}_cell_association.txt")
+        rows += [(r["sampleID"], found[0])] if found else []
+    more = spark.createDataFrame(rows, "sampleID string, __found string")
+    own = manifest.join(F.broadcast(more), "sampleID", "left").withColumn("cell_association", F.coalesce("__found", "cell_association"))
+    return own.select(manifest.columns)
+
+
+def read_manifest(spark: SparkSession, path: str, mode: str = "reads", input_dir: str | None = None, out_dir: str | None = None) -> DataFrame:
+    """The samples. Missing columns, and samples that lack what the mode needs, raise ValueError.
+
+    With ``input_dir`` associations that are left out are looked for there. Files of a sample are in
+    ``out_dir``/``file_acc``, unless the manifest names them.
+    """
     df = spark.read.option("header", True).csv(path)
     if missing := {"sampleID", "file_acc"} - set(df.columns):
         raise ValueError(f"the manifest lacks {sorted(missing)}")
     df = df.withColumns({c: F.coalesce(F.col(c), F.lit("")) if c in df.columns else F.lit("") for c in MANIFEST})
-    df = df.withColumn("classification_file", F.concat_ws("/", "file_acc", F.concat("sampleID", F.lit("_classification.txt"))))
-    df = df.withColumn("junction_file", F.concat_ws("/", "file_acc", F.concat("sampleID", F.lit("_junctions.txt"))))
-    lacks = F.col("cell_association") == "" if mode == "reads" else (F.col("cell_association") == "") & (F.col("abundance") == "")
-    reason = "no cell association" if mode == "reads" else "neither cell association nor abundance"
-    return df, df.filter(lacks).select("sampleID", F.lit(reason).alias("reason"))
+    folder = [F.lit(out_dir)] if out_dir else []
+    for name in ("classification", "junction"):
+        column, suffix = f"{name}_file", "_classification.txt" if name == "classification" else "_junctions.txt"
+        own = F.concat_ws("/", *folder, "file_acc", F.concat("sampleID", F.lit(suffix)))
+        df = df.withColumn(column, F.coalesce(F.nullif(F.col(column), F.lit("")), own) if column in df.columns else own)
+    if input_dir:
+        df = _searched(spark, df, input_dir)
+    if bad := [f"{r['sampleID']}: {r['reason']}" for r in manifest_violations(df, mode).collect()]:
+        raise ValueError(f"samples lack input for mode {mode}: {'; '.join(bad)}")
+    return df
 
 
-def manifest_join(df: DataFrame, manifest: DataFrame, prefix: str = "file_acc") -> DataFrame:
-    """``sampleID`` of the manifest for rows by their file prefix; the manifest has a row for each sample."""
-    return df.drop("sampleID").join(F.broadcast(manifest.select(prefix, "sampleID")), prefix)
+def manifest_join(df: DataFrame, manifest: DataFrame, column: str = "classification_file", file: str = "source_file") -> DataFrame:
+    """``sampleID`` of the manifest for rows by their file; the manifest has a row for each sample."""
+    own = manifest.select(path_key(F.col(column)).alias("__file"), "sampleID")
+    return df.drop("sampleID").withColumn("__file", path_key(F.col(file))).join(F.broadcast(own), "__file").drop("__file")
 
 
-def last_of(df: DataFrame, key: str, columns: list[str], order: str = "__at") -> DataFrame:
+def last_of(df: DataFrame, keys: list[str], columns: list[str], order: str = "__at") -> DataFrame:
     """The row that came last, for each key."""
-    return df.groupBy(key).agg(F.max_by(F.struct(*columns), order).alias("__last")).select(key, "__last.*")
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*columns), order).alias("__last")).select(*keys, "__last.*")
 
 
 def _in_order(df: DataFrame) -> DataFrame:
-    """``__at`` follows the order of lines in a single file: taken right after the scan."""
-    return df.withColumn("__at", F.monotonically_increasing_id())
+    """``__at`` follows the names of files and the order of their lines: taken right after the scan."""
+    return df.withColumn("__at", F.struct(*(F.col(c).alias(c.rsplit(".", 1)[1]) for c in _AT), F.monotonically_increasing_id().alias("n")))
 
 
-def read_cell_association_reads(spark: SparkSession, path: str) -> DataFrame:
-    """isoform, CB, UMI; a repeated id takes its last row."""
-    df = _in_order(_tsv(spark, path, comment="#"))
+def read_cell_association_reads(spark: SparkSession, path, manifest: DataFrame | None = None) -> DataFrame:
+    """sampleID, isoform, CB, UMI; a repeated id takes its last row."""
+    df = _with_sample(_in_order(_tsv(spark, path, comment="#")), manifest, "cell_association")
     barcode = next((c for c in ("cell_barcode", "cb") if c in df.columns), None)
     if barcode is None or "id" not in df.columns:
         raise ValueError("a cell association needs id and cell_barcode")
     umi = F.col("umi") if "umi" in df.columns else F.lit(None).cast("string")
-    return last_of(df.select(F.col("id").alias("isoform"), F.col(barcode).alias("CB"), umi.alias("UMI"), "__at"), "isoform", ["CB", "UMI"])
+    own = df.select("sampleID", F.col("id").alias("isoform"), F.col(barcode).alias("CB"), umi.alias("UMI"), "__at")
+    return last_of(own, ROW, ["CB", "UMI"])
 
 
-def read_cell_association_isoforms(spark: SparkSession, path: str) -> DataFrame:
-    """isoform, CB list: by the header's names, or the first two columns without a known header."""
+def read_cell_association_isoforms(spark: SparkSession, path: str, manifest: DataFrame | None = None) -> DataFrame:
+    """sampleID, isoform, CB list: by the header's names, or the first two columns without a known header."""
     names = {c.lower(): i for i, c in enumerate(_tsv(spark, path, comment="#").columns)}
     ids = [names[c] for c in ("pbid", "isoform_id", "isoform", "id") if c in names]
     cells = [names[c] for c in ("cell_barcodes", "cbs", "cb") if c in names]
     known = bool(ids and cells)
-    df = _in_order(_tsv(spark, path, header=known, comment="#"))
-    a, b = (df.columns[ids[0]], df.columns[cells[0]]) if known else df.columns[:2]
-    own = df.select(F.col(a).alias("isoform"), F.col(b).alias("CB"), "__at").filter("isoform IS NOT NULL AND CB IS NOT NULL")
-    return last_of(own, "isoform", ["CB"])
+    raw = _tsv(spark, path, header=known, comment="#")
+    a, b = (raw.columns[ids[0]], raw.columns[cells[0]]) if known else raw.columns[:2]
+    df = _with_sample(_in_order(raw), manifest, "cell_association")
+    own = df.select("sampleID", F.col(a).alias("isoform"), F.col(b).alias("CB"), "__at").filter("isoform IS NOT NULL AND CB IS NOT NULL")
+    return last_of(own, ROW, ["CB"])
+
 
+def read_tagged_reads(tags: DataFrame, umi_tags: tuple[str, ...] = ("XM",), order: str | None = None) -> DataFrame:
+    """sampleID, isoform, CB, UMI of reads that have a UMI and a cell; a repeated name takes its last row.
 
-def read_tagged_reads(tags: DataFrame) -> DataFrame:
-    """isoform, CB, UMI of reads with both tags (UMI: XM, else UB)."""
-    umi = F.coalesce(*(F.col(c) for c in ("XM", "UB") if c in tags.columns))
-    own = _in_order(tags).select(F.col("read_name").alias("isoform"), "CB", umi.alias("UMI"), "__at").filter("CB IS NOT NULL AND UMI IS NOT NULL")
-    return last_of(own, "isoform", ["CB", "UMI"])
+    Only tag XM counts as a UMI, unless others are given. ``tags`` has sampleID, read_name and a column for
+    each tag; ``order`` names a column that follows the reads, else it is their order in the scan.
+    """
+    umi = F.coalesce(*(F.col(c) if c in tags.columns else F.lit(None).cast("string") for c in umi_tags))
+    at = F.monotonically_increasing_id() if order is None else F.col(order)
+    own = tags.select("sampleID", F.col("read_name").alias("isoform"), "CB", umi.alias("UMI"), at.alias("__at"))
+    return last_of(own.filter("CB IS NOT NULL AND UMI IS NOT NULL"), ROW, ["CB", "UMI"])
 
 
 def read_sam_text(spark: SparkSession, path: str) -> DataFrame:
-    """read_name and CB (the first CB:Z: tag) of alignment lines."""
+    """sampleID, read_name and CB (the first CB:Z: tag) of alignment lines."""
     parts = F.split("value", "\t")
     tags = F.filter(F.slice(parts, 12, 10_000), lambda t: t.startswith("CB:Z:"))
-    own = spark.read.text(path).filter(~F.col("value").startswith("@")).select(parts[0].alias("read_name"), F.substring(F.get(tags, F.lit(0)), 6, 10_000).alias("CB"))
+    own = _with_sample(spark.read.text(path), None, "").filter(~F.col("value").startswith("@"))
+    own = own.select("sampleID", parts[0].alias("read_name"), F.substring(F.get(tags, F.lit(0)), 6, 10_000).alias("CB"))
     return own.filter("CB IS NOT NULL AND CB != ''")
 
 
@@ -115,36 +198,41 @@ def _numbered(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.createDataFrame(lines, f"n long, {name} string")
 
 
-def read_mex(spark: SparkSession, folder: str) -> DataFrame:
-    """isoform, CB, count; comment lines, the line of dimensions and indices out of range are dropped."""
-    lines = _in_order(spark.read.text(f"{folder}/matrix.mtx").filter(~F.col("value").startswith("%") & (F.trim("value") != "")))
-    first = lines.agg(F.min("__at")).first()[0]
+def read_mex(spark: SparkSession, folder: str, sample: str | None = None) -> DataFrame:
+    """sampleID (by default the folder's name), isoform, CB, count; comment lines, the line of dimensions and indices out of range are dropped."""
+    lines = _in_order(spark.read.text(f"{folder}/matrix.mtx")).filter(~F.col("value").startswith("%") & (F.trim("value") != ""))
+    first = lines.agg(F.min("__at").alias("at")).first()["at"]
+    if first is not None:
+        lines = lines.filter(~((F.col("__at.file_path") == first["file_path"]) & (F.col("__at.n") == first["n"])))
     parts = F.split(F.trim("value"), r"\s+")
-    cells = lines.filter(F.col("__at") > F.lit(first)).select(parts[0].cast("long").alias("row"), parts[1].cast("long").alias("col"), parts[2].cast("double").alias("count"))
+    cells = lines.select(parts[0].cast("long").alias("row"), parts[1].cast("long").alias("col"), parts[2].cast("double").alias("count"))
     features, barcodes = _numbered(spark, f"{folder}/features.tsv", "isoform"), _numbered(spark, f"{folder}/barcodes.tsv", "CB")
     joined = cells.join(features.withColumnRenamed("n", "row"), "row").join(barcodes.withColumnRenamed("n", "col"), "col")
-    return joined.select("isoform", "CB", "count")
+    return joined.select(F.lit(sample or folder.rstrip("/").rsplit("/", 1)[-1]).alias("sampleID"), "isoform", "CB", "count")
 
 
 def read_group_file(spark: SparkSession, path: str) -> DataFrame:
-    """isoform, molecule; a molecule on several lines belongs to the last."""
+    """sampleID, molecule, isoform; a molecule on several lines belongs to the last."""
     parts = F.split("value", "\t")
-    own = _in_order(spark.read.text(path)).filter(F.size(parts) >= 2).select(parts[0].alias("isoform"), F.explode(F.split(parts[1], ",")).alias("molecule"), "__at")
-    return last_of(own.filter("molecule != ''"), "molecule", ["isoform"])
+    own = _with_sample(_in_order(spark.read.text(path)), None, "").filter(F.size(parts) >= 2)
+    own = own.select("sampleID", parts[0].alias("isoform"), F.explode(F.split(parts[1], ",")).alias("molecule"), "__at")
+    return last_of(own.filter("molecule != ''"), ["sampleID", "molecule"], ["isoform"])
 
 
 def read_allinfo(spark: SparkSession, path) -> DataFrame:
+    """Assigned reads: lines of at least 12 fields; a missing type is ``unknown``."""
     parts = F.split("value", "\t")
-    own = _in_order(spark.read.text(path)).filter(F.size(parts) >= 12)
+    own = _with_sample(_in_order(spark.read.text(path)), None, "").filter(F.size(parts) >= 12)
     names = {"read": 0, "gene": 1, "barcode": 3, "read_type": 9, "transcript": 11}
     kind = F.coalesce(F.get(parts, F.lit(12)), F.lit("unknown"))
-    return own.select(*(F.get(parts, F.lit(i)).alias(n) for n, i in names.items()), kind.alias("transcript_type"), "__at", sample_id_from_path(F.col("_metadata.file_path")).alias("sampleID"))
+    return own.select("sampleID", *(F.get(parts, F.lit(i)).alias(n) for n, i in names.items()), kind.alias("transcript_type"), "__at")
 
 
-def read_gtf(spark: SparkSession, path: str) -> DataFrame:
-    """Exon rows: chrom, start, end, strand, gene_id, transcript_id."""
+def read_gtf(spark: SparkSession, path) -> DataFrame:
+    """Exon rows: sampleID, chrom, start, end, strand, gene_id, transcript_id."""
     df = _tsv(spark, path, header=False, comment="#")
     names = dict(zip(df.columns, ("chrom", "source", "feature", "start", "end", "score", "strand", "frame", "attributes"), strict=False))
-    df = df.withColumnsRenamed(names).filter("feature = 'exon'")
+    df = df.withColumn("sampleID", sample_id_from_path(F.col("_metadata.file_path"), (*SUFFIXES, ".gtf"))).withColumnsRenamed(names).filter("feature = 'exon'")
     tag = lambda t: F.regexp_extract("attributes", rf'{t} "([^"]*)"', 1).alias(t)
-    return df.select("chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "strand", tag("gene_id"), tag("transcript_id"))
+    at = (F.col(c).cast("long").alias(c) for c in ("start", "end"))
+    return df.select("sampleID", "chrom", *at, "strand", tag("gene_id"), tag("transcript_id"))

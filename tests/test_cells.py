@@ -8,9 +8,13 @@ from isoforge.operators import cell_summary as S
 from isoforge.operators import cell_tables as T
 from isoforge.operators import clustering as K
 from isoforge.operators import enrich as E
+from isoforge.operators import matrix as M
+from isoforge.operators import report_tables as R
 from isoforge.operators.explode import explode_cells, unequal_lists
+from isoforge.plans.run import run_qc
 from isoforge.sources import sinks, text
 
+JUNCTIONS = "sampleID string, isoform string, chrom string, strand string, genomic_start_coord long, genomic_end_coord long, diff_to_Ref_start_site double, diff_to_Ref_end_site double"
 BASE = {"sampleID": "S", "CB": "C1", "UMI": "U", "chrom": "chr1", "strand": "+", "structural_category": "genic"}
 
 
@@ -29,7 +33,7 @@ def test_isoform_lists_keep_weights(spark):
 def test_no_valid_barcode_gives_no_cells(spark):
     cells = explode_cells(classification(spark, [{"CB": ""}, {"CB": "NA"}, {"CB": "unassigned"}]))
     assert cells.count() == 0
-    assert S.cell_summary(cells, text.read_junctions(spark).withColumn("sampleID", F.lit("S"))).count() == 0
+    assert S.cell_summary(cells, text.read_junctions(spark)).count() == 0
 
 
 def test_edges_of_bins_and_cutoffs(spark):
@@ -55,8 +59,8 @@ def test_majority_tie_takes_the_smaller(spark):
 
 def test_variation_of_single_and_equal_junctions(spark):
     cells = explode_cells(classification(spark, [{"associated_gene": "g"}, {"associated_gene": "novel1"}]))
-    junctions = spark.createDataFrame([("i0", "chr1", "+", 100, 200, 2.0, 0.0), ("i1", "chr1", "+", 100, 300, 2.0, 1.0)], "isoform string, chrom string, strand string, genomic_start_coord long, genomic_end_coord long, diff_to_Ref_start_site double, diff_to_Ref_end_site double")
-    junctions = junctions.withColumns({"CB": F.lit(None).cast("string"), "sampleID": F.lit(None).cast("string")})
+    rows = [("S", "i0", "chr1", "+", 100, 200, 2.0, 0.0), ("S", "i1", "chr1", "+", 100, 300, 2.0, 1.0), ("T", "i0", "chr1", "+", 100, 200, 9.0, 9.0)]
+    junctions = spark.createDataFrame(rows, JUNCTIONS).withColumn("CB", F.lit(None).cast("string"))
     got = {(r["coord"], r["flag_donor"]): r for r in T.junction_cv_by_cell(cells, junctions).collect()}
     both, zero = got[102, 1], got[200, 0]
     assert (both["cv"], both["flag_cv_0"], both["flag_multi_gene"], both["flag_annotated_gene"], both["associated_gene"]) == (0.0, 1, 1, 0, "g|novel1")
@@ -64,10 +68,47 @@ def test_variation_of_single_and_equal_junctions(spark):
 
 
 def test_duplicates_take_their_primary(spark):
-    cls = spark.createDataFrame([("r", "x", "u"), ("r_dup1", None, None), ("q_dup1", None, None)], "isoform string, CB string, UMI string")
-    assoc = spark.createDataFrame([("r", "c1", "u1"), ("q_dup1", "c2", "u2"), ("q", "c3", "u3")], "isoform string, CB string, UMI string")
-    got = {r["isoform"]: r["CB"] for r in E.annotate_cells_reads(cls, assoc).collect()}
-    assert got == {"r": "c1", "r_dup1": "c1", "q_dup1": "c2"}
+    """The primary counts when it is in the association, whether or not it is in the table; samples are apart."""
+    names = [("S", n) for n in ("r", "r_dup1", "q_dup1", "p_dup2", "o_dup1")] + [("T", "r_dup1")]
+    cls = spark.createDataFrame([(*n, "x", "u") for n in names], "sampleID string, isoform string, CB string, UMI string")
+    rows = [("S", "r", "c1", "u1"), ("S", "q_dup1", "c2", "u2"), ("S", "q", "c3", "u3"), ("S", "p_dup2", "c4", "u4"), ("S", "o", None, None), ("S", "o_dup1", "c5", "u5"), ("T", "r_dup1", "c6", "u6")]
+    assoc = spark.createDataFrame(rows, "sampleID string, isoform string, CB string, UMI string")
+    got = {(r["sampleID"], r["isoform"]): r["CB"] for r in E.annotate_cells_reads(cls, assoc).collect()}
+    assert got == {("S", "r"): "c1", ("S", "r_dup1"): "c1", ("S", "q_dup1"): "c3", ("S", "p_dup2"): "c4", ("S", "o_dup1"): None, ("T", "r_dup1"): "c6"}
+
+
+def test_two_samples_with_the_same_names_stay_apart(spark):
+    rows = [
+        {"sampleID": s, "associated_gene": f"g{s}", "jxn_string": "j", "jxnHash": "h", "exons": 2, "structural_category": c, "FL": fl}
+        for s, c, fl in (("S", "genic", "2"), ("T", "fusion", "5"))
+    ]
+    cls = classification(spark, rows).withColumn("isoform", F.lit("PB.1"))
+    cells = explode_cells(cls)
+    made = [(s, "PB.1", "chr1", "+", 100, 200, 0.0, 0.0) for s in ("S", "T", "T")]
+    junctions = spark.createDataFrame(made, JUNCTIONS).withColumns({"CB": F.lit("C1"), "junction_category": F.lit("known"), "canonical": F.lit("canonical"), "RTS_junction": F.lit("F")})
+    by_sample = lambda df, *c: sorted(tuple(r[x] for x in ("sampleID", *c)) for r in df.collect())
+    assert by_sample(T.ujc_counts_by_cell(cells, junctions), "associated_gene", "known_canonical") == [("S", "gS", 1), ("T", "gT", 2)]
+    assert by_sample(T.junction_cv_by_cell(cells, junctions), "count") == [("S", 1), ("S", 1), ("T", 2), ("T", 2)]
+    assert by_sample(R.junction_type_by_category(cells, junctions).filter("n > 0"), "structural_category", "n") == [("S", "genic", 1), ("T", "fusion", 2)]
+    assert by_sample(E.junction_cells_fallback(junctions, cells), "CB") == [("S", "C1"), ("T", "C1"), ("T", "C1")]
+    assert by_sample(E.junction_weights(junctions, cls), "_weight") == [("S", 2.0), ("T", 5.0), ("T", 5.0)]
+    assert by_sample(E.attach_ujc(cls, cls.select("sampleID", "isoform", "jxn_string")), "jxn_string") == [("S", "j"), ("T", "j")]
+    m = M.count_matrix(cells)
+    assert by_sample(K.normalize_log1p(m), "associated_gene") == [("S", "gS"), ("T", "gT")]
+    assert by_sample(K.dense(m, m.select("associated_gene"), "count"), "count") == [("S", 0.0), ("S", 1.0), ("T", 0.0), ("T", 1.0)]
+    long = S.long_form(S.cell_summary(cells, junctions).select("sampleID", "CB", "Reads_in_cell", "total_junctions"))
+    clusters = spark.createDataFrame([("S", "C1", 0), ("T", "C1", 1)], "sampleID string, CB string, cluster int")
+    got = {(r["cluster"], r["metric"]): (r["mean"], r["n"]) for r in R.cluster_profile(long, clusters).collect()}
+    assert got[0, "total_junctions"] == (1.0, 1) and got[1, "total_junctions"] == (2.0, 1)
+
+
+def test_summary_names_by_mode(spark):
+    cells = explode_cells(classification(spark, [{"exons": 2, "jxn_string": "j", "associated_gene": "g"}]))
+    junctions = text.read_junctions(spark)
+    reads, isoforms = S.cell_summary(cells, junctions), S.cell_summary(cells, junctions, "isoforms", skip_orf=True)
+    assert {"Reads_in_cell", "UMIs_in_cell", "UJCs_in_cell", "total_reads_no_monoexon", "MT_reads_count"} <= set(reads.columns)
+    assert {"Transcripts_in_cell", "total_transcripts_no_monoexon", "MT_transcripts_count"} <= set(isoforms.columns)
+    assert not {"UMIs_in_cell", "UJCs_in_cell", "FSM_NMD_prop"} & set(isoforms.columns) and isoforms.first()["FSM_non_coding_prop"] == 100
 
 
 def test_readers(spark, tmp_path):
@@ -76,29 +117,120 @@ def test_readers(spark, tmp_path):
     (tmp_path / "bad.tsv").write_text("id\tother\nr\tx\n")
     with pytest.raises(ValueError):
         text.read_cell_association_reads(spark, str(tmp_path / "bad.tsv"))
+    (tmp_path / "lists.tsv").write_text("isoform_id\tCBs\ni1\tA,B\ni1\tC\ni2\t\n")
+    (tmp_path / "bare.tsv").write_text("i1\tA,B\ni2\tC\n")
+    assert [tuple(r)[1:] for r in text.read_cell_association_isoforms(spark, str(tmp_path / "lists.tsv")).collect()] == [("i1", "C")]
+    assert {tuple(r)[1:] for r in text.read_cell_association_isoforms(spark, str(tmp_path / "bare.tsv")).collect()} == {("i1", "A,B"), ("i2", "C")}
+    tags = spark.createDataFrame([("S", "r1", "A", "x", None), ("S", "r2", "B", None, "y"), ("S", "r1", "C", "z", None), ("S", "r3", None, "x", None)], "sampleID string, read_name string, CB string, XM string, UB string").coalesce(1)
+    assert [tuple(r)[1:] for r in text.read_tagged_reads(tags).collect()] == [("r1", "C", "z")]
+    assert {r["isoform"] for r in text.read_tagged_reads(tags, ("XM", "UB")).collect()} == {"r1", "r2"}
     (tmp_path / "reads.sam").write_text("@HD\tVN\n" + "\t".join(["read1", *["x"] * 10, "NM:i:0", "CB:Z:AAA", "CB:Z:BBB"]) + "\nread2\tx\n")
-    assert [tuple(r) for r in text.read_sam_text(spark, str(tmp_path / "reads.sam")).collect()] == [("read1", "AAA")]
+    assert [tuple(r)[1:] for r in text.read_sam_text(spark, str(tmp_path / "reads.sam")).collect()] == [("read1", "AAA")]
     (tmp_path / "g.gtf").write_text('chr1\ts\texon\t10\t20\t.\t+\t.\tgene_id "g"; transcript_id "t";\nchr1\ts\texon\t31\t40\t.\t+\t.\tgene_id "g"; transcript_id "t";\n')
-    assert E.ujc_from_gtf(text.read_gtf(spark, str(tmp_path / "g.gtf"))).first()["jxn_string"] == "chr1_+_21_30"
+    got = E.ujc_from_gtf(text.read_gtf(spark, str(tmp_path / "g.gtf"))).first()
+    assert (got["sampleID"], got["jxn_string"]) == ("g", "chr1_+_21_30")
+    (tmp_path / "groups.txt").write_text("i1\tm1,m2\ni2\tm2\nshort\n")
+    assert {tuple(r)[1:] for r in text.read_group_file(spark, str(tmp_path / "groups.txt")).collect()} == {("m1", "i1"), ("m2", "i2")}
+    fields = ["read", "gene", "x", "bc", *["x"] * 5, "known", "x", "tx"]
+    (tmp_path / "S7.UMI_filtered.ED4.allinfo").write_text("\t".join(fields) + "\n" + "\t".join([*fields, "coding"]) + "\nshort\n")
+    assert sorted((r["sampleID"], r["transcript"], r["transcript_type"]) for r in text.read_allinfo(spark, str(tmp_path / "S7.UMI_filtered.ED4.allinfo")).collect()) == [("S7", "tx", "coding"), ("S7", "tx", "unknown")]
+
+
+def test_last_rows_follow_the_order_of_files(spark, tmp_path):
+    """Large files come first in Spark's partitions; a repeated id takes the last row all the same."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "a.tsv").write_text("id\tcell_barcode\n" + "".join(f"r{i}\told\n" for i in range(5000)))
+    (folder / "b.tsv").write_text("id\tcell_barcode\nr7\tnew\n")
+    manifest = spark.createDataFrame([("S", str(folder / "a.tsv")), ("S", str(folder / "b.tsv"))], "sampleID string, cell_association string")
+    got = text.read_cell_association_reads(spark, str(folder), manifest).filter("isoform IN ('r7', 'r8')").collect()
+    assert {r["isoform"]: r["CB"] for r in got} == {"r7": "new", "r8": "old"}
+
+
+def test_manifest(spark, tmp_path):
     (tmp_path / "m.csv").write_text("sampleID,file_acc\ns,f\n")
-    assert text.read_manifest(spark, str(tmp_path / "m.csv"))[1].count() == 1
+    with pytest.raises(ValueError, match="s: no cell association"):
+        text.read_manifest(spark, str(tmp_path / "m.csv"))
+    (tmp_path / "f_cell_association.txt").write_text("id\tcell_barcode\n")
+    row = text.read_manifest(spark, str(tmp_path / "m.csv"), input_dir=str(tmp_path), out_dir="/d").first()
+    assert row["cell_association"].endswith("f_cell_association.txt") and row["classification_file"] == "/d/f/s_classification.txt"
     (tmp_path / "n.csv").write_text("sampleID\ns\n")
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="file_acc"):
         text.read_manifest(spark, str(tmp_path / "n.csv"))
 
 
+def _write_sample(folder, sample, gene, mode):
+    (folder / f"acc{sample}").mkdir(parents=True)
+    own = folder / f"acc{sample}"
+    extra = "" if sample == "S1" else "\tRTS_stage"
+    names = ["PB.1", "PB.1_dup1", "PB.2"]
+    lines = [f"{n}\tchr1\t+\t{gene}\tgenic\t{e}\tj{n[3]}\th{n[3]}" + ("" if sample == "S1" else "\tTRUE") for n, e in zip(names, (2, 2, 1), strict=True)]
+    (own / f"{sample}_classification.txt").write_text(f"isoform\tchrom\tstrand\tassociated_gene\tstructural_category\texons\tjxn_string\tjxnHash{extra}\n" + "\n".join(lines) + "\n")
+    (own / f"{sample}_junctions.txt").write_text(
+        "isoform\tchrom\tstrand\tgenomic_start_coord\tgenomic_end_coord\tjunction_category\tcanonical\tdiff_to_Ref_start_site\tdiff_to_Ref_end_site\n"
+        "PB.1\tchr1\t+\t100\t200\tknown\tcanonical\t0\t0\n"
+    )
+    path = folder / f"acc{sample}_cell_association.txt"
+    path.write_text("id\tcell_barcode\tumi\nPB.1\tC1\tu1\nPB.2\tC2\tu2\n" if mode == "reads" else "pbid\tcell_barcodes\nPB.1\tC1,C2\nPB.2\tC2\n")
+
+
+@pytest.mark.parametrize("mode", ["reads", "isoforms"])
+def test_a_run_from_files(spark, tmp_path, mode):
+    for sample, gene in (("S1", "gA"), ("S2", "novel_1")):
+        _write_sample(tmp_path, sample, gene, mode)
+    (tmp_path / "design.csv").write_text("sampleID,file_acc\nS1,accS1\nS2,accS2\n")
+    run_qc(spark, str(tmp_path / "design.csv"), str(tmp_path / "out"), mode, str(tmp_path), str(tmp_path))
+    got = {(r["sampleID"], r["CB"]): r for r in text.read_cell_summaries(spark, str(tmp_path / "out/cell_summary")).collect()}
+    assert set(got) == {(s, c) for s in ("S1", "S2") for c in ("C1", "C2")}
+    if mode == "reads":
+        assert [got["S1", c]["Reads_in_cell"] for c in ("C1", "C2")] == [2, 1] and got["S1", "C1"]["UMIs_in_cell"] == 1
+        assert got["S2", "C1"]["RTS_prop_in_cell"] == 100 and got["S1", "C1"]["RTS_prop_in_cell"] == 0
+    else:
+        assert [got["S1", c]["Transcripts_in_cell"] for c in ("C1", "C2")] == [1, 2]
+        assert got["S1", "C2"]["total_junctions"] == 1
+    assert got["S2", "C1"]["Novel_genes"] == 1 and got["S1", "C1"]["Known_canonical_junctions"] == 1
+    genes = spark.read.option("header", True).csv(str(tmp_path / "out/gene_counts")).collect()
+    assert {(r["sampleID"], r["associated_gene"]) for r in genes} == {("S1", "gA"), ("S2", "novel_1")}
+    back = text.read_classification(spark, str(tmp_path / "out/classification")).collect()
+    assert {r["CB"] for r in back if r["isoform"] == "PB.1_dup1"} == ({"C1"} if mode == "reads" else {None})
+    assert spark.read.option("header", True).csv(str(tmp_path / "out/junction_cv")).count() == (4 if mode == "reads" else 8)
+
+
 def test_matrix_round_trip(spark, tmp_path):
     counts = spark.createDataFrame([("b", "y", 2.0), ("a", "x", 1.0), ("b", "x", 3.0)], "isoform string, CB string, count double")
     sinks.write_mex(counts, str(tmp_path / "m"))
-    assert {tuple(r) for r in text.read_mex(spark, str(tmp_path / "m")).collect()} == {("b", "y", 2.0), ("a", "x", 1.0), ("b", "x", 3.0)}
+    assert {tuple(r)[1:] for r in text.read_mex(spark, str(tmp_path / "m")).collect()} == {("b", "y", 2.0), ("a", "x", 1.0), ("b", "x", 3.0)}
 
 
-def test_neighbours_against_brute_force(spark):
-    pcs = spark.createDataFrame([(f"c{i:02}", [float(i * i % 17), float(i)]) for i in range(30)], "CB string, pcs array<double>")
+def test_neighbours_against_brute_force(spark, monkeypatch):
+    pcs = spark.createDataFrame([("S", f"c{i:02}", [float(i * i % 17), float(i)]) for i in range(30)], "sampleID string, CB string, pcs array<double>")
     rows = {r["CB"]: r["pcs"] for r in pcs.collect()}
-    got = {(r["CB"], r["rank"]): r["distance"] for r in K.knn_cells(pcs, 3, block=7).collect()}
-    for c, p in rows.items():
-        truth = sorted(((p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2) ** 0.5 for o, q in rows.items() if o != c)[:3]
-        assert [round(got[c, i + 1], 9) for i in range(3)] == [round(x, 9) for x in truth]
-    two = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "d"), ("d", "c")], "CB string, neighbour string")
-    assert {r["CB"]: r["cluster"] for r in K.cluster_graph(two).collect()}.keys() == {"a", "b", "c", "d"}
+
+    def distances(df):
+        return {(r["CB"], r["rank"]): r["distance"] for r in df.collect()}
+
+    got = distances(K.knn_cells(pcs, 3, block=7))
+    truth = {c: sorted(((p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2) ** 0.5 for o, q in rows.items() if o != c)[:3] for c, p in rows.items()}
+    assert all([round(got[c, i + 1], 9) for i in range(3)] == [round(x, 9) for x in t] for c, t in truth.items())
+    monkeypatch.setattr(K, "EXACT_CELLS", 10)
+    with pytest.raises(ValueError):
+        K.knn_cells(pcs, 3)
+    near = distances(K.knn_cells(pcs, 3, radius=60.0))
+    assert sum(abs(near.get((c, 1), -1) - t[0]) < 1e-9 for c, t in truth.items()) >= 27
+
+
+def test_graph_clusters_hold_together(spark):
+    pairs = [("a", "b"), ("b", "a"), ("c", "d"), ("d", "c"), ("e", "c"), ("d", "e")]
+    two = spark.createDataFrame([(s, x, (s, y)) for s in ("S", "T") for x, y in pairs], "sampleID string, CB string, neighbour struct<sampleID:string,CB:string>")
+    got = {(r["sampleID"], r["CB"]): r["cluster"] for r in K.cluster_graph(two).collect()}
+    assert set(got) == {(s, c) for s in "ST" for c in "abcde"}
+    assert all(got["S", x] != got["T", y] for x in "abcde" for y in "abcde")
+    assert got["S", "c"] == got["S", "d"] == got["S", "e"] and got["S", "a"][0] == "S"
+
+
+def test_junction_labels(spark):
+    frame = lambda names: spark.createDataFrame([tuple("1" for _ in names)], ", ".join(f"{n} string" for n in names))
+    for names, label in ((["junctionLabel"], "1"), (["chrom", "strand", "genomic_start", "genomic_end"], "1_1_1_1"), (["junction_id"], "1"), (["x"], None)):
+        df = frame(names)
+        got = df.select(R.label_of(df).alias("l")).first()["l"]
+        assert got == label or label is None and got.isdigit()
