@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,13 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` names it. Only where that is unset (local tests) a
-    temporary folder stands in.
+    Where that is unset, a local session (tests) gets a folder of its own; on a cluster that
+    is an error, since no folder of one machine would do.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -39,9 +44,32 @@ def save(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     """
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for names in _records:
+        names.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Lists that get the names of folders as ``save`` writes them.
+_records: list[list[str]] = []
+
+
+@contextmanager
+def recorded(names: list[str]) -> Iterator[None]:
+    """Folders that ``save`` writes inside go into ``names``, so that they can be deleted when nothing reads them."""
+    _records.append(names)
+    try:
+        yield
+    finally:
+        _records.pop()
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete folders that nothing reads any more, on whatever file system they are."""
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def held_out(modulus: int, remainder: int, doc_id: str = "doc_id") -> Column:
     """Rows whose crc32(doc_id as text) leaves ``remainder``; null ids count as text ''."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % modulus == remainder
@@ -53,40 +81,54 @@ def labelled_rows(labels: DataFrame, label: str, held: Column, most: int, doc_id
     return own.orderBy(F.xxhash64(doc_id), doc_id).limit(most)
 
 
-def extended(schema: T.StructType, ddl: str) -> T.StructType:
-    return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
-def per_text(df: DataFrame, keep: tuple[str, ...], text: str, ddl: str, columns: Callable[[list[bytes]], list], limit: int = 1 << 20) -> DataFrame:
-    """Columns computed from the whole texts beside those in ``keep``, without a shuffle.
+def text_udf(ddl: str, columns: Callable[[list[bytes]], list], limit: int = 1 << 20) -> Callable[[Column], Column]:
+    """A struct of columns computed from whole texts; only the text goes to Python.
 
     ``columns`` gets the UTF-8 bytes of some rows (null: empty) and returns a list of values
     for each column of ``ddl``. An Arrow batch is handled in runs of about ``limit`` bytes of whole
-    texts. Only ``keep`` goes along, so that other columns may have any name.
+    texts.
     """
-    narrow = df.select(*keep, df[text].alias("__text"))
-    schema = extended(narrow.drop("__text").schema, ddl)
-    arrow = to_arrow_schema(schema)
-    own = list(arrow)[len(keep) :]
+    fields = list(to_arrow_schema(T.StructType.fromDDL(ddl)))
 
-    def run(batches):
-        for batch in batches:
-            texts = encoded(batch.column(len(keep)))
-            for a, b in runs(texts, limit):
-                part = columns(texts[a:b])
-                made = [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(part, own, strict=True)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in range(len(keep))), *made], schema=arrow)
+    def made(texts: pa.Array) -> list[pa.Array]:
+        values = columns(encoded(texts))
+        return [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(values, fields, strict=True)]
 
-    return narrow.mapInArrow(run, schema)
+    @F.arrow_udf(ddl)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            parts = [made(texts.slice(a, b - a)) for a, b in runs(texts, limit)]
+            whole = [pa.concat_arrays(p) for p in zip(*parts, strict=True)] if parts else [pa.array([], f.type) for f in fields]
+            yield pa.StructArray.from_arrays(whole, fields=fields)
+
+    return run.asNondeterministic()  # so that no filter on its fields makes it run twice
+
+
+def per_text(df: DataFrame, keep: tuple[str, ...], text: str, ddl: str, columns: Callable[[list[bytes]], list], limit: int = 1 << 20) -> DataFrame:
+    """Columns computed from the whole texts beside those in ``keep``, without a shuffle.
+
+    Only ``keep`` goes along, so that other columns may have any name.
+    """
+    names = [f.name for f in T.StructType.fromDDL(ddl).fields]
+    made = df.select(*keep, text_udf(ddl, columns, limit)(df[text]).alias("__made"))
+    return made.select(*keep, *(F.col("__made")[n].alias(n) for n in names))
 
 
-def runs(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def runs(texts: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Bounds of runs of rows with about ``limit`` bytes; a longer text is a run of its own."""
     first = size = 0
-    for i, text in enumerate(texts):
-        if i > first and size + len(text) > limit:
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > first and size + n > limit:
             yield first, i
             first, size = i, 0
-        size += len(text)
-    if texts:
+        size += n
+    if len(texts):
         yield first, len(texts)

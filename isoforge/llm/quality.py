@@ -8,6 +8,7 @@ that scoring is a projection of the statistics.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoforge.llm import bytescan
-from isoforge.llm.common import held_out, labelled_rows, per_text, save, table
+from isoforge.llm.common import held_out, labelled_rows, save, table, text_udf
 
 #: Labelled rows that are learnt from, at most.
 FIT_ROWS = 20_000
@@ -88,15 +89,16 @@ def tree_rules(debug: str) -> list[tuple[tuple[int, str, float], ...]]:
     return sorted(rules)
 
 
-def rule_column(rule: tuple[tuple[int, str, float], ...]) -> Column:
-    tests = [F.col(STATS[i]) <= bound if op == "<=" else F.col(STATS[i]) > bound for i, op, bound in rule]
+def rule_column(rule: tuple[tuple[int, str, float], ...], stats: str = "stats") -> Column:
+    """The rule's tests on the fields of the column ``stats``."""
+    tests = [F.col(stats)[STATS[i]] <= bound if op == "<=" else F.col(stats)[STATS[i]] > bound for i, op, bound in rule]
     return reduce(Column.__and__, tests)
 
 
 def fit_rules(train: DataFrame, label: str = "label") -> tuple[float, list[tuple[float, tuple]]]:
-    """Constant and weighted rules, from rows with STATS and a label of 0.0 or 1.0 (both must occur)."""
-    vectors = VectorAssembler(inputCols=list(STATS), outputCol="stats").transform(train)
-    forest = RandomForestClassifier(labelCol=label, featuresCol="stats", numTrees=TREES, maxDepth=DEPTH, featureSubsetStrategy="onethird", subsamplingRate=0.7, seed=7).fit(vectors)
+    """Constant and weighted rules, from rows with ``stats`` and a label of 0.0 or 1.0 (both must occur)."""
+    vectors = VectorAssembler(inputCols=list(STATS), outputCol="vector").transform(train.select(label, "stats.*"))
+    forest = RandomForestClassifier(labelCol=label, featuresCol="vector", numTrees=TREES, maxDepth=DEPTH, featureSubsetStrategy="onethird", subsamplingRate=0.7, seed=7).fit(vectors)
     rules = sorted({r for t in forest.trees for r in tree_rules(t.toDebugString)})
     if not rules:
         return float("nan"), []
@@ -107,31 +109,46 @@ def fit_rules(train: DataFrame, label: str = "label") -> tuple[float, list[tuple
     return float(lasso.intercept), [(float(w), r) for w, r in zip(weights, rules, strict=True) if abs(w) > 1e-6]
 
 
-def score_column(constant: float, rules: list[tuple[float, tuple]]) -> Column:
+def score_column(constant: float, rules: list[tuple[float, tuple]], stats: str = "stats") -> Column:
     total = F.lit(constant)
     for weight, rule in rules:
-        total = total + F.when(rule_column(rule), weight).otherwise(0.0)
+        total = total + F.when(rule_column(rule, stats), weight).otherwise(0.0)
     return 1 / (1 + F.exp(-total))
 
 
-def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, held: Column, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``score`` (0 to 1) and ``predicted`` (1 from a score of 0.3 on) beside ``keep``, which must hold doc_id.
+def statistics_of(text: Column) -> Column:
+    """A struct of STATS."""
+    return text_udf(", ".join(f"{s} double" for s in STATS), statistics)(text)
 
-    Learns from labelled rows outside ``held`` only. Null and empty texts have statistics of 0
-    and the rules' score of those. With labels of one kind alone, or none, every score is the
-    share of good ones (1.0 without labels, so that nothing is rejected). Equal texts get equal scores.
+
+def quality_score(spark: SparkSession, docs: DataFrame, labels: DataFrame, held: Column, text: str = "text") -> Callable[[str], Column]:
+    """From the name of a column of ``statistics_of`` to the score, learnt from the labelled rows outside ``held``.
+
+    The labelled rows, at most FIT_ROWS, are broadcast; only their texts are read for learning.
     """
-    packed = docs.select("doc_id", F.struct(*keep).alias("kept"), F.col(text).alias("body"))
-    stats = save(spark, per_text(packed, ("doc_id", "kept"), "body", ", ".join(f"{s} double" for s in STATS), statistics), "statistics")
     own = labelled_rows(labels, "quality", held, FIT_ROWS).select("doc_id", F.col("quality").cast("double").alias("label"))
-    train = save(spark, stats.drop("kept").dropDuplicates(["doc_id"]).join(own, "doc_id").repartition(8, "doc_id"), "train")
+    known = docs.select(F.col("doc_id"), F.col(text).alias("body")).join(F.broadcast(own), "doc_id")
+    known = known.select("doc_id", "label", statistics_of(F.col("body")).alias("stats"))
+    train = save(spark, known.groupBy("doc_id").agg(F.first("label").alias("label"), F.min("stats").alias("stats")).repartition(8, "doc_id").sortWithinPartitions("doc_id"), "train")
     n, good = train.agg(F.count("*"), F.sum("label")).first()
     if not n or good in (0, n):
-        score = F.lit(1.0 if not n else good / n)
-    else:
-        constant, rules = fit_rules(train)
-        score = score_column(constant, rules) if rules else F.lit(good / n)
-    return stats.select("kept.*", score.alias("score")).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+        return lambda _: F.lit(1.0 if not n else good / n)
+    constant, rules = fit_rules(train)
+    return (lambda stats: score_column(constant, rules, stats)) if rules else lambda _: F.lit(good / n)
+
+
+def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, held: Column, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``score`` (0 to 1) and ``predicted`` (1 from a score of 0.3 on) beside ``keep``.
+
+    Learns from labelled rows outside ``held`` only. Null and empty texts have statistics of 0
+    and the rules' score of those. With labels of one kind alone, or none, every score is the
+    share of good ones (1.0 without labels, so that nothing is rejected). Equal texts get equal
+    scores, however long they are; of rows that repeat a labelled doc_id one is learnt from. An
+    empty table gives no rows. Columns other than ``doc_id``, the text and ``keep`` may have any name.
+    """
+    score = quality_score(spark, docs, labels, held, text)
+    made = docs.select(*keep, statistics_of(F.col(text)).alias("__stats"))
+    return made.select(*keep, score("__stats").alias("score")).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoforge.llm.common import per_text, save, table
+from isoforge.llm.common import fresh, per_text, save, table, text_udf
 
 #: Fixed patterns and least lengths. assign: of group 2; letters in either case.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -37,6 +37,8 @@ KINDS = (*BASE, *MORE)
 #: A value that this many owners hold, or this many repositories, is an example.
 EXAMPLE_OWNERS = 3
 EXAMPLE_REPOSITORIES = 10
+#: Parts over which each value's rows are dealt.
+SALTS = 8
 
 SCHEMA = (
     "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
@@ -98,20 +100,38 @@ def ownership(found: DataFrame, repository: str = "doc_id", owner: str = "source
     )
 
 
+def marked_secrets(spark: SparkSession, docs: DataFrame, text: str = "text", repository: str = "doc_id", owner: str = "source") -> tuple[DataFrame, str, str]:
+    """``docs``, all columns, with two more, whose names come along: the scan's struct, and ``marked``.
+
+    Each element of ``marked`` has ``example``: true if the value is widely copied, false if
+    it is owner-specific and looks live. Only row numbers and hashes are shuffled to be marked, and
+    values that many rows hold are dealt over SALTS parts. Rows are written to the shared folder
+    first, so that their numbers stay the same.
+    """
+    scan, row, marked = fresh(docs, "__scan"), fresh(docs, "__row"), fresh(docs, "__marked")
+    scanned = docs.withColumn(scan, text_udf(SCHEMA, _columns)(F.col(text))).withColumn(row, F.monotonically_increasing_id())
+    scanned = save(spark, scanned, "secrets")
+    some = scanned.filter(F.size(F.col(scan)["found"]) > 0)
+    found = some.select(F.col(row).alias("row"), F.col(repository).alias("repository"), F.col(owner).alias("owner"), F.col(scan)["found"].alias("found"))
+    live = ownership(found, "repository", "owner").filter(~F.col("example")).select("value_hash", F.lit(False).alias("example"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    each = found.select("row", F.explode("found").alias("f")).select("row", "f.*").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+    each = each.join(live.withColumn("salt", salts), ["value_hash", "salt"], "left")
+    mark = F.struct("start", "kind", "end", "value_hash", F.coalesce("example", F.lit(True)).alias("example"))
+    marks = each.groupBy("row").agg(F.array_sort(F.collect_list(mark)).alias(marked)).withColumnRenamed("row", row)
+    none = scanned.filter(F.size(F.col(scan)["found"]) == 0).withColumn(marked, F.array().cast(marks.schema[marked].dataType))
+    return some.join(marks, row).unionByName(none).drop(row), scan, marked
+
+
 def classify_secrets(spark: SparkSession, docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id", "source"), repository: str = "doc_id", owner: str = "source") -> DataFrame:
     """``scan_secrets`` with ``marked`` in place of ``found``: one row per document.
 
-    Each element of ``marked`` has ``example``: true if the value is widely copied, false if
-    it is owner-specific and looks live. Only rows with matches are shuffled. The scan is
-    written to the shared folder, where it has row numbers that stay the same.
+    Null and empty texts have no matches and an empty ``marked``; repeated rows, null repositories
+    and owners as in ``ownership``; an empty table gives no rows.
     """
-    scanned = save(spark, scan_secrets(docs, text, keep).withColumn("__row", F.monotonically_increasing_id()), "secrets")
-    some = scanned.filter(F.size("found") > 0)
-    values = ownership(some, repository, owner).select("value_hash", "example")
-    each = some.select("__row", F.explode("found").alias("f")).select("__row", "f.*").join(values, "value_hash")
-    marks = each.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "value_hash", "example"))).alias("marked"))
-    none = scanned.filter(F.size("found") == 0).withColumn("marked", F.array().cast(marks.schema["marked"].dataType))
-    return some.join(marks, "__row").unionByName(none).drop("found", "__row")
+    own = docs.select(*keep, F.col(text).alias("__body"), F.col(repository).alias("__repository"), F.col(owner).alias("__owner"))
+    out, scan, marked = marked_secrets(spark, own, "__body", "__repository", "__owner")
+    return out.select(*keep, *(F.col(scan)[c].alias(c) for c in ("n_assign", "n_access", "n_hex", "base_sha256", "spans")), F.col(marked).alias("marked"))
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,12 +146,13 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def redact_secrets(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs``, all columns, with live-looking secrets replaced by ``[secret]``.
 
-    Examples stay. Spans that overlap are cut together. ``n_chars``, if there, follows the text.
+    Examples stay. Spans that overlap are cut together. ``n_chars``, if there, follows the text
+    where it was cut. Null stays null, texts without live secrets stay as they are, repeated rows
+    stay, and an empty table gives no rows. Extra columns may have any name.
     """
-    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("repository"), F.col("source").alias("owner"), F.col(text).alias("body"))
-    marked = classify_secrets(spark, packed, "body", ("row", "repository", "owner"), "repository", "owner")
-    body = F.col(f"row.{text}")
-    live = F.filter("marked", lambda m: ~m["example"])
+    out, _, marked = marked_secrets(spark, docs, text)
+    body = F.col(text)
+    live = F.filter(marked, lambda m: ~m["example"])
 
     def cut(state, m):
         begin = F.greatest(m["start"], state["end"])
@@ -142,7 +163,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, text: str = "text") ->
 
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("end"))
     cleaned = F.aggregate(live, start, cut, lambda s: F.concat(s["out"], body.substr(s["end"] + 1, F.length(body))))
-    clean = F.when(F.size(live) > 0, cleaned).otherwise(body)
-    columns = [F.col(f"row.{c}") for c in docs.columns]
-    out = marked.select(*columns, clean.alias("__clean")).withColumn(text, F.col("__clean")).drop("__clean")
-    return out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    clean = {text: F.when(F.size(live) > 0, cleaned).otherwise(body).alias(text)}
+    if "n_chars" in docs.columns:
+        clean["n_chars"] = F.when(F.size(live) > 0, F.length(cleaned)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return out.select(*(clean.get(c, F.col(c)) for c in docs.columns))
