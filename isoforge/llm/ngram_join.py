@@ -19,27 +19,38 @@ first common token lies in the first ``|x| - ceil(t|x|) + 1`` tokens of x, and l
 Frequency classes come from a count sketch over all documents: a bucket's count is never less
 than its tokens' frequencies, and any fixed classes give right results.
 
-Sets that share a key are candidates. Signatures of 512 parities bound each pair: the bits in
-which two signatures differ are at most the tokens that are not common, so too many of them
-rule the pair out, without error. Twice each set is verified against the one with the nearest
-signature, outside its component so far; then all pairs of different components are. Pairs within
-a component need no proof, so groups of copies are not multiplied out. So few parities say nothing
-of a set of thousands of tokens: such pairs are bounded once more, by signatures as wide as the
-smaller set, before the sets themselves travel.
+Texts are read once: sets and sketch go to the shared folder. Sets that share a key are candidates.
+Signatures of 512 parities bound each pair: the bits in which two signatures differ are at most the
+tokens that are not common, so too many of them rule the pair out, without error. Keys are counted
+first, and the rows of one that many sets hold are dealt into blocks of about UNIT_ROWS:
+
+- Twice, with other blocks each time, each set is verified against the one of its block with the
+  nearest signature, outside its component so far. That takes time in proportion to the rows.
+- Then pairs of different components are verified. Of a key's rows, those of its largest component stay
+  in their block each, and all others visit every block; so a key of a large group and a few strangers
+  takes time in proportion, too.
+
+Pairs within a component need no proof to find it. So few parities say nothing of a set of thousands
+of tokens: such pairs are bounded once more, by signatures as wide as the smaller set, before the sets
+themselves travel. Links are counted component by component, block by block of its sets, from products
+of their token matrices; only counts leave a task, and a group's copies are counted by their number.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from isoforge.llm import bytescan
-from isoforge.llm.common import per_text, runs, save, table
+from isoforge.llm.common import discard, runs, save, table
 from isoforge.llm.components import components
 
 SKETCH_BITS = 21
@@ -54,9 +65,18 @@ SIGNATURE_BITS = 512
 PAIRS_AT_ONCE = 50_000
 #: Pairs of a key that are compared at once.
 CELLS = 1 << 16
+#: Rows of a key, and sets of a component, that are compared in one unit.
+UNIT_ROWS, UNIT_SETS = 512, 256
+#: Columns of a token matrix at once.
+MATRIX_COLUMNS = 1 << 13
 
+READ = pa.schema(
+    [("id", pa.int64()), ("row", pa.int64()), ("n_shingles", pa.int64()), ("name", pa.int64()), ("signature", pa.binary()), ("tokens", pa.binary()), ("block", pa.int32()), ("counts", pa.binary())]
+)
 
-def _sketch_blocks(batches, at: int, k: int) -> Iterator[pa.RecordBatch]:
+
+def _read(batches, k: int) -> Iterator[pa.RecordBatch]:
+    """Name, size, signature and tokens of each text's set; of equal sets in a batch one alone has tokens. Then the sketch."""
     counts, waiting, size = np.zeros(1 << SKETCH_BITS, np.int64), [], 0
 
     def count():
@@ -65,14 +85,23 @@ def _sketch_blocks(batches, at: int, k: int) -> Iterator[pa.RecordBatch]:
             waiting.clear()
 
     for batch in batches:
-        for _, own in bytescan.shingle_sets(bytescan.encoded(batch.column(at)), k):
-            waiting.append((own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
-            size += len(own)
+        texts, seen = batch.column(2), set()
+        for a, b in runs(texts):
+            rows = []
+            for _, own in bytescan.shingle_sets(bytescan.encoded(texts.slice(a, b - a)), k):
+                name = set_name(own)
+                rows.append((len(own), name, signature(own), own.tobytes() if len(own) and name not in seen else None))
+                seen.add(name)
+                waiting.append((own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
+                size += len(own)
+            made = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(READ)[2:6], strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in (0, 1)), *made, *(pa.nulls(b - a, f.type) for f in list(READ)[6:])], schema=READ)
             if size >= 1 << 21:
                 count()
                 size = 0
     count()
-    yield from _as_blocks({b: x for b, x in enumerate(counts.reshape(-1, 1 << SKETCH_BLOCK_BITS)) if x.any()})
+    for block in _as_blocks({b: x for b, x in enumerate(counts.reshape(-1, 1 << SKETCH_BLOCK_BITS)) if x.any()}):
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(block), f.type) for f in list(READ)[:6]), *block.columns], schema=READ)
 
 
 def _as_blocks(blocks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -89,16 +118,16 @@ def _sum_blocks(batches) -> Iterator[pa.RecordBatch]:
     yield from _as_blocks(blocks)
 
 
-def token_classes(docs: DataFrame, text: str, k: int) -> np.ndarray:
+def token_classes(read: DataFrame) -> np.ndarray:
     """Class of each bucket of hashes: 0 rare, then as in CLASSES. 2 MB, whatever the input.
 
-    Each task counts all its documents; the counts are summed by block in a shuffle.
+    Each task has counted all its documents; the counts are summed by block in a shuffle.
     """
     blocks = 1 << (SKETCH_BITS - SKETCH_BLOCK_BITS)
-    own = docs.select(text).mapInArrow(lambda b: _sketch_blocks(b, 0, k), "block int, counts binary")
-    summed = own.repartition(blocks, "block").mapInArrow(_sum_blocks, "block int, counts binary")
+    own = read.filter("block IS NOT NULL").select("block", "counts")
+    summed = own.repartition(blocks, "block").mapInArrow(_sum_blocks, own.schema)
     counts = np.zeros((blocks, 1 << SKETCH_BLOCK_BITS), np.int64)
-    for row in summed.toLocalIterator():
+    for row in summed.collect():
         counts[row["block"]] = np.frombuffer(zlib.decompress(bytes(row["counts"])), "<i8")
     mean = counts.mean()
     return sum((counts.ravel() >= max(least, times * mean)).astype(np.uint8) for least, times, _ in CLASSES)
@@ -162,70 +191,54 @@ def keys_of(own: np.ndarray, classes: np.ndarray, share: tuple[int, int]) -> np.
     return np.concatenate(out) if out else own[:0]
 
 
-def _postings(batches, k: int, classes, share) -> Iterator[pa.RecordBatch]:
-    """Keys of each distinct set of a batch."""
+def _token_sets(column: pa.Array) -> Iterator[np.ndarray]:
+    """The sorted tokens of each row."""
+    for raw in column.to_pylist():
+        yield np.frombuffer(raw, "<u8")
+
+
+def _postings(batches, classes, share) -> Iterator[pa.RecordBatch]:
+    """Keys of each set: key, name, size."""
     for batch in batches:
-        texts, seen = bytescan.encoded(batch.column(0)), set()
-        for a, b in runs(texts):
-            keys, names, sizes = [], [], []
-            for _, own in bytescan.shingle_sets(texts[a:b], k):
-                name = set_name(own)
-                if name not in seen:
-                    seen.add(name)
-                    keys.append(keys_of(own, classes.value, share))
-                    names.append(name)
-                    sizes.append(len(own))
-            counts = [len(x) for x in keys]
-            if sum(counts):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.repeat(np.array(names, np.int64), counts)), pa.array(np.repeat(np.array(sizes, np.int32), counts))],
-                    names=["key", "name", "size"],
-                )
-
-
-def _lists(batches) -> Iterator[tuple[np.ndarray, ...]]:
-    """Rows of whole keys, from batches sorted by key: those of keys with several rows."""
+        keys = [keys_of(own, classes.value, share).astype(np.int64) for own in _token_sets(batch.column(1))]
+        counts, names = [len(x) for x in keys], batch.column(0).to_numpy()
+        sizes = pc.divide(pc.binary_length(batch.column(1)), 8).to_numpy().astype(np.int32)
+        if sum(counts):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.repeat(names, counts)), pa.array(np.repeat(sizes, counts))], names=["key", "name", "size"])
+
+
+def _lists(batches, keys: int = 1) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Columns of whole units and where each begins, from batches sorted by the first ``keys`` columns."""
     rest = None
-    for batch in batches:
-        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
-        if rest is not None:
-            columns = [np.concatenate(x) for x in zip(rest, columns, strict=True)]
-        if not len(columns[0]):
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
+            rest = columns if rest is None else [np.concatenate(x) for x in zip(rest, columns, strict=True)]
+        if rest is None or not len(rest[0]):
             continue
-        cut = np.searchsorted(columns[0], columns[0][-1]) if columns[0][0] != columns[0][-1] else 0
-        rest = [x[cut:] for x in columns]
-        if cut:
-            yield tuple(x[:cut] for x in columns)
-    if rest is not None and len(rest[0]):
-        yield tuple(rest)
-
-
-def _shared(batches) -> Iterator[pa.RecordBatch]:
-    """Rows of keys that several sets have."""
-    for key, name, size in _lists(batches):
-        again = np.concatenate(([False], (key[1:] == key[:-1]) & (name[1:] == name[:-1])))
-        key, name, size = key[~again], name[~again], size[~again]
-        starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        counts = np.diff(np.concatenate((starts, [len(key)])))
-        several = np.repeat(counts > 1, counts)
-        if several.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x[several]) for x in (key, name, size)], names=["key", "name", "size"])
+        differ = np.any([x[1:] != x[:-1] for x in rest[:keys]], axis=0)
+        begins = np.concatenate(([0], np.flatnonzero(differ) + 1))
+        end = begins[-1] if batch is not None else len(rest[0])
+        if end:
+            yield [x[:end] for x in rest], begins[begins < end]
+            rest = [x[end:] for x in rest]
 
 
 def _pairs(batches, share, nearest: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs of sets of the same key that are of different components and that sizes and signatures don't rule out.
+    """Pairs of sets of the same unit that are of different components and that sizes and signatures don't rule out.
 
-    All such pairs, or for each set only the one whose signature is nearest.
+    For each set only the one whose signature is nearest; or all such pairs of a row at home and a visitor.
     """
     p, q = share
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
-    for key, name, size, group, raw in _lists(batches):
+    for (key, name, size, group, raw, home, visits), starts in _lists(batches):
         signs, size = np.frombuffer(b"".join(raw.tolist()), np.uint64).reshape(len(key), -1), size.astype(np.int64)
-        starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        home, visits = home.astype(bool), visits.astype(bool)
         counts = np.diff(np.concatenate((starts, [len(key)])))
         mixed = np.maximum.reduceat(group, starts) != np.minimum.reduceat(group, starts)
-        # Keys with the same sets have the same pairs.
-        same = np.add.reduceat(bytescan.mix(name.astype(np.uint64)), starts)
+        # Units with the same sets have the same pairs.
+        with np.errstate(over="ignore"):
+            same = np.add.reduceat(bytescan.mix(name.astype(np.uint64) + (home + 2 * visits).astype(np.uint64)), starts)
         once = np.zeros(len(starts), bool)
         once[np.unique(same, return_index=True)[1]] = True
         starts, counts = starts[mixed & once], counts[mixed & once]
@@ -238,19 +251,19 @@ def _pairs(batches, share, nearest: bool) -> Iterator[pa.RecordBatch]:
             if nearest:
                 waiting.append((name[two + 1], name[two], differ))
         for a, n in zip(starts[counts > 2].tolist(), counts[counts > 2].tolist(), strict=True):
-            rows, own = max(1, CELLS // n), slice(a, a + n)
-            for i in range(a, a + n, rows):
-                part = slice(i, min(i + rows, a + n))
-                differ = np.bitwise_count(signs[part, None, :] ^ signs[None, own, :]).sum(2, dtype=np.int64)
-                fits = _fits(differ, size[part, None], size[None, own], p, q) & (group[part, None] != group[None, own])
+            rows, others = np.flatnonzero(home[a : a + n]) + a, np.flatnonzero(visits[a : a + n]) + a
+            step = max(1, CELLS // max(1, len(others)))
+            for i in range(0, len(rows) if len(others) else 0, step):
+                part = rows[i : i + step]
+                differ = np.bitwise_count(signs[part, None, :] ^ signs[None, others, :]).sum(2, dtype=np.int64)
+                fits = _fits(differ, size[part, None], size[None, others], p, q) & (group[part, None] != group[None, others])
                 if nearest:
                     x = np.flatnonzero(fits.any(1))
                     y = np.where(fits, differ, 1 << 30)[x].argmin(1)
                 else:
                     x, y = np.nonzero(fits)
-                    x, y = x[y > x + i - a], y[y > x + i - a]
                 if len(x):
-                    waiting.append((name[x + i], name[y + a], differ[x, y]))
+                    waiting.append((name[part[x]], name[others[y]], differ[x, y]))
                 if sum(len(x[0]) for x in waiting) >= PAIRS_AT_ONCE:
                     yield _distinct(waiting)
     if waiting:
@@ -279,48 +292,72 @@ def _id_mark(name: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return bytescan.mix(name.astype(np.uint64) ^ bytescan.mix(ids.astype(np.uint64))).astype(np.int64)
 
 
-def _named_sets(batches, k: int, wanted) -> Iterator[pa.RecordBatch]:
-    """Name, size, wide signature and tokens of the sets of the documents that the filter lets through.
-
-    Tokens are cut to 40 bits and their order kept: with the size beside them enough to count
-    common ones, at five bytes each.
-    """
+def _wanted_sets(batches, wanted) -> Iterator[pa.RecordBatch]:
+    """Name, size, wide signature and tokens of the sets that the filter lets through."""
     for batch in batches:
-        ids, texts = batch.column(0).fill_null(0).to_numpy(), bytescan.encoded(batch.column(1))
-        for a, b in runs(texts):
-            names, sizes, signs, sets = [], [], [], []
-            for i, own in bytescan.shingle_sets(texts[a:b], k):
-                name = np.array([set_name(own)])
-                if _in_filter(wanted.value, _id_mark(name, ids[a + i : a + i + 1]))[0]:
-                    names.append(int(name[0]))
-                    sizes.append(len(own))
-                    signs.append(wide_signature(own))
-                    sets.append(own.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes())
-            if names:
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int32()), pa.array(signs, pa.binary()), pa.array(sets, pa.binary())], names=["name", "size", "wide", "tokens"])
-
-
-def _numbers(tokens: pa.Scalar) -> np.ndarray:
-    five = np.frombuffer(tokens.as_buffer(), np.uint8).reshape(-1, 5)
-    wide = np.zeros((len(five), 8), np.uint8)
-    wide[:, 3:] = five
-    return wide.view(">u8").ravel().astype(np.uint64)
+        there = _in_filter(wanted.value, _id_mark(batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        own = batch.filter(pa.array(there))
+        sets = list(_token_sets(own.column(2)))
+        sizes, signs = [len(x) for x in sets], [wide_signature(x) for x in sets]
+        yield pa.RecordBatch.from_arrays([own.column(0), pa.array(sizes, pa.int32()), pa.array(signs, pa.binary()), own.column(2)], names=["name", "size", "wide", "tokens"])
 
 
 def _verified(batches, share) -> Iterator[pa.RecordBatch]:
     p, q = share
     for batch in batches:
         keep = []
-        for x, y, m, n in zip(*(batch.column(i) for i in range(2, 6)), strict=True):
-            x, y, total = _numbers(x), _numbers(y), m.as_py() + n.as_py()
+        for x, y in zip(_token_sets(batch.column(2)), _token_sets(batch.column(3)), strict=True):
+            total = len(x) + len(y)
             if len(x) > len(y):
                 x, y = y, x
-            at = np.searchsorted(y, x)
-            common = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+            common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
             keep.append(q * common >= p * (total - common))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def common_tokens(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """Number of tokens that each of ``sets`` has in common with each of ``others``: a product of token matrices."""
+    tokens, at = np.unique(np.concatenate([*sets, *others]), return_inverse=True)
+    several = np.flatnonzero(np.bincount(at) > 1)
+    column = np.full(len(tokens), -1)
+    column[several] = np.arange(len(several))
+    row, at = np.repeat(np.arange(len(sets) + len(others)), [len(x) for x in (*sets, *others)]), column[at]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    out = np.zeros((len(sets), len(others)), np.float32)
+    for first in range(0, len(several), MATRIX_COLUMNS):
+        a, b = np.searchsorted(at, (first, first + MATRIX_COLUMNS))
+        part = np.zeros((len(sets) + len(others), min(MATRIX_COLUMNS, len(several) - first)), np.float32)
+        part[row[a:b], at[a:b] - first] = 1
+        out += part[: len(sets)] @ part[len(sets) :].T
+    return out.astype(np.int64)
+
+
+def _link_counts(batches, share) -> Iterator[pa.RecordBatch]:
+    """name, n_links: documents of other sets that each set of a unit is linked with there."""
+    p, q = share
+    for (_, i, j, side, name, copies, tokens), starts in _lists(batches, 3):
+        names, found = [], []
+        for a, b in zip(starts, [*starts[1:], len(name)], strict=True):
+            sets = [np.frombuffer(t, "<u8") for t in tokens[a:b]]
+            sizes, same = np.array([len(x) for x in sets]), i[a] == j[a]
+            one = np.arange(b - a) if same else np.flatnonzero(side[a:b] == i[a])
+            two = one if same else np.flatnonzero(side[a:b] == j[a])
+            if not len(one) or not len(two):
+                continue
+            common = common_tokens([sets[x] for x in one], [sets[x] for x in two])
+            linked = q * common >= p * (sizes[one][:, None] + sizes[two][None] - common)
+            if same:
+                np.fill_diagonal(linked, False)
+            names.append(name[a:b][one])
+            found.append(linked @ copies[a:b][two])
+            if not same:
+                names.append(name[a:b][two])
+                found.append(linked.T @ copies[a:b][one])
+        if names:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names)), pa.array(np.concatenate(found).astype(np.int64))], names=["name", "n_links"])
+
+
 def _near(batches, share) -> Iterator[pa.RecordBatch]:
     """Pairs that the wide signatures don't rule out."""
     p, q = share
@@ -341,23 +378,23 @@ def _filter_of(spark: SparkSession, marks: DataFrame):
     bit = F.col("mark").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1  # bucket 1 starts with 1
     own = marks.groupBy(F.bitmap_bucket_number(bit).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
     bits = bytearray((1 << FILTER_BITS) // 8)
-    for row in own.toLocalIterator():
+    for row in own.collect():
         begin = (row["n"] - 1) * 4096
         bits[begin : begin + len(row["bits"])] = row["bits"]
     return spark.sparkContext.broadcast(bytes(bits))
 
 
-def _sets_of(spark: SparkSession, docs: DataFrame, named: DataFrame, names: DataFrame, k: int) -> DataFrame:
-    """The sets of ``names``, saved, each from the document with its smallest id."""
+def _sets_of(spark: SparkSession, sets: DataFrame, items: DataFrame, names: DataFrame) -> DataFrame:
+    """The sets of ``names``, saved, each from the row that stands for it."""
 
     def marks(batches):
         for batch in batches:
-            own = _id_mark(batch.column(0).to_numpy(), batch.column(1).fill_null(0).to_numpy())
+            own = _id_mark(batch.column(0).to_numpy(), batch.column(1).to_numpy())
             yield pa.RecordBatch.from_arrays([pa.array(own)], names=["mark"])
 
-    first = named.join(names, "name", "left_semi").groupBy("name").agg(F.min("id").alias("id"))
-    wanted = _filter_of(spark, first.select("name", "id").mapInArrow(marks, "mark long"))
-    return save(spark, docs.mapInArrow(lambda b: _named_sets(b, k, wanted), "name long, size int, wide binary, tokens binary"), "sets")
+    first = items.join(names, "name", "left_semi").select("name", "holder")
+    wanted = _filter_of(spark, first.mapInArrow(marks, "mark long"))
+    return save(spark, sets.select("name", "row", "tokens").mapInArrow(lambda b: _wanted_sets(b, wanted), "name long, size int, wide binary, tokens binary"), "sets")
 
 
 def verify(spark: SparkSession, sets: DataFrame, pairs: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -374,63 +411,117 @@ def verify(spark: SparkSession, sets: DataFrame, pairs: DataFrame, share: tuple[
     return save(spark, both.mapInArrow(lambda b: _verified(b, share), "a long, b long").distinct(), "links")
 
 
-def jaccard_links(spark: SparkSession, docs: DataFrame, named: DataFrame, k: int = 3, share: tuple[int, int] = (9, 10)) -> DataFrame:
-    """Verified links (a, b) between names of different sets that join all sets which any links join.
+def _units(blocks: Column, block: Column) -> Column:
+    """The key, if it has one block; else a hash of both, which may add candidates but loses none."""
+    return F.when(blocks == 1, F.col("key")).otherwise(F.xxhash64("key", block))
+
+
+def _near_rows(rows: DataFrame, turn: int) -> DataFrame:
+    """Rows in the one block of their key that ``turn`` deals them into."""
+    blocks = F.ceil(F.col("n") / UNIT_ROWS)
+    unit = _units(blocks, F.pmod(F.xxhash64("name", F.lit(turn)), blocks))
+    return rows.select(unit.alias("unit"), "name", "size", "group", "signature", F.lit(True).alias("home"), F.lit(True).alias("visits"))
+
+
+def _mixed_rows(rows: DataFrame) -> DataFrame:
+    """Rows of keys with several components: the largest one's at home in a block, all others in every block."""
+    each = rows.groupBy("key", "group").agg(F.count("*").alias("own"))
+    mixed = each.groupBy("key").agg(F.max_by("group", F.struct("own", "group")).alias("top"), F.count("*").alias("groups"), F.sum("own").alias("n")).filter("groups > 1")
+    rows = rows.drop("n").join(mixed.select("key", "top", "n"), "key")
+    blocks = F.ceil(F.col("n") / UNIT_ROWS)
+    rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("name"), blocks)).withColumn("visits", F.col("group") != F.col("top"))
+    rows = rows.withColumn("block", F.explode(F.when(F.col("visits"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("own"))))
+    return rows.select(_units(F.col("blocks"), F.col("block")).alias("unit"), "name", "size", "group", "signature", (F.col("block") == F.col("own")).alias("home"), "visits")
+
 
-    ``docs`` has a whole-number id and a text, ``named`` the ``id``, ``name`` and ``signature``
-    of each document's set. Two sets are linked with Jaccard similarity of ``share`` or more.
-    Links within a component that others already join may be left out.
+def jaccard_links(spark: SparkSession, sets: DataFrame, items: DataFrame, classes, share: tuple[int, int] = (9, 10)) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b) between names of different sets that join all sets which any links join, and the sets of candidates.
+
+    ``sets`` has name, row and tokens; ``items`` name, signature and the row that holds the tokens. Two
+    sets are linked with Jaccard similarity of ``share`` or more. Links within a component that others
+    already join may be left out.
     """
-    classes = spark.sparkContext.broadcast(token_classes(docs, docs.columns[1], k))
-    postings = docs.select(docs.columns[1]).mapInArrow(lambda b: _postings(b, k, classes, share), "key long, name long, size int")
-    dealt = postings.repartition("key").sortWithinPartitions("key", "name")
-    shared = save(spark, dealt.mapInArrow(_shared, "key long, name long, size int"), "shared")
-    signatures = named.select("name", "signature").dropDuplicates(["name"])
-    links = tried = groups = names = sets = None
-    for nearest in (True, True, False):
-        own = shared.join(signatures, "name")
-        if groups is not None:
+    postings = save(spark, sets.select("name", "tokens").mapInArrow(lambda b: _postings(b, classes, share), "key long, name long, size int"), "postings")
+    many = postings.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = save(spark, postings.join(many, "key"), "shared")  # a set may be there once for each batch of its copies
+    discard(spark, postings.inputFiles()[0].rsplit("/", 1)[0])
+    links = tried = groups = names = found_sets = None
+    for turn, nearest in enumerate((True, True, False)):
+        own = shared
+        if names is not None:
             own = own.join(names, "name", "left_semi").join(groups.withColumnRenamed("node", "name"), "name", "left")
-        group = F.col("name") if groups is None else F.coalesce("component", "name")
-        rows = own.select("key", "name", "size", group.alias("group"), "signature").repartition("key").sortWithinPartitions("key", "name")
-        found = rows.mapInArrow(lambda b, n=nearest: _pairs(b, share, n), "a long, b long, differ long")
+        own = own.withColumn("group", F.col("name") if groups is None else F.coalesce("component", "name")).join(items.select("name", "signature"), "name")
+        rows = _near_rows(own, turn) if nearest else _mixed_rows(own)
+        dealt = rows.repartition("unit").sortWithinPartitions("unit", "name")
+        found = dealt.mapInArrow(lambda b, n=nearest: _pairs(b, share, n), "a long, b long, differ long")
         if nearest:  # of all keys, the nearest one
             found = save(spark, found.groupBy("a").agg(F.min_by("b", F.struct("differ", "b")).alias("b")), "nearest")
         if names is None:
-            names = save(spark, found.select(F.explode(F.array("a", "b")).alias("name")).distinct(), "names")
-            sets = _sets_of(spark, docs, named, names, k)
+            # Sets of keys of one block have met all candidates; those of larger keys may have some left.
+            later = shared.filter(F.col("n") > UNIT_ROWS).select("name")
+            names = save(spark, found.select(F.explode(F.array("a", "b")).alias("name")).unionByName(later).distinct(), "names")
+            found_sets = _sets_of(spark, sets, items, names)
         pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = save(spark, pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        right = verify(spark, sets, pairs, share)
+        right = verify(spark, found_sets, pairs, share)
         links, tried = (right, pairs) if links is None else (links.unionByName(right), tried.unionByName(pairs))
         if nearest:
             groups = components(spark, links)
-    return links
+    return links, found_sets
+
 
+def link_counts(spark: SparkSession, sets: DataFrame, groups: DataFrame, items: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """name, n_links: documents of other sets linked with each set of a component of several sets.
+
+    All pairs of a component's sets are compared, in units of two blocks, and none is sent on: that is
+    quadratic in the different texts of a group, as the number of its links is.
+    """
+    several = groups.groupBy("component").agg(F.count("*").alias("m")).filter("m > 1")
+    own = groups.join(several, "component").join(items.select(F.col("name").alias("node"), "copies"), "node")
+    blocks = F.ceil(F.col("m") / UNIT_SETS)
+    own = own.withColumn("side", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    own = own.join(sets.select(F.col("name").alias("node"), "tokens"), "node")
+    rows = own.select("component", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", F.col("node").alias("name"), "copies", "tokens")
+    dealt = rows.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "name")
+    return dealt.mapInArrow(lambda b: _link_counts(b, share), "name long, n_links long").groupBy("name").agg(F.sum("n_links").alias("n_links"))
 
-def jaccard_components(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 3, share: tuple[int, int] = (9, 10)) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id.
+
+def jaccard_components(
+    spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 3, share: tuple[int, int] = (9, 10), counts: bool = False
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id (a whole number), n_shingles, component_id, and n_links with ``counts``.
 
     ``component_id`` is the smallest doc_id reachable over links. Null and empty texts, and
     those without words, have no shingles and are components of their own, each by its own id.
     A text of fewer than k words is one shingle of all of them. Repeated rows are linked with
-    each other. A null doc_id counts for its group only if no other is there.
+    each other. A null doc_id counts for its group only if no other is there. ``n_links`` is the
+    number of other rows that a row is linked with, its copies included. Long texts are read
+    whole; an empty table gives no rows; other columns may have any name.
     """
-
-    def columns(texts):
-        return list(zip(*((len(x), set_name(x), signature(x)) for _, x in bytescan.shingle_sets(texts, k)), strict=True))
-
-    named = save(spark, per_text(docs.select(F.col(doc_id), F.col(text)), (doc_id,), text, "n_shingles long, __name long, signature binary", columns), "named")
-    own = named.filter("n_shingles > 0").select(F.col(doc_id).cast("long").alias("id"), F.col("__name").alias("name"), "signature")
-    groups = components(spark, jaccard_links(spark, docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), own, k, share)).select(F.col("node").alias("__name"), "component")
-    sets = named.filter("n_shingles > 0").groupBy("__name").agg(F.min(doc_id).alias("least"))
-    sets = sets.join(groups, "__name", "left").withColumn("component", F.coalesce("component", "__name"))
-    ids = sets.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_name = save(spark, sets.join(ids, "component").select("__name", "component_id"), "components")
-    full = named.filter("n_shingles > 0").join(by_name, "__name")
-    empty = named.filter("n_shingles = 0").withColumn("component_id", F.col(doc_id))
-    return full.select(doc_id, "n_shingles", "component_id").unionByName(empty.select(doc_id, "n_shingles", "component_id"))
+    own = docs.select(F.col(doc_id).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"))
+    read = save(spark, own.mapInArrow(lambda b: _read(b, k), from_arrow_schema(READ)), "read")
+    classes = spark.sparkContext.broadcast(token_classes(read))
+    named = read.filter("block IS NULL")
+    full = named.filter("n_shingles > 0")
+    items = full.groupBy("name").agg(
+        F.min("id").alias("least"), F.count("*").alias("copies"), F.first("signature").alias("signature"), F.min(F.when(F.col("tokens").isNotNull(), F.col("row"))).alias("holder")
+    )
+    items = save(spark, items, "items")
+    links, sets = jaccard_links(spark, full.filter("tokens IS NOT NULL").select("name", "row", "tokens"), items, classes, share)
+    groups = components(spark, links)
+    by_name = items.select("name", "least", "copies").join(groups.withColumnRenamed("node", "name"), "name", "left").withColumn("component", F.coalesce("component", "name"))
+    ids = by_name.groupBy("component").agg(F.min("least").alias("component_id"))
+    columns = ["name", "component_id"]
+    by_name = by_name.join(ids, "component")
+    if counts:
+        others = link_counts(spark, sets, groups, items, share)
+        by_name = by_name.join(others, "name", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1)
+        columns.append("n_links")
+    by_name = save(spark, by_name.select(columns), "components")
+    empty = named.filter("n_shingles = 0").withColumn("component_id", F.col("id")).withColumn("n_links", F.lit(0).cast("long"))
+    out = [F.col("id").alias(doc_id), "n_shingles", *columns[1:]]
+    return full.select("id", "n_shingles", "name").join(by_name, "name").select(out).unionByName(empty.select(out))
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(spark, table(spark, sf_dir, "documents"))
+    return jaccard_components(spark, table(spark, sf_dir, "documents"), counts=True)
