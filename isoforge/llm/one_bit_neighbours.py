@@ -3,15 +3,18 @@
 Vectors are centred, rotated at random and kept as signs (packed bits) with two correction
 scalars: the norm of the centred vector, and the inner product of its direction with its
 code. They give an estimate of any inner product with an error bound, hence bounds of the
-distance. Vectors whose lower bound is within the k-th best distance are reranked with the
-original vectors.
+distance. Vectors whose lower bound is within the k-th best upper bound are reranked with the
+original vectors, which are fetched by a join: only codes meet queries.
 
-Equal vectors are one item with its k + 1 smallest ids. Queries are a stated set and go
-against all items in blocks: no task holds more than a block of either.
+Equal vectors are one item, named by two hashes, with its k + 1 smallest ids. Queries are a stated
+set and go against all items in blocks: no task holds more than a block of either, and what is
+sent for a block of queries is 1 bit a component, 8 bytes and a name for each item.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,132 +27,155 @@ from isoforge.llm.common import save, table
 CENTRE_ROWS = 4096
 #: Standard errors that the bounds allow for.
 SPREAD = 3.5
-ITEM_BLOCK, QUERY_BLOCK = 4096, 256
+ITEM_BLOCK, QUERY_BLOCK = 1 << 14, 1 << 11
+#: Products of codes and queries that are held at once.
+CELLS = 1 << 22
 SEED = 11
 
 
+@lru_cache(4)
 def rotation(dims: int) -> np.ndarray:
     q, r = np.linalg.qr(np.random.default_rng(SEED).standard_normal((dims, dims)))
     return q * np.sign(np.diag(r))
 
 
-def encode(vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def encode(vectors: np.ndarray, centre: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Packed signs, norms of the centred vectors, and inner products of their directions with the codes."""
-    own = (vectors - centre) @ turn.T
+    own = (vectors - centre) @ rotation(vectors.shape[1]).T
     norms = np.linalg.norm(own, axis=1)
     fit = np.abs(own).sum(1) / np.sqrt(own.shape[1]) / np.where(norms > 0, norms, 1)
     return np.packbits(own > 0, axis=1), norms, np.where(norms > 0, fit, 1)
 
 
-def distance_bounds(codes: np.ndarray, norms: np.ndarray, fit: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower and upper bound of the squared distance of each coded vector to a rotated, centred query."""
-    dims = len(query)
+def distance_bounds(codes: np.ndarray, norms: np.ndarray, fit: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of the squared distances of coded vectors (rows) to rotated, centred queries (columns)."""
+    dims = queries.shape[1]
     signs = (np.unpackbits(codes, axis=1, count=dims).astype(np.float32) * 2 - 1) / np.float32(np.sqrt(dims))
-    return _bounds(signs @ query.astype(np.float32), norms, fit, np.linalg.norm(query), dims)
+    length = np.linalg.norm(queries, axis=1).astype(np.float32)
+    norms, fit = norms.astype(np.float32)[:, None], fit.astype(np.float32)[:, None]
+    products = signs @ queries.astype(np.float32).T
+    error = norms * np.sqrt(np.maximum(1 - fit**2, 0)) / fit * np.float32(SPREAD / np.sqrt(max(1, dims - 1)))
+    scale = norms**2 + length**2
+    middle, slack = scale - 2 * norms * products / fit, 2 * error * length + np.float32(1e-5) * scale
+    return middle - slack, middle + slack
 
 
-def _bounds(products, norms, fit, length, dims):
-    error = length * np.sqrt(np.maximum(1 - fit**2, 0)) / fit * SPREAD / np.sqrt(max(1, dims - 1))
-    middle, slack = norms**2 + length**2 - 2 * norms * products / fit, 2 * norms * error
-    return middle - slack - 1e-6, middle + slack + 1e-6
+def usable(vector: Column) -> Column:
+    """Not null, all components finite, and not zero."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def nearest_in_block(items: np.ndarray, names: np.ndarray, coded: tuple, queries: np.ndarray, centre: np.ndarray, turn: np.ndarray, k: int):
-    """Of each query: positions and exact distances of its k nearest items, by bounds and reranking."""
-    codes, norms, fit = coded
-    turned = (queries - centre) @ turn.T
-    dims = queries.shape[1]
-    signs = (np.unpackbits(codes, axis=1, count=dims).astype(np.float32) * 2 - 1) / np.float32(np.sqrt(dims))
-    products = signs @ turned.astype(np.float32).T
-    for j, query in enumerate(queries):
-        low, high = _bounds(products[:, j], norms, fit, np.linalg.norm(turned[j]), dims)
-        near = np.flatnonzero(low <= (np.partition(high, k - 1)[k - 1] if len(high) > k else np.inf))
-        near = near[np.argsort(low[near], kind="stable")]
-        first = _exact(items[near[: 4 * k]], query)
-        if len(near) > 4 * k:
-            rest = near[4 * k :][low[near[4 * k :]] <= np.partition(first, k - 1)[k - 1] ** 2 + 1e-6]
-            first, near = np.concatenate((first, _exact(items[rest], query))), np.concatenate((near[: 4 * k], rest))
-        best = np.lexsort((names[near], first))[:k]
-        yield j, near[best], first[best]
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def _exact(items: np.ndarray, query: np.ndarray) -> np.ndarray:
-    return np.sqrt(((items - query) ** 2).sum(1))
+def _centre(items: DataFrame) -> np.ndarray:
+    """Mean of CENTRE_ROWS vectors of the commonest length; other lengths are centred at zero. Any centre gives right bounds."""
+    usual = items.groupBy("d").count().orderBy(F.desc("count"), "d").first()
+    sample = items.filter(F.col("d") == usual["d"]).orderBy("h", "g").limit(CENTRE_ROWS).select("v").toArrow()
+    return _matrix(sample["v"].combine_chunks()).mean(0)
 
 
-def usable(vector: Column, dims: int | None = None) -> Column:
-    """Not null, of ``dims`` components, all finite, and not zero."""
-    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce(finite & F.exists(vector, lambda x: x != 0) & (F.lit(True) if dims is None else F.size(vector) == dims), F.lit(False))
+def _centred(centre: np.ndarray, dims: int) -> np.ndarray:
+    return centre if len(centre) == dims else np.zeros(dims)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+#: What blocks of items and of queries hold: hashes, and codes with scalars or rotated vectors.
+ITEMS = "d int, names binary, codes binary, norms binary, fit binary"
+QUERIES = "d int, block long, asked binary, turned binary"
+BOUNDS = "qh long, qg long, h long, g long, low double, high double"
+
+
+def _coded(batches, centre):
+    """Blocks of items of one length, from rows in order of their length."""
+    for batch in batches:
+        lengths = batch.column(2).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(lengths)) + 1).tolist(), len(batch)]
+        for first, end in zip(cuts, cuts[1:], strict=False):
+            for a in range(first, end, ITEM_BLOCK):
+                part = batch.slice(a, min(ITEM_BLOCK, end - a))
+                v = _matrix(part.column(3))
+                names = np.stack([part.column(i).to_numpy() for i in (0, 1)], 1)
+                codes, norms, fit = encode(v, _centred(centre.value, v.shape[1]))
+                made = [names.astype("<i8"), codes, norms.astype("<f4"), fit.astype("<f4")]
+                yield pa.RecordBatch.from_arrays([pa.array([v.shape[1]], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in made)], names=[c.split()[0] for c in ITEMS.split(", ")])
+
+
+def _turned(batches, centre):
+    """Rotated queries, a block in a row, from blocks in rows."""
+    for batch in batches:
+        for i in range(len(batch)):
+            own = batch.column(2)[i].values
+            v = _matrix(own.field(2))
+            names = np.stack([own.field(j).to_numpy() for j in (0, 1)], 1).astype("<i8")
+            turned = (v - _centred(centre.value, v.shape[1])) @ rotation(v.shape[1]).T
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, 1) for c in (0, 1)), pa.array([names.tobytes()], pa.binary()), pa.array([turned.astype("<f4").tobytes()], pa.binary())], names=["d", "block", "asked", "turned"])
+
+
+def _bounded(batches, k: int):
+    """Of each pair of blocks and each query, the items whose lower bound is within the k-th upper bound."""
+    for batch in batches:
+        for row in range(len(batch)):
+            names, codes, norms, fit, asked, turned = (np.frombuffer(batch.column(c)[row].as_buffer(), t) for c, t in enumerate(("<i8", "u1", "<f4", "<f4", "<i8", "<f4")))
+            names, asked = names.reshape(-1, 2), asked.reshape(-1, 2)
+            codes, turned = codes.reshape(len(names), -1), turned.reshape(len(asked), -1)
+            step = max(1, CELLS // len(names))
+            for a in range(0, len(asked), step):
+                low, high = distance_bounds(codes, norms, fit, turned[a : a + step])
+                most = np.partition(high, k - 1, axis=0)[k - 1] if len(names) > k else np.full(high.shape[1], np.inf)
+                item, query = np.nonzero(low <= most)
+                columns = [*asked[a + query].T, *names[item].T, low[item, query].astype(float), high[item, query].astype(float)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=[c.split()[0] for c in BOUNDS.split(", ")])
+
+
+def _least(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("rank", rank).filter(F.col("rank") <= n)
 
 
 def nearest(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest others of each query, in one row each.
 
-    Vectors that are null, zero, not finite or of an unusual length, and rows without an id,
-    take no part. With fewer than k candidates all are returned; ties go to the smaller id. A
-    repeated id counts once for each different vector.
+    Vectors that are null, zero or not finite, and rows without an id, take no part; vectors of
+    another length than a query's have no distance to it. With fewer than k candidates all are
+    returned; ties go to the smaller id. Rows that repeat an id and a vector are one; a repeated
+    id counts once for each different vector, as a query and as a candidate. An empty table gives
+    no rows; other columns may have any name.
     """
     own = vectors.select(F.col(vec_id).alias("id"), F.col(vector).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
-    own = own.filter(F.col("id").isNotNull() & usable(F.col("v")))
-    usual = own.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    v = F.transform("v", lambda x: x + F.lit(0.0))  # no negative zeros, which hash otherwise
+    own = own.filter(F.col("id").isNotNull() & usable(F.col("v"))).withColumn("v", v)
+    own = save(spark, own.withColumn("h", F.xxhash64("v")).withColumn("g", F.xxhash64("v", F.lit(1))), "vectors")
+    ids = _least(own.select("h", "g", "id").distinct(), ["h", "g"], ["id"], k + 1)
+    ids = ids.groupBy("h", "g").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    items = own.groupBy("h", "g").agg(F.first("v").alias("v")).join(ids, ["h", "g"])
+    items = save(spark, items.select("h", "g", F.size("v").alias("d"), "v", "ids"), "items")
     schema = "query_id long, rank int, vec_id long, score double"
-    if usual is None:
+    if items.isEmpty():
         return spark.createDataFrame([], schema)
-    dims = usual["d"]
-    own = own.filter(F.size("v") == dims)
-    sample = own.orderBy(F.xxhash64("id"), "id").limit(CENTRE_ROWS).select("v").toArrow()
-    centre, turn = _matrix(sample["v"].combine_chunks()).mean(0), rotation(dims)
-    model = spark.sparkContext.broadcast((centre, turn))
-
-    smallest = F.row_number().over(W.partitionBy("v").orderBy("id"))
-    items = own.select("id", "v").distinct().withColumn("n", smallest).filter(F.col("n") <= k + 1)
-    items = save(spark, items.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("name", F.col("ids")[0]), "items")
-    asked = save(spark, own.filter("asks").select("id", "v").distinct(), "queries")
-    kinds = asked.groupBy("v").agg(F.min("id").alias("q"))
-    blocks = max(1, -(-kinds.count() // QUERY_BLOCK))
-    query_blocks = kinds.groupBy(F.pmod(F.xxhash64("q"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("q", "v")).alias("queries"))
-
-    def coded(batches):
-        for batch in batches:
-            for a in range(0, len(batch), ITEM_BLOCK):
-                part = batch.slice(a, ITEM_BLOCK)
-                v = _matrix(part.column(1))
-                codes, norms, fit = encode(v, *model.value)
-                made = [np.array(part.column(0).to_numpy(), "<i8"), v, codes, norms, fit]
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in made], names=["names", "vectors", "codes", "norms", "fit"])
-
-    layout = "names binary, vectors binary, codes binary, norms binary, fit binary"
-    item_blocks = items.select("name", "v").mapInArrow(coded, layout).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("block", F.col("block").cast("long"))
-
-    def search(batches):
-        for batch in batches:
-            for i in range(len(batch)):
-                names, v, codes, norms, fit = (np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in enumerate(("<i8", "<f8", "u1", "<f8", "<f8")))
-                v, codes = v.reshape(len(names), -1), codes.reshape(len(names), -1)
-                asked = batch.column(5)[i].values
-                q, query = asked.field(0).to_numpy(), _matrix(asked.field(1))
-                found = [(q[j], names[at], d) for j, at, d in nearest_in_block(v, names, (codes, norms, fit), query, *model.value, k + 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat([x[0] for x in found], [len(x[1]) for x in found])), pa.array(np.concatenate([x[1] for x in found])), pa.array(np.concatenate([x[2] for x in found]))],
-                    names=["q", "name", "score"],
-                )
-
-    pairs = item_blocks.join(query_blocks, "block").select("names", "vectors", "codes", "norms", "fit", "queries")
-    found = pairs.mapInArrow(search, "q long, name long, score double")
-    best = W.partitionBy("q").orderBy("score", "name")
-    found = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n")
-    each = found.join(items.select("name", "ids"), "name").select("q", "score", F.explode("ids").alias("other"))
-    by_id = W.partitionBy("q").orderBy("score", "other")
-    each = each.withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= k + 1).drop("n")
-    named = asked.join(kinds.withColumnRenamed("v", "w"), F.col("v") == F.col("w")).select("id", "q")
-    out = named.join(each, "q").filter("other != id")
-    rank = F.row_number().over(W.partitionBy("id").orderBy("score", "other"))
-    return out.withColumn("rank", rank).filter(F.col("rank") <= k).select(F.col("id").alias("query_id"), "rank", F.col("other").alias("vec_id"), "score")
+    centre = spark.sparkContext.broadcast(_centre(items))
+    asked = save(spark, own.filter("asks").select("id", F.col("h").alias("qh"), F.col("g").alias("qg")).distinct(), "asked")
+    kinds = asked.select(F.col("qh").alias("h"), F.col("qg").alias("g")).distinct().join(items, ["h", "g"])
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    query_blocks = kinds.groupBy("d", F.pmod("h", F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("h", "g", "v")).alias("queries"))
+    query_blocks = save(spark, query_blocks.mapInArrow(lambda b: _turned(b, centre), QUERIES), "queries")
+    coded = save(spark, items.select("h", "g", "d", "v").sortWithinPartitions("d").mapInArrow(lambda b: _coded(b, centre), ITEMS), "codes")
+    coded = coded.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+
+    pairs = coded.join(query_blocks, ["d", "block"]).select("names", "codes", "norms", "fit", "asked", "turned")
+    bounds = save(spark, pairs.mapInArrow(lambda b: _bounded(b, k + 1), BOUNDS), "bounds")
+    within = _least(bounds.select("qh", "qg", "high"), ["qh", "qg"], ["high"], k + 1).groupBy("qh", "qg").agg(F.max("high").alias("most"))
+    near = bounds.join(within, ["qh", "qg"]).filter("low <= most").select("qh", "qg", "h", "g")
+    near = near.join(items.select("h", "g", "v", "ids"), ["h", "g"])
+    near = near.join(items.select(F.col("h").alias("qh"), F.col("g").alias("qg"), F.col("v").alias("q")), ["qh", "qg"])
+    square = F.aggregate(F.zip_with("v", "q", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x)
+    found = near.select("qh", "qg", "h", "g", F.sqrt(square).alias("score"), "ids")
+    best = _least(found, ["qh", "qg"], ["score", F.col("ids")[0]], k + 1)
+    each = _least(best.select("qh", "qg", "h", "g", "score", F.explode("ids").alias("other")), ["qh", "qg"], ["score", "other"], k + 1)
+    out = asked.join(each, ["qh", "qg"]).filter("NOT (other = id AND h = qh AND g = qg)")
+    out = _least(out, ["id", "qh", "qg"], ["score", "other"], k)
+    return out.select(F.col("id").alias("query_id"), F.col("rank").cast("int"), F.col("other").alias("vec_id"), "score")
 
 
 def op5_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
