@@ -2,13 +2,14 @@
 
 ``encode_coefficients`` writes quantised coefficients as a progressive JPEG: DC, then two
 bands of AC coefficients (spectral selection) without their lowest bit, then a refining scan
-for that bit (successive approximation). ``decode_coefficients`` reads any progressive or
-sequential Huffman JPEG of 8 bits: each scan adds to the arrays. Scans whose Huffman table
+for that bit (successive approximation). ``decode`` reads any progressive or sequential
+Huffman JPEG of 8 bits: each scan adds to the arrays. Scans whose Huffman table
 makes every coefficient equally wide are read with numpy table look-ups; all others bit by bit.
 
 A payload is stored without loss in the format's own unit: byte ``b`` is coefficient ``b + 2``
-(never zero, also without its lowest bit), 192 bytes are one 8 x 8 block of three components.
-UTF-8 never holds bytes beyond 0xF4, so coefficients stay within 246.
+(never zero, also without its lowest bit), 384 bytes are a unit of four blocks of brightness and one of
+each colour, which has half the rows and columns. UTF-8 never holds bytes beyond 0xF4, so
+coefficients stay within 246.
 """
 
 from __future__ import annotations
@@ -19,14 +20,19 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from isoforge.llm.common import per_text, table
+from isoforge.llm.common import per_text, save, table
 
 BLOCK_BYTES = 192
 _SHIFT = 2
-#: Rows of blocks in one column, so that the height fits in 16 bits.
-_TALLEST = 8191
+#: Blocks across and down of each component in a unit.
+SAMPLING = ((2, 2), (1, 1), (1, 1))
+UNIT_BLOCKS = sum(h * v for h, v in SAMPLING)
+#: Rows of units in one column, so that the height fits in 16 bits.
+_TALLEST = 4095
 #: The bands of AC coefficients that are sent one after the other.
 BANDS = ((1, 5), (6, 63))
 
@@ -98,26 +104,35 @@ def _scan(components: list[int], first: int, last: int, high: int, low: int, slo
     return _segment(0xDA, bytes([len(components)]) + own + bytes([first, last, high << 4 | low])) + body
 
 
-def encode_coefficients(blocks: np.ndarray, columns: int, comment: bytes = b"") -> bytes:
-    """Of an array (blocks, 3, 64) in zigzag order, values 2 to 255, ``columns`` blocks in a row."""
-    n = len(blocks)
+def unit_order(rows: int, columns: int, h: int, v: int) -> np.ndarray:
+    """Numbers, row by row, of a component's blocks in the order of interleaved units."""
+    return np.arange(rows * columns).reshape(rows // v, v, columns // h, h).transpose(0, 2, 1, 3).reshape(-1, h * v)
+
+
+def encode_coefficients(planes: list[np.ndarray], sampling=SAMPLING, comment: bytes = b"") -> bytes:
+    """Of arrays (rows, columns, 64) in zigzag order, values 2 to 255, one for each component."""
+    down, across = max(v for _, v in sampling), max(h for h, _ in sampling)
+    height, width = 8 * planes[0].shape[0] // sampling[0][1] * down, 8 * planes[0].shape[1] // sampling[0][0] * across
     out = [b"\xff\xd8", _segment(0xFE, comment), _segment(0xDB, bytes([0]) + bytes([1] * 64))]
-    out.append(_segment(0xC2, struct.pack(">BHHB", 8, 8 * (n // columns), 8 * columns, 3) + b"".join(bytes([c + 1, 0x11, 0]) for c in range(3))))
+    frame = b"".join(bytes([c + 1, h << 4 | v, 0]) for c, (h, v) in enumerate(sampling))
+    out.append(_segment(0xC2, struct.pack(">BHHB", 8, height, width, len(planes)) + frame))
     out += [_huffman(0, 0, DC_TABLE), _huffman(1, 0, AC_TABLE), _huffman(1, 1, END_TABLE)]
-    halves = blocks >> 1
-    steps = np.diff(halves[:, :, 0], axis=0, prepend=0)
-    out.append(_scan([0, 1, 2], 0, 0, 0, 1, 0x00, _stuffed(_bits(_DC_WORDS[steps.ravel() + 255], 9))))
+    orders = [unit_order(*p.shape[:2], *s) for p, s in zip(planes, sampling, strict=True)]
+    flat = [p.reshape(-1, 64) for p in planes]
+    halves, every = [p >> 1 for p in flat], [*range(len(planes))]
+    steps = [np.diff(p[o.ravel(), 0], prepend=0).reshape(o.shape) for p, o in zip(halves, orders, strict=True)]
+    out.append(_scan(every, 0, 0, 0, 1, 0x00, _stuffed(_bits(_DC_WORDS[np.concatenate(steps, 1).ravel() + 255], 9))))
     for a, b in BANDS:
-        for c in range(3):
-            out.append(_scan([c], a, b, 0, 1, 0x00, _AC_WORDS[halves[:, c, a : b + 1]].tobytes()))
-    low = (blocks & 1).astype(np.uint8)
-    out.append(_scan([0, 1, 2], 0, 0, 1, 0, 0x00, _stuffed(low[:, :, 0].ravel())))
-    for c in range(3):
+        for c, half in enumerate(halves):
+            out.append(_scan([c], a, b, 0, 1, 0x00, _AC_WORDS[half[:, a : b + 1]].tobytes()))
+    low = [(p & 1).astype(np.uint8) for p in flat]
+    out.append(_scan(every, 0, 0, 1, 0, 0x00, _stuffed(np.concatenate([p[o, 0] for p, o in zip(low, orders, strict=True)], 1).ravel())))
+    for c, own in enumerate(low):
         bits = []
-        for a in range(0, n, 32767):
-            run = min(n - a, 32767)
+        for a in range(0, len(own), 32767):
+            run = min(len(own) - a, 32767)
             r = run.bit_length() - 1
-            bits += [_bits(np.array([r]), 4), _bits(np.array([run - (1 << r)]), r), low[a : a + run, c, 1:].ravel()]
+            bits += [_bits(np.array([r]), 4), _bits(np.array([run - (1 << r)]), r), own[a : a + run, 1:].ravel()]
         out.append(_scan([c], 1, 63, 1, 0, 0x01, _stuffed(np.concatenate(bits))))
     return b"".join([*out, b"\xff\xd9"])
 
@@ -194,22 +209,26 @@ class Picture:
             self._bit_scan(own, slots, first, last, high, low, body)
 
     def _wide_scan(self, own, slots, first, last, high, low, body) -> bool:
-        """Scans of equally wide coefficients, without restarts and subsampling; False if this is none."""
-        if self.restart or {*self.h, *self.v} != {1} or first == 0 and (last or own != [*range(len(self.ids))]):
+        """Scans of equally wide coefficients, without restarts, of whole units; False if this is none."""
+        whole = self.width % (8 * max(self.h)) == self.height % (8 * max(self.v)) == 0
+        if self.restart or not whole or first == 0 and (last or own != [*range(len(self.ids))] or len(own) == 1):
             return False
         flat = [c.reshape(-1, 64) for c in self.coefficients]
-        n = len(flat[0])
-        if first == 0 and high:
-            bits = np.unpackbits(np.frombuffer(body.replace(b"\xff\x00", b"\xff"), np.uint8), count=n * len(own)).reshape(n, -1)
-            for i, c in enumerate(own):
-                flat[c][:, 0] |= bits[:, i].astype(np.int32) << low
-        elif first == 0:
-            if any(self.tables.get(s >> 4) != DC_TABLE for s in slots):
+        n = len(flat[own[0]])
+        if first == 0:
+            orders = [unit_order(*c.shape[:2], h, v) for c, h, v in zip(self.coefficients, self.h, self.v, strict=True)]
+            edges = np.cumsum([0, *(o.shape[1] for o in orders)])
+            count = len(orders[0]) * int(edges[-1])
+            if not high and any(self.tables.get(s >> 4) != DC_TABLE for s in slots):
                 return False
-            bits = np.unpackbits(np.frombuffer(body.replace(b"\xff\x00", b"\xff"), np.uint8), count=9 * n * len(own)).reshape(-1, 9)
-            steps = _DC_VALUES[bits @ (1 << np.arange(8, -1, -1))].reshape(n, -1)
-            for i, c in enumerate(own):
-                flat[c][:, 0] = np.cumsum(steps[:, i]) << low
+            bits = np.unpackbits(np.frombuffer(body.replace(b"\xff\x00", b"\xff"), np.uint8), count=count * (1 if high else 9))
+            values = bits.astype(np.int32) if high else _DC_VALUES[bits.reshape(-1, 9) @ (1 << np.arange(8, -1, -1))]
+            for c, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+                part, order = values.reshape(len(orders[0]), -1)[:, a:b].ravel(), orders[c].ravel()
+                if high:
+                    flat[c][order, 0] |= part << low
+                else:
+                    flat[c][order, 0] = np.cumsum(part) << low
         elif high == 0:
             if self.tables.get(16 | slots[0] & 15) != AC_TABLE:
                 return False
@@ -355,44 +374,72 @@ def decode(jpeg: bytes) -> Picture:
 
 def store(payload: bytes) -> bytes:
     """The progressive JPEG of a payload: a positive multiple of 192 bytes, none beyond 253."""
-    n = len(payload) // BLOCK_BYTES
+    n = -(-len(payload) // (64 * UNIT_BLOCKS))
     columns = -(-n // _TALLEST)
-    whole = -(-n // columns) * columns
-    blocks = np.frombuffer(payload + bytes((whole - n) * BLOCK_BYTES), np.uint8).reshape(whole, 3, 64).astype(np.int32) + _SHIFT
-    return encode_coefficients(blocks, columns, str(len(payload)).encode())
+    rows = -(-n // columns)
+    units = np.frombuffer(payload.ljust(rows * columns * 64 * UNIT_BLOCKS, b"\0"), np.uint8).reshape(rows, columns, UNIT_BLOCKS, 64).astype(np.int32) + _SHIFT
+    planes, first = [], 0
+    for h, v in SAMPLING:
+        own = units[:, :, first : first + h * v].reshape(rows, columns, v, h, 64)
+        planes.append(own.transpose(0, 2, 1, 3, 4).reshape(rows * v, columns * h, 64))
+        first += h * v
+    return encode_coefficients(planes, SAMPLING, str(len(payload)).encode())
 
 
 def load(picture: Picture) -> bytes:
-    flat = np.stack([c.reshape(-1, 64) for c in picture.coefficients], 1)
-    return (flat - _SHIFT).astype(np.uint8).tobytes()[: int(picture.comment)]
+    units = [c.reshape(-1, 64)[unit_order(*c.shape[:2], h, v)] for c, h, v in zip(picture.coefficients, picture.h, picture.v, strict=True)]
+    return (np.concatenate(units, 1) - _SHIFT).astype(np.uint8).tobytes()[: int(picture.comment)]
+
 
+def padded(text: bytes) -> bytes:
+    return text.ljust(max(BLOCK_BYTES, -(-len(text) // BLOCK_BYTES) * BLOCK_BYTES), b" ")
 
-def _columns(texts: list[bytes]) -> list[list]:
-    rows = []
-    for text in texts:
-        payload = text.ljust(max(BLOCK_BYTES, -(-len(text) // BLOCK_BYTES) * BLOCK_BYTES), b" ")
-        media = store(payload)
-        picture = decode(media)
-        back, tensor = load(picture), picture.rgb()
-        sums = tensor.reshape(-1, 3).sum(0, dtype=np.int64).tolist()
-        squares = (tensor.reshape(-1, 3).astype(np.int64) ** 2).sum(0).tolist()
-        feature = f"{picture.height}x{picture.width};{','.join(map(str, sums))};{','.join(map(str, squares))}"
-        rows.append((len(text), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature, media, tensor.tobytes(), [*tensor.shape]))
-    return list(zip(*rows, strict=True))
 
+def feature_of(tensor: np.ndarray) -> str:
+    """Height, width, and the sums and sums of squares of red, green and blue: whole numbers."""
+    flat = tensor.reshape(-1, 3).astype(np.int64)
+    return f"{tensor.shape[0]}x{tensor.shape[1]};{','.join(map(str, flat.sum(0).tolist()))};{','.join(map(str, (flat**2).sum(0).tolist()))}"
 
-SCHEMA = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
+PAYLOAD = "payload_bytes long, payload_sha256 string, tail_crc32 long, feature string"
 
-def media_of_texts(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The stored ``media`` of each whole text, its RGB ``tensor`` and ``shape``, and digests of both.
 
-    Null counts as empty; an empty text is one block of spaces. ``feature`` has height, width,
-    and the sums and sums of squares of red, green and blue: whole numbers, so that equal texts
-    have equal features wherever they are read.
+def store_texts(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``n_bytes`` and the stored ``media`` of each whole text.
+
+    Null counts as empty; an empty text is one block of spaces. Equal texts have equal media.
     """
-    return per_text(docs, keep, text, f"{SCHEMA}, media binary, tensor binary, shape array<int>", _columns)
+
+    def columns(texts):
+        return [pa.array(list(map(len, texts)), pa.int64()), pa.array([store(padded(t)) for t in texts], pa.binary())]
+
+    return per_text(docs, keep, text, "n_bytes long, media binary", columns)
+
+
+def decode_media(stored: DataFrame, media: str = "media", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The full-resolution RGB ``tensor`` (rows of red, green and blue bytes) and ``shape`` of stored pictures; null stays null."""
+
+    def columns(pictures):
+        found = [decode(p).rgb() if p else None for p in pictures]
+        return [pa.array([None if t is None else t.tobytes() for t in found], pa.binary()), pa.array([None if t is None else [*t.shape] for t in found], pa.list_(pa.int32()))]
+
+    return per_text(stored, keep, media, "tensor binary, shape array<int>", columns)
+
+
+def read_payloads(stored: DataFrame, media: str = "media", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Digests of the payloads read back from stored pictures, and the features of their tensors."""
+
+    def columns(pictures):
+        rows = []
+        for own in map(decode, pictures):
+            back = load(own)
+            rows.append((len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), feature_of(own.rgb())))
+        return list(zip(*rows, strict=True))
+
+    return per_text(stored, keep, media, PAYLOAD, columns)
 
 
 def op9_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return per_text(table(spark, sf_dir, "documents"), ("doc_id",), "text", SCHEMA, lambda texts: _columns(texts)[:7])
+    stored = save(spark, store_texts(table(spark, sf_dir, "documents")), "media")
+    own = stored.withColumns({"media_bytes": F.octet_length("media").cast("long"), "media_sha256": F.sha2("media", 256)})
+    return read_payloads(own, "media", ("doc_id", "n_bytes", "media_bytes", "media_sha256"))
