@@ -101,7 +101,7 @@ def fuzzy_notices(lowered: str) -> list[tuple[int, int, int, str]]:
             a, b = max(0, begin - e), min(len(flat), begin + len(notice) + e)
             own = windows.setdefault(notice, [])
             if own and a <= own[-1][1]:
-                own[-1][1] = max(own[-1][1], b)
+                own[-1] = [min(own[-1][0], a), max(own[-1][1], b)]
             else:
                 own.append([a, b])
     out = []

@@ -66,20 +66,20 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: bytes,
 
 
 def dictionary_of(records: list[bytes]) -> bytes:
-    """Trained on every n-th record; empty if they are too few or too alike for the trainer."""
+    """Trained on every n-th record; where they are too few or too alike for the trainer, the records themselves serve."""
     total = sum(map(len, records))
     step = max(1, -(-total // SAMPLE_BYTES))
     samples = [r[: SAMPLE_BYTES // 8] for r in records[::step]]
     size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 8)
     try:
-        return zstandard.train_dictionary(size, samples).as_bytes() if size >= 256 and len(samples) >= 8 else b""
+        return zstandard.train_dictionary(size, samples).as_bytes()
     except zstandard.ZstdError:
-        return b""
+        return b"".join(samples)[-DICTIONARY_BYTES:]
 
 
 def archive_of(records: list[bytes]) -> bytes:
     own = dictionary_of(records)
-    packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(own) if own else None, write_content_size=True)
+    packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(own), write_content_size=True)
     return b"".join([struct.pack("<II", DICTIONARY_MAGIC, len(own)), own, *map(packer.compress, records)])
 
 
@@ -88,7 +88,7 @@ def records_of(archive: bytes) -> Iterator[bytes]:
     if magic != DICTIONARY_MAGIC:
         raise ValueError("no leading dictionary frame")
     own, at = archive[8 : 8 + size], 8 + size
-    unpacker = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(own) if own else None)
+    unpacker = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(own))
     view = memoryview(archive)
     while at < len(archive):
         frame = unpacker.decompressobj()
@@ -114,14 +114,17 @@ def plan_records(pages: DataFrame) -> DataFrame:
     Of equal payloads of at least 1000 bytes the one with the largest page_id is the response.
     Rows that repeat that page_id and payload are responses too; a null page_id is never
     referred to, and its row is a response if no other holds the payload. Only digests are
-    aggregated, with partial sums; payloads stay where they are but for one join by digest.
+    aggregated, with partial sums; small payloads stay where they are, and others but for one join by digest.
+    Null html counts as empty; an empty table gives no rows.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     own = pages.select("page_id", "url", html.alias("html")).withColumn("digest", F.sha1(F.col("html").cast("binary"))).withColumn("size", F.octet_length("html"))
     large = own.filter(F.col("size") >= LEAST_SHARED)
     shared = large.groupBy("digest", "size").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).filter("n > 1").select("digest", "size", "last")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last"))
-    return own.join(shared, ["digest", "size"], "left").select("page_id", "url", "html", "digest", refers.alias("refers_to"))
+    joined = large.join(shared, ["digest", "size"], "left").select("page_id", "url", "html", "digest", refers.alias("refers_to"))
+    small = own.filter(F.col("size") < LEAST_SHARED).select("page_id", "url", "html", "digest", F.lit(None).cast("long").alias("refers_to"))
+    return joined.unionByName(small)
 
 
 def write_archives(planned: DataFrame, folder: str) -> DataFrame:
