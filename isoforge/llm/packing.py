@@ -34,6 +34,7 @@ BLOCK = 1024
 END_ID = 0
 
 CODED = "doc_tokens long, ids_crc32 long, width int, ids binary"
+PLANNED = "row long, pieces array<struct<start:long,length:long,sequence_id:long,offset:long>>"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -103,10 +104,14 @@ def pack(spark: SparkSession, docs: DataFrame, path: str, shares: dict[str, floa
     ``shares`` are target token proportions by source; by default those of the corpus, and a
     source without one is sent when the others' queues are empty. Null sources are one source
     of their own. Repeated rows are packed each. What all of a shard's queues leave for the last
-    window is cut into sequences of powers of two. Sequences are numbered shard x 2**32 + n.
+    window is cut into sequences of powers of two. Sequences are numbered shard x 2**32 + n. Null and
+    empty texts are a final id alone; long ones are coded whole; an empty table gives no rows; other
+    columns may have any name. Windows are planned from token counts; ids travel once, to their pieces.
     """
     name = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("-"))
-    cut = save(spark, coded_texts(docs.select("doc_id", name.alias("queue"), text), path, text, ("doc_id", "queue")), "ids")
+    own = docs.select("doc_id", name.alias("queue"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"))
+    coded = save(spark, coded_texts(own, path, "text", ("doc_id", "queue", "row")), "ids")
+    cut = coded.select("doc_id", "queue", "row", "doc_tokens", "ids_crc32")
     total = cut.agg(F.sum("doc_tokens")).first()[0] or 0
     by_queue = cut.groupBy("queue").agg(F.sum("doc_tokens").alias("all")).withColumn("part", F.col("all") / F.lit(max(total, 1)))
     if shares is None:
@@ -116,22 +121,23 @@ def pack(spark: SparkSession, docs: DataFrame, path: str, shares: dict[str, floa
         given = spark.createDataFrame([(f"={k}", v / whole) for k, v in shares.items()], "queue string, share double")
         target = by_queue.join(given, "queue", "left").na.fill(0.0)
     target = save(spark, target, "targets")
-    cut = _dealt(spark, cut, target, max(1, -(-total // SHARD_TOKENS)))
+    cut = save(spark, _dealt(spark, cut, target, max(1, -(-total // SHARD_TOKENS))), "dealt")
     sent = save(spark, cut.groupBy("shard", "queue").agg(F.sum("doc_tokens").alias("tokens")), "sent")
     starts = save(spark, _carried(sent.join(target, "queue")), "deficits")
-    return cut.groupBy("shard").cogroup(starts.groupBy("shard")).applyInArrow(_pack_shard, PACKED)
+    pieces = save(spark, cut.groupBy("shard").cogroup(starts.groupBy("shard")).applyInArrow(_plan_shard, PLANNED), "pieces")
+    return coded.select("row", "doc_id", "doc_tokens", "width", "ids").join(pieces, "row").drop("row").mapInArrow(_cut_out, PACKED)
 
 
 def _dealt(spark: SparkSession, cut: DataFrame, target: DataFrame, shards: int) -> DataFrame:
     """``shard`` beside each document: its source's tokens before it, in the order of hashes, as a part of all of them."""
-    place = F.xxhash64("doc_id", "ids_crc32")
-    cut = cut.withColumn("place", place).withColumn("bucket", F.pmod(place, F.lit(shards)))
+    place = F.xxhash64("doc_id", "ids_crc32", "row")
+    cut = cut.withColumn("place", place).withColumn("bucket", F.pmod(F.col("place"), F.lit(shards)))
     sums = cut.groupBy("queue", F.col("bucket").alias("shard")).agg(F.sum("doc_tokens").alias("tokens"))
     lower = save(spark, _before(sums, ["queue"], "tokens", "lower").withColumnRenamed("shard", "bucket").join(target.select("queue", "all"), "queue"), "lower")
-    inside = W.partitionBy("queue", "bucket").orderBy("place", "doc_id", "ids_crc32", "doc_tokens").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("queue", "bucket").orderBy("place", "row").rowsBetween(W.unboundedPreceding, -1)
     own = cut.join(lower, ["queue", "bucket"]).withColumn("inside", F.coalesce(F.sum("doc_tokens").over(inside), F.lit(0)))
     shard = F.floor((F.col("lower") + F.col("inside")) / F.col("all") * shards)
-    return own.select("doc_id", "queue", "doc_tokens", "ids_crc32", "width", "ids", F.least(shard, F.lit(shards - 1)).cast("long").alias("shard"))
+    return own.select("row", "doc_id", "queue", "doc_tokens", "ids_crc32", F.least(shard, F.lit(shards - 1)).cast("long").alias("shard"))
 
 
 def _before(sums: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
@@ -158,26 +164,37 @@ def _carried(sent: DataFrame) -> DataFrame:
     return joined.select("shard", "queue", "share", deficit.alias("deficit"))
 
 
-def _pack_shard(docs: pa.Table, starts: pa.Table) -> pa.Table:
+def _plan_shard(docs: pa.Table, starts: pa.Table) -> pa.Table:
+    """The pieces of each of a shard's documents."""
     shares = dict(zip(starts["queue"].to_pylist(), starts["share"].to_pylist(), strict=True))
     deficits = dict(zip(starts["queue"].to_pylist(), starts["deficit"].to_pylist(), strict=True))
+    names = ("doc_id", "queue", "doc_tokens", "ids_crc32", "row", "shard")
+    rows = sorted(zip(*(docs[c].to_pylist() for c in names), strict=True), key=lambda r: (r[0] is None, r[0] or 0, *r[1:5]))
     queues: dict[str, deque] = {}
-    shard = 0
-    names = ("doc_id", "queue", "doc_tokens", "ids_crc32", "width", "ids", "shard")
-    rows = sorted(zip(*(docs[c].to_pylist() for c in names), strict=True), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2], r[3]))
-    coded = []
-    for i, (_, queue, tokens, _, width, raw, shard) in enumerate(rows):
-        queues.setdefault(queue, deque()).append((i, tokens))
-        planes = np.frombuffer(pa.decompress(raw, tokens * width, "zstd"), np.uint8).reshape(width, -1)
-        coded.append(np.ascontiguousarray(planes.T).view(f"<u{width}").ravel())
-    out = []
-    for sequence, own in enumerate(windows(queues, shares, deficits), shard << 32):
+    for i, r in enumerate(rows):
+        queues.setdefault(r[1], deque()).append((i, r[2]))
+    pieces: list[list] = [[] for _ in rows]
+    for sequence, own in enumerate(windows(queues, shares, deficits), rows[0][5] << 32 if rows else 0):
         offset = 0
         for i, start, length in own:
-            ids = coded[i][start : start + length].astype("<u4")
-            out.append((rows[i][0], start, length, zlib.crc32(ids), rows[i][2], sequence, offset))
+            pieces[i].append({"start": start, "length": length, "sequence_id": sequence, "offset": offset})
             offset += length
-    return pa.table([pa.array(c, pa.int64()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.int64())] * 7, names=[f.split()[0] for f in PACKED.split(", ")])
+    kind = pa.struct([(c, pa.int64()) for c in ("start", "length", "sequence_id", "offset")])
+    return pa.table([pa.array([r[4] for r in rows], pa.int64()), pa.array(pieces, pa.list_(kind))], names=["row", "pieces"])
+
+
+def _cut_out(batches) -> Iterator[pa.RecordBatch]:
+    """A row for each piece, with the digest of its ids."""
+    for batch in batches:
+        out = []
+        for doc_id, tokens, width, raw, pieces in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "doc_tokens", "width", "ids", "pieces")), strict=True):
+            planes = np.frombuffer(pa.decompress(raw, tokens * width, "zstd"), np.uint8).reshape(width, -1)
+            ids = memoryview(np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype("<u4").tobytes())
+            for p in pieces:
+                a, n = p["start"], p["length"]
+                out.append((doc_id, a, n, zlib.crc32(ids[4 * a : 4 * (a + n)]), tokens, p["sequence_id"], p["offset"]))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=[f.split()[0] for f in PACKED.split(", ")])
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
