@@ -13,7 +13,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from isoforge.llm import byte_bpe, bytescan, license_scan, ngram_join, one_bit_neighbours, packing, progressive_jpeg, secret_scan, warc
+from isoforge.llm import components as component_module
+from isoforge.llm import byte_bpe, bytescan, license_scan, ngram_join, one_bit_neighbours, packing, progressive_jpeg, secret_scan, toxicity, warc
 from isoforge.llm.common import held_out
 from isoforge.llm.quality import score_quality
 from isoforge.llm.toxicity import build_model, score_toxicity
@@ -46,7 +47,7 @@ def brute_components(texts):
     for t in texts:
         words = [w for w in (t or "").translate({c: c + 32 for c in range(65, 91)}).replace("\n", " ").replace("\t", " ").split(" ") if w]
         sets.append({tuple(words[i : i + 3]) for i in range(len(words) - 2)} if len(words) >= 3 else {tuple(words)} - {()})
-    root = list(range(len(texts)))
+    root, links = list(range(len(texts))), [0] * len(texts)
 
     def find(x):
         while root[x] != x:
@@ -56,18 +57,49 @@ def brute_components(texts):
     for a, b in itertools.combinations(range(len(texts)), 2):
         common = len(sets[a] & sets[b])
         if common and 100 * common >= 90 * len(sets[a] | sets[b]):
+            links[a] += 1
+            links[b] += 1
             x, y = sorted((find(a), find(b)))
             root[y] = x
-    return {i: (len(sets[i]), find(i)) for i in range(len(texts))}
+    return {i: (len(sets[i]), find(i), links[i]) for i in range(len(texts))}
 
 
-@pytest.mark.parametrize("classes,long", [(ngram_join.CLASSES, ngram_join.LONG), (((2, 0, 2), (4, 0, 3)), 40)])
-def test_jaccard_components(spark, monkeypatch, classes, long):
+@pytest.mark.parametrize("classes,long,rows", [(ngram_join.CLASSES, ngram_join.LONG, ngram_join.UNIT_ROWS), (((2, 0, 2), (4, 0, 3)), 40, 4)])
+def test_jaccard_components(spark, monkeypatch, classes, long, rows):
     monkeypatch.setattr(ngram_join, "CLASSES", classes)
     monkeypatch.setattr(ngram_join, "LONG", long)
+    monkeypatch.setattr(ngram_join, "UNIT_ROWS", rows)
+    monkeypatch.setattr(ngram_join, "UNIT_SETS", rows)
     texts = ODD + near_copies()
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.jaccard_components(spark, documents(spark, texts)).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in ngram_join.jaccard_components(spark, documents(spark, texts), counts=True).collect()}
     assert got == brute_components(texts)
+    assert ngram_join.jaccard_components(spark, documents(spark, texts).limit(0), counts=True).count() == 0
+
+
+@pytest.mark.parametrize("part", [1 << 20, 7])
+def test_components_of_chains_and_stars(spark, monkeypatch, part):
+    monkeypatch.setattr(component_module, "PART_EDGES", part)
+    rng = random.Random(8)
+    chain, star = list(range(100, 130)), [(500, 500 + i) for i in range(1, 20)]
+    rng.shuffle(chain)
+    edges = [*zip(chain, chain[1:], strict=False), *star, (900, 901), (901, 900), (7, 7)]
+    rng.shuffle(edges)
+    got = {r["node"]: r["component"] for r in component_module.components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(chain, 100), **dict.fromkeys(range(500, 520), 500), 900: 900, 901: 900}
+
+
+def test_words_that_differ_in_order_alone(spark):
+    """Words whose letters a hash by powers would add up to the same."""
+    word, other = "ab", "ba"
+    for _ in range(10):
+        word, other = word + other, other + word
+    texts = [f"{word} {word} {word} x", f"{other} {other} {other} x", f"{word} {word} {word} x"]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in ngram_join.jaccard_components(spark, documents(spark, texts), counts=True).collect()}
+    assert got == brute_components(texts)
+    own = byte_bpe.coder(public_tokenizers.path(byte_bpe.RANKS_FILE))
+    for n in (1024, 2048):
+        pair = [word[:n].encode(), other[:n].encode()]
+        assert [own.decode_bytes(x) for x in own.ids([b" ".join(pair), *pair])] == [b" ".join(pair), *pair]
 
 
 def test_one_of_each_group_keeps_by_row(spark):
@@ -136,7 +168,8 @@ def test_toxicity_model_keeps_rare_bigrams(spark):
     n = 600_000
     pairs = spark.range(n).selectExpr("1 AS kind", "id % 1000 AS v", "id DIV 1000 AS w", "id % 2 AS t", "1 - id % 2 AS o", "1L AS n")
     words = spark.range(1000).selectExpr("0 AS kind", "0L AS v", "id AS w", "0L AS t", "0L AS o", "600L AS n")
-    known, ratios, _ = build_model(spark, pairs.unionByName(words))["bigram"]
+    folder, _ = build_model(spark, pairs.unionByName(words))["bigram"]
+    known, ratios = toxicity._table(folder)
     assert len(known) == n and np.isfinite(ratios).all() and (ratios != 0).all()
 
 
@@ -176,12 +209,14 @@ def test_warc_round_trip(spark, tmp_path):
             assert (r["record_type"], r["refers_to"]) == (("revisit", last[html]) if revisit else ("response", None))
 
 
-def test_neighbours(spark):
+def test_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(one_bit_neighbours, "ITEM_BLOCK", 64)
+    monkeypatch.setattr(one_bit_neighbours, "QUERY_BLOCK", 8)
     rng = np.random.default_rng(4)
     vectors = [rng.standard_normal(16).astype(float).tolist() for _ in range(300)]
     vectors[5:25] = [vectors[5]] * 20
-    rows = [(i, v) for i, v in enumerate(vectors)] + [(300, None), (400, [0.0] * 16), (500, [float("nan")] * 16), (600, [1.0]), (None, vectors[0])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    rows = [(i, v) for i, v in enumerate(vectors)] + [(300, None), (400, [0.0] * 16), (500, [float("nan")] * 16), (600, [1.0]), (None, vectors[0]), (7, vectors[7])]
+    df = spark.createDataFrame([(*r, 0.5, "x") for r in rows], "vec_id long, embedding array<double>, score double, rank string")
     got = {}
     for r in one_bit_neighbours.nearest(spark, df, F.col("vec_id") % 10 == 0).collect():
         got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
@@ -196,6 +231,12 @@ def test_neighbours(spark):
     assert one_bit_neighbours.nearest(spark, df.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_neighbours_of_repeated_query_ids(spark):
+    rows = [(0, [1.0, 0.0]), (0, [5.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [1.0, 3.0]), (3, [5.0, 1.0]), (4, [2.0, 2.0, 2.0])]
+    got = one_bit_neighbours.nearest(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, 2).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == [(0, 1, 1, 1.0), (0, 1, 3, 1.0), (0, 2, 2, 3.0), (0, 2, 0, 4.0)][:2] + sorted([(0, 2, 2, 3.0), (0, 2, 0, 4.0)])
+
+
 def test_packing(spark):
     texts = ODD + near_copies() + ["x <|endoftext|> y"]
     path = public_tokenizers.path(byte_bpe.PACKING_FILE)
@@ -253,8 +294,11 @@ def test_jpeg_scans(spark, monkeypatch):
             m.setattr(progressive_jpeg.Picture, "_wide_scan", lambda *a: False)
             slow = progressive_jpeg.decode(media)
         assert all(np.array_equal(a, b) for a, b in zip(fast.coefficients, slow.coefficients, strict=True))
-    got = progressive_jpeg.media_of_texts(documents(spark, ODD)).collect()
-    assert {r["doc_id"]: r["payload_sha256"] for r in got}[0] == hashlib.sha256(b" " * 192).hexdigest()
+    stored = progressive_jpeg.store_texts(documents(spark, ODD)).cache()
+    got = progressive_jpeg.read_payloads(stored).collect()
+    assert {r["doc_id"]: r["payload_sha256"] for r in got} == {i: hashlib.sha256(progressive_jpeg.padded((t or "").encode())).hexdigest() for i, t in enumerate(ODD)}
+    shapes = {r["doc_id"]: (r["shape"], len(r["tensor"])) for r in progressive_jpeg.decode_media(stored).collect()}
+    assert shapes[0] == ([16, 16, 3], 768) and all(n == s[0] * s[1] * s[2] for s, n in shapes.values())
 
 
 def test_licenses(spark):
