@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -48,19 +48,27 @@ def category_sums(
     return record.select(*KEY, F.struct(*measures).alias("total"), "by")
 
 
-def _of(category: str, measure: str) -> Column:
-    return F.coalesce(F.col("by")[category][measure], F.lit(0.0))
+# Columns of the summary are SQL texts, hundreds of which a projection takes at once.
 
 
-def _all(measure: str) -> Column:
-    return F.col("total")[measure]
+def _of(category: str, measure: str) -> str:
+    return f"coalesce(by['{category}'].{measure}, 0D)"
 
 
-def _select(record: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return record.select(*KEY, *(c.alias(k) for k, c in columns.items()))
+def _all(measure: str) -> str:
+    return f"total.{measure}"
 
 
-def total_columns() -> dict[str, Column]:
+def safe_prop(n: str, d: str) -> str:
+    """Percent, 0 without a positive denominator."""
+    return f"CASE WHEN {d} > 0 THEN 100D * {n} / {d} ELSE 0D END"
+
+
+def _select(record: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return record.selectExpr(*KEY, *(f"{text} AS `{name}`" for name, text in columns.items()))
+
+
+def total_columns() -> dict[str, str]:
     return {"total_reads": _all("w"), "total_reads_no_monoexon": _all("not_mono")}
 
 
@@ -71,17 +79,17 @@ def cell_totals(cells: DataFrame, sums: DataFrame, mode: str = "reads") -> DataF
     return out
 
 
-def category_columns() -> dict[str, Column]:
+def category_columns() -> dict[str, str]:
     counts = {C.count_name(c): _of(c, "w") for c in C.CATEGORIES}
-    return counts | {f"{k}_prop": C.safe_prop(v, _all("w")) for k, v in counts.items()}
+    return counts | {f"{k}_prop": safe_prop(v, _all("w")) for k, v in counts.items()}
 
 
 def category_counts(sums: DataFrame) -> DataFrame:
     return _select(sums, category_columns())
 
 
-def mt_columns() -> dict[str, Column]:
-    return {"MT_reads_count": _all("mt"), "MT_perc": C.safe_prop(_all("mt"), _all("w"))}
+def mt_columns() -> dict[str, str]:
+    return {"MT_reads_count": _all("mt"), "MT_perc": safe_prop(_all("mt"), _all("w"))}
 
 
 def mt_share(sums: DataFrame) -> DataFrame:
@@ -134,20 +142,20 @@ def key_counts(cells: DataFrame) -> DataFrame:
     return each.groupBy(*KEY).agg(*(c.alias(k) for k, c in columns.items()))
 
 
-def gene_columns() -> dict[str, Column]:
+def gene_columns() -> dict[str, str]:
     names = ("Genes_in_cell", "Annotated_genes", "Novel_genes")
-    return {n: F.col(n) for n in names} | {"Annotated_genes_prop_in_cell": C.safe_prop(F.col("Annotated_genes"), F.col("Genes_in_cell"))}
+    return {n: n for n in names} | {"Annotated_genes_prop_in_cell": safe_prop("Annotated_genes", "Genes_in_cell")}
 
 
 def gene_metrics(keys: DataFrame) -> DataFrame:
     return _select(keys, gene_columns())
 
 
-def _bin_columns(bins, total: dict[str, str]) -> dict[str, Column]:
-    return {f"{kind}_{name}_perc": C.safe_prop(F.col(f"{kind}_{name}"), F.col(total[kind])) for kind in ("anno", "novel") for name, _, _ in bins}
+def _bin_columns(bins, total: dict[str, str]) -> dict[str, str]:
+    return {f"{kind}_{name}_perc": safe_prop(f"{kind}_{name}", total[kind]) for kind in ("anno", "novel") for name, _, _ in bins}
 
 
-def gene_bin_columns() -> dict[str, Column]:
+def gene_bin_columns() -> dict[str, str]:
     return _bin_columns(C.GENE_BINS, {"anno": "Annotated_genes", "novel": "Novel_genes"})
 
 
@@ -155,7 +163,7 @@ def gene_bin_props(keys: DataFrame) -> DataFrame:
     return _select(keys, gene_bin_columns())
 
 
-def ujc_bin_columns() -> dict[str, Column]:
+def ujc_bin_columns() -> dict[str, str]:
     return _bin_columns(C.UJC_BINS, {"anno": "anno_multi_genes", "novel": "novel_multi_genes"})
 
 
@@ -164,8 +172,8 @@ def ujc_bin_props(keys: DataFrame) -> DataFrame:
     return _select(keys, ujc_bin_columns())
 
 
-def ujc_columns() -> dict[str, Column]:
-    return {"UJCs_in_cell": F.col("UJCs_in_cell"), "Annotated_juction_strings_prop_in_cell": C.safe_prop(F.col("annotated_chains"), F.col("UJCs_in_cell"))}
+def ujc_columns() -> dict[str, str]:
+    return {"UJCs_in_cell": "UJCs_in_cell", "Annotated_juction_strings_prop_in_cell": safe_prop("annotated_chains", "UJCs_in_cell")}
 
 
 def ujc_metrics(keys: DataFrame) -> DataFrame:
@@ -173,21 +181,32 @@ def ujc_metrics(keys: DataFrame) -> DataFrame:
     return _select(keys, ujc_columns())
 
 
+#: Names of the counts of junction types.
+JUNCTION_NAMES = {t: t[0].upper() + t[1:] + "_junctions" for t in C.JUNCTION_TYPES}
+
+
+def junction_columns() -> dict[str, str]:
+    counts = {n: n for n in (*JUNCTION_NAMES.values(), "total_junctions")}
+    return counts | {f"{n}_prop": safe_prop(n, "total_junctions") for n in JUNCTION_NAMES.values()}
+
+
+def _junction_counts(junctions: DataFrame) -> DataFrame:
+    own = junctions.filter(C.valid_cell()).withColumn("type", C.junction_type())
+    counts = [F.count(F.when(F.col("type") == t, 1)).alias(name) for t, name in JUNCTION_NAMES.items()]
+    return own.groupBy(*KEY).agg(*counts, F.count("*").alias("total_junctions"))
+
+
 def junction_type_counts(junctions: DataFrame) -> DataFrame:
     """Unweighted junctions of each cell by type, and their shares of all."""
-    names = {t: t[0].upper() + t[1:] + "_junctions" for t in C.JUNCTION_TYPES}
-    own = junctions.filter(C.valid_cell()).withColumn("type", C.junction_type())
-    counts = [F.count(F.when(F.col("type") == t, 1)).alias(name) for t, name in names.items()]
-    own = own.groupBy(*KEY).agg(*counts, F.count("*").alias("total_junctions"))
-    return own.withColumns({f"{n}_prop": C.safe_prop(F.col(n), F.col("total_junctions")) for n in names.values()})
+    return _select(_junction_counts(junctions), junction_columns())
 
 
-def subcategory_columns() -> dict[str, Column]:
+def subcategory_columns() -> dict[str, str]:
     out = {}
     for category, own in C.SUBCATEGORIES.items():
         for s in own:
-            part = F.coalesce(F.col("by")[category]["sub"][s], F.lit(0.0))
-            out[f"{C.TAGS[category]}_{s.replace('-', '_')}_prop"] = C.safe_prop(part, _of(category, "w"))
+            part = f"coalesce(by['{category}'].sub['{s}'], 0D)"
+            out[f"{C.TAGS[category]}_{s.replace('-', '_')}_prop"] = safe_prop(part, _of(category, "w"))
     return out
 
 
@@ -195,12 +214,12 @@ def subcategory_props(sums: DataFrame) -> DataFrame:
     return _select(sums, subcategory_columns())
 
 
-def length_bin_columns() -> dict[str, Column]:
+def length_bin_columns() -> dict[str, str]:
     out = {}
     for mono in ("", "mono_"):
-        out |= {f"Total_{name}_length_{mono}prop": C.safe_prop(_all(f"len_{mono}{b}"), _all("w")) for b, name in C.LENGTH_BINS.items()}
+        out |= {f"Total_{name}_length_{mono}prop": safe_prop(_all(f"len_{mono}{b}"), _all("w")) for b, name in C.LENGTH_BINS.items()}
         for c in C.CATEGORIES:
-            out |= {f"{C.TAGS[c]}_{name}_length_{mono}prop": C.safe_prop(_of(c, f"len_{mono}{b}"), _of(c, "w")) for b, name in C.LENGTH_BINS.items()}
+            out |= {f"{C.TAGS[c]}_{name}_length_{mono}prop": safe_prop(_of(c, f"len_{mono}{b}"), _of(c, "w")) for b, name in C.LENGTH_BINS.items()}
     return out
 
 
@@ -208,9 +227,9 @@ def length_bin_props(sums: DataFrame) -> DataFrame:
     return _select(sums, length_bin_columns())
 
 
-def ref_coverage_columns(ref_cov_min_pct: float = 45.0) -> dict[str, Column]:
-    out = {f"{C.TAGS[c]}_ref_coverage_prop": C.safe_prop(_of(c, "ref_cov"), _of(c, "w")) for c in C.CATEGORIES}
-    return out | {"ref_cov_min_pct": F.lit(ref_cov_min_pct)}
+def ref_coverage_columns(ref_cov_min_pct: float = 45.0) -> dict[str, str]:
+    out = {f"{C.TAGS[c]}_ref_coverage_prop": safe_prop(_of(c, "ref_cov"), _of(c, "w")) for c in C.CATEGORIES}
+    return out | {"ref_cov_min_pct": f"{float(ref_cov_min_pct)}D"}
 
 
 def ref_coverage_props(sums: DataFrame, ref_cov_min_pct: float = 45.0) -> DataFrame:
@@ -231,20 +250,20 @@ QUALITY = (
 CANONICAL = (("noncanon", "Non_canonical_prop_in_cell", "noncanon_prop"), ("canon", "Canonical_prop_in_cell", "canon_prop"))
 
 
-def quality_columns(skip_orf: bool = False, cage: bool = True, polya: bool = True) -> dict[str, Column]:
+def quality_columns(skip_orf: bool = False, cage: bool = True, polya: bool = True) -> dict[str, str]:
     """Shares of each cell's rows, and of each category's, that pass each quality test."""
     out = {}
     for measure, overall, suffix, orf in QUALITY:
         off = measure == "cage" and not cage or measure == "polya" and not polya or orf and skip_orf
-        out[overall] = F.lit(0.0) if off else C.safe_prop(_all(measure), _all("w"))
+        out[overall] = "0D" if off else safe_prop(_all(measure), _all("w"))
         if not (orf and skip_orf):
             tag = C.coding_tag if orf else C.TAGS.get
-            out |= {f"{tag(c)}_{suffix}": F.lit(0.0) if off else C.safe_prop(_of(c, measure), _of(c, "w")) for c in C.CATEGORIES}
+            out |= {f"{tag(c)}_{suffix}": "0D" if off else safe_prop(_of(c, measure), _of(c, "w")) for c in C.CATEGORIES}
     for measure, overall, suffix in CANONICAL:
-        out[overall] = C.safe_prop(_all(measure), _all("not_mono"))
-        out |= {f"{C.TAGS[c]}_{suffix}": C.safe_prop(_of(c, f"multi_{measure}"), _of(c, "multi")) for c in C.CATEGORIES}
-    for measure, when_skipped in (("coding", 0.0), ("non_coding", 100.0)):
-        out |= {f"{C.coding_tag(c)}_{measure}_prop": F.lit(when_skipped) if skip_orf else C.safe_prop(_of(c, measure), _of(c, "w")) for c in C.CATEGORIES}
+        out[overall] = safe_prop(_all(measure), _all("not_mono"))
+        out |= {f"{C.TAGS[c]}_{suffix}": safe_prop(_of(c, f"multi_{measure}"), _of(c, "multi")) for c in C.CATEGORIES}
+    for measure, when_skipped in (("coding", "0D"), ("non_coding", "100D")):
+        out |= {f"{C.coding_tag(c)}_{measure}_prop": when_skipped if skip_orf else safe_prop(_of(c, measure), _of(c, "w")) for c in C.CATEGORIES}
     return out
 
 
@@ -264,19 +283,20 @@ def cell_summary(
 ) -> DataFrame:
     """One wide row for each cell, named as the mode says; what a cell lacks is 0."""
     sums = category_sums(cells, ref_cov_min_pct=ref_cov_min_pct, **thresholds)
-    of_sums = total_columns() | category_columns() | mt_columns() | subcategory_columns() | length_bin_columns() | ref_coverage_columns(ref_cov_min_pct)
-    of_sums |= quality_columns(skip_orf, cage, polya)
-    of_keys = gene_columns() | gene_bin_columns()
+    columns = total_columns() | category_columns() | mt_columns() | subcategory_columns() | length_bin_columns() | ref_coverage_columns(ref_cov_min_pct)
+    columns |= quality_columns(skip_orf, cage, polya) | gene_columns() | gene_bin_columns()
+    columns |= {n: f"coalesce({text}, 0)" for n, text in junction_columns().items()}
     if mode == "reads":
-        of_keys |= {"total_UMI": F.col("total_UMI")} | ujc_columns() | ujc_bin_columns()
-    parts = [_select(sums, of_sums), _select(key_counts(cells), of_keys), junction_type_counts(junctions)]
-    out = reduce(lambda a, b: a.join(b, KEY, "left"), parts).na.fill(0)
-    if mode != "reads":
-        out = out.withColumn("Annotated_juction_strings_prop_in_cell", F.lit(0.0))
-    return out.withColumnsRenamed(NAMES[mode])
+        columns |= {"total_UMI": "total_UMI"} | ujc_columns() | ujc_bin_columns()
+    else:
+        columns["Annotated_juction_strings_prop_in_cell"] = "0D"
+    parts = [sums, key_counts(cells), _junction_counts(junctions)]
+    joined = reduce(lambda a, b: a.join(b, KEY, "left"), parts)
+    return _select(joined, {NAMES[mode].get(n, n): text for n, text in columns.items()})
 
 
 def long_form(summary: DataFrame) -> DataFrame:
     """``metric`` and ``value`` of each cell."""
     names = [c for c in summary.columns if c not in KEY]
-    return summary.select(*KEY, *(F.col(c).cast("double").alias(c) for c in names)).unpivot(KEY, names, "metric", "value")
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in names)
+    return summary.selectExpr(*KEY, f"stack({len(names)}, {pairs}) AS (metric, value)")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from isoforge.functions import columns as C
 from isoforge.operators import cell_summary as S
@@ -25,7 +24,7 @@ weighted AS (SELECT * EXCLUDE (w), CASE WHEN sum_fl > 0 THEN sum_fl ELSE 1 END A
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    return df.select(*(F.round(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+    return df.selectExpr(*(f"round(`{c}`, {places}) AS `{c}`" if t == "double" else f"`{c}`" for c, t in df.dtypes))
 
 
 def add(name: str, sql: str | None = None, places: int = 6):
