@@ -3,12 +3,13 @@
 Vectors are centred, rotated at random and kept as signs (packed bits) with two correction
 scalars: the norm of the centred vector, and the inner product of its direction with its
 code. They give an estimate of any inner product with an error bound, hence bounds of the
-distance. Vectors whose lower bound is within the k-th best upper bound are reranked with the
-original vectors, which are fetched by a join: only codes meet queries.
+distance. Vectors whose lower bound is within the k-th best distance are reranked with the
+original vectors.
 
 Equal vectors are one item, named by two hashes, with its k + 1 smallest ids. Queries are a stated
-set and go against all items in blocks: no task holds more than a block of either, and what is
-sent for a block of queries is 1 bit a component, 8 bytes and a name for each item.
+set and go against all items in blocks: items stay where they are, each task codes blocks of its own
+and reads the queries' blocks from the shared folder one after the other. So no vector is shuffled to
+be compared, no task holds more than a block of either, and only each block's nearest are sent on.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,8 +29,8 @@ from isoforge.llm.common import save, table
 #: Vectors, by the smallest hashes of their ids, whose mean is the centre of all codes.
 CENTRE_ROWS = 4096
 #: Standard errors that the bounds allow for.
-SPREAD = 3.5
-ITEM_BLOCK, QUERY_BLOCK = 1 << 14, 1 << 11
+SPREAD = 2.0
+ITEM_BLOCK, QUERY_BLOCK = 1 << 16, 1 << 11
 #: Products of codes and queries that are held at once.
 CELLS = 1 << 22
 SEED = 11
@@ -81,52 +84,78 @@ def _centred(centre: np.ndarray, dims: int) -> np.ndarray:
     return centre if len(centre) == dims else np.zeros(dims)
 
 
-#: What blocks of items and of queries hold: hashes, and codes with scalars or rotated vectors.
-ITEMS = "d int, names binary, codes binary, norms binary, fit binary"
-QUERIES = "d int, block long, asked binary, turned binary"
-BOUNDS = "qh long, qg long, h long, g long, low double, high double"
-
-
-def _coded(batches, centre):
-    """Blocks of items of one length, from rows in order of their length."""
-    for batch in batches:
-        lengths = batch.column(2).to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(lengths)) + 1).tolist(), len(batch)]
-        for first, end in zip(cuts, cuts[1:], strict=False):
-            for a in range(first, end, ITEM_BLOCK):
-                part = batch.slice(a, min(ITEM_BLOCK, end - a))
-                v = _matrix(part.column(3))
-                names = np.stack([part.column(i).to_numpy() for i in (0, 1)], 1)
-                codes, norms, fit = encode(v, _centred(centre.value, v.shape[1]))
-                made = [names.astype("<i8"), codes, norms.astype("<f4"), fit.astype("<f4")]
-                yield pa.RecordBatch.from_arrays([pa.array([v.shape[1]], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in made)], names=[c.split()[0] for c in ITEMS.split(", ")])
+#: A block of queries: length, hashes, rotated and original vectors.
+QUERIES = "d int, asked binary, turned binary, original binary"
+FOUND = "qh long, qg long, h long, g long, first long, score double"
 
 
 def _turned(batches, centre):
     """Rotated queries, a block in a row, from blocks in rows."""
     for batch in batches:
         for i in range(len(batch)):
-            own = batch.column(2)[i].values
+            own = batch.column(1)[i].values
             v = _matrix(own.field(2))
             names = np.stack([own.field(j).to_numpy() for j in (0, 1)], 1).astype("<i8")
             turned = (v - _centred(centre.value, v.shape[1])) @ rotation(v.shape[1]).T
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, 1) for c in (0, 1)), pa.array([names.tobytes()], pa.binary()), pa.array([turned.astype("<f4").tobytes()], pa.binary())], names=["d", "block", "asked", "turned"])
+            made = (pa.array([x.tobytes()], pa.binary()) for x in (names, turned.astype("<f4"), v.astype("<f8")))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), *made], names=[c.split()[0] for c in QUERIES.split(", ")])
+
+
+def _item_blocks(batches):
+    """Names, smallest ids and vectors of up to ITEM_BLOCK items of one length."""
+    waiting: dict[int, list] = {}
 
+    def block(d):
+        return tuple(np.concatenate(x) for x in zip(*waiting.pop(d), strict=True))
 
-def _bounded(batches, k: int):
-    """Of each pair of blocks and each query, the items whose lower bound is within the k-th upper bound."""
     for batch in batches:
-        for row in range(len(batch)):
-            names, codes, norms, fit, asked, turned = (np.frombuffer(batch.column(c)[row].as_buffer(), t) for c, t in enumerate(("<i8", "u1", "<f4", "<f4", "<i8", "<f4")))
-            names, asked = names.reshape(-1, 2), asked.reshape(-1, 2)
-            codes, turned = codes.reshape(len(names), -1), turned.reshape(len(asked), -1)
-            step = max(1, CELLS // len(names))
-            for a in range(0, len(asked), step):
-                low, high = distance_bounds(codes, norms, fit, turned[a : a + step])
-                most = np.partition(high, k - 1, axis=0)[k - 1] if len(names) > k else np.full(high.shape[1], np.inf)
-                item, query = np.nonzero(low <= most)
-                columns = [*asked[a + query].T, *names[item].T, low[item, query].astype(float), high[item, query].astype(float)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=[c.split()[0] for c in BOUNDS.split(", ")])
+        lengths = batch.column(3).to_numpy()
+        for d in np.unique(lengths).tolist():
+            part = batch.filter(pa.array(lengths == d))
+            names = np.stack([part.column(i).to_numpy() for i in (0, 1)], 1)
+            waiting.setdefault(d, []).append((names, part.column(2).to_numpy(), _matrix(part.column(4))))
+            if sum(len(x[0]) for x in waiting[d]) >= ITEM_BLOCK:
+                yield block(d)
+    for d in [*waiting]:
+        yield block(d)
+
+
+def nearest_in_block(items: np.ndarray, first: np.ndarray, low: np.ndarray, high: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and exact distances of a query's k nearest items, by bounds and reranking; ties to the smaller ``first``."""
+    near = np.flatnonzero(low <= (np.partition(high, k - 1)[k - 1] if len(high) > k else np.inf))
+    near = near[np.argsort(low[near], kind="stable")]
+    head, tail = near[: 4 * k], near[4 * k :]
+    score = np.sqrt(((items[head] - query) ** 2).sum(1))
+    if len(tail):
+        tail = tail[low[tail] <= np.partition(score, k - 1)[k - 1] ** 2]
+        head, score = np.concatenate((head, tail)), np.concatenate((score, np.sqrt(((items[tail] - query) ** 2).sum(1))))
+    best = np.lexsort((first[head], score))[:k]
+    return head[best], score[best]
+
+
+def _found(batches, folder: str, centre, k: int):
+    """Of each block of items, the k nearest of each query."""
+    store, base = fs.FileSystem.from_uri(folder)
+    files = sorted(f.path for f in store.get_file_info(fs.FileSelector(base)) if f.path.endswith(".parquet"))
+    for names, first, items in _item_blocks(batches):
+        dims = items.shape[1]
+        codes, norms, fit = encode(items, _centred(centre.value, dims))
+        for file in files:
+            with store.open_input_file(file) as f:
+                for row in pq.ParquetFile(f).iter_batches(batch_size=1):
+                    if row.column(0)[0].as_py() != dims:
+                        continue
+                    asked, turned, original = (np.frombuffer(row.column(c)[0].as_buffer(), t) for c, t in ((1, "<i8"), (2, "<f4"), (3, "<f8")))
+                    asked, turned, original = asked.reshape(-1, 2), turned.reshape(-1, dims), original.reshape(-1, dims)
+                    step = max(1, CELLS // len(items))
+                    out = []
+                    for a in range(0, len(asked), step):
+                        low, high = distance_bounds(codes, norms, fit, turned[a : a + step])
+                        for j in range(low.shape[1]):
+                            at, score = nearest_in_block(items, first, low[:, j], high[:, j], original[a + j], k)
+                            out.append((np.repeat(asked[a + j][None], len(at), 0), names[at], first[at], score))
+                    q, item, least, score = (np.concatenate(x) for x in zip(*out, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in (*q.T, *item.T, least, score)], names=[c.split()[0] for c in FOUND.split(", ")])
 
 
 def _least(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
@@ -159,19 +188,12 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int =
     kinds = asked.select(F.col("qh").alias("h"), F.col("qg").alias("g")).distinct().join(items, ["h", "g"])
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     query_blocks = kinds.groupBy("d", F.pmod("h", F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("h", "g", "v")).alias("queries"))
-    query_blocks = save(spark, query_blocks.mapInArrow(lambda b: _turned(b, centre), QUERIES), "queries")
-    coded = save(spark, items.select("h", "g", "d", "v").sortWithinPartitions("d").mapInArrow(lambda b: _coded(b, centre), ITEMS), "codes")
-    coded = coded.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-
-    pairs = coded.join(query_blocks, ["d", "block"]).select("names", "codes", "norms", "fit", "asked", "turned")
-    bounds = save(spark, pairs.mapInArrow(lambda b: _bounded(b, k + 1), BOUNDS), "bounds")
-    within = _least(bounds.select("qh", "qg", "high"), ["qh", "qg"], ["high"], k + 1).groupBy("qh", "qg").agg(F.max("high").alias("most"))
-    near = bounds.join(within, ["qh", "qg"]).filter("low <= most").select("qh", "qg", "h", "g")
-    near = near.join(items.select("h", "g", "v", "ids"), ["h", "g"])
-    near = near.join(items.select(F.col("h").alias("qh"), F.col("g").alias("qg"), F.col("v").alias("q")), ["qh", "qg"])
-    square = F.aggregate(F.zip_with("v", "q", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x)
-    found = near.select("qh", "qg", "h", "g", F.sqrt(square).alias("score"), "ids")
-    best = _least(found, ["qh", "qg"], ["score", F.col("ids")[0]], k + 1)
+    query_blocks = save(spark, query_blocks.select("d", "queries").mapInArrow(lambda b: _turned(b, centre), QUERIES), "queries")
+    folder = query_blocks.inputFiles()[0].rsplit("/", 1)[0]
+    own = items.select("h", "g", F.col("ids")[0].alias("first"), "d", "v")
+    found = own.mapInArrow(lambda b: _found(b, folder, centre, k + 1), FOUND)
+    found = save(spark, _least(found, ["qh", "qg"], ["score", "first"], k + 1).drop("rank"), "found")
+    best = found.join(items.select("h", "g", "ids"), ["h", "g"])
     each = _least(best.select("qh", "qg", "h", "g", "score", F.explode("ids").alias("other")), ["qh", "qg"], ["score", "other"], k + 1)
     out = asked.join(each, ["qh", "qg"]).filter("NOT (other = id AND h = qh AND g = qg)")
     out = _least(out, ["id", "qh", "qg"], ["score", "other"], k)
