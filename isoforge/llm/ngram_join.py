@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from isoforge.llm import bytescan
-from isoforge.llm.common import discard, runs, save, table
+from isoforge.llm.common import runs, save, table
 from isoforge.llm.components import components
 
 SKETCH_BITS = 21
@@ -69,6 +69,8 @@ CELLS = 1 << 16
 UNIT_ROWS, UNIT_SETS = 512, 256
 #: Columns of a token matrix at once.
 MATRIX_COLUMNS = 1 << 13
+#: Bytes of tokens that are handled together.
+FEW_BYTES = 4 << 20
 
 READ = pa.schema(
     [("id", pa.int64()), ("row", pa.int64()), ("n_shingles", pa.int64()), ("name", pa.int64()), ("signature", pa.binary()), ("tokens", pa.binary()), ("block", pa.int32()), ("counts", pa.binary())]
@@ -197,9 +199,16 @@ def _token_sets(column: pa.Array) -> Iterator[np.ndarray]:
         yield np.frombuffer(raw, "<u8")
 
 
+def _few(batches, column: int) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches of about FEW_BYTES in one column, so that memory follows them and not the batch."""
+    for batch in batches:
+        for a, b in runs(batch.column(column), FEW_BYTES):
+            yield batch.slice(a, b - a)
+
+
 def _postings(batches, classes, share) -> Iterator[pa.RecordBatch]:
     """Keys of each set: key, name, size."""
-    for batch in batches:
+    for batch in _few(batches, 1):
         keys = [keys_of(own, classes.value, share).astype(np.int64) for own in _token_sets(batch.column(1))]
         counts, names = [len(x) for x in keys], batch.column(0).to_numpy()
         sizes = pc.divide(pc.binary_length(batch.column(1)), 8).to_numpy().astype(np.int32)
@@ -294,7 +303,7 @@ def _id_mark(name: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 def _wanted_sets(batches, wanted) -> Iterator[pa.RecordBatch]:
     """Name, size, wide signature and tokens of the sets that the filter lets through."""
-    for batch in batches:
+    for batch in _few(batches, 2):
         there = _in_filter(wanted.value, _id_mark(batch.column(0).to_numpy(), batch.column(1).to_numpy()))
         own = batch.filter(pa.array(there))
         sets = list(_token_sets(own.column(2)))
@@ -304,7 +313,7 @@ def _wanted_sets(batches, wanted) -> Iterator[pa.RecordBatch]:
 
 def _verified(batches, share) -> Iterator[pa.RecordBatch]:
     p, q = share
-    for batch in batches:
+    for batch in _few(batches, 2):
         keep = []
         for x, y in zip(_token_sets(batch.column(2)), _token_sets(batch.column(3)), strict=True):
             total = len(x) + len(y)
@@ -336,7 +345,7 @@ def common_tokens(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarra
 def _link_counts(batches, share) -> Iterator[pa.RecordBatch]:
     """name, n_links: documents of other sets that each set of a unit is linked with there."""
     p, q = share
-    for (_, i, j, side, name, copies, tokens), starts in _lists(batches, 3):
+    for (_, i, j, side, name, copies, tokens), starts in _lists(_few(batches, 6), 3):
         names, found = [], []
         for a, b in zip(starts, [*starts[1:], len(name)], strict=True):
             sets = [np.frombuffer(t, "<u8") for t in tokens[a:b]]
@@ -441,10 +450,9 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, items: DataFrame, classe
     sets are linked with Jaccard similarity of ``share`` or more. Links within a component that others
     already join may be left out.
     """
-    postings = save(spark, sets.select("name", "tokens").mapInArrow(lambda b: _postings(b, classes, share), "key long, name long, size int"), "postings")
+    postings = sets.select("name", "tokens").mapInArrow(lambda b: _postings(b, classes, share), "key long, name long, size int")
     many = postings.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = save(spark, postings.join(many, "key"), "shared")  # a set may be there once for each batch of its copies
-    discard(spark, postings.inputFiles()[0].rsplit("/", 1)[0])
     links = tried = groups = names = found_sets = None
     for turn, nearest in enumerate((True, True, False)):
         own = shared
