@@ -37,13 +37,13 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def save(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
+def save(spark: SparkSession, df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage with files that outlive any executor.
     """
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     for names in _records:
         names.append(path)
     return spark.read.schema(df.schema).parquet(path)

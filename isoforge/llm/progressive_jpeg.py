@@ -440,6 +440,6 @@ def read_payloads(stored: DataFrame, media: str = "media", keep: tuple[str, ...]
 
 
 def op9_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = save(spark, store_texts(table(spark, sf_dir, "documents")), "media")
+    stored = save(spark, store_texts(table(spark, sf_dir, "documents")), "media", "zstd")
     own = stored.withColumns({"media_bytes": F.octet_length("media").cast("long"), "media_sha256": F.sha2("media", 256)})
     return read_payloads(own, "media", ("doc_id", "n_bytes", "media_bytes", "media_sha256"))
