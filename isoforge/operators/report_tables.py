@@ -59,7 +59,10 @@ def bulk_junction_table(junctions: DataFrame, weight: str | None = None) -> Data
 
 def describe_cells(long: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """mean, median, min, max and sample deviation of each metric, to 3 places."""
-    own = long.groupBy(*(keys or []), "metric").agg(F.avg("value").alias("mean"), F.percentile("value", F.lit(0.5)).alias("median"), F.min("value").alias("min"), F.max("value").alias("max"), F.stddev_samp("value").alias("sd"))
+    stats = {
+        "mean": F.avg("value"), "median": F.percentile("value", F.lit(0.5)), "min": F.min("value"), "max": F.max("value"), "sd": F.stddev_samp("value"),
+    }
+    own = long.groupBy(*(keys or []), "metric").agg(*(c.alias(n) for n, c in stats.items()))
     return own.select(*(F.round(c, 3).alias(c) if t == "double" else F.col(c) for c, t in own.dtypes))
 
 

@@ -92,14 +92,16 @@ def _(spark, d):
     return E.annotate_cells_reads(cls, assoc).select("sampleID", "isoform", "CB", "UMI")
 
 
-@add("j02_annotate_cells_isoforms", "SELECT sampleID, isoform, structural_category, i.CB, CAST(i.n AS DOUBLE) AS _count FROM (SELECT DISTINCT sampleID, isoform, 'genic' AS structural_category FROM isoforms) LEFT JOIN isoforms i USING (sampleID, isoform)")
+@add("j02_annotate_cells_isoforms", """SELECT sampleID, isoform, structural_category, i.CB, CAST(i.n AS DOUBLE) AS _count
+FROM (SELECT DISTINCT sampleID, isoform, 'genic' AS structural_category FROM isoforms) LEFT JOIN isoforms i USING (sampleID, isoform)""")
 def _(spark, d):
     counts = isoform_counts(spark, d)
     cls = counts.select("sampleID", "isoform", F.lit("genic").alias("structural_category")).distinct()
     return E.annotate_cells_isoforms(cls, abundance=counts.withColumnRenamed("n", "count"))
 
 
-@add("j02_annotate_cells_isoform_lists", "SELECT sampleID, isoform, i.CB, CAST(1 AS DOUBLE) AS _count FROM (SELECT DISTINCT sampleID, isoform FROM isoforms) LEFT JOIN isoforms i USING (sampleID, isoform)")
+@add("j02_annotate_cells_isoform_lists", """SELECT sampleID, isoform, i.CB, CAST(1 AS DOUBLE) AS _count
+FROM (SELECT DISTINCT sampleID, isoform FROM isoforms) LEFT JOIN isoforms i USING (sampleID, isoform)""")
 def _(spark, d):
     lists = isoform_lists(spark, d)
     return E.annotate_cells_isoforms(lists.select("sampleID", "isoform"), assoc=lists)
@@ -227,7 +229,11 @@ def _(spark, d):
     return R.bulk_category_table(weighted_cells(spark, d))
 
 
-@add("j15_bulk_category_levels", f"SELECT c AS structural_category, coalesce(n, 0) AS n FROM (VALUES {', '.join(f'({c!r})' for c in C.CATEGORIES)}) AS l(c) LEFT JOIN (SELECT structural_category, sum(w) AS n FROM cells WHERE exons > 6 AND structural_category <> 'fusion' GROUP BY ALL) ON c = structural_category")
+_LEVELS = ", ".join(f"({c!r})" for c in C.CATEGORIES)
+
+
+@add("j15_bulk_category_levels", f"""SELECT c AS structural_category, coalesce(n, 0) AS n FROM (VALUES {_LEVELS}) AS l(c)
+LEFT JOIN (SELECT structural_category, sum(w) AS n FROM cells WHERE exons > 6 AND structural_category <> 'fusion' GROUP BY ALL) ON c = structural_category""")
 def _(spark, d):
     return R.bulk_category_levels(cells_of(spark, d).filter("exons > 6 AND structural_category <> 'fusion'"))
 
@@ -285,7 +291,12 @@ def _(spark, d):
     return R.describe_cells(R.junction_type_percents(weighted_junctions(spark, d), "_weight"))
 
 
-@add("a66_gene_annotation_percent", f"SELECT sampleID, CB, {', '.join(f'{prop(f'count(DISTINCT CASE WHEN {t} THEN associated_gene END)', 'count(DISTINCT associated_gene)')} AS {k}_genes_perc' for k, t in (('Annotated', f'NOT {NOVEL}'), ('Novel', NOVEL)))} FROM cells GROUP BY ALL")
+def _share_of_genes(test: str) -> str:
+    return prop(f"count(DISTINCT CASE WHEN {test} THEN associated_gene END)", "count(DISTINCT associated_gene)")
+
+
+@add("a66_gene_annotation_percent", f"""SELECT sampleID, CB, {_share_of_genes(f'NOT {NOVEL}')} AS Annotated_genes_perc,
+  {_share_of_genes(NOVEL)} AS Novel_genes_perc FROM cells GROUP BY ALL""")
 def _(spark, d):
     return R.gene_annotation_percent(S.key_counts(cells_of(spark, d)))
 
@@ -504,7 +515,9 @@ def _(spark, d):
     return H.first_components(H.top_loadings(_loadings(spark, d)))
 
 
-@add("w04_running_shares", "SELECT CAST(exons AS INT) AS pc, CAST(n AS DOUBLE) / t AS share, round(sum(CAST(n AS DOUBLE) / t) OVER (ORDER BY exons), 6) AS running FROM (SELECT exons, count(*) AS n, sum(count(*)) OVER () AS t FROM cells GROUP BY exons)".replace("CAST(n AS DOUBLE) / t AS share", "round(CAST(n AS DOUBLE) / t, 6) AS share"))
+@add("w04_running_shares", """SELECT CAST(exons AS INT) AS pc, round(CAST(n AS DOUBLE) / t, 6) AS share,
+  round(sum(CAST(n AS DOUBLE) / t) OVER (ORDER BY exons), 6) AS running
+FROM (SELECT exons, count(*) AS n, sum(count(*)) OVER () AS t FROM cells GROUP BY exons)""")
 def _(spark, d):
     cells = cells_of(spark, d)
     n = cells.groupBy(F.col("exons").cast("int").alias("pc")).agg(F.count("*").alias("n"))
