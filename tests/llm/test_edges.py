@@ -229,7 +229,8 @@ def brute_ratios(texts, counted):
 
 def test_toxicity_ratios_against_brute_force(spark):
     rng = random.Random(4)
-    texts = [" ".join(rng.choice("red green blue vile grim soft Loud über x1 y").split()[0] if 0 else rng.choice(["red", "green", "blue", "vile", "grim", "soft", "Loud", "über", "x1", "y"]) for _ in range(rng.randrange(0, 15))) for _ in range(60)]
+    words = ["red", "green", "blue", "vile", "grim", "soft", "Loud", "über", "x1", "y"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(0, 15))) for _ in range(60)]
     counted = {i: int("vile" in t) for i, t in enumerate(texts) if i % 3}
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     model = toxicity.build_model(spark, toxicity.count_corpus(spark, docs, counted))
