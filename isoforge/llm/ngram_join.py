@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from isoforge.llm import bytescan
-from isoforge.llm.common import runs, save, table
+from isoforge.llm.common import runs, save, table, trimmed
 from isoforge.llm.components import components
 
 SKETCH_BITS = 21
@@ -403,7 +403,7 @@ def _sets_of(spark: SparkSession, sets: DataFrame, items: DataFrame, names: Data
 
     first = items.join(names, "name", "left_semi").select("name", "holder")
     wanted = _filter_of(spark, first.mapInArrow(marks, "mark long"))
-    return save(spark, sets.select("name", "row", "tokens").mapInArrow(lambda b: _wanted_sets(b, wanted), "name long, size int, wide binary, tokens binary"), "sets")
+    return save(spark, sets.select("name", "row", "tokens").mapInArrow(trimmed(lambda b: _wanted_sets(b, wanted)), "name long, size int, wide binary, tokens binary"), "sets")
 
 
 def verify(spark: SparkSession, sets: DataFrame, pairs: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -417,7 +417,7 @@ def verify(spark: SparkSession, sets: DataFrame, pairs: DataFrame, share: tuple[
 
     own = sets.select("name", "size", "tokens")
     both = _beside(near, own.mapInArrow(there, own.schema), "tokens")
-    return save(spark, both.mapInArrow(lambda b: _verified(b, share), "a long, b long").distinct(), "links")
+    return save(spark, both.mapInArrow(trimmed(lambda b: _verified(b, share)), "a long, b long").distinct(), "links")
 
 
 def _units(blocks: Column, block: Column) -> Column:
@@ -450,7 +450,7 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, items: DataFrame, classe
     sets are linked with Jaccard similarity of ``share`` or more. Links within a component that others
     already join may be left out.
     """
-    postings = sets.select("name", "tokens").mapInArrow(lambda b: _postings(b, classes, share), "key long, name long, size int")
+    postings = sets.select("name", "tokens").mapInArrow(trimmed(lambda b: _postings(b, classes, share)), "key long, name long, size int")
     many = postings.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = save(spark, postings.join(many, "key"), "shared")  # a set may be there once for each batch of its copies
     links = tried = groups = names = found_sets = None
@@ -461,7 +461,7 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, items: DataFrame, classe
         own = own.withColumn("group", F.col("name") if groups is None else F.coalesce("component", "name")).join(items.select("name", "signature"), "name")
         rows = _near_rows(own, turn) if nearest else _mixed_rows(own)
         dealt = rows.repartition("unit").sortWithinPartitions("unit", "name")
-        found = dealt.mapInArrow(lambda b, n=nearest: _pairs(b, share, n), "a long, b long, differ long")
+        found = dealt.mapInArrow(trimmed(lambda b, n=nearest: _pairs(b, share, n)), "a long, b long, differ long")
         if nearest:  # of all keys, the nearest one
             found = save(spark, found.groupBy("a").agg(F.min_by("b", F.struct("differ", "b")).alias("b")), "nearest")
         if names is None:
@@ -491,7 +491,7 @@ def link_counts(spark: SparkSession, sets: DataFrame, groups: DataFrame, items:
     own = own.join(sets.select(F.col("name").alias("node"), "tokens"), "node")
     rows = own.select("component", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", F.col("node").alias("name"), "copies", "tokens")
     dealt = rows.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "name")
-    return dealt.mapInArrow(lambda b: _link_counts(b, share), "name long, n_links long").groupBy("name").agg(F.sum("n_links").alias("n_links"))
+    return dealt.mapInArrow(trimmed(lambda b: _link_counts(b, share)), "name long, n_links long").groupBy("name").agg(F.sum("n_links").alias("n_links"))
 
 
 def jaccard_components(
@@ -507,7 +507,7 @@ def jaccard_components(
     whole; an empty table gives no rows; other columns may have any name.
     """
     own = docs.select(F.col(doc_id).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"))
-    read = save(spark, own.mapInArrow(lambda b: _read(b, k), from_arrow_schema(READ)), "read")
+    read = save(spark, own.mapInArrow(trimmed(lambda b: _read(b, k)), from_arrow_schema(READ)), "read")
     classes = spark.sparkContext.broadcast(token_classes(read))
     named = read.filter("block IS NULL")
     full = named.filter("n_shingles > 0")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from isoforge.llm.common import save, table
+from isoforge.llm.common import save, store_of, table
 
 #: Vectors, by the smallest hashes of their ids, whose mean is the centre of all codes.
 CENTRE_ROWS = 4096
@@ -135,7 +135,7 @@ def nearest_in_block(items: np.ndarray, first: np.ndarray, low: np.ndarray, high
 
 def _found(batches, folder: str, centre, k: int):
     """Of each block of items, the k nearest of each query."""
-    store, base = fs.FileSystem.from_uri(folder)
+    store, base = store_of(folder)
     files = sorted(f.path for f in store.get_file_info(fs.FileSelector(base)) if f.path.endswith(".parquet"))
     for names, first, items in _item_blocks(batches):
         dims = items.shape[1]

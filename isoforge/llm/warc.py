@@ -17,11 +17,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoforge.llm.common import save, shared_dir, table
+from isoforge.llm.common import save, shared_dir, store_of, table
 
 #: Payloads of at least this many bytes are stored once.
 LEAST_SHARED = 1000
@@ -131,7 +130,7 @@ def write_archives(planned: DataFrame, folder: str) -> DataFrame:
     """Write all records and return the manifest, a row for each archive."""
 
     def run(batches):
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = store_of(folder)
         store.create_dir(base, recursive=True)
         waiting, size = [], 0
 
@@ -165,7 +164,7 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
     """A row for each record of the archives in ``manifest``, dealt out by archive."""
 
     def run(batches):
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = store_of(folder)
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 with store.open_input_stream(f"{base}/{name}") as f:

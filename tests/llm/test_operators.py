@@ -170,7 +170,7 @@ def test_toxicity_model_keeps_rare_bigrams(spark):
     words = spark.range(1000).selectExpr("0 AS kind", "0L AS v", "id AS w", "0L AS t", "0L AS o", "600L AS n")
     folder, _ = build_model(spark, pairs.unionByName(words))["bigram"]
     known, ratios = toxicity._table(folder)
-    assert len(known) == n and np.isfinite(ratios).all() and (ratios != 0).all()
+    assert len(known) == n and (np.diff(known) > 0).all() and np.isfinite(ratios).all() and (ratios != 0).all()
 
 
 def test_secrets(spark):
