@@ -96,11 +96,6 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def plain_memory() -> None:
-    """Take Arrow's memory from the system's allocator, which ``trim`` can empty."""
-    pa.set_memory_pool(pa.system_memory_pool())
-
-
 def trim() -> None:
     """Give memory that is free back to the system: workers live on after a task, beside those of the next stage."""
     pa.default_memory_pool().release_unused()
@@ -112,19 +107,18 @@ def trimmed(function: Callable) -> Callable:
     """For ``mapInArrow``: trims when a task's rows are done."""
 
     def run(batches):
-        plain_memory()
         yield from function(batches)
         trim()
 
     return run
 
 
-def text_udf(ddl: str, columns: Callable[[list[bytes]], list], limit: int = 1 << 20) -> Callable[[Column], Column]:
+def text_udf(ddl: str, columns: Callable[[list[bytes]], list], limit: int = 1 << 20, after: Callable[[], None] | None = None) -> Callable[[Column], Column]:
     """A struct of columns computed from whole texts; only the text goes to Python.
 
     ``columns`` gets the UTF-8 bytes of some rows (null: empty) and returns a list of values
     for each column of ``ddl``. An Arrow batch is handled in runs of about ``limit`` bytes of whole
-    texts.
+    texts. ``after`` is called when a task's rows are done.
     """
     fields = list(to_arrow_schema(T.StructType.fromDDL(ddl)))
 
@@ -134,11 +128,12 @@ def text_udf(ddl: str, columns: Callable[[list[bytes]], list], limit: int = 1 <<
 
     @F.arrow_udf(ddl)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        plain_memory()
         for texts in batches:
             parts = [made(texts.slice(a, b - a)) for a, b in runs(texts, limit)]
             whole = [pa.concat_arrays(p) for p in zip(*parts, strict=True)] if parts else [pa.array([], f.type) for f in fields]
             yield pa.StructArray.from_arrays(whole, fields=fields)
+        if after:
+            after()
         trim()
 
     return run.asNondeterministic()  # so that no filter on its fields makes it run twice
