@@ -98,7 +98,7 @@ def _read(batches, k: int) -> Iterator[pa.RecordBatch]:
                 size += len(own)
             made = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(READ)[2:6], strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in (0, 1)), *made, *(pa.nulls(b - a, f.type) for f in list(READ)[6:])], schema=READ)
-            if size >= 1 << 21:
+            if size >= 1 << 19:
                 count()
                 size = 0
     count()
