@@ -18,6 +18,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from isoforge.llm.bytescan import encoded
 
 
+#: Groups that are broadcast, at most: each has one row in so many.
+HOT_GROUPS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -89,6 +93,22 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def beside_groups(spark: SparkSession, rows: DataFrame, groups: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` with the columns of their group; null keys are equal. ``groups`` has a row for each key and its number of rows in ``count``.
+
+    Groups of a thousandth of all rows or more, a thousand at most, are broadcast, so that their rows stay
+    where they are; all others are shuffled by key.
+    """
+    groups = save(spark, groups.withColumnRenamed(key, "__key"), "groups")
+    least = (groups.agg(F.sum(count)).first()[0] or 0) / HOT_GROUPS
+    hot = groups.filter(F.col(count) >= least).withColumn("__hot", F.lit(True))
+    met = rows.join(F.broadcast(hot), rows[key].eqNullSafe(hot["__key"]), "left")
+    other = rows.join(F.broadcast(hot.select(F.col("__key").alias("__known"))), rows[key].eqNullSafe(F.col("__known")), "left_anti")
+    cold = groups.filter(F.col(count) < least)
+    out = other.join(cold, other[key].eqNullSafe(cold["__key"]), "left").drop("__key")
+    return met.filter("__hot").drop("__key", "__hot").unionByName(out)
+
+
 def text_udf(ddl: str, columns: Callable[[list[bytes]], list], limit: int = 1 << 20) -> Callable[[Column], Column]:
     """A struct of columns computed from whole texts; only the text goes to Python.
 

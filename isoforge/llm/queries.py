@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from isoforge.llm.byte_bpe import op8_byte_bpe
+from isoforge.llm.code_compression import SQL as CODES_SQL
+from isoforge.llm.code_compression import op11_code_compression
 from isoforge.llm.license_scan import op10_license_scan
 from isoforge.llm.ngram_join import op1_ngram_join
 from isoforge.llm.one_bit_neighbours import op5_one_bit_neighbours
@@ -25,6 +27,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_progressive_jpeg": op9_progressive_jpeg,
     "op10_license_scan": op10_license_scan,
+    "op11_code_compression": op11_code_compression,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_warc": WARC_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_warc": WARC_SQL, "op11_code_compression": CODES_SQL}
