@@ -13,6 +13,7 @@ from isoforge.llm.progressive_jpeg import op9_progressive_jpeg
 from isoforge.llm.quality import op6_quality_rules
 from isoforge.llm.secret_scan import op3_secret_scan
 from isoforge.llm.toxicity import op2_toxicity
+from isoforge.llm.url_filter import op12_url_filter
 from isoforge.llm.warc import SQL as WARC_SQL
 from isoforge.llm.warc import op4_warc
 
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_progressive_jpeg": op9_progressive_jpeg,
     "op10_license_scan": op10_license_scan,
     "op11_code_compression": op11_code_compression,
+    "op12_url_filter": op12_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_warc": WARC_SQL, "op11_code_compression": CODES_SQL}
