@@ -9,6 +9,8 @@ from isoforge.llm.license_scan import op10_license_scan
 from isoforge.llm.ngram_join import op1_ngram_join
 from isoforge.llm.one_bit_neighbours import op5_one_bit_neighbours
 from isoforge.llm.packing import op7_packing
+from isoforge.llm.phrase_mining import SQL as PHRASE_SQL
+from isoforge.llm.phrase_mining import op13_phrase_mining
 from isoforge.llm.progressive_jpeg import op9_progressive_jpeg
 from isoforge.llm.quality import op6_quality_rules
 from isoforge.llm.secret_scan import op3_secret_scan
@@ -30,6 +32,7 @@ QUERIES = {
     "op10_license_scan": op10_license_scan,
     "op11_code_compression": op11_code_compression,
     "op12_url_filter": op12_url_filter,
+    "op13_phrase_mining": op13_phrase_mining,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_warc": WARC_SQL, "op11_code_compression": CODES_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_warc": WARC_SQL, "op11_code_compression": CODES_SQL, "op13_phrase_mining": PHRASE_SQL}
