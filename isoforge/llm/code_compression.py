@@ -161,8 +161,8 @@ def codebook_digest(books: np.ndarray) -> str:
 
 def op11_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, books = compress(spark, table(spark, sf_dir, "embeddings"))
-    errors = rows.groupBy("label").agg(F.sum("error").alias("label_error"), F.count("*").alias("n"))
-    own = beside_groups(spark, rows.select("id", "label", "codes", "error"), errors, "label", "n")
+    errors = save(spark, rows.groupBy("label").agg(F.sum("error").alias("label_error"), F.count("*").alias("n")), "errors")
+    own = beside_groups(rows.select("id", "label", "codes", "error"), errors, "label", "n")
     code = F.lower(F.hex("codes"))
     return own.select(F.col("id").alias("vec_id"), code.alias("code"), "error", "label_error", F.lit(codebook_digest(books)).alias("codebooks_sha256"))
 

@@ -67,6 +67,18 @@ def recorded(names: list[str]) -> Iterator[None]:
         _records.pop()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, limit: int = 4 << 20) -> Iterator[None]:
+    """What runs inside hands Python about ``limit`` bytes at a time, so that a worker's memory follows that and not the rows' sizes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Delete folders that nothing reads any more, on whatever file system they are."""
     for path in paths:
@@ -93,13 +105,13 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def beside_groups(spark: SparkSession, rows: DataFrame, groups: DataFrame, key: str, count: str) -> DataFrame:
-    """``rows`` with the columns of their group; null keys are equal. ``groups`` has a row for each key and its number of rows in ``count``.
+def beside_groups(rows: DataFrame, groups: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` with the columns of their group; null keys are equal. ``groups``, saved, has a row for each key and its number of rows in ``count``.
 
     Groups of a thousandth of all rows or more, a thousand at most, are broadcast, so that their rows stay
     where they are; all others are shuffled by key.
     """
-    groups = save(spark, groups.withColumnRenamed(key, "__key"), "groups")
+    groups = groups.withColumnRenamed(key, "__key")
     least = (groups.agg(F.sum(count)).first()[0] or 0) / HOT_GROUPS
     hot = groups.filter(F.col(count) >= least).withColumn("__hot", F.lit(True))
     met = rows.join(F.broadcast(hot), rows[key].eqNullSafe(hot["__key"]), "left")

@@ -27,8 +27,10 @@ first, and the rows of one that many sets hold are dealt into blocks of about UN
 - Twice, with other blocks each time, each set is verified against the one of its block with the
   nearest signature, outside its component so far. That takes time in proportion to the rows.
 - Then pairs of different components are verified. Of a key's rows, those of its largest component stay
-  in their block each, and all others visit every block; so a key of a large group and a few strangers
-  takes time in proportion, too.
+  in their block each, and others visit every block; so a key of a large group and a few strangers
+  takes time in proportion, too. Of a pair one set at least has the key early, behind few tokens of its own;
+  a key that no set has early has no pairs, so that sets of one pattern with too many words of their own
+  take time in proportion.
 
 Pairs within a component need no proof to find it. So few parities say nothing of a set of thousands
 of tokens: such pairs are bounded once more, by signatures as wide as the smaller set, before the sets
@@ -50,7 +52,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from isoforge.llm import bytescan
-from isoforge.llm.common import runs, save, table
+from isoforge.llm.common import beside_groups, runs, save, small_batches, table
 from isoforge.llm.components import components
 
 SKETCH_BITS = 21
@@ -59,8 +61,8 @@ SKETCH_BLOCK_BITS = 15
 CLASSES = ((64, 4, 3), (1024, 64, 5))
 #: Tokens of a long set, and tokens to a combination of its rare class.
 LONG, LONG_K = 2048, 2
-#: Bits of the filter that picks the sets of candidates.
-FILTER_BITS = 25
+#: Bits of the filter that picks the sets of candidates, at least and at most (32 MB), and for each mark.
+FILTER_BITS, MARK_BITS = (20, 28), 8
 SIGNATURE_BITS = 512
 PAIRS_AT_ONCE = 50_000
 #: Pairs of a key that are compared at once.
@@ -166,18 +168,23 @@ def wide_difference(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0) ^ a).sum())
 
 
-def keys_of(own: np.ndarray, classes: np.ndarray, share: tuple[int, int]) -> np.ndarray:
-    """Keys of a sorted set under which each similar set that isn't equal has one too. share: similarity as a fraction."""
+def keys_of(own: np.ndarray, classes: np.ndarray, share: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a sorted set under which each similar set that isn't equal has one too, and which are early. share: similarity as a fraction.
+
+    Tokens that come before the first common one are of one set alone. Two similar sets of m and n tokens have
+    at most (m + n)(1 - t)/(1 + t) such tokens, so that of the key of their first common token one set at
+    least has no more than its part before it: there the key is early.
+    """
     n, (p, q) = len(own), share
     if n * (q - p) < p:
-        return own[:0]  # no other set is that similar: one token more or less is too many
+        return own[:0], np.zeros(0, bool)  # no other set is that similar: one token more or less is too many
     kind = classes[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
     order = np.argsort(kind, kind="stable")  # hashes are in order already
     tokens, kind = own[order], kind[order]
     apart = n - -(-p * n // q)
     most = n * (q - p) // p
     prefix = apart + 1
-    out = [tokens[:prefix][kind[:prefix] == 0]] if n < LONG else []
+    out, early = ([tokens[:prefix][kind[:prefix] == 0]], [np.arange(int((kind[:prefix] == 0).sum())) * (p + q) <= n * (q - p)]) if n < LONG else ([], [])
     for c in np.unique(kind[:prefix]):
         if c or n * q >= LONG * p:
             k = CLASSES[c - 1][2] if c else LONG_K
@@ -190,7 +197,8 @@ def keys_of(own: np.ndarray, classes: np.ndarray, share: tuple[int, int]) -> np.
                     for i in range(k):
                         key = bytescan.mix(key * np.uint64(0x100000001B3) + window[i : i + count])
                 out.append(key)
-    return np.concatenate(out) if out else own[:0]
+                early.append(np.full(count, first * (p + q) <= n * (q - p)))
+    return (np.concatenate(out), np.concatenate(early)) if out else (own[:0], np.zeros(0, bool))
 
 
 def _token_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -207,13 +215,14 @@ def _few(batches, column: int) -> Iterator[pa.RecordBatch]:
 
 
 def _postings(batches, classes, share) -> Iterator[pa.RecordBatch]:
-    """Keys of each set: key, name, size."""
+    """Keys of each set: key, name, size, early."""
     for batch in _few(batches, 1):
-        keys = [keys_of(own, classes.value, share).astype(np.int64) for own in _token_sets(batch.column(1))]
-        counts, names = [len(x) for x in keys], batch.column(0).to_numpy()
+        keys = [keys_of(own, classes.value, share) for own in _token_sets(batch.column(1))]
+        counts, names = [len(x) for x, _ in keys], batch.column(0).to_numpy()
         sizes = pc.divide(pc.binary_length(batch.column(1)), 8).to_numpy().astype(np.int32)
         if sum(counts):
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.repeat(names, counts)), pa.array(np.repeat(sizes, counts))], names=["key", "name", "size"])
+            own, early = np.concatenate([x for x, _ in keys]).astype(np.int64), np.concatenate([x for _, x in keys])
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.repeat(names, counts)), pa.array(np.repeat(sizes, counts)), pa.array(early)], names=["key", "name", "size", "early"])
 
 
 def _lists(batches, keys: int = 1) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
@@ -240,21 +249,21 @@ def _pairs(batches, share, nearest: bool) -> Iterator[pa.RecordBatch]:
     """
     p, q = share
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
-    for (key, name, size, group, raw, home, visits), starts in _lists(batches):
+    for (key, name, size, group, raw, early, home, visits), starts in _lists(batches):
         signs, size = np.frombuffer(b"".join(raw.tolist()), np.uint64).reshape(len(key), -1), size.astype(np.int64)
-        home, visits = home.astype(bool), visits.astype(bool)
+        early, home, visits = early.astype(bool), home.astype(bool), visits.astype(bool)
         counts = np.diff(np.concatenate((starts, [len(key)])))
         mixed = np.maximum.reduceat(group, starts) != np.minimum.reduceat(group, starts)
         # Units with the same sets have the same pairs.
         with np.errstate(over="ignore"):
-            same = np.add.reduceat(bytescan.mix(name.astype(np.uint64) + (home + 2 * visits).astype(np.uint64)), starts)
+            same = np.add.reduceat(bytescan.mix(name.astype(np.uint64) + (home + 2 * visits + 4 * early).astype(np.uint64)), starts)
         once = np.zeros(len(starts), bool)
         once[np.unique(same, return_index=True)[1]] = True
         starts, counts = starts[mixed & once], counts[mixed & once]
         two = starts[counts == 2]
         if len(two):
             differ = np.bitwise_count(signs[two] ^ signs[two + 1]).sum(1, dtype=np.int64)
-            fits = _fits(differ, size[two], size[two + 1], p, q)
+            fits = _fits(differ, size[two], size[two + 1], p, q) & (early[two] | early[two + 1])
             two, differ = two[fits], differ[fits]
             waiting.append((name[two], name[two + 1], differ))
             if nearest:
@@ -265,7 +274,7 @@ def _pairs(batches, share, nearest: bool) -> Iterator[pa.RecordBatch]:
             for i in range(0, len(rows) if len(others) else 0, step):
                 part = rows[i : i + step]
                 differ = np.bitwise_count(signs[part, None, :] ^ signs[None, others, :]).sum(2, dtype=np.int64)
-                fits = _fits(differ, size[part, None], size[None, others], p, q) & (group[part, None] != group[None, others])
+                fits = _fits(differ, size[part, None], size[None, others], p, q) & (group[part, None] != group[None, others]) & (early[part, None] | early[None, others])
                 if nearest:
                     x = np.flatnonzero(fits.any(1))
                     y = np.where(fits, differ, 1 << 30)[x].argmin(1)
@@ -292,7 +301,7 @@ def _distinct(waiting) -> pa.RecordBatch:
 
 
 def _in_filter(bits: bytes, at: np.ndarray) -> np.ndarray:
-    at = at & ((1 << FILTER_BITS) - 1)
+    at = at & (8 * len(bits) - 1)
     return np.frombuffer(bits, np.uint8)[at >> 3] >> (at & 7) & 1 == 1
 
 
@@ -302,13 +311,13 @@ def _id_mark(name: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def _wanted_sets(batches, wanted) -> Iterator[pa.RecordBatch]:
-    """Name, size, wide signature and tokens of the sets that the filter lets through."""
+    """Name, row, size, wide signature and tokens of the sets that the filter lets through."""
     for batch in _few(batches, 2):
         there = _in_filter(wanted.value, _id_mark(batch.column(0).to_numpy(), batch.column(1).to_numpy()))
         own = batch.filter(pa.array(there))
         sets = list(_token_sets(own.column(2)))
         sizes, signs = [len(x) for x in sets], [wide_signature(x) for x in sets]
-        yield pa.RecordBatch.from_arrays([own.column(0), pa.array(sizes, pa.int32()), pa.array(signs, pa.binary()), own.column(2)], names=["name", "size", "wide", "tokens"])
+        yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(sizes, pa.int32()), pa.array(signs, pa.binary()), own.column(2)], names=["name", "row", "size", "wide", "tokens"])
 
 
 def _verified(batches, share) -> Iterator[pa.RecordBatch]:
@@ -382,11 +391,12 @@ def _beside(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     return one.join(sets.select(F.col("name").alias("b"), F.col(column).alias("y"), F.col("size").alias("n")), "b").select("a", "b", "x", "y", "m", "n")
 
 
-def _filter_of(spark: SparkSession, marks: DataFrame):
-    """A bit for each ``mark``, 4 MB in all. Others may pass too; a join drops them."""
-    bit = F.col("mark").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1  # bucket 1 starts with 1
+def _filter_of(spark: SparkSession, marks: DataFrame, count: int):
+    """A bit for each of about ``count`` marks. Others may pass too; joins drop them."""
+    width = min(max((MARK_BITS * count).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+    bit = F.col("mark").bitwiseAND(F.lit((1 << width) - 1)) + 1  # bucket 1 starts with 1
     own = marks.groupBy(F.bitmap_bucket_number(bit).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
-    bits = bytearray((1 << FILTER_BITS) // 8)
+    bits = bytearray((1 << width) // 8)
     for row in own.collect():
         begin = (row["n"] - 1) * 4096
         bits[begin : begin + len(row["bits"])] = row["bits"]
@@ -394,22 +404,28 @@ def _filter_of(spark: SparkSession, marks: DataFrame):
 
 
 def _sets_of(spark: SparkSession, sets: DataFrame, items: DataFrame, names: DataFrame) -> DataFrame:
-    """The sets of ``names``, saved, each from the row that stands for it."""
+    """The sets of ``names``, saved, each from the one row that stands for it.
+
+    The filter lets other rows through, too, more of them as it fills up. Where it did, a join by name and row drops them.
+    """
 
     def marks(batches):
         for batch in batches:
             own = _id_mark(batch.column(0).to_numpy(), batch.column(1).to_numpy())
             yield pa.RecordBatch.from_arrays([pa.array(own)], names=["mark"])
 
-    first = items.join(names, "name", "left_semi").select("name", "holder")
-    wanted = _filter_of(spark, first.mapInArrow(marks, "mark long"))
-    return save(spark, sets.select("name", "row", "tokens").mapInArrow(lambda b: _wanted_sets(b, wanted), "name long, size int, wide binary, tokens binary"), "sets")
+    first = save(spark, items.join(names, "name", "left_semi").select("name", F.col("holder").alias("row")), "holders")
+    wanted = _filter_of(spark, first.mapInArrow(marks, "mark long"), first.count())
+    found = save(spark, sets.select("name", "row", "tokens").mapInArrow(lambda b: _wanted_sets(b, wanted), "name long, row long, size int, wide binary, tokens binary"), "sets")
+    if not found.select("name", "row").join(first, ["name", "row"], "left_anti").isEmpty():
+        found = save(spark, found.join(first, ["name", "row"], "left_semi"), "sets")
+    return found.drop("row")
 
 
 def verify(spark: SparkSession, sets: DataFrame, pairs: DataFrame, share: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) whose sets are similar, by their whole sets; only sets that have a pair are shuffled."""
     near = save(spark, _beside(pairs, sets, "wide").mapInArrow(lambda b: _near(b, share), "a long, b long"), "near")
-    wanted = _filter_of(spark, near.select(F.explode(F.array("a", "b")).alias("mark")))
+    wanted = _filter_of(spark, near.select(F.explode(F.array("a", "b")).alias("mark")), 2 * near.count())
 
     def there(batches):
         for batch in batches:
@@ -429,18 +445,25 @@ def _near_rows(rows: DataFrame, turn: int) -> DataFrame:
     """Rows in the one block of their key that ``turn`` deals them into."""
     blocks = F.ceil(F.col("n") / UNIT_ROWS)
     unit = _units(blocks, F.pmod(F.xxhash64("name", F.lit(turn)), blocks))
-    return rows.select(unit.alias("unit"), "name", "size", "group", "signature", F.lit(True).alias("home"), F.lit(True).alias("visits"))
+    return rows.select(unit.alias("unit"), "name", "size", "group", "signature", "early", F.lit(True).alias("home"), F.lit(True).alias("visits"))
 
 
 def _mixed_rows(rows: DataFrame) -> DataFrame:
-    """Rows of keys with several components: the largest one's at home in a block, all others in every block."""
-    each = rows.groupBy("key", "group").agg(F.count("*").alias("own"))
-    mixed = each.groupBy("key").agg(F.max_by("group", F.struct("own", "group")).alias("top"), F.count("*").alias("groups"), F.sum("own").alias("n")).filter("groups > 1")
+    """Rows of keys with several components, and an early one: all at home in a block, some visit every block.
+
+    A pair needs an early row. Those outside the largest component visit all blocks; rows that aren't
+    early do so only where the largest component has early ones, which would else not meet them. So sets of one
+    pattern that are a little too different for a link, all of them late in their pattern's keys, are not even dealt.
+    """
+    each = rows.groupBy("key", "group").agg(F.count("*").alias("own"), F.max("early").alias("early"))
+    top = F.max_by(F.struct("group", "early"), F.struct("own", "group"))
+    mixed = each.groupBy("key").agg(top.alias("top"), F.count("*").alias("groups"), F.sum("own").alias("n"), F.max("early").alias("any")).filter("groups > 1 AND any")
     rows = rows.drop("n").join(mixed.select("key", "top", "n"), "key")
     blocks = F.ceil(F.col("n") / UNIT_ROWS)
-    rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("name"), blocks)).withColumn("visits", F.col("group") != F.col("top"))
+    visits = (F.col("group") != F.col("top.group")) & (F.col("early") | F.col("top.early"))
+    rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("name"), blocks)).withColumn("visits", visits)
     rows = rows.withColumn("block", F.explode(F.when(F.col("visits"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("own"))))
-    return rows.select(_units(F.col("blocks"), F.col("block")).alias("unit"), "name", "size", "group", "signature", (F.col("block") == F.col("own")).alias("home"), "visits")
+    return rows.select(_units(F.col("blocks"), F.col("block")).alias("unit"), "name", "size", "group", "signature", "early", (F.col("block") == F.col("own")).alias("home"), "visits")
 
 
 def jaccard_links(spark: SparkSession, sets: DataFrame, items: DataFrame, classes, share: tuple[int, int] = (9, 10)) -> tuple[DataFrame, DataFrame]:
@@ -450,7 +473,7 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, items: DataFrame, classe
     sets are linked with Jaccard similarity of ``share`` or more. Links within a component that others
     already join may be left out.
     """
-    postings = sets.select("name", "tokens").mapInArrow(lambda b: _postings(b, classes, share), "key long, name long, size int")
+    postings = sets.select("name", "tokens").mapInArrow(lambda b: _postings(b, classes, share), "key long, name long, size int, early boolean")
     many = postings.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = save(spark, postings.join(many, "key"), "shared")  # a set may be there once for each batch of its copies
     links = tried = groups = names = found_sets = None
@@ -506,6 +529,11 @@ def jaccard_components(
     number of other rows that a row is linked with, its copies included. Long texts are read
     whole; an empty table gives no rows; other columns may have any name.
     """
+    with small_batches(spark):
+        return _jaccard_components(spark, docs, doc_id, text, k, share, counts)
+
+
+def _jaccard_components(spark: SparkSession, docs: DataFrame, doc_id: str, text: str, k: int, share: tuple[int, int], counts: bool) -> DataFrame:
     own = docs.select(F.col(doc_id).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"))
     read = save(spark, own.mapInArrow(lambda b: _read(b, k), from_arrow_schema(READ)), "read")
     classes = spark.sparkContext.broadcast(token_classes(read))
@@ -525,10 +553,10 @@ def jaccard_components(
         others = link_counts(spark, sets, groups, items, share)
         by_name = by_name.join(others, "name", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1)
         columns.append("n_links")
-    by_name = save(spark, by_name.select(columns), "components")
+    by_name = save(spark, by_name.select(*columns, "copies"), "components")
     empty = named.filter("n_shingles = 0").withColumn("component_id", F.col("id")).withColumn("n_links", F.lit(0).cast("long"))
     out = [F.col("id").alias(doc_id), "n_shingles", *columns[1:]]
-    return full.select("id", "n_shingles", "name").join(by_name, "name").select(out).unionByName(empty.select(out))
+    return beside_groups(full.select("id", "n_shingles", "name"), by_name, "name", "copies").select(out).unionByName(empty.select(out))
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,7 +92,7 @@ def test_decoded_vectors_are_near(spark):
 def test_groups_beside_rows(spark):
     rows = spark.range(5000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE concat('k', id) END AS k")
     groups = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("least"))
-    got = beside_groups(spark, rows, groups, "k", "n").collect()
+    got = beside_groups(rows, groups, "k", "n").collect()
     assert len(got) == 5000 and all(r["least"] == (r["id"] if r["id"] % 3 == 2 else r["id"] % 3) for r in got)
 
 
