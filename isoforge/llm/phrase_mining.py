@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from isoforge.llm import bytescan
-from isoforge.llm.common import save, table
+from isoforge.llm.common import save, small_batches, table
 from isoforge.llm.count_automata import END, Automaton, built, distinct_rows, prefix_starts, union
 
 
@@ -35,10 +35,10 @@ from isoforge.llm.count_automata import END, Automaton, built, distinct_rows, pr
 class Sizes:
     """How work is parted; results don't depend on it."""
 
-    shard: int = 8 << 20  #: bytes of texts in a shard; a longer text is a shard of its own
+    shard: int = 4 << 20  #: bytes of texts in a shard; a longer text is a shard of its own
     every: int = 1 << 12  #: windows for each sampled one
-    windows: int = 1 << 20  #: windows of a range
-    fold: int = 1 << 21  #: windows that wait in a range before they are summed up
+    windows: int = 1 << 19  #: windows of a range
+    fold: int = 1 << 20  #: windows that wait in a range before they are summed up
     requests: int = 1 << 18  #: requests for a range's weights that one task answers
 
 
@@ -309,8 +309,9 @@ def mine_phrases(
     languages are ``und``, null and empty texts have no words. Repeated rows count each; ids are not
     used. Long texts are read whole, an empty table gives no rows, and other columns may have any name.
     """
-    counts, totals, borders = phrase_counts(spark, docs, lang, text, longest, least, sizes)
-    answers = part_weights(spark, counts, borders, longest, sizes)
+    with small_batches(spark):
+        counts, totals, borders = phrase_counts(spark, docs, lang, text, longest, least, sizes)
+        answers = part_weights(spark, counts, borders, longest, sizes)
     at = lambda side, k: F.max(F.when((F.col("side") == side) & (F.col("k") == k), F.col("f")))
     cuts = range(1, longest)
     sides = [at(s, k).alias(f"{s}{k}") for k in cuts for s in ("left", "right")]
