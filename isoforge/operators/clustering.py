@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, BucketedRandomProjectionLSH
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from isoforge.operators.communities import Communities, modularity_communities
+from isoforge.operators.embedding import embed_cells, fuzzy_graph, numbered_graph
+from isoforge.operators.neighbours import knn_cells
+from isoforge.operators.sparse import pca_sparse, pearson_parts
+from isoforge.sources.shared import Saved
+
 #: A cell is a barcode of one sample; cells of all samples meet in one space.
 CELL = ["sampleID", "CB"]
 KEYS = (*CELL, "associated_gene")
-#: Cells up to which neighbours are searched exactly.
-EXACT_CELLS = 50_000
 
 
 def _of_cell(m: DataFrame):
@@ -72,69 +76,49 @@ def scale_clip(full: DataFrame, most: float = 10.0) -> DataFrame:
 
 
 def pca_cells(full: DataFrame, n_pc: int = 30) -> DataFrame:
-    """sampleID, CB, pcs: principal components of dense rows, at most as many as genes."""
+    """sampleID, CB, pcs: principal components of dense rows, at most as many as genes; ``pca_sparse`` needs the non-zeros alone."""
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("associated_gene", "x"))), lambda s: s["x"])
     vectors = full.groupBy(*CELL).agg(ordered.alias("a"))
-    width = vectors.select(F.size("a")).first()
+    width = vectors.agg(F.max(F.size("a"))).first()[0]
+    if width is None:
+        return vectors.select(*CELL, F.col("a").alias("pcs"))
     vectors = vectors.select(*CELL, array_to_vector("a").alias("v"))
-    model = PCA(k=min(n_pc, width[0]), inputCol="v", outputCol="p").fit(vectors)
+    model = PCA(k=min(n_pc, width), inputCol="v", outputCol="p").fit(vectors)
     return model.transform(vectors).select(*CELL, vector_to_array("p").alias("pcs"))
 
 
-def _distance(a: str, b: str) -> Column:
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x))
+def cluster_kmeans(pcs: DataFrame, k: int = 10, seed: int = 0) -> DataFrame:
+    vectors = pcs.select(*CELL, "pcs", array_to_vector("pcs").alias("features"))
+    return KMeans(k=k, seed=seed).fit(vectors).transform(vectors).select(*CELL, F.col("prediction").alias("cluster"), "pcs")
 
 
-def _ranked(pairs: DataFrame, k: int) -> DataFrame:
-    rank = F.row_number().over(W.partitionBy(*CELL).orderBy("distance", "neighbour"))
-    return pairs.withColumn("rank", rank).filter(F.col("rank") <= k)
+def graph_communities(neighbours: DataFrame, resolution: float = 1.0) -> tuple[DataFrame, Communities]:
+    """(node, cell) and the communities of the weighted neighbour graph."""
+    nodes, edges = numbered_graph(Saved(neighbours.sparkSession)(fuzzy_graph(neighbours)))
+    return nodes, modularity_communities(edges, resolution)
 
 
-def knn_cells(pcs: DataFrame, k: int = 15, block: int = 1000, radius: float | None = None) -> DataFrame:
-    """sampleID, CB, neighbour (a struct of both), rank, distance.
+def cluster_graph(neighbours: DataFrame, resolution: float = 1.0) -> DataFrame:
+    """sampleID, CB, cluster: communities by modularity, numbered from 0 by size and then by their first cell.
 
-    Exact up to EXACT_CELLS cells: all cells in blocks. Beyond, random projections put near cells
-    into the same buckets, and those within ``radius`` are neighbours: approximate, and it must be given.
+    A higher resolution gives more clusters. Only names of communities, not cells, are numbered together.
     """
-    n = pcs.count()
-    own = pcs.select(*CELL, F.struct(*CELL).alias("neighbour"), F.col("pcs").alias("other"))
-    if n > EXACT_CELLS:
-        if radius is None:
-            raise ValueError(f"beyond {EXACT_CELLS} cells a radius must be given")
-        vectors = own.select("neighbour", array_to_vector("other").alias("v"))
-        model = BucketedRandomProjectionLSH(inputCol="v", outputCol="hashes", bucketLength=2 * radius, numHashTables=4, seed=0).fit(vectors)
-        near = model.approxSimilarityJoin(vectors, vectors, radius, "distance").select(F.col("datasetA.neighbour").alias("cell"), F.col("datasetB.neighbour").alias("neighbour"), "distance")
-        return _ranked(near.filter("cell != neighbour").select("cell.*", "neighbour", "distance"), k)
-    blocks = max(1, -(-n // block))
-    at = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    left = pcs.select(*CELL, "pcs", at.alias("o"))
-    right = own.select("neighbour", "other", F.pmod(F.xxhash64(*CELL), F.lit(blocks)).alias("o"))
-    pairs = left.join(right, "o").filter(F.struct(*CELL) != F.col("neighbour")).select(*CELL, "neighbour", _distance("pcs", "other").alias("distance"))
-    return _ranked(pairs, k)
+    nodes, found = graph_communities(neighbours, resolution)
+    own = Saved(neighbours.sparkSession)(nodes.join(found.labels, "node").select("cell", "community"))
+    order = own.groupBy("community").agg(F.count("*").alias("n"), F.min("cell").alias("first"))
+    number = order.select("community", (F.row_number().over(W.orderBy(F.desc("n"), "first")) - 1).alias("cluster"))  # a row for each community
+    return own.join(number, "community").select("cell.*", F.col("cluster").cast("string").alias("cluster"))
 
 
-def cluster_kmeans(pcs: DataFrame, k: int = 10, seed: int = 0) -> DataFrame:
-    vectors = pcs.select(*CELL, "pcs", array_to_vector("pcs").alias("features"))
-    return KMeans(k=k, seed=seed).fit(vectors).transform(vectors).select(*CELL, F.col("prediction").alias("cluster"), "pcs")
-
-
-def cluster_graph(neighbours: DataFrame, rounds: int = 10) -> DataFrame:
-    """sampleID, CB, cluster: label propagation over the neighbour graph; the most frequent label, then the smallest.
-
-    Each round is checkpointed, in the folder that the session's checkpoint directory names.
-    """
-    context = neighbours.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        folder = neighbours.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        context.setCheckpointDir(folder)
+def cluster_labels(neighbours: DataFrame, rounds: int = 10) -> DataFrame:
+    """sampleID, CB, cluster: label propagation over the neighbour graph; the most frequent label, then the smallest."""
+    saved = Saved(neighbours.sparkSession)
     one = neighbours.select(F.struct(*CELL).alias("cell"), "neighbour")
-    edges = one.unionByName(one.select(F.col("neighbour").alias("cell"), F.col("cell").alias("neighbour"))).distinct().checkpoint()
+    edges = saved(one.unionByName(one.select(F.col("neighbour").alias("cell"), F.col("cell").alias("neighbour"))).distinct())
     labels = edges.select("cell").distinct().withColumn("cluster", F.concat_ws(":", "cell.sampleID", "cell.CB"))
     for _ in range(rounds):
         votes = edges.join(labels.withColumnRenamed("cell", "neighbour"), "neighbour").groupBy("cell", "cluster").agg(F.count("*").alias("n"))
-        new = votes.groupBy("cell").agg(F.min_by("cluster", F.struct(-F.col("n"), F.col("cluster"))).alias("cluster")).checkpoint()
+        new = saved(votes.groupBy("cell").agg(F.min_by("cluster", F.struct(-F.col("n"), F.col("cluster"))).alias("cluster")))
         same = new.join(labels.withColumnRenamed("cluster", "old"), "cell").filter("cluster != old").isEmpty()
         labels = new
         if same:
@@ -142,6 +126,30 @@ def cluster_graph(neighbours: DataFrame, rounds: int = 10) -> DataFrame:
     return labels.select("cell.*", "cluster")
 
 
-def cluster_table(clusters: DataFrame) -> DataFrame:
+def cluster_cells(
+    m: DataFrame, normalization: str = "log1p", n_top: int = 2000, n_pc: int = 30, n_neighbours: int = 15, method: str = "leiden", resolution: float = 1.0, n_clusters: int = 10
+) -> DataFrame:
+    """Barcode, Cluster, UMAP_1 and UMAP_2 of each cell of a count matrix, cells of all samples in one space.
+
+    ``method`` is leiden or louvain (both communities by modularity) or kmeans. Residuals of ``pearson`` are taken as zero where
+    a gene lacks counts; those of the non-zeros, less what a zero would have, stand for them.
+    """
+    saved = Saved(m.sparkSession)
+    if normalization == "pearson":
+        x = pearson_parts(m)[0].select(*KEYS, (F.col("x") - F.col("zero")).alias("x"))
+    else:
+        x = {"log1p": normalize_log1p, "sqrt": normalize_sqrt}[normalization](m)
+    x = saved(x)
+    pcs = saved(pca_sparse(x, highly_variable_genes(x, n_top), n_pc)[0])
+    near = saved(knn_cells(pcs, n_neighbours))
+    clusters = cluster_kmeans(pcs, n_clusters) if method == "kmeans" else cluster_graph(near, resolution)
+    return cluster_table(clusters.select(*CELL, "cluster"), embed_cells(near))
+
+
+def cluster_table(clusters: DataFrame, coordinates: DataFrame | None = None) -> DataFrame:
+    """sampleID, Barcode, Cluster and two coordinates: those given, or the first two components."""
+    if coordinates is not None:
+        own = clusters.join(coordinates, CELL, "left").na.fill(0.0, ["UMAP_1", "UMAP_2"])
+        return own.select("sampleID", F.col("CB").alias("Barcode"), F.col("cluster").cast("string").alias("Cluster"), "UMAP_1", "UMAP_2")
     pcs = (F.col("pcs")[i].alias(f"PC{i + 1}") for i in (0, 1))
     return clusters.select("sampleID", F.col("CB").alias("Barcode"), F.col("cluster").alias("Cluster"), *pcs)

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from isoforge.sources.shared import Saved
 
 CELL = ["sampleID", "CB"]
+#: Lists at most: beyond, they become longer and have more blocks.
+MOST_LISTS = 4096
 #: Cells of a list, about, and of a block at most about; cells for each centre from which centres are fitted, and rounds.
 LIST_CELLS, BLOCK_CELLS, FIT_CELLS, FIT_ROUNDS = 1024, 2048, 16, 4
 #: Visitors that are compared with a block at once.
@@ -141,7 +143,8 @@ def _visits(batches, centres, radii, parts, probes: int | None) -> Iterator[pa.R
         for a in range(0, len(lists), 1024):
             x = _matrix(batch.column(2).slice(a, 1024))
             far = _far(x, centres.value)
-            near = far - radii.value[None] <= bound[a : a + 1024, None] + 1e-6 * (far + radii.value[None] + 1e-300)
+            size = np.abs(x).max(initial=0) + np.abs(centres.value).max(initial=0)
+            near = far - radii.value[None] <= bound[a : a + 1024, None] + 1e-6 * (size * max(1, x.shape[1]) + radii.value[None])
             near &= parts.value[None] > 0
             if probes is not None:
                 order = np.argpartition(far, min(probes, far.shape[1]) - 1, axis=1)[:, :probes]
@@ -179,8 +182,10 @@ def knn_cells(pcs: DataFrame, k: int = 15, probes: int | None = None, list_cells
     finite = F.forall("pcs", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     cells = saved(pcs.select(*CELL, "pcs").filter(F.col("pcs").isNotNull() & finite))
     n = cells.count()
-    lists = max(1, -(-n // list_cells))
-    sample = [r["pcs"] for r in cells.orderBy(F.xxhash64(*CELL), *CELL).limit(lists * FIT_CELLS).select("pcs").collect()]  # grows as the cells do, by 1 in 64
+    if not n:
+        return spark.createDataFrame([], "sampleID string, CB string, neighbour struct<sampleID:string,CB:string>, rank int, distance double")
+    lists = min(-(-n // list_cells), MOST_LISTS)
+    sample = [r["pcs"] for r in cells.orderBy(F.xxhash64(*CELL), *CELL).limit(lists * FIT_CELLS).select("pcs").collect()]  # of 16 times MOST_LISTS cells at most
     centres = spark.sparkContext.broadcast(fit_centres(np.array(sample, float).reshape(len(sample), -1), min(lists, len(sample))))
     own = saved(cells.mapInArrow(lambda b: _assigned(b, centres), _CELLS))
     stats = {r["list"]: (r["n"], r["d"]) for r in own.groupBy("list").agg(F.count("*").alias("n"), F.max("d").alias("d")).collect()}

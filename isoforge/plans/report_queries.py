@@ -8,12 +8,14 @@ from isoforge.functions import columns as C
 from isoforge.operators import cell_summary as S
 from isoforge.operators import clustering as K
 from isoforge.operators import cohort as H
+from isoforge.operators import embedding as G
 from isoforge.operators import enrich as E
 from isoforge.operators import matrix as M
 from isoforge.operators import report_tables as R
+from isoforge.operators import sparse as P
 from isoforge.operators.explode import explode_cells
 from isoforge.plans.adapters import classification, isoform_counts, junctions
-from isoforge.plans.queries import JUNCTION_CELLS, NOVEL, TYPE, add, cells_of, prop, rounded, summary_of, summary_sql, w, weighted_cells
+from isoforge.plans.queries import JUNCTION_CELLS, NOVEL, SQL, TYPE, add, cells_of, prop, rounded, summary_of, summary_sql, w, weighted_cells
 
 KEYS = "sampleID, CB"
 
@@ -570,11 +572,24 @@ def _(spark, d):
     return K.scale_clip(K.dense(x, x.select("associated_gene").distinct()))
 
 
+@add("m03_residual_moments", f""", {_GRID}, f AS (SELECT g.*, coalesce(n, 0) AS n FROM g LEFT JOIN {_M} USING (sampleID, CB, associated_gene)),
+z AS (SELECT *, sum(n) OVER (PARTITION BY sampleID, CB) * sum(n) OVER (PARTITION BY associated_gene) / sum(n) OVER () AS mu,
+  sqrt((SELECT count(DISTINCT (sampleID, CB)) FROM g)) AS most FROM f)
+SELECT associated_gene, round(avg(x), 6) AS mean, round(var_samp(x), 6) AS variance FROM (
+  SELECT associated_gene, greatest(least((n - mu) / sqrt(mu + mu * mu / 100), most), -most) AS x FROM z) GROUP BY associated_gene""")
+def _(spark, d):
+    return P.residual_moments(M.count_matrix(cells_of(spark, d)))
+
+
 @add("m06_m08_m10_clusters")
+def _(spark, d):
+    return K.cluster_cells(M.count_matrix(cells_of(spark, d)), method="kmeans")
+
+
+@add("m06_components")
 def _(spark, d):
     x = K.normalize_log1p(M.count_matrix(cells_of(spark, d)))
-    pcs = K.pca_cells(K.scale_clip(K.dense(x, K.highly_variable_genes(x))))
-    return K.cluster_table(K.cluster_kmeans(pcs))
+    return P.pca_sparse(x, K.highly_variable_genes(x))[1]
 
 
 def _embedded_cells(spark, d):
@@ -599,6 +614,29 @@ def _(spark, d):
     return K.cluster_graph(K.knn_cells(_embedded_cells(spark, d)))
 
 
+#: Scales by halving, 64 times, as a recursion: the interval of each cell's scale.
+_FUZZY = f"""WITH RECURSIVE near AS ({_NEAR.replace("round(distance, 6) AS distance", "distance")}), top AS (SELECT CB, list(distance ORDER BY rank) AS d, coalesce(min(CASE WHEN distance > 0 THEN distance END), 0) AS low FROM near GROUP BY CB),
+beyond AS (SELECT CB, d, list_transform(d, lambda x: greatest(x - low, 0)) AS e, log2(len(d)) AS target FROM top),
+halves AS (SELECT CB, e, target, CAST(0 AS DOUBLE) AS a, CAST(NULL AS DOUBLE) AS b, CAST(1 AS DOUBLE) AS s, 0 AS i FROM beyond
+  UNION ALL SELECT CB, e, target, CASE WHEN more THEN a ELSE s END, CASE WHEN more THEN s ELSE b END,
+    CASE WHEN more THEN (a + s) / 2 WHEN b IS NOT NULL THEN (s + b) / 2 ELSE s * 2 END, i + 1
+  FROM (SELECT *, list_sum(list_transform(e, lambda x: exp(-x / s))) > target AS more FROM halves WHERE i < 64)),
+scales AS (SELECT h.CB, low, greatest(s, 0.001 * list_avg(d)) AS s FROM halves h JOIN top USING (CB) WHERE i = 64),
+directed AS (SELECT CB, other, exp(-greatest(distance - low, 0) / s) AS w FROM near JOIN scales USING (CB)),
+pairs AS (SELECT least(CB, other) AS one, greatest(CB, other) AS other, list(w) AS w FROM (
+  SELECT concat('S', CAST(CAST(CB AS BIGINT) % 4 AS VARCHAR), ':', CB) AS CB, concat('S', CAST(CAST(other AS BIGINT) % 4 AS VARCHAR), ':', other) AS other, w FROM directed) GROUP BY 1, 2)
+SELECT one, other, round(CASE WHEN len(w) > 1 THEN w[1] + w[2] - w[1] * w[2] ELSE w[1] END, 4) AS w FROM pairs"""
+
+
+@add("m10_fuzzy_graph", places=4)
+def _(spark, d):
+    name = lambda c: F.concat_ws(":", f"{c}.sampleID", f"{c}.CB").alias(c)
+    return G.fuzzy_graph(K.knn_cells(_embedded_cells(spark, d))).select(name("one"), name("other"), "w")
+
+
+SQL["m10_fuzzy_graph"] = _FUZZY
+
+
 @add("m11_m12_cohort_loadings")
 def _(spark, d):
     medians = H.drop_constant_features(H.cohort_medians(all_metrics(spark, d)))

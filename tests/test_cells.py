@@ -202,32 +202,6 @@ def test_matrix_round_trip(spark, tmp_path):
     assert {tuple(r)[1:] for r in text.read_mex(spark, str(tmp_path / "m")).collect()} == {("b", "y", 2.0), ("a", "x", 1.0), ("b", "x", 3.0)}
 
 
-def test_neighbours_against_brute_force(spark, monkeypatch):
-    pcs = spark.createDataFrame([("S", f"c{i:02}", [float(i * i % 17), float(i)]) for i in range(30)], "sampleID string, CB string, pcs array<double>")
-    rows = {r["CB"]: r["pcs"] for r in pcs.collect()}
-
-    def distances(df):
-        return {(r["CB"], r["rank"]): r["distance"] for r in df.collect()}
-
-    got = distances(K.knn_cells(pcs, 3, block=7))
-    truth = {c: sorted(((p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2) ** 0.5 for o, q in rows.items() if o != c)[:3] for c, p in rows.items()}
-    assert all([round(got[c, i + 1], 9) for i in range(3)] == [round(x, 9) for x in t] for c, t in truth.items())
-    monkeypatch.setattr(K, "EXACT_CELLS", 10)
-    with pytest.raises(ValueError):
-        K.knn_cells(pcs, 3)
-    near = distances(K.knn_cells(pcs, 3, radius=60.0))
-    assert sum(abs(near.get((c, 1), -1) - t[0]) < 1e-9 for c, t in truth.items()) >= 27
-
-
-def test_graph_clusters_hold_together(spark):
-    pairs = [("a", "b"), ("b", "a"), ("c", "d"), ("d", "c"), ("e", "c"), ("d", "e")]
-    two = spark.createDataFrame([(s, x, (s, y)) for s in ("S", "T") for x, y in pairs], "sampleID string, CB string, neighbour struct<sampleID:string,CB:string>")
-    got = {(r["sampleID"], r["CB"]): r["cluster"] for r in K.cluster_graph(two).collect()}
-    assert set(got) == {(s, c) for s in "ST" for c in "abcde"}
-    assert all(got["S", x] != got["T", y] for x in "abcde" for y in "abcde")
-    assert got["S", "c"] == got["S", "d"] == got["S", "e"] and got["S", "a"][0] == "S"
-
-
 def test_junction_labels(spark):
     frame = lambda names: spark.createDataFrame([tuple("1" for _ in names)], ", ".join(f"{n} string" for n in names))
     for names, label in ((["junctionLabel"], "1"), (["chrom", "strand", "genomic_start", "genomic_end"], "1_1_1_1"), (["junction_id"], "1"), (["x"], None)):
