@@ -18,6 +18,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from isoforge.llm.bytescan import encoded
 
 
+#: Bytes of a row group of saved tables, which writers and readers hold in memory.
+ROW_GROUP = 16 << 20
 #: Groups that are broadcast, at most: each has one row in so many.
 HOT_GROUPS = 1000
 
@@ -47,7 +49,7 @@ def save(spark: SparkSession, df: DataFrame, tag: str, compression: str = "snapp
     Cuts the lineage with files that outlive any executor.
     """
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    df.write.option("compression", compression).option("parquet.block.size", ROW_GROUP).parquet(path)
     for names in _records:
         names.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -67,16 +67,18 @@ SIGNATURE_BITS = 512
 PAIRS_AT_ONCE = 50_000
 #: Pairs of a key that are compared at once.
 CELLS = 1 << 16
-#: Rows of a key, and sets of a component, that are compared in one unit.
-UNIT_ROWS, UNIT_SETS = 512, 256
+#: Rows of a key, and sets of a component and their tokens, that are compared in one unit.
+UNIT_ROWS, UNIT_SETS, UNIT_TOKENS = 512, 256, 1 << 19
 #: Columns of a token matrix at once.
 MATRIX_COLUMNS = 1 << 13
 #: Bytes of tokens that are handled together.
 FEW_BYTES = 4 << 20
 
-READ = pa.schema(
-    [("id", pa.int64()), ("row", pa.int64()), ("n_shingles", pa.int64()), ("name", pa.int64()), ("signature", pa.binary()), ("tokens", pa.binary()), ("block", pa.int32()), ("counts", pa.binary())]
-)
+#: The 64-bit words of a signature, a column each, so that aggregates keep them in place.
+SIGNS = [f"sign{i}" for i in range(SIGNATURE_BITS // 64)]
+_SETS = [("n_shingles", pa.int64()), ("name", pa.int64()), *((s, pa.int64()) for s in SIGNS), ("tokens", pa.binary())]
+_SKETCH = [("block", pa.int32()), ("counts", pa.binary())]
+READ = pa.schema([("id", pa.int64()), ("row", pa.int64()), *_SETS, *_SKETCH])
 
 
 def _read(batches, k: int) -> Iterator[pa.RecordBatch]:
@@ -94,18 +96,18 @@ def _read(batches, k: int) -> Iterator[pa.RecordBatch]:
             rows = []
             for _, own in bytescan.shingle_sets(bytescan.encoded(texts.slice(a, b - a)), k):
                 name = set_name(own)
-                rows.append((len(own), name, signature(own), own.tobytes() if len(own) and name not in seen else None))
+                rows.append((len(own), name, *np.frombuffer(signature(own), "<i8").tolist(), own.tobytes() if len(own) and name not in seen else None))
                 seen.add(name)
                 waiting.append((own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
                 size += len(own)
-            made = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(READ)[2:6], strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in (0, 1)), *made, *(pa.nulls(b - a, f.type) for f in list(READ)[6:])], schema=READ)
+            made = [pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), _SETS, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in (0, 1)), *made, *(pa.nulls(b - a, t) for _, t in _SKETCH)], schema=READ)
             if size >= 1 << 19:
                 count()
                 size = 0
     count()
     for block in _as_blocks({b: x for b, x in enumerate(counts.reshape(-1, 1 << SKETCH_BLOCK_BITS)) if x.any()}):
-        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(block), f.type) for f in list(READ)[:6]), *block.columns], schema=READ)
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(block), f.type) for f in list(READ)[: -len(_SKETCH)]), *block.columns], schema=READ)
 
 
 def _as_blocks(blocks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -249,8 +251,8 @@ def _pairs(batches, share, nearest: bool) -> Iterator[pa.RecordBatch]:
     """
     p, q = share
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
-    for (key, name, size, group, raw, early, home, visits), starts in _lists(batches):
-        signs, size = np.frombuffer(b"".join(raw.tolist()), np.uint64).reshape(len(key), -1), size.astype(np.int64)
+    for (key, name, size, group, early, home, visits, *words), starts in _lists(batches):
+        signs, size = np.stack(words, 1).view(np.uint64), size.astype(np.int64)
         early, home, visits = early.astype(bool), home.astype(bool), visits.astype(bool)
         counts = np.diff(np.concatenate((starts, [len(key)])))
         mixed = np.maximum.reduceat(group, starts) != np.minimum.reduceat(group, starts)
@@ -445,7 +447,7 @@ def _near_rows(rows: DataFrame, turn: int) -> DataFrame:
     """Rows in the one block of their key that ``turn`` deals them into."""
     blocks = F.ceil(F.col("n") / UNIT_ROWS)
     unit = _units(blocks, F.pmod(F.xxhash64("name", F.lit(turn)), blocks))
-    return rows.select(unit.alias("unit"), "name", "size", "group", "signature", "early", F.lit(True).alias("home"), F.lit(True).alias("visits"))
+    return rows.select(unit.alias("unit"), "name", "size", "group", "early", F.lit(True).alias("home"), F.lit(True).alias("visits"), *SIGNS)
 
 
 def _mixed_rows(rows: DataFrame) -> DataFrame:
@@ -463,13 +465,13 @@ def _mixed_rows(rows: DataFrame) -> DataFrame:
     visits = (F.col("group") != F.col("top.group")) & (F.col("early") | F.col("top.early"))
     rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("name"), blocks)).withColumn("visits", visits)
     rows = rows.withColumn("block", F.explode(F.when(F.col("visits"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("own"))))
-    return rows.select(_units(F.col("blocks"), F.col("block")).alias("unit"), "name", "size", "group", "signature", "early", (F.col("block") == F.col("own")).alias("home"), "visits")
+    return rows.select(_units(F.col("blocks"), F.col("block")).alias("unit"), "name", "size", "group", "early", (F.col("block") == F.col("own")).alias("home"), "visits", *SIGNS)
 
 
 def jaccard_links(spark: SparkSession, sets: DataFrame, items: DataFrame, classes, share: tuple[int, int] = (9, 10)) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b) between names of different sets that join all sets which any links join, and the sets of candidates.
 
-    ``sets`` has name, row and tokens; ``items`` name, signature and the row that holds the tokens. Two
+    ``sets`` has name, row and tokens; ``items`` name, the signature's words and the row that holds the tokens. Two
     sets are linked with Jaccard similarity of ``share`` or more. Links within a component that others
     already join may be left out.
     """
@@ -481,7 +483,7 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, items: DataFrame, classe
         own = shared
         if names is not None:
             own = own.join(names, "name", "left_semi").join(groups.withColumnRenamed("node", "name"), "name", "left")
-        own = own.withColumn("group", F.col("name") if groups is None else F.coalesce("component", "name")).join(items.select("name", "signature"), "name")
+        own = own.withColumn("group", F.col("name") if groups is None else F.coalesce("component", "name")).join(items.select("name", *SIGNS), "name")
         rows = _near_rows(own, turn) if nearest else _mixed_rows(own)
         dealt = rows.repartition("unit").sortWithinPartitions("unit", "name")
         found = dealt.mapInArrow(lambda b, n=nearest: _pairs(b, share, n), "a long, b long, differ long")
@@ -507,10 +509,11 @@ def link_counts(spark: SparkSession, sets: DataFrame, groups: DataFrame, items:
     All pairs of a component's sets are compared, in units of two blocks, and none is sent on: that is
     quadratic in the different texts of a group, as the number of its links is.
     """
-    several = groups.groupBy("component").agg(F.count("*").alias("m")).filter("m > 1")
+    sized = groups.join(sets.select(F.col("name").alias("node"), F.col("size").cast("long").alias("size")), "node")
+    several = sized.groupBy("component").agg(F.count("*").alias("m"), F.sum("size").alias("tokens")).filter("m > 1")
     own = groups.join(several, "component").join(items.select(F.col("name").alias("node"), "copies"), "node")
-    blocks = F.ceil(F.col("m") / UNIT_SETS)
-    own = own.withColumn("side", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    blocks = F.ceil(F.greatest(F.col("m") / UNIT_SETS, F.col("tokens") / UNIT_TOKENS))
+    own = own.withColumn("blocks", blocks).drop("tokens").withColumn("side", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     own = own.join(sets.select(F.col("name").alias("node"), "tokens"), "node")
     rows = own.select("component", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", F.col("node").alias("name"), "copies", "tokens")
     dealt = rows.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "name")
@@ -540,7 +543,7 @@ def _jaccard_components(spark: SparkSession, docs: DataFrame, doc_id: str, text:
     named = read.filter("block IS NULL")
     full = named.filter("n_shingles > 0")
     items = full.groupBy("name").agg(
-        F.min("id").alias("least"), F.count("*").alias("copies"), F.first("signature").alias("signature"), F.min(F.when(F.col("tokens").isNotNull(), F.col("row"))).alias("holder")
+        F.min("id").alias("least"), F.count("*").alias("copies"), *(F.first(s).alias(s) for s in SIGNS), F.min(F.when(F.col("tokens").isNotNull(), F.col("row"))).alias("holder")
     )
     items = save(spark, items, "items")
     links, sets = jaccard_links(spark, full.filter("tokens IS NOT NULL").select("name", "row", "tokens"), items, classes, share)
