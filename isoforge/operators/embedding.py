@@ -15,8 +15,8 @@ from isoforge.sources.shared import Saved
 CELL = ["sampleID", "CB"]
 #: Halvings of the interval that holds a cell's scale, and the least scale as a share of its mean distance.
 HALVINGS, LEAST_SCALE = 64, 1e-3
-#: Columns of the block that power iteration works on, rounds at most, and the residual that ends it.
-BLOCK, ROUNDS, RESIDUAL = 8, 60, 1e-3
+#: Columns of the block that power iteration works on, products between two looks at it, looks at most, and the residual that ends it.
+BLOCK, PRODUCTS, ROUNDS, RESIDUAL = 8, 8, 8, 1e-3
 
 
 def local_scales(distances: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,13 +88,14 @@ def _combined(df: DataFrame, names: list[str], matrix: np.ndarray, out: str) ->
     return [sum((F.col(n) * float(matrix[i, j]) for i, n in enumerate(names)), F.lit(0.0)).alias(f"{out}{j}") for j in range(matrix.shape[1])]
 
 
-def spectral(edges: DataFrame, k: int = 2, block: int = BLOCK, rounds: int = ROUNDS, residual: float = RESIDUAL) -> Spectrum:
-    """The ``k`` leading eigenvectors, but for the first, of D^-1/2 W D^-1/2 for ``edges`` (a, b, w), each given once.
+def spectral(edges: DataFrame, k: int = 2, block: int = BLOCK, products: int = PRODUCTS, rounds: int = ROUNDS, residual: float = RESIDUAL) -> Spectrum:
+    """The ``k`` leading eigenvectors, but for the first, of S = D^-1/2 W D^-1/2 for ``edges`` (a, b, w), each given once.
 
-    Block power iteration on the mean of that matrix and 1, so that all values are positive: a round multiplies
-    ``block`` columns at once in one join. Only products of columns, block x block numbers, reach the driver;
-    they part the first eigenvector and solve the small problem within the block (Rayleigh-Ritz). A residual is
-    the length of S u - value u for u of length 1. A sign makes the smallest node's entry that isn't 0 positive.
+    Block power iteration: a product multiplies ``block`` columns at once, in one join. Between two looks the products
+    follow Chebyshev's recurrence, which damps values from -1 up to the least one that the block has found, and so needs
+    far fewer than plain powers. A look solves the small problem within the block (Rayleigh-Ritz): only products
+    of columns, block x block numbers, reach the driver. The first eigenvector, the root of the degrees, is parted.
+    A residual is the length of S u - value u for u of length 1. A sign makes the entry of the smallest node positive.
     """
     saved = Saved(edges.sparkSession)
     both = edges.select(F.inline(F.array(F.struct("a", "b", "w"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "w"))))
@@ -103,39 +104,47 @@ def spectral(edges: DataFrame, k: int = 2, block: int = BLOCK, rounds: int = ROU
     width = min(block, max(n - 1, 1))
     own, other = degree.select(F.col("node").alias("a"), F.col("degree").alias("da")), degree.select(F.col("node").alias("b"), F.col("degree").alias("db"))
     s = saved(both.join(own, "a").join(other, "b").select("a", "b", (F.col("w") / F.sqrt(F.col("da") * F.col("db"))).alias("s")))
-    x = [f"x{i}" for i in range(width)]
+    x, p, y = ([f"{c}{i}" for i in range(width)] for c in "xpy")
     start = [((F.pmod(F.xxhash64("node", F.lit(i)), F.lit(1 << 20)) / (1 << 19)) - 1.0).alias(c) for i, c in enumerate(x)]
     state = saved(degree.select("node", "degree", F.sqrt(F.col("degree") / (total or 1.0)).alias("t"), *start))
-    values, errors, turn = np.zeros(width), np.ones(width), 0
+    parted = _gram(state, ["t"], x)[0]
+    state = state.select("node", "degree", "t", *((F.col(c) - F.col("t") * float(a)).alias(c) for c, a in zip(x, parted, strict=True)))
+    values, errors, turn, high = np.zeros(width), np.ones(width), 0, 0.5
+
+    def multiplied(df: DataFrame) -> DataFrame:
+        """With S x beside x."""
+        sums = s.join(df.select(F.col("node").alias("b"), *x), "b").groupBy(F.col("a").alias("node")).agg(*(F.sum(F.col("s") * F.col(c)).alias(d) for c, d in zip(x, y, strict=True)))
+        return df.join(sums, "node")
+
     for turn in range(1, rounds + 1):
-        # Part the trivial vector, then make the columns orthonormal by their products.
-        along, gram = _gram(state, ["t"], x)[0], _gram(state, x, x)
-        gram = gram - np.outer(along, along)
-        scale, turned = np.linalg.eigh(gram)
-        good = scale > 1e-12 * max(scale.max(initial=0.0), 1e-300)
-        basis = turned[:, good] / np.sqrt(scale[good])
-        centred = [(F.col(c) - F.col("t") * float(a)).alias(c) for c, a in zip(x, along, strict=True)]
-        names = [f"q{j}" for j in range(basis.shape[1])]
-        q = saved(state.select("node", "degree", "t", *centred).select("node", "degree", "t", *_combined(state, x, basis, "q")))
-        sums = [F.sum(F.col("s") * F.col(c)).alias(f"y{c}") for c in names]
-        y = s.join(q.select(F.col("node").alias("b"), *names), "b").groupBy(F.col("a").alias("node")).agg(*sums)
-        both_ = saved(q.join(y, "node"))
-        ys = [f"y{c}" for c in names]
-        inner, square = _gram(both_, names, ys), _gram(both_, ys, ys)
-        values, rotation = np.linalg.eigh((inner + inner.T) / 2)
+        # T(j+1) = 2 (S - middle) / half T(j) - T(j-1) on the interval that is damped.
+        middle, half = (high - 1) / 2, (high + 1) / 2
+        for j in range(products):
+            made = multiplied(state)
+            next_ = [((F.col(d) - middle * F.col(c)) / half * (2 if j else 1) - (F.col(q) if j else 0.0)).alias(c) for c, d, q in zip(x, y, p, strict=True)]
+            state = saved(made.select("node", "degree", "t", *next_, *(F.col(c).alias(q) for c, q in zip(x, p, strict=True))))
+        looked = saved(multiplied(state).select("node", "degree", "t", *x, *y))
+        gram, cross, square, along = _gram(looked, x, x), _gram(looked, x, y), _gram(looked, y, y), _gram(looked, ["t"], x)[0]
+        gram, cross, square = (g - np.outer(along, along) for g in (gram, cross, square))  # S keeps the parted vector
+        length = np.sqrt(np.maximum(np.diag(gram), 1e-300))
+        scale, turned = np.linalg.eigh(gram / np.outer(length, length))
+        good = scale > 1e-10 * max(scale.max(initial=0.0), 1e-300)
+        basis = turned[:, good] / np.sqrt(scale[good]) / length[:, None]
+        values, rotation = np.linalg.eigh(basis.T @ ((cross + cross.T) / 2) @ basis)
         order = np.argsort(-values)
-        values, rotation = values[order], rotation[:, order]
-        errors = np.sqrt(np.maximum(np.einsum("ij,ik,kj->j", rotation, square, rotation) - values**2, 0))
-        u, v = _combined(both_, names, rotation, "u"), _combined(both_, ys, rotation, "v")
-        ritz = both_.select("node", "degree", "t", *u, *v)
-        if (errors[:k] <= residual).all() or turn == rounds:
-            state = ritz
+        values, basis = values[order], basis @ rotation[:, order]
+        errors = np.sqrt(np.maximum(np.einsum("ij,ik,kj->j", basis, square, basis) - values**2, 0))
+        width = basis.shape[1]
+        centred = looked.select("node", "degree", "t", *((F.col(c) - F.col("t") * float(a)).alias(c) for c, a in zip(x, along, strict=True)))
+        state = centred.select("node", "degree", "t", *_combined(centred, x, basis, "x"))
+        x, p, y = x[:width], p[:width], y[:width]
+        high = float(min(max(values[-1], -0.5), values[min(k, width) - 1] - 1e-3))
+        if (errors[:k] <= residual).all():
             break
-        x = [f"x{i}" for i in range(len(names))]
-        state = saved(ritz.select("node", "degree", "t", *((F.col(f"u{i}") + F.col(f"v{i}")).alias(c) for i, c in enumerate(x))))
-    kept = min(k, len(values))
-    first = state.filter(F.col("node").isNotNull()).agg(*(F.min_by(F.signum(f"u{i}"), F.when(F.abs(f"u{i}") > 1e-9, F.col("node"))) for i in range(kept))).first()
-    columns = [(F.col(f"u{i}") * float(first[i] or 1.0)).alias(f"u{i + 1}") for i in range(kept)]
+    kept = min(k, width)
+    state = saved(state)
+    first = state.agg(*(F.min_by(F.signum(c), F.when(F.abs(c) > 1e-9, F.col("node"))) for c in x[:kept])).first()
+    columns = [(F.col(c) * float(f or 1.0)).alias(f"u{i}") for i, (c, f) in enumerate(zip(x[:kept], first, strict=True), 1)]
     return Spectrum(saved(state.select("node", "degree", *columns)), values[:kept], errors[:kept], turn)
 
 
