@@ -48,11 +48,17 @@ def save(spark: SparkSession, df: DataFrame, tag: str, compression: str = "snapp
 
     Cuts the lineage with files that outlive any executor.
     """
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = reserved(spark, tag)
     df.write.option("compression", compression).option("parquet.block.size", ROW_GROUP).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def reserved(spark: SparkSession, tag: str) -> str:
+    """A new folder's name in the shared folder, for files that tasks write themselves."""
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     for names in _records:
         names.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 #: Lists that get the names of folders as ``save`` writes them.

@@ -169,8 +169,9 @@ def test_toxicity_model_keeps_rare_bigrams(spark):
     n = 600_000
     pairs = spark.range(n).selectExpr("1 AS kind", "id % 1000 AS v", "id DIV 1000 AS w", "id % 2 AS t", "1 - id % 2 AS o", "1L AS n")
     words = spark.range(1000).selectExpr("0 AS kind", "0L AS v", "id AS w", "0L AS t", "0L AS o", "600L AS n")
-    folder, _ = build_model(spark, pairs.unionByName(words))["bigram"]
-    known, ratios = toxicity._table(folder)
+    made = build_model(spark, pairs.unionByName(words))["bigram"]
+    known, ratios = (np.concatenate(x) for x in zip(*(toxicity._mapped(made.folder, n) for n in made.names), strict=True))
+    known = known.view(np.uint64)
     assert len(known) == n and np.isfinite(ratios).all() and (ratios != 0).all()
 
 
