@@ -21,12 +21,12 @@ _BINS = tuple(C.LENGTH_BINS)
 
 
 def category_sums(
-    cells: DataFrame, mt_names=("MT",), ref_cov_min_pct: float = 45.0, min_cov: float = 1.0, ratio_tss: float = 2.0
+    cells: DataFrame, mt_names=("MT",), ref_cov_min_pct: float = 45.0, min_cov: float = 1.0, ratio_tss: float = 2.0, placed: bool = False
 ) -> DataFrame:
     """A record of each cell: ``total``, weighted sums of every measure, and ``by``, the same by category.
 
     A category's struct also has ``sub``, a map from subcategory to weight. Rows of an unknown
-    category count in the totals.
+    category count in the totals. ``placed``: a cell's rows lie in one partition, as in a table bucketed by cell.
     """
     measures = {
         "w": F.lit(True), "not_mono": C.not_mono(), "multi": C.multi_exon(),
@@ -38,7 +38,8 @@ def category_sums(
     for b in _BINS:
         measures |= {f"len_{b}": C.length_bin() == b, f"len_mono_{b}": (C.length_bin() == b) & mono}
     sums = [F.sum(F.when(t, F.col("_count")).otherwise(0.0)).alias(k) for k, t in measures.items()]
-    fine = cells.groupBy(*KEY, "structural_category", "subcategory").agg(*sums).repartition(*KEY)
+    fine = cells.groupBy(*KEY, "structural_category", "subcategory").agg(*sums)
+    fine = fine if placed else fine.repartition(*KEY)
     again = [F.sum(k).alias(k) for k in measures]
     known = F.when(F.col("subcategory").isNotNull(), F.struct("subcategory", "w"))
     by_category = fine.groupBy(*KEY, "structural_category").agg(*again, F.map_from_entries(F.collect_list(known)).alias("sub"))
@@ -107,7 +108,7 @@ def chains(cells: DataFrame) -> DataFrame:
     return own.groupBy(*KEY, "associated_gene", "jxn_string").agg(F.max(~C.starts_novel("associated_transcript")).alias("annotated"))
 
 
-def key_counts(cells: DataFrame) -> DataFrame:
+def key_counts(cells: DataFrame, placed: bool = False) -> DataFrame:
     """Distinct genes, junction chains and molecules of each cell, and genes by the size of their counts.
 
     A row stands for its gene and chain and for its molecule; both are aggregated together, by cell.
@@ -120,7 +121,8 @@ def key_counts(cells: DataFrame) -> DataFrame:
     )
     of_molecule = F.struct(F.lit("u").alias("kind"), F.col("UMI").alias("a"), F.lit(None).cast("string").alias("b"), F.lit(False).alias("multi"), F.lit(False).alias("known"), F.lit(0.0).alias("n"))
     each = cells.select(*KEY, F.inline(F.array(of_gene, of_molecule)))
-    each = each.groupBy(*KEY, "kind", "a", "b").agg(F.sum("n").alias("n"), F.max("known").alias("known"), F.max("multi").alias("multi")).repartition(*KEY)
+    each = each.groupBy(*KEY, "kind", "a", "b").agg(F.sum("n").alias("n"), F.max("known").alias("known"), F.max("multi").alias("multi"))
+    each = each if placed else each.repartition(*KEY)
     by_a, by_b = W.partitionBy(*KEY, "kind", "a"), W.partitionBy(*KEY, "kind", "b")
     each = each.withColumns({"gene_n": F.sum("n").over(by_a), "gene_chains": F.count("b").over(by_a), "gene_multi": F.max("multi").over(by_a), "a_at": F.row_number().over(by_a.orderBy("b"))})
     each = each.withColumns({"chain_known": F.max("known").over(by_b), "b_at": F.row_number().over(by_b.orderBy("a"))})
@@ -279,10 +281,10 @@ NAMES = {
 
 
 def cell_summary(
-    cells: DataFrame, junctions: DataFrame, mode: str = "reads", skip_orf: bool = False, cage: bool = True, polya: bool = True, ref_cov_min_pct: float = 45.0, **thresholds
+    cells: DataFrame, junctions: DataFrame, mode: str = "reads", skip_orf: bool = False, cage: bool = True, polya: bool = True, ref_cov_min_pct: float = 45.0, placed: bool = False, **thresholds
 ) -> DataFrame:
     """One wide row for each cell, named as the mode says; what a cell lacks is 0."""
-    sums = category_sums(cells, ref_cov_min_pct=ref_cov_min_pct, **thresholds)
+    sums = category_sums(cells, ref_cov_min_pct=ref_cov_min_pct, placed=placed, **thresholds)
     columns = total_columns() | category_columns() | mt_columns() | subcategory_columns() | length_bin_columns() | ref_coverage_columns(ref_cov_min_pct)
     columns |= quality_columns(skip_orf, cage, polya) | gene_columns() | gene_bin_columns()
     columns |= {n: f"coalesce({text}, 0)" for n, text in junction_columns().items()}
@@ -290,7 +292,7 @@ def cell_summary(
         columns |= {"total_UMI": "total_UMI"} | ujc_columns() | ujc_bin_columns()
     else:
         columns["Annotated_juction_strings_prop_in_cell"] = "0D"
-    parts = [sums, key_counts(cells), _junction_counts(junctions)]
+    parts = [sums, key_counts(cells, placed), _junction_counts(junctions)]
     joined = reduce(lambda a, b: a.join(b, KEY, "left"), parts)
     return _select(joined, {NAMES[mode].get(n, n): text for n, text in columns.items()})
 

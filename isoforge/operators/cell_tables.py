@@ -38,20 +38,21 @@ def junction_counts_by_chain(cells: DataFrame, junctions: DataFrame) -> DataFram
     return typed.groupBy("sampleID", "jxnHash").agg(*(F.count(F.when(F.col("type") == t, 1)).alias(t) for t in C.JUNCTION_TYPES))
 
 
-def ujc_counts_by_cell(cells: DataFrame, junctions: DataFrame) -> DataFrame:
+def ujc_counts_by_cell(cells: DataFrame, junctions: DataFrame, placed: bool = False, by_row: DataFrame | None = None) -> DataFrame:
     """Chains of each cell: multi-exon ones with the gene and category of most rows, mono-exon ones by gene and category.
 
-    One aggregate by chain, cell, gene and category serves both; the majorities are taken of its rows.
+    One aggregate by chain, cell, gene and category serves both; the majorities are taken of its rows. ``placed``: a
+    cell's rows lie in one partition; ``by_row`` may hold the same rows so that they join the junctions without a shuffle.
     """
     keys, values = ["sampleID", "jxnHash", "CB"], ["associated_gene", "structural_category"]
     own = cells.filter("jxnHash IS NOT NULL AND exons IS NOT NULL").groupBy(*keys, *values, C.multi_exon().alias("multi")).agg(F.count("*").alias("read_count"))
-    own = own.repartition(*keys)
+    own = own if placed else own.repartition(*keys)
     multi = own.filter("multi")
     most = {v: F.sum("read_count").over(W.partitionBy(*keys, v)) for v in values}
     multi = multi.withColumns({f"__{v}": n for v, n in most.items()})
     majority = [F.min_by(v, F.when(F.col(v).isNotNull(), F.struct(-F.col(f"__{v}"), F.col(v)))).alias(v) for v in values]
     multi = multi.groupBy(*keys).agg(F.sum("read_count").alias("read_count"), *majority)
-    counts = multi.join(junction_counts_by_chain(cells, junctions), ["sampleID", "jxnHash"], "left").na.fill(0, list(C.JUNCTION_TYPES))
+    counts = multi.join(junction_counts_by_chain(cells if by_row is None else by_row, junctions), ["sampleID", "jxnHash"], "left").na.fill(0, list(C.JUNCTION_TYPES))
     mono = own.filter("NOT multi AND associated_gene IS NOT NULL AND structural_category IS NOT NULL").drop("multi")
     both = counts.unionByName(mono.withColumns({t: F.lit(0).cast("long") for t in C.JUNCTION_TYPES}))
     top = F.max("read_count").over(W.partitionBy("sampleID", "associated_gene", "CB"))

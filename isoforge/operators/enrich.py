@@ -24,12 +24,17 @@ def annotate_cells_reads(cls: DataFrame, assoc: DataFrame) -> DataFrame:
 
 
 def annotate_cells_isoforms(cls: DataFrame, assoc: DataFrame | None = None, abundance: DataFrame | None = None) -> DataFrame:
-    """A row for each isoform and cell; counts of ``abundance`` win over a list of ``assoc`` (weight 1 each)."""
+    """A row for each isoform and valid cell, and one without a cell for an isoform that has none.
+
+    Samples with counts in ``abundance`` take these; others take the barcodes of a list of ``assoc``, trimmed (weight 1 each).
+    """
+    counts = None
     if abundance is not None:
-        counts = abundance.select(*ROW, "CB", F.col("count").cast("double").alias("_count"))
-    else:
-        counts = assoc.select(*ROW, F.explode(F.split("CB", ",")).alias("CB"), F.lit(1.0).alias("_count"))
-    return cls.drop("CB", "FL", "_count").join(counts, ROW, "left")
+        counts = abundance.select(*ROW, F.trim("CB").alias("CB"), F.col("count").cast("double").alias("_count"))
+    if assoc is not None:
+        lists = assoc.select(*ROW, F.explode(F.split("CB", ",")).alias("CB")).select(*ROW, F.trim("CB").alias("CB"), F.lit(1.0).alias("_count"))
+        counts = lists if counts is None else counts.unionByName(lists)
+    return cls.drop("CB", "FL", "_count").join(counts.filter(C.valid_cell()), ROW, "left")
 
 
 def annotate_junction_cells(junctions: DataFrame, assoc: DataFrame) -> DataFrame:

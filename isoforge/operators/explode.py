@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from isoforge.functions.columns import valid_cell
@@ -18,20 +18,25 @@ def _lists(cls: DataFrame) -> DataFrame:
     return cls.withColumn("__cells", cells).withColumn("__weights", weights)
 
 
-def explode_cells(cls: DataFrame, mode: str = "reads") -> DataFrame:
+def explode_cells(cls: DataFrame, mode: str = "reads", watch: Observation | None = None) -> DataFrame:
     """Rows with one valid ``CB`` each and ``_count``: 1 per read, or an isoform's ``FL`` in the cell.
 
     In isoforms mode ``CB`` and ``FL`` are parallel comma lists; a missing ``FL`` weighs 1 for each
-    cell; rows whose lists differ in length are left to ``unequal_lists``.
+    cell. Rows whose lists differ in length have no cells (``unequal_lists``). ``watch`` counts, in the same pass,
+    exploded ``rows``, those ``without_cell``, of an ``invalid_cell``, and rows of ``unequal`` lists.
     """
     if mode == "reads":
-        return cls.filter(valid_cell()).withColumn("_count", F.lit(1.0))
-    if "FL" not in cls.columns:
-        cls = cls.withColumn("FL", F.lit(None).cast("string"))
-    pairs = _lists(cls).filter(F.size("__cells") == F.size("__weights"))
-    each = pairs.withColumn("__pair", F.explode(F.arrays_zip("__cells", "__weights")))
-    each = each.withColumn("CB", F.trim("__pair.__cells")).withColumn("_count", F.coalesce(F.col("__pair.__weights").try_cast("double"), F.lit(1.0)))
-    return each.drop("__pair", "__cells", "__weights").filter(valid_cell())
+        each = cls.withColumns({"_count": F.lit(1.0), "__unequal": F.lit(False)})
+    else:
+        own = _lists(cls if "FL" in cls.columns else cls.withColumn("FL", F.lit(None).cast("string")))
+        unequal = F.coalesce(F.size("__cells") != F.size("__weights"), F.lit(False))
+        each = own.withColumn("__unequal", unequal).withColumn("__pair", F.explode_outer(F.when(~unequal, F.arrays_zip("__cells", "__weights"))))
+        each = each.withColumn("CB", F.trim("__pair.__cells")).withColumn("_count", F.coalesce(F.col("__pair.__weights").try_cast("double"), F.lit(1.0)))
+        each = each.drop("__pair", "__cells", "__weights")
+    if watch is not None:
+        tests = {"unequal": F.col("__unequal"), "without_cell": F.col("CB").isNull() & ~F.col("__unequal"), "invalid_cell": F.col("CB").isNotNull() & ~valid_cell()}
+        each = each.observe(watch, F.count("*").alias("rows"), *(F.count(F.when(t, 1)).alias(n) for n, t in tests.items()))
+    return each.filter(valid_cell()).drop("__unequal")
 
 
 def unequal_lists(cls: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -43,16 +45,49 @@ def mex_triplets(counts: DataFrame, features: DataFrame | None = None) -> DataFr
     return counts.join(rows, "isoform").join(cols, "CB").select("row", "col", "count")
 
 
+def one_file(spark: SparkSession, parts: str, path: str) -> None:
+    """Parts that Spark has written, in order, as one file: copied as a stream under another name, which the last step changes; then the parts go."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source, target = jvm.org.apache.hadoop.fs.Path(parts), jvm.org.apache.hadoop.fs.Path(path)
+    making = jvm.org.apache.hadoop.fs.Path(f"{path}.making")
+    where = source.getFileSystem(conf)
+    out = where.create(making, True)
+    for f in sorted((f.getPath() for f in where.listStatus(source)), key=lambda p: p.getName()):
+        if f.getName().startswith("part-"):
+            own = where.open(f)
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(own, out, conf, False)
+            own.close()
+    out.close()
+    where.delete(target, True)
+    where.rename(making, target)
+    where.delete(source, True)
+
+
 def write_mex(counts: DataFrame, folder: str, features: DataFrame | None = None) -> None:
-    """Three folders of text parts, sorted: matrix.mtx, features.tsv, barcodes.tsv."""
+    """matrix.mtx, features.tsv and barcodes.tsv, sorted, one file each.
+
+    All three are written as parts beside the folder first; only when no part has failed do they become its files.
+    """
+    spark = counts.sparkSession
     triplets = mex_triplets(counts, features)
     rows = (features if features is not None else counts).select("isoform").filter("isoform IS NOT NULL").distinct()
     cols = counts.select("CB").filter("CB IS NOT NULL").distinct()
     head = f"%%MatrixMarket matrix coordinate integer general\n{rows.count()} {cols.count()} {triplets.count()}"
-    spark = counts.sparkSession
     lines = triplets.select(F.struct("col", "row").alias("at"), F.concat_ws(" ", "row", "col", F.col("count").cast("long")).alias("value"))
     zero = F.lit(0).cast("long")
     first = spark.createDataFrame([(head,)], "value string").select(F.struct(zero.alias("col"), zero.alias("row")).alias("at"), "value")
-    first.unionByName(lines).orderBy("at").select("value").write.text(f"{folder}/matrix.mtx")
-    rows.orderBy("isoform").write.text(f"{folder}/features.tsv")
-    cols.orderBy("CB").write.text(f"{folder}/barcodes.tsv")
+    making = f"{folder.rstrip('/')}.making-{uuid.uuid4().hex}"
+    parts = {
+        "features.tsv": rows.orderBy("isoform"), "barcodes.tsv": cols.orderBy("CB"),
+        "matrix.mtx": first.unionByName(lines).orderBy("at").select("value"),
+    }
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(making)
+    try:
+        for name, df in parts.items():
+            df.write.text(f"{making}/{name}")
+        at.getFileSystem(conf).mkdirs(jvm.org.apache.hadoop.fs.Path(folder))
+        for name in parts:
+            one_file(spark, f"{making}/{name}", f"{folder}/{name}")
+    finally:
+        at.getFileSystem(conf).delete(at, True)

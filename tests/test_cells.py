@@ -1,6 +1,9 @@
 """Hand-computed cases of the per-cell operators."""
 
+import re
+
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from isoforge.functions import columns as C
@@ -11,8 +14,10 @@ from isoforge.operators import enrich as E
 from isoforge.operators import matrix as M
 from isoforge.operators import report_tables as R
 from isoforge.operators.explode import explode_cells, unequal_lists
-from isoforge.plans.run import run_qc
+from isoforge.plans.run import enriched, run_qc
+from isoforge.plans.tables import Buckets
 from isoforge.sources import sinks, text
+from tests.test_bam import record, write_bam
 
 JUNCTIONS = "sampleID string, isoform string, chrom string, strand string, genomic_start_coord long, genomic_end_coord long, diff_to_Ref_start_site double, diff_to_Ref_end_site double"
 BASE = {"sampleID": "S", "CB": "C1", "UMI": "U", "chrom": "chr1", "strand": "+", "structural_category": "genic"}
@@ -28,6 +33,11 @@ def test_isoform_lists_keep_weights(spark):
     got = {r["CB"]: r["w"] for r in explode_cells(cls, "isoforms").groupBy("CB").agg(F.sum("_count").alias("w")).collect()}
     assert got == {"CELL1": 3, "CELL2": 7, "A": 1, "B": 1}
     assert unequal_lists(cls).count() == 1
+    odd = classification(spark, [{"CB": "A,B", "FL": "1"}, {"CB": "c1,, c2,unassigned,NA"}, {"CB": None}, {"CB": "A", "FL": "x"}])
+    watch = Observation("lists")
+    got = [(r["CB"], r["_count"]) for r in explode_cells(odd, "isoforms", watch).collect()]
+    assert sorted(got) == [("A", 1), ("c1", 1), ("c2", 1)]
+    assert watch.get == {"rows": 8, "unequal": 1, "without_cell": 1, "invalid_cell": 3}
 
 
 def test_no_valid_barcode_gives_no_cells(spark):
@@ -196,10 +206,89 @@ def test_a_run_from_files(spark, tmp_path, mode):
     assert spark.read.option("header", True).csv(str(tmp_path / "out/junction_cv")).count() == (4 if mode == "reads" else 8)
 
 
+def run_counts(spark, folder):
+    return {(r["input"], r["what"]): int(r["n"]) for r in spark.read.option("header", True).csv(f"{folder}/run_counts").collect()}
+
+
+def test_a_run_leaves_out_invalid_cells_and_says_so(spark, tmp_path):
+    """Isoforms of lists and of matrices: blank, empty and unassigned barcodes are no cells; lines too short and entries out of range are counted."""
+    for sample in ("S1", "S2"):
+        _write_sample(tmp_path, sample, "gA", "isoforms")
+    (tmp_path / "accS1_cell_association.txt").write_text("pbid\tcell_barcodes\nPB.1\tc1,, c2,unassigned,NA\nPB.2\tc2\n")
+    with (tmp_path / "accS1/S1_classification.txt").open("a") as f:
+        f.write("PB.9\tchr1\n")
+    folder = tmp_path / "matrix"
+    folder.mkdir()
+    (folder / "matrix.mtx").write_text("%%MatrixMarket matrix coordinate integer general\n%\n2 2 4\n1 1 3\n1 2 4\n2 2 5\n7 1 9\n")
+    (folder / "features.tsv").write_text("PB.1\tx\nPB.2\ty\n")
+    (folder / "barcodes.tsv").write_text("c1\nunassigned\n")
+    (tmp_path / "design.csv").write_text(f"sampleID,file_acc,abundance\nS1,accS1,\nS2,accS2,{folder}\n")
+    summary = run_qc(spark, str(tmp_path / "design.csv"), str(tmp_path / "out"), "isoforms", str(tmp_path), str(tmp_path), buckets=3)
+    assert {(r["sampleID"], r["CB"]): r["Transcripts_in_cell"] for r in summary.collect()} == {("S1", "c1"): 1, ("S1", "c2"): 2, ("S2", "c1"): 3}
+    counts = run_counts(spark, tmp_path / "out")
+    assert counts["classification", "rows"] == 7 and counts["classification", "short"] == 1
+    assert counts["abundance", "rows"] == 4 and counts["abundance", "out_of_range"] == 1
+    assert counts["junctions", "rows"] == 2
+
+
+def test_a_run_with_bam_clusters_and_cohort(spark, tmp_path, monkeypatch):
+    """Reads of BAM and of text associations in one run; each text input is scanned once, whatever the number of samples."""
+    for sample, gene in (("S1", "gA"), ("S2", "novel_1")):
+        _write_sample(tmp_path, sample, gene, "reads")
+    write_bam(tmp_path / "accS1.bam", [record(n, [("CB", "Z", c), ("XM", "Z", "u")]) for n, c in (("PB.1", "C1"), ("PB.2", "C2"))], [500])
+    (tmp_path / "accS1/S1_corrected.gtf").write_text("".join(f'chr1\ts\texon\t{a}\t{b}\t.\t+\t.\tgene_id "g"; transcript_id "PB.1";\n' for a, b in ((10, 20), (31, 40))))
+    (tmp_path / "design.csv").write_text("sampleID,file_acc\nS1,accS1\nS2,accS2\n")
+    own = text.read_manifest(spark, str(tmp_path / "design.csv"), "reads", str(tmp_path), str(tmp_path))
+    plan = enriched(spark, own, "reads").rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("classification.txt") <= 1 or plan.count("Relation [value") <= 4
+    summary = run_qc(spark, str(tmp_path / "design.csv"), str(tmp_path / "out"), "reads", str(tmp_path), str(tmp_path), cohort=True, clustering={"n_pc": 2, "n_neighbours": 2})
+    got = {(r["sampleID"], r["CB"]): r["Reads_in_cell"] for r in summary.collect()}
+    assert got == {("S1", "C1"): 2, ("S1", "C2"): 1, ("S2", "C1"): 2, ("S2", "C2"): 1}
+    table = lambda name: spark.read.option("header", True).csv(str(tmp_path / "out" / name))
+    assert table("clustering").count() == 4 and {"cohort_stats", "cohort_scores", "cohort_features"} <= {p.name for p in (tmp_path / "out").iterdir()}
+    assert table("cohort_scores").count() == 2 and table("cohort_medians").count() > 300
+    back = text.read_classification(spark, str(tmp_path / "out/classification")).collect()
+    assert {r["jxn_string"] for r in back if r["sampleID"] == "S1" and r["isoform"] == "PB.1"} == {"chr1_+_21_30"}
+
+
+def test_bucketed_tables_are_joined_and_grouped_in_place(spark):
+    rows = [{"associated_gene": f"g{i % 3}", "jxn_string": "j", "jxnHash": f"h{i % 4}", "exons": 2, "CB": f"C{i % 5}"} for i in range(40)]
+    cells = explode_cells(classification(spark, rows))
+    made = [("S", f"i{i}", "chr1", "+", 100, 200, 0.0, 0.0) for i in range(40)]
+    junctions = spark.createDataFrame(made, JUNCTIONS).withColumns({"CB": F.lit("C1"), "junction_category": F.lit("known"), "canonical": F.lit("canonical"), "RTS_junction": F.lit("F")})
+    keep = Buckets(spark, 3)
+    by_cell, by_row, own = keep(cells, "cells", ["sampleID", "CB"]), keep(cells, "rows", ["sampleID", "isoform"]), keep(junctions, "junctions", ["sampleID", "isoform"])
+
+    def exchanges(df):
+        df.collect()
+        return re.findall(r"hashpartitioning\(([^)]*)\)", df._jdf.queryExecution().executedPlan().toString())
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = {tuple(r) for r in S.cell_summary(cells, junctions).collect()}
+        assert {tuple(r) for r in S.cell_summary(by_cell, own, placed=True).collect()} == plain
+        assert exchanges(S.category_sums(by_cell, placed=True)) == exchanges(S.key_counts(by_cell, placed=True)) == exchanges(T.gene_counts_by_cell(by_cell)) == []
+        for df in (T.ujc_counts_by_cell(by_cell, own, placed=True, by_row=by_row), T.junction_cv_by_cell(by_row, own)):
+            assert not any("isoform" in keys or keys.startswith("sampleID") and ", CB" in keys and "coord" not in keys and "jxnHash" not in keys for keys in exchanges(df))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        keep.drop()
+
+
 def test_matrix_round_trip(spark, tmp_path):
     counts = spark.createDataFrame([("b", "y", 2.0), ("a", "x", 1.0), ("b", "x", 3.0)], "isoform string, CB string, count double")
-    sinks.write_mex(counts, str(tmp_path / "m"))
+    sinks.write_mex(counts.repartition(3), str(tmp_path / "m"))
     assert {tuple(r)[1:] for r in text.read_mex(spark, str(tmp_path / "m")).collect()} == {("b", "y", 2.0), ("a", "x", 1.0), ("b", "x", 3.0)}
+    assert (tmp_path / "m/matrix.mtx").read_text().split("\n")[1:3] == ["2 2 3", "1 1 1"] and (tmp_path / "m/features.tsv").read_text() == "a\nb\n"
+    large = spark.range(3000).select(F.format_string("i%04d", F.col("id")).alias("isoform"), F.concat(F.lit("c"), F.col("id") % 7).alias("CB"), (F.col("id") + 1.0).alias("count"))
+    large.repartition(5).createOrReplaceTempView("large")
+    sinks.write_mex(spark.table("large"), str(tmp_path / "n"))
+    assert {tuple(r)[1:] for r in text.read_mex(spark, {"S": str(tmp_path / "n"), "T": str(tmp_path / "m")}).filter("sampleID = 'S'").collect()} == {tuple(r) for r in large.collect()}
+    broken = counts.withColumn("count", F.raise_error(F.lit("no")).cast("double"))
+    with pytest.raises(Exception, match="no"):
+        sinks.write_mex(broken, str(tmp_path / "broken"))
+    assert not [p for p in tmp_path.iterdir() if p.name.startswith("broken")]
 
 
 def test_junction_labels(spark):
