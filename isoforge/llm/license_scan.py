@@ -72,24 +72,32 @@ def _compiled():
     for piece, places in found.items():
         automaton.add_word(piece, (len(piece), places))
     automaton.make_automaton()
-    fuzzy = {n: regex.compile(rf"(?b)(?:{regex.escape(n)}){{e<={edits_allowed(n)}}}") for n in NOTICES}
+    fuzzy = {n: [regex.compile(rf"{how}(?:{regex.escape(n)}){{e<={edits_allowed(n)}}}") for how in ("", "(?b)")] for n in NOTICES}
     return phrases, automaton, fuzzy
 
 
-def _matches(pattern, text: str, a: int, b: int, least: int):
-    """Best matches, and those left of each that a best match (?b) skips; none is shorter than ``least``."""
-    for m in pattern.finditer(text, a, b):
-        if m.start() - a >= least:
-            yield from _matches(pattern, text, a, m.start(), least)
-        yield m
-        a = m.end()
+def _matches(first, best, text: str, a: int, b: int, notice: str):
+    """Matches from left to right that don't overlap: where one begins, the best one around it.
+
+    Searches see some notices' length at a time, so that a long window takes time in proportion to its length.
+    """
+    edits = edits_allowed(notice)
+    step = 2 * len(notice)
+    while b - a >= len(notice) - edits:
+        m = first.search(text, a, min(b, a + step + len(notice) + edits))
+        if m is None:
+            a += step  # what begins before ends within what was searched
+            continue
+        near = best.search(text, m.start(), min(b, m.end() + 2 * edits)) or m
+        yield near
+        a = near.end()
 
 
 def fuzzy_notices(lowered: str) -> list[tuple[int, int, int, str]]:
-    """Start, end, edits and label of each notice's best places in a lower-cased text.
+    """Start, end, edits and label of each notice's places in a lower-cased text.
 
-    White space counts as one space. Overlapping windows of seed hits are joined, and each
-    joined window is searched for all its non-overlapping matches. Spans are code points.
+    White space counts as one space. Overlapping windows of seed hits are joined, and each joined window is
+    searched for all its non-overlapping matches, each the best around where it begins. Spans are code points.
     """
     _, automaton, fuzzy = _compiled()
     windows: dict[str, list[list[int]]] = {}
@@ -107,7 +115,7 @@ def fuzzy_notices(lowered: str) -> list[tuple[int, int, int, str]]:
     out = []
     for notice, own in windows.items():
         for a, b in own:
-            for m in _matches(fuzzy[notice], flat, a, b, len(notice) - edits_allowed(notice)):
+            for m in _matches(*fuzzy[notice], flat, a, b, notice):
                 out.append((m.start(), m.end(), sum(m.fuzzy_counts), NOTICES[notice]))
     return sorted(out)
 

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -341,3 +342,14 @@ def test_no_hash_is_shared_by_alike_words():
     part = next(bytescan.slices([b" ".join(words)]))
     starts = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
     assert len(set(bytescan.hashed_runs(part.data, starts, starts + [len(w) for w in words]).tolist())) == len(words)
+
+
+def test_notices_of_long_texts_take_time_in_proportion():
+    unit = "gnu general public lxcexse gnu generl pubic license "
+    times = []
+    for n in (500, 4000):
+        began = time.time()
+        found = license_scan.fuzzy_notices(unit * n)
+        times.append(time.time() - began)
+        assert sum(x[3] == "gpl" for x in found) == 2 * n
+    assert times[1] < 24 * times[0] + 1
