@@ -187,6 +187,22 @@ def feature_panel(long: DataFrame, suffix: str) -> DataFrame:
     return own.join(F.broadcast(there), "metric", "left_semi")
 
 
+#: Ends of the names of the metrics that share a panel: fixed values.
+PANELS = (
+    "_prop_in_cell", "_ref_coverage_prop", "_RTS_prop", "_intrapriming_prop", "_TSSAnnotationSupport", "_CAGE_peak_support_prop", "_PolyA_motif_support_prop",
+    "_srjunctions_support_prop", "_TSS_ratio_validated_prop", "_noncanon_prop", "_canon_prop", "_coding_prop", "_non_coding_prop", "_NMD_prop",
+    "_length_prop", "_length_mono_prop", "_junctions_prop", "_perc", "_prop",
+)
+
+
+def feature_panels(long: DataFrame, suffixes: tuple[str, ...] = PANELS) -> DataFrame:
+    """``panel``, the longest suffix that ends a metric's name, beside the rows of all metrics that have one and are not 0 in every cell."""
+    order = sorted(suffixes, key=lambda s: (-len(s), s))
+    panel = F.coalesce(*(F.when(F.col("metric").endswith(s), F.lit(s)) for s in order))
+    there = long.groupBy("metric").agg(F.max(F.abs("value")).alias("m")).filter("m > 0").select("metric", panel.alias("panel")).filter("panel IS NOT NULL")
+    return long.join(F.broadcast(there), "metric")  # a row for each metric of the summary
+
+
 def cluster_profile(long: DataFrame, clusters: DataFrame) -> DataFrame:
     """Distribution of each metric in each cluster of cells."""
     return distribution_stats(long.join(clusters.select(*KEY, "cluster"), KEY), ["cluster", "metric"])

@@ -12,10 +12,12 @@ from isoforge.operators import embedding as G
 from isoforge.operators import enrich as E
 from isoforge.operators import matrix as M
 from isoforge.operators import report_tables as R
+from isoforge.operators import sketches as Q
 from isoforge.operators import sparse as P
 from isoforge.operators.explode import explode_cells
 from isoforge.plans.adapters import classification, isoform_counts, junctions
 from isoforge.plans.queries import JUNCTION_CELLS, NOVEL, SQL, TYPE, add, cells_of, prop, rounded, summary_of, summary_sql, w, weighted_cells
+from isoforge.sources.shared import Saved
 
 KEYS = "sampleID, CB"
 
@@ -76,12 +78,16 @@ _ASSOC = """SELECT sampleID, isoform, CB, UMI FROM cls WHERE exons > 2
 
 
 def _names_and_association(spark, d):
+    """Rows of new names, and an association of up to two entries of each row, by one scan each."""
     cls = classification(spark, d)
     name = F.when(F.col("exons") == 2, F.concat("isoform", F.lit("_dup1"))).otherwise(F.col("isoform"))
-    own = ["sampleID", "isoform", "CB", "UMI"]
-    primary = cls.filter("exons = 2 AND ratio_TSS > 1").withColumn("CB", F.concat(F.lit("primary"), "CB"))
-    copies = cls.filter("exons = 2 AND min_cov > 1").withColumn("isoform", F.concat("isoform", F.lit("_dup1")))
-    assoc = cls.filter("exons > 2").select(own).unionByName(primary.select(own)).unionByName(copies.select(own))
+    entry = lambda isoform, cb: F.struct(isoform.alias("isoform"), cb.alias("CB"))
+    own, two = entry(F.col("isoform"), F.col("CB")), F.col("exons") == 2
+    each = F.array(
+        F.when(F.col("exons") > 2, own), F.when(two & (F.col("ratio_TSS") > 1), entry(F.col("isoform"), F.concat(F.lit("primary"), "CB"))),
+        F.when(two & (F.col("min_cov") > 1), entry(F.concat("isoform", F.lit("_dup1")), F.col("CB"))),
+    )
+    assoc = cls.select("sampleID", "UMI", F.explode(F.array_compact(each)).alias("e")).select("sampleID", "e.isoform", "e.CB", "UMI")
     return cls.withColumn("isoform", name), assoc
 
 
@@ -420,6 +426,13 @@ def _(spark, d):
     return R.feature_panel(all_metrics(spark, d), "prop").select("sampleID", "CB", "metric", "value")
 
 
+@add("a78_feature_panels", f"""{_SUMMARY}, p AS (SELECT metric, arg_max(suffix, len(suffix)) AS panel FROM (SELECT DISTINCT metric FROM long)
+  JOIN (VALUES {", ".join(f"('{x}')" for x in R.PANELS)}) AS s(suffix) ON ends_with(metric, suffix) GROUP BY metric)
+SELECT panel, sampleID, CB, metric, value FROM long JOIN p USING (metric) WHERE metric IN (SELECT metric FROM long GROUP BY metric HAVING max(abs(value)) > 0)""")
+def _(spark, d):
+    return R.feature_panels(Saved(spark)(all_metrics(spark, d))).select("panel", "sampleID", "CB", "metric", "value")
+
+
 _QUART = """round(quantile_cont(value, 0.25), 9) AS q1, round(quantile_cont(value, 0.5), 9) AS median, round(quantile_cont(value, 0.75), 9) AS q3,
 round(avg(value), 9) AS mean, count(*) AS n"""
 
@@ -432,7 +445,7 @@ def _(spark, d):
 @add("a80_cluster_profile", f"""{_SUMMARY}, k AS (SELECT sampleID, CB, row_number() OVER (PARTITION BY sampleID ORDER BY Reads_in_cell DESC, CB) % 5 AS cluster FROM s)
 SELECT CAST(cluster AS INT) AS cluster, metric, {_QUART} FROM long JOIN k USING (sampleID, CB) GROUP BY ALL""", places=9)
 def _(spark, d):
-    summary = rounded(summary_of(spark, d)).persist()  # used twice
+    summary = Saved(spark)(rounded(summary_of(spark, d)))  # used twice
     from pyspark.sql import Window as W
 
     by_size = F.row_number().over(W.partitionBy("sampleID").orderBy(F.desc("Reads_in_cell"), "CB"))
@@ -477,22 +490,35 @@ scaled AS (SELECT sampleID, CB, metric,
 
 @add("p24_scale_to_percent", f"{_SCALED} SELECT sampleID, CB, metric, round(value, 6) AS value FROM scaled")
 def _(spark, d):
-    return H.scale_to_percent(all_metrics(spark, d)).select("sampleID", "CB", "metric", "value")
+    return H.scale_to_percent(Saved(spark)(all_metrics(spark, d))).select("sampleID", "CB", "metric", "value")
+
+
+@add("a94_feature_distribution", f"""{_SCALED} SELECT sampleID, metric, round(avg(value), 11) AS mean, round(quantile_cont(value, 0.5), 11) AS median,
+count(DISTINCT value) AS different FROM scaled GROUP BY ALL""", places=11)
+def _(spark, d):
+    long = Saved(spark)(all_metrics(spark, d))
+    return H.feature_distribution(long, long.select("metric").distinct())
+
+
+@add("a94_top_features")
+def _(spark, d):
+    """Of the metrics with the largest loadings alone."""
+    long = Saved(spark)(all_metrics(spark, d))
+    return H.feature_distribution(long, H.top_loadings(H.cohort_pca(H.drop_constant_features(H.cohort_medians(long)))[1]))
 
 
-@add("a94_feature_distribution", f"""{_SCALED} SELECT sampleID, metric, round(avg(value), 6) AS mean, round(quantile_cont(value, 0.5), 6) AS median,
-count(DISTINCT value) AS different FROM scaled WHERE metric IN ('MT_perc', 'Genes_in_cell', 'ISM_prop', 'UJCs_in_cell') GROUP BY ALL""")
+@add("a92_sketched_medians", f"{_SUMMARY} SELECT sampleID, metric, round(quantile_disc(value, 0.5), 6) AS median FROM long GROUP BY ALL")
 def _(spark, d):
-    top = spark.createDataFrame([(m,) for m in ("MT_perc", "Genes_in_cell", "ISM_prop", "UJCs_in_cell")], "metric string")
-    return H.feature_distribution(all_metrics(spark, d), top)
+    return Q.sketched_medians(Q.metric_sketches(all_metrics(spark, d)))
 
 
-@add("t05_cohort_union", f"""{_SUMMARY}, u AS (SELECT sampleID, CB, Reads_in_cell, UJCs_in_cell FROM s WHERE sampleID = 'S1'
-  UNION ALL SELECT sampleID, CB, Reads_in_cell, 0 FROM s WHERE sampleID = 'S2') SELECT sampleID, CB, Reads_in_cell, UJCs_in_cell FROM u""")
+@add("t05_cohort_union", f"""{_SUMMARY} SELECT sampleID, CB, metric, round(CASE WHEN sampleID = 'S2' AND metric IN ('UJCs_in_cell', 'MT_perc', 'FSM_prop') THEN 0 ELSE value END, 6) AS value FROM long""")
 def _(spark, d):
-    names = ["sampleID", "CB", "Reads_in_cell"]
-    own = summary_of(spark, d).select(*names, "UJCs_in_cell")
-    return H.cohort_union([own.filter("sampleID = 'S1'"), own.filter("sampleID = 'S2'").select(names)])
+    """All samples and columns; one sample lacks three of them."""
+    own = Saved(spark)(rounded(summary_of(spark, d)))
+    samples = [r[0] for r in own.select("sampleID").distinct().orderBy("sampleID").collect()]
+    each = [own.filter(F.col("sampleID") == s) for s in samples]
+    return S.long_form(H.cohort_union([x.drop("UJCs_in_cell", "MT_perc", "FSM_prop") if s == "S2" else x for s, x in zip(samples, each, strict=True)]))
 
 
 #: Stand-ins for loadings: each metric's mean over cells and share of the sum, in two components.
