@@ -30,7 +30,7 @@ RANKS_FILE = "byte_bpe_multi_50k.tiktoken"
 #: Bytes of whole texts that are handled together.
 PART = 4 << 20
 #: Matches that a worker remembers; beyond that it starts again.
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 #: Stands between spelt matches; no byte is spelt so.
 _APART = "\uffff"
 

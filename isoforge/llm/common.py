@@ -75,16 +75,26 @@ def recorded(names: list[str]) -> Iterator[None]:
         _records.pop()
 
 
+#: Bytes that are handed to Python at a time, and the setting that says so.
+BATCH_BYTES, _BATCH = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 @contextmanager
-def small_batches(spark: SparkSession, limit: int = 4 << 20) -> Iterator[None]:
-    """What runs inside hands Python about ``limit`` bytes at a time, so that a worker's memory follows that and not the rows' sizes."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(limit))
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside hands Python about BATCH_BYTES at a time, so that a worker's memory follows that and not the rows' sizes."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(_BATCH, before)
+
+
+def keep_batches_small(spark: SparkSession) -> None:
+    """The same from now on: for results that are computed later, when they are written. A smaller limit of the session stays."""
+    now = int(spark.conf.get(_BATCH).rstrip("bB") or -1) if re.fullmatch(r"-?\d+[bB]?", spark.conf.get(_BATCH)) else -1
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
 
 
 def discard(spark: SparkSession, *paths: str) -> None:
