@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoforge.llm.byte_bpe import PACKING_FILE
-from isoforge.llm.common import discard, fresh, held_out, recorded, save, shared_dir, table
+from isoforge.llm.common import discard, fresh, held_out, keep_batches_small, recorded, save, shared_dir, table
 from isoforge.llm.ngram_join import jaccard_components
 from isoforge.llm.packing import pack
 from isoforge.llm.quality import THRESHOLD, quality_score, statistics_of
@@ -23,10 +23,14 @@ from isoforge.llm.toxicity import toxicity_column
 
 
 def _stage(function):
-    """Deletes what the stages before have saved: their results are written and read again by then."""
+    """Deletes what the stages before have saved: their results are written and read again by then.
+
+    From the first stage on the session hands Python a few megabytes of rows at a time.
+    """
 
     @functools.wraps(function)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        keep_batches_small(spark)
         discard(spark, *_saved)
         _saved.clear()
         with recorded(_saved):
