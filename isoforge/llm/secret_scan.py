@@ -13,7 +13,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoforge.llm.common import fresh, per_text, save, table, text_udf
+from isoforge.llm.common import beside_groups, fresh, per_text, save, table, text_udf
 
 #: Fixed patterns and least lengths. assign: of group 2; letters in either case.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -37,8 +37,6 @@ KINDS = (*BASE, *MORE)
 #: A value that this many owners hold, or this many repositories, is an example.
 EXAMPLE_OWNERS = 3
 EXAMPLE_REPOSITORIES = 10
-#: Parts over which each value's rows are dealt.
-SALTS = 8
 
 SCHEMA = (
     "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
@@ -104,20 +102,18 @@ def marked_secrets(spark: SparkSession, docs: DataFrame, text: str = "text", rep
     """``docs``, all columns, with two more, whose names come along: the scan's struct, and ``marked``.
 
     Each element of ``marked`` has ``example``: true if the value is widely copied, false if
-    it is owner-specific and looks live. Only row numbers and hashes are shuffled to be marked, and
-    values that many rows hold are dealt over SALTS parts. Rows are written to the shared folder
-    first, so that their numbers stay the same.
+    it is owner-specific and looks live. Only row numbers and hashes are shuffled to be marked; values with
+    a thousandth of all places or more are broadcast, so that their places stay where they are. Rows are
+    written to the shared folder first, so that their numbers stay the same.
     """
     scan, row, marked = fresh(docs, "__scan"), fresh(docs, "__row"), fresh(docs, "__marked")
     scanned = docs.withColumn(scan, text_udf(SCHEMA, _columns)(F.col(text))).withColumn(row, F.monotonically_increasing_id())
     scanned = save(spark, scanned, "secrets")
     some = scanned.filter(F.size(F.col(scan)["found"]) > 0)
     found = some.select(F.col(row).alias("row"), F.col(repository).alias("repository"), F.col(owner).alias("owner"), F.col(scan)["found"].alias("found"))
-    live = ownership(found, "repository", "owner").filter(~F.col("example")).select("value_hash", F.lit(False).alias("example"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    each = found.select("row", F.explode("found").alias("f")).select("row", "f.*").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
-    each = each.join(live.withColumn("salt", salts), ["value_hash", "salt"], "left")
-    mark = F.struct("start", "kind", "end", "value_hash", F.coalesce("example", F.lit(True)).alias("example"))
+    owned = save(spark, ownership(found, "repository", "owner").select("value_hash", "example", "places"), "ownership")
+    each = beside_groups(found.select("row", F.explode("found").alias("f")).select("row", "f.*"), owned, "value_hash", "places")
+    mark = F.struct("start", "kind", "end", "value_hash", "example")
     marks = each.groupBy("row").agg(F.array_sort(F.collect_list(mark)).alias(marked)).withColumnRenamed("row", row)
     none = scanned.filter(F.size(F.col(scan)["found"]) == 0).withColumn(marked, F.array().cast(marks.schema[marked].dataType))
     return some.join(marks, row).unionByName(none).drop(row), scan, marked
