@@ -302,7 +302,7 @@ def _distinct(waiting) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names=["a", "b", "differ"])
 
 
-def _in_filter(bits: bytes, at: np.ndarray) -> np.ndarray:
+def in_filter(bits: bytes, at: np.ndarray) -> np.ndarray:
     at = at & (8 * len(bits) - 1)
     return np.frombuffer(bits, np.uint8)[at >> 3] >> (at & 7) & 1 == 1
 
@@ -315,7 +315,7 @@ def _id_mark(name: np.ndarray, ids: np.ndarray) -> np.ndarray:
 def _wanted_sets(batches, wanted) -> Iterator[pa.RecordBatch]:
     """Name, row, size, wide signature and tokens of the sets that the filter lets through."""
     for batch in _few(batches, 2):
-        there = _in_filter(wanted.value, _id_mark(batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        there = in_filter(wanted.value, _id_mark(batch.column(0).to_numpy(), batch.column(1).to_numpy()))
         own = batch.filter(pa.array(there))
         sets = list(_token_sets(own.column(2)))
         sizes, signs = [len(x) for x in sets], [wide_signature(x) for x in sets]
@@ -393,7 +393,7 @@ def _beside(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     return one.join(sets.select(F.col("name").alias("b"), F.col(column).alias("y"), F.col("size").alias("n")), "b").select("a", "b", "x", "y", "m", "n")
 
 
-def _filter_of(spark: SparkSession, marks: DataFrame, count: int):
+def filter_of(spark: SparkSession, marks: DataFrame, count: int):
     """A bit for each of about ``count`` marks. Others may pass too; joins drop them."""
     width = min(max((MARK_BITS * count).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
     bit = F.col("mark").bitwiseAND(F.lit((1 << width) - 1)) + 1  # bucket 1 starts with 1
@@ -417,7 +417,7 @@ def _sets_of(spark: SparkSession, sets: DataFrame, items: DataFrame, names: Data
             yield pa.RecordBatch.from_arrays([pa.array(own)], names=["mark"])
 
     first = save(spark, items.join(names, "name", "left_semi").select("name", F.col("holder").alias("row")), "holders")
-    wanted = _filter_of(spark, first.mapInArrow(marks, "mark long"), first.count())
+    wanted = filter_of(spark, first.mapInArrow(marks, "mark long"), first.count())
     found = save(spark, sets.select("name", "row", "tokens").mapInArrow(lambda b: _wanted_sets(b, wanted), "name long, row long, size int, wide binary, tokens binary"), "sets")
     if not found.select("name", "row").join(first, ["name", "row"], "left_anti").isEmpty():
         found = save(spark, found.join(first, ["name", "row"], "left_semi"), "sets")
@@ -427,11 +427,11 @@ def _sets_of(spark: SparkSession, sets: DataFrame, items: DataFrame, names: Data
 def verify(spark: SparkSession, sets: DataFrame, pairs: DataFrame, share: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) whose sets are similar, by their whole sets; only sets that have a pair are shuffled."""
     near = save(spark, _beside(pairs, sets, "wide").mapInArrow(lambda b: _near(b, share), "a long, b long"), "near")
-    wanted = _filter_of(spark, near.select(F.explode(F.array("a", "b")).alias("mark")), 2 * near.count())
+    wanted = filter_of(spark, near.select(F.explode(F.array("a", "b")).alias("mark")), 2 * near.count())
 
     def there(batches):
         for batch in batches:
-            yield batch.filter(pa.array(_in_filter(wanted.value, batch.column(0).to_numpy())))
+            yield batch.filter(pa.array(in_filter(wanted.value, batch.column(0).to_numpy())))
 
     own = sets.select("name", "size", "tokens")
     both = _beside(near, own.mapInArrow(there, own.schema), "tokens")

@@ -21,7 +21,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoforge.llm.common import save, shared_dir, table
+from isoforge.llm.common import beside_groups, save, shared_dir, table
+from isoforge.llm.ngram_join import filter_of, in_filter
 
 #: Payloads of at least this many bytes are stored once.
 LEAST_SHARED = 1000
@@ -108,23 +109,36 @@ def parsed(raw: bytes) -> tuple:
     return page_of(fields["WARC-Record-ID"]), fields.get("WARC-Target-URI"), size, digest, fields["WARC-Type"], page_of(fields.get("WARC-Refers-To"))
 
 
-def plan_records(pages: DataFrame) -> DataFrame:
+def plan_records(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html) with ``digest`` and ``refers_to``.
 
     Of equal payloads of at least 1000 bytes the one with the largest page_id is the response.
     Rows that repeat that page_id and payload are responses too; a null page_id is never
     referred to, and its row is a response if no other holds the payload. Only digests are
-    aggregated, with partial sums; small payloads stay where they are, and others but for one join by digest.
-    Null html counts as empty; an empty table gives no rows.
+    aggregated, with partial sums. Payloads are shuffled only where they may have equals and are no
+    hot ones: small ones, and those whose digest a filter of the shared ones doesn't let through, stay where
+    they are, and of a payload with a thousandth of these rows the digest is broadcast. Null html
+    counts as empty; an empty table gives no rows.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     own = pages.select("page_id", "url", html.alias("html")).withColumn("digest", F.sha1(F.col("html").cast("binary"))).withColumn("size", F.octet_length("html"))
-    large = own.filter(F.col("size") >= LEAST_SHARED)
-    shared = large.groupBy("digest", "size").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).filter("n > 1").select("digest", "size", "last")
+    own = own.withColumn("large", F.col("size") >= LEAST_SHARED)
+    large = own.filter("large")
+    shared = large.groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).filter("n > 1")
+    shared = save(spark, shared, "shared")
+    wanted = filter_of(spark, shared.select(F.xxhash64("digest").alias("mark")), shared.count())
+
+    @F.arrow_udf("boolean")
+    def perhaps(marks: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in marks:
+            yield pa.array(in_filter(wanted.value, batch.to_numpy()))
+
+    perhaps = perhaps.asNondeterministic()  # so that it runs once
+    made = own.withColumn("again", F.col("large") & perhaps(F.xxhash64("digest")))
+    met = beside_groups(made.filter("again").select("page_id", "url", "html", "digest"), shared, "digest", "n")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last"))
-    joined = large.join(shared, ["digest", "size"], "left").select("page_id", "url", "html", "digest", refers.alias("refers_to"))
-    small = own.filter(F.col("size") < LEAST_SHARED).select("page_id", "url", "html", "digest", F.lit(None).cast("long").alias("refers_to"))
-    return joined.unionByName(small)
+    alone = made.filter("NOT again").select("page_id", "url", "html", "digest", F.lit(None).cast("long").alias("refers_to"))
+    return met.select("page_id", "url", "html", "digest", refers.alias("refers_to")).unionByName(alone)
 
 
 def write_archives(planned: DataFrame, folder: str) -> DataFrame:
@@ -185,7 +199,7 @@ def archive_pages(spark: SparkSession, pages: DataFrame, folder: str | None = No
     """
     folder = folder or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
-    return folder, save(spark, write_archives(plan_records(pages), folder), "manifest")
+    return folder, save(spark, write_archives(plan_records(spark, pages), folder), "manifest")
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -329,7 +329,7 @@ def test_links_are_counted_once_however_full_the_filter_is(spark, monkeypatch):
     base = [f"w{i}" for i in range(100)]
     texts = [" ".join(base)] * 20 + [" ".join([*base, "more"])] * 20
     docs = documents(spark, texts).repartition(8)
-    monkeypatch.setattr(ngram_join, "_filter_of", lambda spark, marks, count: spark.sparkContext.broadcast(b"\xff" * (1 << 17)))
+    monkeypatch.setattr(ngram_join, "filter_of", lambda spark, marks, count: spark.sparkContext.broadcast(b"\xff" * (1 << 17)))
     got = ngram_join.jaccard_components(spark, docs, counts=True).collect()
     assert [(r["component_id"], r["n_links"]) for r in got] == [(0, 39)] * 40
 
