@@ -8,6 +8,7 @@ once for each of the two, and the hundreds of columns are projections of one row
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -21,12 +22,12 @@ _BINS = tuple(C.LENGTH_BINS)
 
 
 def category_sums(
-    cells: DataFrame, mt_names=("MT",), ref_cov_min_pct: float = 45.0, min_cov: float = 1.0, ratio_tss: float = 2.0, placed: bool = False
+    cells: DataFrame, mt_names=("MT",), ref_cov_min_pct: float = 45.0, min_cov: float = 1.0, ratio_tss: float = 2.0, placed: bool = False, only: set[str] | None = None
 ) -> DataFrame:
     """A record of each cell: ``total``, weighted sums of every measure, and ``by``, the same by category.
 
     A category's struct also has ``sub``, a map from subcategory to weight. Rows of an unknown
-    category count in the totals. ``placed``: a cell's rows lie in one partition, as in a table bucketed by cell.
+    category count in the totals. ``only`` names the measures to take, as ``measures_of`` some columns. ``placed``: a cell's rows lie in one partition, as in a table bucketed by cell.
     """
     measures = {
         "w": F.lit(True), "not_mono": C.not_mono(), "multi": C.multi_exon(),
@@ -37,6 +38,7 @@ def category_sums(
     mono = F.coalesce(F.col("exons") == 1, F.lit(False))
     for b in _BINS:
         measures |= {f"len_{b}": C.length_bin() == b, f"len_mono_{b}": (C.length_bin() == b) & mono}
+    measures = {k: t for k, t in measures.items() if only is None or k == "w" or k in only}
     sums = [F.sum(F.when(t, F.col("_count")).otherwise(0.0)).alias(k) for k, t in measures.items()]
     fine = cells.groupBy(*KEY, "structural_category", "subcategory").agg(*sums)
     fine = fine if placed else fine.repartition(*KEY)
@@ -60,6 +62,11 @@ def _all(measure: str) -> str:
     return f"total.{measure}"
 
 
+def measures_of(columns: dict[str, str]) -> set[str]:
+    """The measures that some columns' texts take."""
+    return {m for text in columns.values() for m in re.findall(r"(?:total|\])\.(\w+)", text)}
+
+
 def safe_prop(n: str, d: str) -> str:
     """Percent, 0 without a positive denominator."""
     return f"CASE WHEN {d} > 0 THEN 100D * {n} / {d} ELSE 0D END"

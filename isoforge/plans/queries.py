@@ -46,8 +46,9 @@ def weighted_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells_of(spark, sf_dir).withColumn("_count", C.isoform_weight("FL"))
 
 
-def sums_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.category_sums(cells_of(spark, sf_dir))
+def sums_of(spark: SparkSession, sf_dir: str, columns: dict[str, str]) -> DataFrame:
+    """The sums that some columns of the summary need."""
+    return S.category_sums(cells_of(spark, sf_dir), only=S.measures_of(columns))
 
 
 def keys_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +105,7 @@ CATEGORY_SQL = _counts | {f"{k}_prop": prop(v, ALL) for k, v in _counts.items()}
 
 @add("a02_category_counts", per_cell(CATEGORY_SQL))
 def _(spark, d):
-    return S.category_counts(sums_of(spark, d))
+    return S.category_counts(sums_of(spark, d, S.category_columns()))
 
 
 _annotated = f"count(DISTINCT CASE WHEN NOT {NOVEL} THEN associated_gene END)"
@@ -136,7 +137,7 @@ MT = {"MT_reads_count": w("chrom = 'MT'"), "MT_perc": prop(w("chrom = 'MT'"), AL
 
 @add("a05_mt_share", per_cell(MT))
 def _(spark, d):
-    return S.mt_share(sums_of(spark, d))
+    return S.mt_share(sums_of(spark, d, S.mt_columns()))
 
 
 _types = {t[0].upper() + t[1:] + "_junctions": f"count(CASE WHEN {TYPE} = '{t}' THEN 1 END)" for t in C.JUNCTION_TYPES}
@@ -156,7 +157,7 @@ SUBCATEGORY_SQL = {
 
 @add("a07_subcategory_props", per_cell(SUBCATEGORY_SQL))
 def _(spark, d):
-    return S.subcategory_props(sums_of(spark, d))
+    return S.subcategory_props(sums_of(spark, d, S.subcategory_columns()))
 
 
 def _bins_sql(bins) -> dict[str, str]:
@@ -208,7 +209,7 @@ def quality_sql(skip_orf: bool = False) -> dict[str, str]:
 
 @add("a10_quality_props", per_cell(quality_sql()))
 def _(spark, d):
-    return S.quality_props(sums_of(spark, d))
+    return S.quality_props(sums_of(spark, d, S.quality_columns()))
 
 
 _LENGTHS = {
@@ -231,7 +232,7 @@ def _length_sql() -> dict[str, str]:
 
 @add("a11_length_bin_props", per_cell(_length_sql()))
 def _(spark, d):
-    return S.length_bin_props(sums_of(spark, d))
+    return S.length_bin_props(sums_of(spark, d, S.length_bin_columns()))
 
 
 _covered = "CASE WHEN ref_length = 0 THEN length > 0 ELSE length / ref_length * 100 >= 45 END"
@@ -240,7 +241,7 @@ COVERAGE_SQL = {f"{C.TAGS[c]}_ref_coverage_prop": prop(w(f"{of(c)} AND {_covered
 
 @add("a12_ref_coverage_props", per_cell(COVERAGE_SQL))
 def _(spark, d):
-    return S.ref_coverage_props(sums_of(spark, d))
+    return S.ref_coverage_props(sums_of(spark, d, S.ref_coverage_columns()))
 
 
 def _named(columns: dict[str, str], mode: str) -> dict[str, str]:
@@ -283,7 +284,7 @@ _off = {k: "CAST(0 AS DOUBLE)" for k in quality_sql() if "CAGE_peak" in k or "Po
 
 @add("a10c_quality_without_options", per_cell(quality_sql() | _off))
 def _(spark, d):
-    return S.quality_props(sums_of(spark, d), cage=False, polya=False)
+    return S.quality_props(sums_of(spark, d, S.quality_columns(cage=False, polya=False)), cage=False, polya=False)
 
 
 _by_category = ", ".join(f"count(CASE WHEN {of(c)} THEN 1 END) AS \"{c}\"" for c in C.CATEGORIES)

@@ -17,7 +17,7 @@ from isoforge.operators.explode import explode_cells, unequal_lists
 from isoforge.plans.run import enriched, run_qc
 from isoforge.plans.tables import Buckets
 from isoforge.sources import sinks, text
-from tests.test_bam import record, write_bam
+from test_bam import record, write_bam
 
 JUNCTIONS = "sampleID string, isoform string, chrom string, strand string, genomic_start_coord long, genomic_end_coord long, diff_to_Ref_start_site double, diff_to_Ref_end_site double"
 BASE = {"sampleID": "S", "CB": "C1", "UMI": "U", "chrom": "chr1", "strand": "+", "structural_category": "genic"}
