@@ -74,7 +74,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     may have any name.
     """
     row = fresh(docs, "__row")
-    rows = save(spark, docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    rows = save(spark, docs.withColumn(row, F.monotonically_increasing_id()), "rows", "zstd")
     own = rows.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
     groups = save(spark, jaccard_components(spark, own.select("row", "text"), "row").join(own.select("row", "id"), "row"), "groups")
     first = F.min(F.struct(F.col("id").isNull(), "id", "row"))["row"]
