@@ -26,7 +26,8 @@ def annotate_cells_reads(cls: DataFrame, assoc: DataFrame) -> DataFrame:
 def annotate_cells_isoforms(cls: DataFrame, assoc: DataFrame | None = None, abundance: DataFrame | None = None) -> DataFrame:
     """A row for each isoform and valid cell, and one without a cell for an isoform that has none.
 
-    Samples with counts in ``abundance`` take these; others take the barcodes of a list of ``assoc``, trimmed (weight 1 each).
+    Samples have counts in ``abundance`` or lists of barcodes in ``assoc``, which are trimmed and weigh 1 each; a
+    sample that is in both gets the cells of both.
     """
     counts = None
     if abundance is not None:
