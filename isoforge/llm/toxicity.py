@@ -13,27 +13,22 @@ expressions and the length, fitted on labelled rows apart from the counted ones,
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
-from functools import lru_cache
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoforge.llm import bytescan
-from isoforge.llm.common import held_out, labelled_rows, reserved, runs, save, table, text_udf
+from isoforge.llm.common import held_out, labelled, runs, save, table, text_udf
+from isoforge.llm.lookup import Table, _mapped, label_table, looked_up, saved_table  # noqa: F401
 
-#: Labelled rows that are learnt from, at most: two thirds for counts, a third for the curve.
-FIT_ROWS = 18_000
+#: Of all labelled rows one in so many serves for the curve, the others for counts.
+CURVE_ROWS = 3
 THRESHOLD = 0.3
 #: A ratio from which on an expression is telling.
 TELLING = 4.0
-#: Rows of a file of the model's tables.
-TABLE_ROWS = 1 << 22
 #: Words that are counted together.
 _FLUSH = 1 << 19
 
@@ -72,13 +67,12 @@ def _counts(batches, fit):
         pairs.clear()
 
     for batch in batches:
-        ids = batch.column(0).to_pylist()
+        places = looked_up(batch.column(0), fit)
         for i, own in _word_lists(batch.column(1)):
             words.append(own)
             size += len(own)
-            label = fit.value.get(ids[i])
-            if label is not None and len(own) > 1:
-                pairs.append((own[:-1], own[1:], np.full(len(own) - 1, label, np.uint64)))
+            if places[i] in (0, 1) and len(own) > 1:
+                pairs.append((own[:-1], own[1:], np.full(len(own) - 1, places[i], np.uint64)))
             if size >= _FLUSH:
                 yield from flush()
                 size = 0
@@ -89,10 +83,11 @@ def _rows(*columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "v", "w", "t", "o", "n"])
 
 
-def count_corpus(spark: SparkSession, docs: DataFrame, fit: dict, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Counts over all documents, saved: words (kind 0; n) and labelled bigrams (kind 1; t, o)."""
-    sent = spark.sparkContext.broadcast(fit)
-    raw = docs.select(doc_id, text).mapInArrow(lambda b: _counts(b, sent), "kind byte, v long, w long, t long, o long, n long")
+def count_corpus(spark: SparkSession, docs: DataFrame, fit: Table | dict[int, int], text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Counts over all documents, saved: words (kind 0; n) and bigrams of those that ``fit`` gives a label of 0 or 1 (kind 1; t, o)."""
+    if isinstance(fit, dict):
+        fit = label_table(spark, spark.createDataFrame(list(fit.items()), "doc_id long, place int"))
+    raw = docs.select(F.col(doc_id).cast("long"), text).mapInArrow(lambda b: _counts(b, fit), "kind byte, v long, w long, t long, o long, n long")
     return save(spark, raw.groupBy("kind", "v", "w").agg(F.sum("t").alias("t"), F.sum("o").alias("o"), F.sum("n").alias("n")), "counts")
 
 
@@ -115,66 +110,10 @@ def _hashed(batches):
         yield pa.RecordBatch.from_arrays([pa.array(bigram_hash(v, w).view(np.int64)), batch.column(2)], names=["key", "ratio"])
 
 
-@dataclass(frozen=True)
-class Table:
-    """Sorted keys and their values in files of the shared folder, each with a range of keys; ``default`` is all other keys' value."""
-
-    folder: str
-    names: tuple[str, ...]
-    lasts: tuple[int, ...]
-    default: float
-
-    def look_up(self, keys: np.ndarray) -> np.ndarray:
-        keys = keys.view(np.int64)
-        out = np.full(len(keys), self.default)
-        part = np.searchsorted(np.array(self.lasts, np.int64), keys)
-        for i in np.unique(part[part < len(self.names)]).tolist():
-            rows = np.flatnonzero(part == i)
-            known, values = _mapped(self.folder, self.names[i])
-            at = np.minimum(np.searchsorted(known, keys[rows]), len(known) - 1)
-            there = known[at] == keys[rows]
-            out[rows[there]] = values[at[there]]
-        return out
-
-
-@lru_cache(256)
-def _mapped(folder: str, name: str) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and values of a file: mapped where the folder is a mounted one, so that a machine's workers share its pages; else read."""
-    store, base = fs.FileSystem.from_uri(folder)
-    path = f"{base}/{name}"
-    own = pa.ipc.open_file(pa.memory_map(path) if isinstance(store, fs.LocalFileSystem) else store.open_input_file(path)).read_all()
-    return own["key"].to_numpy(), own["ratio"].to_numpy()
-
-
-def _files(batches, folder: str) -> Iterator[pa.RecordBatch]:
-    """Writes a task's sorted rows as one file under a name of its own; only files that a finished task has named count."""
-    store, base = fs.FileSystem.from_uri(folder)
-    name, sink, last = f"{uuid.uuid4().hex}.arrow", None, 0
-    parts = [b for b in batches if b.num_rows]
-    if parts:
-        whole = pa.Table.from_batches(parts).combine_chunks()  # one chunk, so that its columns can be mapped as arrays
-        store.create_dir(base, recursive=True)
-        with store.open_output_stream(f"{base}/{name}") as sink, pa.ipc.new_file(sink, whole.schema) as out:
-            out.write_table(whole)
-        last = whole["key"][-1].as_py()
-        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([last])], names=["name", "last"])
-
-
-def _saved(spark: SparkSession, df: DataFrame, key: str, value: str, default: float) -> Table:
-    """A table of keys and values that workers look up; it never passes through the driver, which gets the files' names."""
-    folder = reserved(spark, "model")
-    own = save(spark, df.select(F.col(key).alias("key"), F.col(value).cast("float").alias("ratio")), "ratios")
-    parts = -(-own.count() // TABLE_ROWS)
-    dealt = own.repartitionByRange(max(parts, 1), "key").sortWithinPartitions("key")
-    files = sorted((r["last"], r["name"]) for r in dealt.mapInArrow(lambda b: _files(b, folder), "name string, last long").collect())
-    return Table(folder, tuple(n for _, n in files), tuple(k for k, _ in files), default)
-
-
 def build_model(spark: SparkSession, counts: DataFrame) -> dict[str, Table]:
     """Tables of log-likelihood ratios by hash, each with the default of all other hashes.
 
-    They hold all that the counted rows have, so that rare expressions are smoothed and never left
-    out; FIT_ROWS bounds the rows.
+    They hold all that the counted rows have, so that rare expressions are smoothed and never left out.
     """
     pairs = counts.filter("kind = 1 AND (t > 0 OR o > 0)")
     corpus = counts.filter("kind = 0").select("w", F.col("n").alias("all"))
@@ -209,9 +148,9 @@ def build_model(spark: SparkSession, counts: DataFrame) -> dict[str, Table]:
     both = both.withColumn("ratio", F.log(p["t"] / p["o"]) - F.col("word_ratio") - F.col("context_ratio"))
     both = both.select("v", "w", F.col("ratio").cast("float").alias("ratio")).mapInArrow(_hashed, "key long, ratio float")
     return {
-        "word": _saved(spark, word, "w", "ratio", float(np.log(freed["t"] / freed["o"]))),
-        "context": _saved(spark, contexts, "v", "ratio", 0.0),
-        "bigram": _saved(spark, both, "key", "ratio", 0.0),
+        "word": saved_table(spark, word, "w", "ratio", float(np.log(freed["t"] / freed["o"]))),
+        "context": saved_table(spark, contexts, "v", "ratio", 0.0),
+        "bigram": saved_table(spark, both, "key", "ratio", 0.0),
     }
 
 
@@ -238,13 +177,26 @@ def _features(texts: list[bytes], model: dict) -> np.ndarray:
     return out
 
 
-def _curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic weights with a small ridge, by Newton's method; the first is the constant."""
-    x = np.column_stack((np.ones(len(x)), x))
-    w = np.zeros(x.shape[1])
+def _slopes(batches, weights: np.ndarray):
+    """A task's sums for a step of Newton's method: the slope, then the curvature, as one list."""
+    slope, curvature = np.zeros(len(weights)), np.zeros((len(weights), len(weights)))
+    for batch in batches:
+        *f, y = (c.to_numpy() for c in batch.columns)
+        x = np.column_stack((np.ones(len(y)), *f))
+        p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+        slope += x.T @ (y - p)
+        curvature += (x * (p * (1 - p))[:, None]).T @ x
+    yield pa.RecordBatch.from_arrays([pa.array([[*slope.tolist(), *curvature.ravel().tolist()]], pa.list_(pa.float64()))], names=["s"])
+
+
+def _curve(rows: DataFrame) -> np.ndarray:
+    """Logistic weights of the columns before the last, which is the label, by Newton's method with a small ridge; the first is the constant."""
+    n = len(rows.columns)
+    w = np.zeros(n)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(w)), x.T @ (y - p) - 0.1 * w)
+        sums = rows.mapInArrow(lambda b, w=w: _slopes(b, w), "s array<double>")
+        s = np.array(sums.agg(*(F.sum(F.col("s")[i]) for i in range(n + n * n))).first(), float)
+        step = np.linalg.solve(s[n:].reshape(n, n) + 0.1 * np.eye(n), s[:n] - 0.1 * w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
@@ -256,28 +208,27 @@ def _score(f: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def toxicity_column(spark: SparkSession, docs: DataFrame, labels: DataFrame, held: Column, text: str = "text") -> Callable[[Column], Column]:
-    """From a text to a struct of ``score`` and ``predicted``, learnt from the labelled rows outside ``held``."""
-    rows = [tuple(r) for r in labelled_rows(labels, "toxic", held, FIT_ROWS).collect()]
-    share = sum(y for _, y in rows) / max(1, len(rows))
+    """From a text to a struct of ``score`` and ``predicted``, learnt from all labelled rows outside ``held``."""
+    apart = F.when(F.pmod(F.xxhash64("doc_id"), F.lit(CURVE_ROWS)) == 0, 2).otherwise(0)
+    rows = save(spark, labelled(labels, "toxic", held).select("doc_id", (F.col("toxic") + apart).cast("int").alias("place")), "labels")
+    share = rows.agg(F.avg(F.col("place") % 2)).first()[0] or 0.0
     if share in (0, 1):
         return lambda _: F.struct(F.lit(float(share)).alias("score"), F.lit(int(share >= THRESHOLD)).alias("predicted"))
-    counted = {k: y for i, (k, y) in enumerate(rows) if i % 3}
-    rest = {k: y for i, (k, y) in enumerate(rows) if not i % 3}
-    model = build_model(spark, count_corpus(spark, docs, counted, text))
-    seen = spark.sparkContext.broadcast(rest)
+    places = label_table(spark, rows)
+    model = build_model(spark, count_corpus(spark, docs, places, text))
 
     def features(batches):
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            at = [i for i, k in enumerate(ids) if k in seen.value]
-            if at:
-                f = _features(bytescan.encoded(batch.column(1).take(pa.array(at))), model)
-                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in at], pa.int64()), *map(pa.array, f.T)], names=["doc_id", *"abcd"])
+            place = looked_up(batch.column(0), places)
+            at = pa.array(np.flatnonzero(place >= 2))
+            if len(at):
+                f = _features(bytescan.encoded(batch.column(1).take(at)), model)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), *map(pa.array, f.T), pa.array(place[at] - 2.0)], names=["doc_id", *"abcdy"])
 
-    each = docs.select(F.col("doc_id").cast("long"), text).mapInArrow(features, "doc_id long, a double, b double, c double, d double")
-    own = each.groupBy("doc_id").agg(F.min(F.struct(*"abcd")).alias("f")).select("doc_id", "f.*").orderBy("doc_id").toArrow()
-    y = np.array([rest[k] for k in own["doc_id"].to_pylist()], float)
-    weights = _curve(np.column_stack([own[c].to_numpy() for c in "abcd"]), y) if 0 < y.sum() < len(y) else np.array([np.log(share / (1 - share)), 0, 0, 0, 0])
+    each = docs.select(F.col("doc_id").cast("long"), text).mapInArrow(features, "doc_id long, a double, b double, c double, d double, y double")
+    own = save(spark, each.groupBy("doc_id").agg(F.min(F.struct(*"abcdy")).alias("f")).select("f.*"), "curve")
+    n, toxic = own.agg(F.count("*"), F.sum("y")).first()
+    weights = _curve(own) if n and 0 < toxic < n else np.array([np.log(share / (1 - share)), 0, 0, 0, 0])
 
     def columns(texts):
         scores = _score(_features(texts, model), weights)
@@ -289,7 +240,7 @@ def toxicity_column(spark: SparkSession, docs: DataFrame, labels: DataFrame, hel
 def score_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, held: Column, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``score`` (0 to 1) and ``predicted`` (1 from a score of 0.3 on) beside ``keep``.
 
-    Learns from labelled rows outside ``held`` only. Null and empty texts have no expressions
+    Learns from all labelled rows outside ``held``. Null and empty texts have no expressions
     and get the curve's score of that. Without labels of both kinds every score is the share of
     toxic ones (0.0 if there are none). Equal texts get equal scores, however long they are; rows
     that repeat a labelled doc_id are all counted, and one of them serves for the curve. An empty table gives no rows. Columns

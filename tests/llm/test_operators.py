@@ -10,6 +10,7 @@ import pytest
 
 pytest.importorskip("public_tokenizers")
 import public_tokenizers
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -165,6 +166,19 @@ def test_scores_on_held_out_rows(spark, score, column, held):
     assert score(spark, docs, none, held_out(*held)).count() == len(got)
 
 
+@pytest.mark.parametrize("score,column,most", [(score_toxicity, "toxic", 18_000), (score_quality, "quality", 20_000)])
+def test_scores_learn_from_all_labelled_rows(spark, score, column, most):
+    """Rows beyond the first 18,000 or 20,000 by hash are all negative and alone in what they say."""
+    rank = F.row_number().over(W.orderBy(F.xxhash64("id"), "id"))
+    rows = spark.range(most + 3000).select(F.col("id").alias("doc_id"), (rank > most).alias("beyond"), (F.col("id") % 2).cast("int").alias("half"))
+    said = F.when(F.col("beyond"), "###### ###### zyx zyx").when(F.col("half") == 1, "one two three").otherwise("four five. Six seven eight")
+    docs = rows.select("doc_id", said.alias("text")).cache()
+    labels = rows.select("doc_id", F.when(F.col("beyond"), 0).otherwise(F.col("half")).alias(column))
+    got = score(spark, docs, labels, F.lit(False)).join(docs, "doc_id").groupBy("text").agg(F.max("score").alias("most"), F.min("score").alias("least")).collect()
+    got = {r["text"].split()[0]: (r["most"], r["least"]) for r in got}
+    assert got["######"][0] < 0.1 and got["four"][0] < 0.1 and got["one"][1] > 0.9
+
+
 def test_toxicity_model_keeps_rare_bigrams(spark):
     n = 600_000
     pairs = spark.range(n).selectExpr("1 AS kind", "id % 1000 AS v", "id DIV 1000 AS w", "id % 2 AS t", "1 - id % 2 AS o", "1L AS n")
