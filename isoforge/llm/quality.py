@@ -19,10 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoforge.llm import bytescan
-from isoforge.llm.common import held_out, labelled_rows, save, table, text_udf
+from isoforge.llm.common import held_out, labelled, runs, save, table, text_udf
+from isoforge.llm.lookup import label_table, looked_up
 
-#: Labelled rows that are learnt from, at most.
-FIT_ROWS = 20_000
 TREES, DEPTH, LASSO = 24, 3, 0.001
 THRESHOLD = 0.3
 
@@ -122,14 +121,24 @@ def statistics_of(text: Column) -> Column:
 
 
 def quality_score(spark: SparkSession, docs: DataFrame, labels: DataFrame, held: Column, text: str = "text") -> Callable[[str], Column]:
-    """From the name of a column of ``statistics_of`` to the score, learnt from the labelled rows outside ``held``.
+    """From the name of a column of ``statistics_of`` to the score, learnt from all labelled rows outside ``held``.
 
-    The labelled rows, at most FIT_ROWS, are broadcast; only their texts are read for learning.
+    Labels are looked up where the documents are; only labelled rows' texts are read for learning, and their statistics are shuffled.
     """
-    own = labelled_rows(labels, "quality", held, FIT_ROWS).select("doc_id", F.col("quality").cast("double").alias("label"))
-    known = docs.select(F.col("doc_id"), F.col(text).alias("body")).join(F.broadcast(own), "doc_id")
-    known = known.select("doc_id", "label", statistics_of(F.col("body")).alias("stats"))
-    train = save(spark, known.groupBy("doc_id").agg(F.first("label").alias("label"), F.min("stats").alias("stats")).repartition(8, "doc_id").sortWithinPartitions("doc_id"), "train")
+    places = label_table(spark, labelled(labels, "quality", held).select("doc_id", F.col("quality").cast("int").alias("place")))
+
+    def known(batches):
+        for batch in batches:
+            place = looked_up(batch.column(0), places)
+            at = np.flatnonzero(place >= 0)
+            ids, texts = (batch.column(i).take(pa.array(at)) for i in (0, 1))
+            for a, b in runs(texts):
+                stats = statistics(bytescan.encoded(texts.slice(a, b - a)))
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(place[at[a:b]].astype(float)), *stats], names=["doc_id", "label", *STATS])
+
+    each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(known, f"doc_id long, label double, {', '.join(f'{s} double' for s in STATS)}")
+    one = each.groupBy("doc_id").agg(F.first("label").alias("label"), F.min(F.struct(*STATS)).alias("stats"))
+    train = save(spark, one.sortWithinPartitions("doc_id"), "train")
     n, good = train.agg(F.count("*"), F.sum("label")).first()
     if not n or good in (0, n):
         return lambda _: F.lit(1.0 if not n else good / n)
@@ -140,7 +149,7 @@ def quality_score(spark: SparkSession, docs: DataFrame, labels: DataFrame, held:
 def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, held: Column, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``score`` (0 to 1) and ``predicted`` (1 from a score of 0.3 on) beside ``keep``.
 
-    Learns from labelled rows outside ``held`` only. Null and empty texts have statistics of 0
+    Learns from all labelled rows outside ``held``. Null and empty texts have statistics of 0
     and the rules' score of those. With labels of one kind alone, or none, every score is the
     share of good ones (1.0 without labels, so that nothing is rejected). Equal texts get equal
     scores, however long they are; of rows that repeat a labelled doc_id one is learnt from. An
