@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from isoforge.functions import columns as C
+from isoforge.sources.shared import Saved
 
 
 def cohort_union(summaries: list[DataFrame]) -> DataFrame:
@@ -39,7 +40,8 @@ def cohort_medians(long: DataFrame) -> DataFrame:
 
 
 def drop_constant_features(medians: DataFrame) -> DataFrame:
-    """Metrics whose medians vary over samples."""
+    """Metrics whose medians vary over samples; the medians, a row for each sample and metric, are saved, so that they are computed once."""
+    medians = Saved(medians.sparkSession)(medians)
     vary = medians.groupBy("metric").agg(F.stddev_samp("median").alias("sd")).filter("sd > 0 AND NOT isnan(sd)").select("metric")
     return medians.join(F.broadcast(vary), "metric", "left_semi")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from isoforge.functions import columns as C
 from isoforge.operators.cell_summary import chains
 from isoforge.operators.explode import KEY, ROW
+from isoforge.sources.shared import Saved
 
 
 def share_within(df: DataFrame, keys: list[str], value: str = "n") -> DataFrame:
@@ -181,8 +182,8 @@ def all_canonical_by_category(cells: DataFrame) -> DataFrame:
 
 
 def feature_panel(long: DataFrame, suffix: str) -> DataFrame:
-    """Rows of the metrics with ``suffix`` that are not 0 in every cell."""
-    own = long.filter(F.col("metric").endswith(suffix))
+    """Rows of the metrics with ``suffix`` that are not 0 in every cell; they are saved, so that they are computed once."""
+    own = Saved(long.sparkSession)(long.filter(F.col("metric").endswith(suffix)))
     there = own.groupBy("metric").agg(F.max(F.abs("value")).alias("m")).filter("m > 0").select("metric")
     return own.join(F.broadcast(there), "metric", "left_semi")
 

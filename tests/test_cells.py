@@ -10,6 +10,7 @@ from isoforge.functions import columns as C
 from isoforge.operators import cell_summary as S
 from isoforge.operators import cell_tables as T
 from isoforge.operators import clustering as K
+from isoforge.operators import cohort as H
 from isoforge.operators import enrich as E
 from isoforge.operators import matrix as M
 from isoforge.operators import report_tables as R
@@ -298,3 +299,30 @@ def test_junction_labels(spark):
         df = frame(names)
         got = df.select(R.label_of(df).alias("l")).first()["l"]
         assert got == label or label is None and got.isdigit()
+
+
+def test_long_tables_are_computed_once(spark):
+    """The rows that a panel or the varying medians come from are read from saved files, not made again for each use."""
+    seen = spark.sparkContext.accumulator(0)
+    rows = [(f"S{i % 2}", f"C{i}", m, float(i)) for i in range(10) for m in ("a_prop", "b")]
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    long = spark.createDataFrame(rows, "sampleID string, CB string, metric string, value double")
+    watched = long.mapInArrow(counted, long.schema)
+    assert R.feature_panel(watched, "prop").count() == 10 and seen.value == 20
+    medians = watched.groupBy("sampleID", "metric").agg(F.percentile("value", F.lit(0.5)).alias("median"))
+    kept = H.drop_constant_features(medians)
+    assert kept.count() == 4 and kept.select("metric").distinct().count() == 2 and seen.value == 40
+
+
+def test_rows_are_shuffled_by_cell_before_sums(spark):
+    """One exchange by cell for each, of rows and not of partial sums."""
+    cells = explode_cells(classification(spark, [{}, {"CB": "C2"}]))
+    for made in (S.category_sums(cells), S.key_counts(cells)):
+        plan = made._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("Exchange") == 1
+        assert made._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
