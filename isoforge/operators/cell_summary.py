@@ -4,6 +4,8 @@ Weighted sums come from one narrow aggregate by cell, category and subcategory;
 each cell then become one record: a struct of totals and a map from category to a struct. Distinct
 counts come from one pre-aggregate of genes, junction chains and molecules. So each table is read
 once for each of the two, and the hundreds of columns are projections of one row, never aggregates.
+Both shuffle rows by cell as they are: a task sees few rows of a cell, so that its partial sums, tens of
+numbers each, would be more than its rows.
 """
 
 from __future__ import annotations
@@ -40,8 +42,7 @@ def category_sums(
         measures |= {f"len_{b}": C.length_bin() == b, f"len_mono_{b}": (C.length_bin() == b) & mono}
     measures = {k: t for k, t in measures.items() if only is None or k == "w" or k in only}
     sums = [F.sum(F.when(t, F.col("_count")).otherwise(0.0)).alias(k) for k, t in measures.items()]
-    fine = cells.groupBy(*KEY, "structural_category", "subcategory").agg(*sums)
-    fine = fine if placed else fine.repartition(*KEY)
+    fine = (cells if placed else cells.repartition(*KEY)).groupBy(*KEY, "structural_category", "subcategory").agg(*sums)
     again = [F.sum(k).alias(k) for k in measures]
     known = F.when(F.col("subcategory").isNotNull(), F.struct("subcategory", "w"))
     by_category = fine.groupBy(*KEY, "structural_category").agg(*again, F.map_from_entries(F.collect_list(known)).alias("sub"))
@@ -118,7 +119,7 @@ def chains(cells: DataFrame) -> DataFrame:
 def key_counts(cells: DataFrame, placed: bool = False) -> DataFrame:
     """Distinct genes, junction chains and molecules of each cell, and genes by the size of their counts.
 
-    A row stands for its gene and chain and for its molecule; both are aggregated together, by cell.
+    A row stands for its gene and chain and for its molecule; both are aggregated together, where the cell's rows are.
     Windows then tell the first row of each gene and of each chain.
     """
     chain = F.when(C.multi_exon(), F.col("jxn_string"))
@@ -127,9 +128,8 @@ def key_counts(cells: DataFrame, placed: bool = False) -> DataFrame:
         F.lit("g").alias("kind"), F.col("associated_gene").alias("a"), chain.alias("b"), C.multi_exon().alias("multi"), known.alias("known"), F.col("_count").alias("n")
     )
     of_molecule = F.struct(F.lit("u").alias("kind"), F.col("UMI").alias("a"), F.lit(None).cast("string").alias("b"), F.lit(False).alias("multi"), F.lit(False).alias("known"), F.lit(0.0).alias("n"))
-    each = cells.select(*KEY, F.inline(F.array(of_gene, of_molecule)))
+    each = (cells if placed else cells.repartition(*KEY)).select(*KEY, F.inline(F.array(of_gene, of_molecule)))
     each = each.groupBy(*KEY, "kind", "a", "b").agg(F.sum("n").alias("n"), F.max("known").alias("known"), F.max("multi").alias("multi"))
-    each = each if placed else each.repartition(*KEY)
     by_a, by_b = W.partitionBy(*KEY, "kind", "a"), W.partitionBy(*KEY, "kind", "b")
     each = each.withColumns({"gene_n": F.sum("n").over(by_a), "gene_chains": F.count("b").over(by_a), "gene_multi": F.max("multi").over(by_a), "a_at": F.row_number().over(by_a.orderBy("b"))})
     each = each.withColumns({"chain_known": F.max("known").over(by_b), "b_at": F.row_number().over(by_b.orderBy("a"))})
