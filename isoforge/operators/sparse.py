@@ -19,6 +19,8 @@ from isoforge.sources.shared import Saved
 CELL = ["sampleID", "CB"]
 #: Further directions that subspace iteration carries, rounds at most, and the change of the values that ends it.
 MORE, ROUNDS, CHANGE = 10, 30, 1e-9
+#: Values of a block of cells by genes that a task multiplies at once.
+VALUES = 1 << 20
 
 
 def gene_moments(x: DataFrame, n: int) -> DataFrame:
@@ -35,20 +37,27 @@ def scaled_parts(x: DataFrame, n: int, most: float = 10.0) -> tuple[DataFrame, D
     return x.join(moments, "associated_gene").select(*CELL, "associated_gene", (z - F.col("zero")).alias("d")), moments.select("associated_gene", "zero")
 
 
+def _dense_blocks(lists: pa.Array, values: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of a batch by all chosen genes, some at a time so that a block has about VALUES values: the first row, and the block."""
+    ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    genes, own = lists.flatten().to_numpy(), values.flatten().to_numpy()
+    step = max(VALUES // max(width, 1), 1)
+    for a in range(0, len(lists), step):
+        n = np.diff(ends[a : a + step + 1])
+        block, at = np.zeros((len(n), width)), slice(ends[a], ends[a + len(n)])
+        block[np.repeat(np.arange(len(n)), n), genes[at]] = own[at]
+        yield a, block
+
+
 def _multiplied(batches, basis, shift) -> Iterator[pa.RecordBatch]:
     """D' (D - 1 d') V by gene, and the sum of (D - 1 d') V over cells as gene -1, of each task's cells."""
     v, s = basis.value, shift.value
     out, total = np.zeros_like(v), np.zeros(v.shape[1])
     for batch in batches:
-        lists = batch.column(0)
-        n = np.diff(lists.offsets.to_numpy())
-        row, gene = np.repeat(np.arange(len(n)), n), lists.flatten().to_numpy()
-        d = batch.column(1).flatten().to_numpy()
-        y = np.zeros((len(n), v.shape[1]))
-        np.add.at(y, row, d[:, None] * v[gene])
-        y -= s
-        np.add.at(out, gene, d[:, None] * y[row])
-        total += y.sum(0)
+        for _, d in _dense_blocks(batch.column(0), batch.column(1), len(v)):
+            y = d @ v - s
+            out += d.T @ y
+            total += y.sum(0)
     used = np.flatnonzero(np.abs(out).max(1) > 0)
     rows = [total.tolist(), *out[used].tolist()]
     yield pa.RecordBatch.from_arrays([pa.array([-1, *used.tolist()], pa.int32()), pa.array(rows, pa.list_(pa.float64()))], names=["gene", "y"])
@@ -58,11 +67,11 @@ def _projected(batches, basis, shift) -> Iterator[pa.RecordBatch]:
     """Components of each cell."""
     v, s = basis.value, shift.value
     for batch in batches:
-        lists = batch.column(2)
-        n = np.diff(lists.offsets.to_numpy())
-        y = np.zeros((len(n), v.shape[1]))
-        np.add.at(y, np.repeat(np.arange(len(n)), n), batch.column(3).flatten().to_numpy()[:, None] * v[lists.flatten().to_numpy()])
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((y - s).tolist(), pa.list_(pa.float64()))], names=[*CELL, "pcs"])
+        y = np.zeros((batch.num_rows, v.shape[1]))
+        for a, d in _dense_blocks(batch.column(2), batch.column(3), len(v)):
+            y[a : a + len(d)] = d @ v - s
+        pcs = pa.ListArray.from_arrays(np.arange(len(y) + 1, dtype=np.int32) * y.shape[1], pa.array(y.ravel()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pcs], names=[*CELL, "pcs"])
 
 
 def sparse_components(parts: DataFrame, cells: DataFrame, n_pc: int = 30, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:

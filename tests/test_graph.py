@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,3 +209,41 @@ def test_residuals_of_zeros_follow_sums(spark):
 def test_cells_get_clusters_and_coordinates(spark, normalization, method):
     out = K.cluster_cells(counts(spark), normalization, 20, 5, 6, method, n_clusters=3)
     assert out.columns == ["sampleID", "Barcode", "Cluster", "UMAP_1", "UMAP_2"] and out.count() == 60
+
+
+def test_products_of_a_large_batch_need_little_memory():
+    import tracemalloc
+    from types import SimpleNamespace
+
+    rng, cells, each = np.random.default_rng(5), 4000, 200
+    genes = np.sort(rng.random((cells, 435)).argsort(1)[:, :each].astype(np.int32), 1)
+    d, v, s = rng.normal(size=(cells, each)), rng.normal(size=(435, 40)), rng.normal(size=40)
+    lists = lambda x: pa.ListArray.from_arrays(np.arange(cells + 1, dtype=np.int32) * each, pa.array(x.ravel()))
+    batch = pa.RecordBatch.from_arrays([lists(genes), lists(d)], names=["genes", "d"]).slice(10)
+    tracemalloc.start()
+    out = next(P._multiplied([batch], SimpleNamespace(value=v), SimpleNamespace(value=s)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    dense = np.zeros((cells, 435))
+    np.put_along_axis(dense, genes.astype(int), d, 1)
+    y = dense[10:] @ v - s
+    assert np.allclose(np.array(out.column(1).to_pylist()), np.vstack([y.sum(0)[None], dense[10:].T @ y]))
+    assert peak < 50e6
+
+
+def test_components_read_their_counts_once(spark, monkeypatch):
+    from isoforge.plans import report_queries as Q
+    from isoforge.plans.queries import QUERIES
+
+    seen = spark.sparkContext.accumulator(0)
+    rows = [("S", f"C{i}", f"g{j}", float((i * j) % 5 + 1)) for i in range(12) for j in range(6)]
+    cells = spark.createDataFrame(rows, "sampleID string, CB string, associated_gene string, _count double")
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(Q, "cells_of", lambda *_: cells.mapInArrow(counted, cells.schema))
+    assert QUERIES["m06_components"](spark, "").count() == 6
+    assert seen.value == len(rows)
