@@ -614,7 +614,7 @@ def _(spark, d):
 
 @add("m06_components")
 def _(spark, d):
-    x = K.normalize_log1p(M.count_matrix(cells_of(spark, d)))
+    x = Saved(spark)(K.normalize_log1p(M.count_matrix(cells_of(spark, d))))  # read several times
     return P.pca_sparse(x, K.highly_variable_genes(x))[1]
 
 
