@@ -1,10 +1,10 @@
 """Nearest neighbours of cells, exact at any number of cells, from lists with bounds.
 
-Cells are dealt into lists by their nearest centre, and lists into blocks of bounded size. A block's own
-cells give each a first bound on its k-th distance. By the triangle inequality a list whose centre is
-farther than that bound and the list's radius together holds no nearer cell; a cell visits the blocks of
-all other lists, and is compared there by numpy. What travels is each cell's row, once for each block
-that it visits, and k pairs back; pairs of cells are never rows before that.
+Cells are dealt into lists by their nearest centre, and lists that lie near each other into blocks of bounded size. A
+block's own cells give each a first bound on its k-th distance. By the triangle inequality a list whose centre is
+farther than that bound and the list's radius together holds no nearer cell; a cell visits the blocks that hold any
+other list, and is compared with those lists there by numpy. What travels is each cell's row, once for each block
+that it visits and each slice of its own block's visitors, and k pairs back; pairs of cells are never rows before that.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,12 +24,16 @@ CELL = ["sampleID", "CB"]
 #: Lists at most: beyond, they become longer and have more blocks.
 MOST_LISTS = 4096
 #: Cells of a list, about, and of a block at most about; cells for each centre from which centres are fitted, and rounds.
-LIST_CELLS, BLOCK_CELLS, FIT_CELLS, FIT_ROUNDS = 1024, 2048, 16, 4
-#: Visitors that are compared with a block at once.
-ROWS = 256
+LIST_CELLS, BLOCK_CELLS, FIT_CELLS, FIT_ROUNDS = 1024, 32768, 16, 4
+#: Blocks at least, if each has LEAST_CELLS, and slices of visitors, each of SLICE_CELLS of all cells at least and SLICES at most, so that there are tasks enough.
+BLOCKS, LEAST_CELLS, SLICES, SLICE_CELLS = 8, 2048, 16, 8192
+#: Partitions at most that blocks and slices are dealt to.
+MOST_TILES = 2048
+#: Visitors that are compared with a block at once, and pairs that wait for their exact distances.
+ROWS, WAITING = 1024, 1 << 16
 
 _CELLS = "sampleID string, CB string, pcs array<double>, list int, d double"
-_BLOCKS = "list int, part int, kind int, sampleID string, CB string, pcs array<double>, bound double"
+_BLOCKS = "block int, slice int, kind int, list int, sampleID string, CB string, pcs array<double>, bound double"
 _PAIRS = "sampleID string, CB string, neighbour struct<sampleID:string,CB:string>, distance double"
 
 
@@ -63,105 +68,171 @@ def _assigned(batches, centres) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at.astype(np.int32)), pa.array(d)], names=[*batch.schema.names, "list", "d"])
 
 
-def _nearest(x: np.ndarray, members: np.ndarray, k: int, bounds: np.ndarray, own: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each row of ``x`` the ``k`` nearest members within its bound: row, members, distances; of equally near ones the first members.
-
-    ``own``: the index of the row itself among the members, which doesn't count.
-    """
-    for a in range(0, len(x), ROWS):
-        rough = _far(x[a : a + ROWS], members)
-        slack = 1e-6 * (np.abs(x[a : a + ROWS]).max(initial=0) + np.abs(members).max(initial=0) + 1e-300) * max(1, x.shape[1])
-        if own is not None:
-            rough[np.arange(len(rough)), own[a : a + ROWS]] = np.inf
-        most = np.minimum(np.partition(rough, k - 1, axis=1)[:, k - 1], bounds[a : a + ROWS]) if rough.shape[1] >= k else bounds[a : a + ROWS]
-        for i in range(len(rough)):
-            some = np.flatnonzero(rough[i] <= most[i] + slack)
-            some = some[rough[i][some] < np.inf]
-            d = np.sqrt(((members[some] - x[a + i]) ** 2).sum(1))
-            order = np.argsort(d, kind="stable")[:k]
-            yield a + i, some[order], d[order]
-
-
-def _sorted_blocks(batches) -> Iterator[pa.Table]:
-    """Rows of one block each, from batches sorted by list, part and kind; of a long run of visitors a few rows at a time, after the block."""
+def near_lists(centres: np.ndarray, sizes: np.ndarray, most: int) -> list[np.ndarray]:
+    """Lists in groups of at most ``most`` cells that lie near each other: halved across the widest coordinate while larger; longer lists stand alone."""
+    out, left = [], [np.flatnonzero(sizes > 0)]
+    while left:
+        own = left.pop()
+        if len(own) <= 1 or sizes[own].sum() <= most:
+            out += [own] if len(own) else []
+            continue
+        x = centres[own]
+        own = own[np.argsort(x[:, np.ptp(x, axis=0).argmax()], kind="stable")]
+        cut = int(np.clip(np.searchsorted(np.cumsum(sizes[own]), sizes[own].sum() / 2) + 1, 1, len(own) - 1))
+        left += [own[cut:], own[:cut]]
+    return out
+
+
+def _within(x: np.ndarray, centres: np.ndarray, radii: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Which lists may hold a cell within each row's bound."""
+    size = np.abs(x).max(initial=0) + np.abs(centres).max(initial=0)
+    return _far(x, centres) - radii[None] <= bounds[:, None] + 1e-6 * (size * max(1, x.shape[1]) + radii[None])
+
+
+class _Block:
+    """Cells of a block by list, that visitors are compared with: roughly in single precision, then those within the bound exactly."""
+
+    def __init__(self, cells: pa.Table, k: int, centres: np.ndarray, radii: np.ndarray):
+        self.k, self.cells = k, cells.sort_by([("list", "ascending"), ("sampleID", "ascending"), ("CB", "ascending")]).combine_chunks().to_batches()[0]
+        self.x, lists = _matrix(self.cells.column(6)), self.cells.column(3).to_numpy()
+        self.lists, starts = np.unique(lists, return_index=True)
+        self.starts = [*starts.tolist(), len(lists)]
+        self.centres, self.radii = centres[self.lists], radii[self.lists]
+        self.name = np.empty(len(lists), np.int64)  # a cell's place by name
+        self.name[pc.sort_indices(self.cells.select(["sampleID", "CB"]), sort_keys=[("sampleID", "ascending"), ("CB", "ascending")]).to_numpy()] = np.arange(len(lists))
+        self.places = {n: i for i, n in enumerate(zip(self.cells.column(4).to_pylist(), self.cells.column(5).to_pylist(), strict=True))}
+        self.middle = self.x.mean(0)
+        self.scale = np.abs(self.x - self.middle).max(initial=0) or 1.0
+        y = ((self.x - self.middle) / self.scale).astype(np.float32)
+        self.square = (y * y).sum(1)
+        self.rough = np.ascontiguousarray(np.column_stack((y, self.square)).T)
+        self.longest = float(self.square.max(initial=0))
+
+    def _kept(self, x, row, member, far):
+        """The k nearest of each row, and what is the k-th distance of rows that have so many."""
+        order = np.lexsort((self.name[member], far, row))
+        row, member, far = row[order], member[order], far[order]
+        n = np.bincount(row, minlength=len(x))
+        place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        row, member, far = (v[place < self.k] for v in (row, member, far))
+        last = np.full(len(x), np.inf)
+        last[row[place[place < self.k] == self.k - 1]] = far[place[place < self.k] == self.k - 1]
+        return row, member, far, last
+
+    def nearest(self, x: np.ndarray, bounds: np.ndarray, own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, member and distance of the k nearest members within each row's bound, of equally near ones the first by name; ``own``: the rows' own places, which don't count."""
+        y = ((x - self.middle) / self.scale).clip(-1e15, 1e15).astype(np.float32)
+        square = (y.astype(float) ** 2).sum(1)
+        slack = 2.5e-7 * (x.shape[1] + 8) * (square + self.longest) + 1e-30
+        twice, bounds = np.column_stack((-2 * y, np.ones(len(y), np.float32))), bounds.copy()
+        row, member, far = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        waiting, held = [], 0
+        home = np.searchsorted(self.starts, own, "right") - 1 if own is not None else None
+        near = _within(x, self.centres, self.radii, bounds)
+
+        def settle():
+            nonlocal row, member, far, held
+            if waiting:
+                r, m = (np.concatenate(v) for v in zip(*waiting, strict=True))
+                d = [np.sqrt(((self.x[m[i : i + WAITING]] - x[r[i : i + WAITING]]) ** 2).sum(1)) for i in range(0, len(r), WAITING)]
+                row, member, far, last = self._kept(x, np.concatenate((row, r)), np.concatenate((member, m)), np.concatenate((far, *d)))
+                np.minimum(bounds, last, out=bounds)
+                waiting.clear()
+                held = 0
+
+        def compare(i, rows, first=False):
+            nonlocal held
+            a, b = self.starts[i], self.starts[i + 1]
+            for c in range(a, b, 4 * ROWS):
+                e = min(c + 4 * ROWS, b)
+                g = twice[rows] @ self.rough[:, c:e]
+                if own is not None:
+                    there = np.flatnonzero((own[rows] >= c) & (own[rows] < e))
+                    g[there, own[rows][there] - c] = np.inf
+                most = np.nextafter(((bounds[rows] / self.scale) ** 2 - square[rows] + slack[rows]).astype(np.float32), np.float32(np.inf))
+                if first and e - c > self.k:
+                    kth = np.partition(g, self.k - 1, axis=1)[:, self.k - 1]
+                    most = np.minimum(most, kth + 2 * slack[rows].astype(np.float32))
+                at = np.flatnonzero((g <= most[:, None]) & (g < np.inf))
+                waiting.append((rows[at // (e - c)], at % (e - c) + c))
+                held += len(at)
+                if held > WAITING:
+                    settle()
+
+        if home is not None:  # its own list bounds what a cell seeks in others
+            for i in np.unique(home).tolist():
+                compare(i, np.flatnonzero(home == i), True)
+            settle()
+            near = _within(x, self.centres, self.radii, bounds) & (np.arange(len(self.lists))[None] != home[:, None])
+        for i in range(len(self.lists)):
+            rows = np.flatnonzero(near[:, i])
+            if len(rows):
+                compare(i, rows)
+        settle()
+        return row, member, far
+
+
+def _compared(batches, k: int, centres, radii) -> Iterator[pa.RecordBatch]:
+    """Neighbours of each block's visitors in it; of its own cells if ``kind`` says so (2). Rows come sorted by block, slice and kind."""
+    at, parts, block = None, [], None
     for batch in batches:
         keys = np.stack([batch.column(i).to_numpy() for i in range(3)], 1)
         cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)], strict=True):
-            if b > a:
-                yield batch.slice(a, b - a)
-
-
-def _pairs(cells: pa.Table, found, members: pa.Table) -> pa.RecordBatch | None:
-    rows, others, far = [], [], []
-    for i, j, d in found:
-        rows += [i] * len(j)
-        others += j.tolist()
-        far += d.tolist()
-    if not rows:
-        return None
-    mine, other = cells.take(pa.array(rows)), members.take(pa.array(others))
-    pick = lambda t, c: t.column(t.schema.get_field_index(c))
-    both = pa.StructArray.from_arrays([pick(other, "sampleID"), pick(other, "CB")], names=CELL)
-    return pa.RecordBatch.from_arrays([pick(mine, "sampleID"), pick(mine, "CB"), both, pa.array(far)], names=["sampleID", "CB", "neighbour", "distance"])
-
-
-def _compared(batches, k: int) -> Iterator[pa.RecordBatch]:
-    """Neighbours of each block's visitors in it; of its own cells if ``kind`` says so (2)."""
-    at, parts, block, x = None, [], None, None
-    for piece in _sorted_blocks(batches):
-        key = tuple(piece.column(i)[0].as_py() for i in range(2))
-        if key != at:
-            at, parts, block = key, [], None
-        if piece.column(2)[0].as_py() == 0:
-            parts.append(piece)
-            continue
-        if block is None:
-            whole = pa.Table.from_batches(parts) if parts else pa.Table.from_batches([piece.slice(0, 0)])
-            whole = whole.sort_by([("sampleID", "ascending"), ("CB", "ascending")]).combine_chunks()
-            block = whole.to_batches()[0] if whole.num_rows else piece.slice(0, 0)
-            x = _matrix(block.column(5))
-        if not block.num_rows:
-            continue
-        visitors, own = _matrix(piece.column(5)), None
-        if piece.column(2)[0].as_py() == 2:
-            names = {n: i for i, n in enumerate(zip(block.column(3).to_pylist(), block.column(4).to_pylist(), strict=True))}
-            own = np.array([names[n] for n in zip(piece.column(3).to_pylist(), piece.column(4).to_pylist(), strict=True)])
-        made = _pairs(piece, _nearest(visitors, x, k, piece.column(6).to_numpy(), own), block)
-        if made is not None:
-            yield made
-
-
-def _visits(batches, centres, radii, parts, probes: int | None) -> Iterator[pa.RecordBatch]:
-    """A row of each cell for each block that may hold a nearer cell than its bound, but for its own block.
-
-    Columns: sampleID, CB, pcs, list, part, bound.
+            if b <= a:
+                continue
+            if tuple(keys[a, :2]) != at:
+                at, parts, block = tuple(keys[a, :2]), [], None
+            if keys[a, 2] == 0:
+                parts.append(batch.slice(a, b - a))
+                continue
+            if not parts:
+                continue
+            block = block or _Block(pa.Table.from_batches(parts), k, centres.value, radii.value)
+            for c in range(a, b, ROWS):
+                yield from _pairs(block, batch.slice(c, min(ROWS, b - c)), keys[a, 2] == 2)
+
+
+def _pairs(block: _Block, visitors: pa.RecordBatch, at_home: bool) -> Iterator[pa.RecordBatch]:
+    own = None
+    if at_home:
+        own = np.array([block.places[n] for n in zip(visitors.column(4).to_pylist(), visitors.column(5).to_pylist(), strict=True)])
+    row, member, far = block.nearest(_matrix(visitors.column(6)), visitors.column(7).to_numpy(), own)
+    if len(row):
+        mine, other = visitors.take(pa.array(row)), block.cells.take(pa.array(member))
+        both = pa.StructArray.from_arrays([other.column(4), other.column(5)], names=CELL)
+        yield pa.RecordBatch.from_arrays([mine.column(4), mine.column(5), both, pa.array(far)], names=["sampleID", "CB", "neighbour", "distance"])
+
+
+def _visits(batches, centres, radii, blocks, probes: int | None, slices: int) -> Iterator[pa.RecordBatch]:
+    """A row of each cell for each block with a list that may hold a nearer cell than its bound, but for its own block.
+
+    Columns of ``batches``: sampleID, CB, pcs, list, block, slice, bound. ``blocks``: lists, group by group, where groups begin, their first blocks and how many each has.
     """
+    order, begins, firsts, counts = blocks.value
     for batch in batches:
-        lists, own_part = batch.column(3).to_numpy(), batch.column(4).to_numpy()
-        bound = batch.column(5).to_numpy()
-        for a in range(0, len(lists), 1024):
-            x = _matrix(batch.column(2).slice(a, 1024))
-            far = _far(x, centres.value)
-            size = np.abs(x).max(initial=0) + np.abs(centres.value).max(initial=0)
-            near = far - radii.value[None] <= bound[a : a + 1024, None] + 1e-6 * (size * max(1, x.shape[1]) + radii.value[None])
-            near &= parts.value[None] > 0
+        own = batch.column(4).to_numpy()
+        bound = batch.column(6).to_numpy()
+        for a in range(0, batch.num_rows, ROWS):
+            x = _matrix(batch.column(2).slice(a, ROWS))
+            near = _within(x, centres.value, radii.value, bound[a : a + ROWS])
             if probes is not None:
-                order = np.argpartition(far, min(probes, far.shape[1]) - 1, axis=1)[:, :probes]
+                far = _far(x, centres.value)
+                nearest = np.argpartition(far, min(probes, far.shape[1]) - 1, axis=1)[:, :probes]
                 kept = np.zeros_like(near)
-                np.put_along_axis(kept, order, True, 1)
+                np.put_along_axis(kept, nearest, True, 1)
                 near &= kept
-            row, target = np.nonzero(near)
-            n = parts.value[target]
-            rows, targets = np.repeat(row, n), np.repeat(target, n)
-            part = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
-            keep = (targets != lists[a + rows]) | (part != own_part[a + rows])
-            for b in range(0, int(keep.sum()), 4096):
-                r, t, p = (v[keep][b : b + 4096] for v in (rows, targets, part))
-                some = batch.slice(a, 1024).take(pa.array(r))
+            row, group = np.nonzero(np.logical_or.reduceat(near[:, order], begins, axis=1))
+            n = counts[group]
+            rows = np.repeat(row, n)
+            target = np.repeat(firsts[group], n) + np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
+            keep = np.flatnonzero(target != own[a + rows])
+            for b in range(0, len(keep), 4096):
+                r, t = rows[keep[b : b + 4096]], target[keep[b : b + 4096]]
+                some = batch.slice(a, ROWS).take(pa.array(r))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(t.astype(np.int32)), pa.array(p.astype(np.int32)), pa.array(np.ones(len(r), np.int32)), *(some.column(i) for i in (0, 1, 2, 5))],
-                    names=["list", "part", "kind", "sampleID", "CB", "pcs", "bound"],
+                    [pa.array(t.astype(np.int32)), some.column(5), pa.array(np.ones(len(r), np.int32)), *(some.column(i) for i in (3, 0, 1, 2, 6))],
+                    names=["block", "slice", "kind", "list", "sampleID", "CB", "pcs", "bound"],
                 )
 
 
@@ -170,7 +241,7 @@ def _ranked(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", rank).filter(F.col("rank") <= k).select(*CELL, "neighbour", "rank", "distance")
 
 
-def knn_cells(pcs: DataFrame, k: int = 15, probes: int | None = None, list_cells: int = LIST_CELLS, block_cells: int = BLOCK_CELLS) -> DataFrame:
+def knn_cells(pcs: DataFrame, k: int = 15, probes: int | None = None, list_cells: int = LIST_CELLS, block_cells: int | None = None) -> DataFrame:
     """sampleID, CB, neighbour (a struct of both), rank, distance: the k nearest other cells, of equally near ones those first by name.
 
     Exact for any number of cells: ``probes`` bounds the lists that a cell visits, nearest centres first, and
@@ -190,20 +261,30 @@ def knn_cells(pcs: DataFrame, k: int = 15, probes: int | None = None, list_cells
     own = saved(cells.mapInArrow(lambda b: _assigned(b, centres), _CELLS))
     stats = {r["list"]: (r["n"], r["d"]) for r in own.groupBy("list").agg(F.count("*").alias("n"), F.max("d").alias("d")).collect()}
     radii = spark.sparkContext.broadcast(np.array([stats.get(i, (0, 0.0))[1] for i in range(lists)]))
-    parts = np.array([-(-stats.get(i, (0, 0.0))[0] // block_cells) for i in range(lists)])
-    split = spark.sparkContext.broadcast(parts)
-    several = F.broadcast(spark.createDataFrame([(i, int(p)) for i, p in enumerate(parts)], "list int, parts int"))  # a row for each list
-    own = saved(own.join(several, "list").select(*CELL, "pcs", "list", F.pmod(F.xxhash64(*CELL), F.col("parts")).cast("int").alias("part")))
-    home = own.select("list", "part", F.lit(0).alias("kind"), *CELL, "pcs", F.lit(float("inf")).alias("bound"))
+    sizes = np.array([stats.get(i, (0, 0.0))[0] for i in range(lists)])
+    most = block_cells or min(BLOCK_CELLS, max(LEAST_CELLS, -(-n // BLOCKS)))
+    groups = near_lists(centres.value, sizes, most)
+    counts = np.array([-(-int(sizes[g].sum()) // most) for g in groups])
+    firsts = np.cumsum(counts) - counts
+    slices = int(max(min(SLICES, counts.sum(), n // SLICE_CELLS), 1))
+    blocks = spark.sparkContext.broadcast((np.concatenate(groups), np.cumsum([0, *map(len, groups)])[:-1], firsts, counts))
+    places = [(int(i), int(f), int(c)) for g, f, c in zip(groups, firsts, counts, strict=True) for i in g]
+    of_list = F.broadcast(spark.createDataFrame(places, "list int, first int, blocks int"))  # a row for each list
+    hashed = F.xxhash64(*CELL)
+    own = own.join(of_list, "list").select(*CELL, "pcs", "list", (F.col("first") + F.pmod(hashed, F.col("blocks"))).cast("int").alias("block"), F.pmod(F.shiftright(hashed, 32), F.lit(slices)).cast("int").alias("slice"))
+    own = saved(own)
+    home = own.select("block", "slice", F.lit(2).alias("kind"), "list", *CELL, "pcs", F.lit(float("inf")).alias("bound"))
+    members = home.select("block", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), F.lit(0).alias("kind"), "list", *CELL, "pcs", "bound")
+    tiles = [int(min(counts.sum() * slices, MOST_TILES))] if slices > 1 else []  # a number that isn't lowered by rows' sizes, since time goes by pairs
 
     def compared(visitors: DataFrame) -> DataFrame:
-        dealt = home.unionByName(visitors).repartition("list", "part").sortWithinPartitions("list", "part", "kind")
-        return saved(dealt.mapInArrow(lambda b: _compared(b, k), _PAIRS))
+        dealt = members.unionByName(visitors).repartition(*tiles, "block", "slice").sortWithinPartitions("block", "slice", "kind", "list")
+        return saved(dealt.mapInArrow(lambda b: _compared(b, k, centres, radii), _PAIRS))
 
-    first = compared(home.withColumn("kind", F.lit(2)))
-    if int(parts.sum()) <= 1:
+    first = compared(home)
+    if int(counts.sum()) <= 1:
         return _ranked(first, k)
     bounds = first.groupBy(*CELL).agg(F.when(F.count("*") >= k, F.max("distance")).alias("bound"))
-    bounded = own.join(bounds, CELL, "left").select(*CELL, "pcs", "list", "part", F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
-    visits = bounded.mapInArrow(lambda b: _visits(b, centres, radii, split, probes), _BLOCKS)
+    bounded = own.join(bounds, CELL, "left").select(*CELL, "pcs", "list", "block", "slice", F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
+    visits = bounded.mapInArrow(lambda b: _visits(b, centres, radii, blocks, probes, slices), _BLOCKS)
     return _ranked(first.unionByName(compared(visits)), k)

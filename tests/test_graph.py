@@ -247,3 +247,25 @@ def test_components_read_their_counts_once(spark, monkeypatch):
     monkeypatch.setattr(Q, "cells_of", lambda *_: cells.mapInArrow(counted, cells.schema))
     assert QUERIES["m06_components"](spark, "").count() == 6
     assert seen.value == len(rows)
+
+
+def test_cells_travel_to_blocks_of_many_lists(spark, monkeypatch):
+    """On data without clusters, where nearly all lists are visited, a cell is sent once to each block and not once to each list."""
+    x = np.random.default_rng(3).normal(size=(1200, 8)) + 1000.0
+    sent, real = spark.sparkContext.accumulator(0), N._visits
+
+    def counted(*args):
+        for batch in real(*args):
+            sent.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(N, "_visits", counted)
+    monkeypatch.setattr(N, "SLICE_CELLS", 400, raising=False)
+    got = {}
+    for r in N.knn_cells(frame(spark, x), 5, list_cells=20).collect():
+        got.setdefault(r["CB"], set()).add(r["neighbour"]["CB"])
+    for i in range(0, 1200, 40):
+        d = ((x - x[i]) ** 2).sum(1)
+        d[i] = np.inf
+        assert got[f"c{i:05}"] == {f"c{j:05}" for j in np.argsort(d)[:5]}
+    assert sent.value < 10 * len(x)
