@@ -43,15 +43,25 @@ def dense(m: DataFrame, genes: DataFrame, value: str = "x") -> DataFrame:
 
 
 def normalize_pearson(m: DataFrame, genes: DataFrame, theta: float = 100.0) -> DataFrame:
-    """Residuals over the chosen genes, zeros too, cut at the square root of the number of cells."""
-    full = dense(m.select(*KEYS, F.col("count").cast("double").alias("count")), genes, "count")
-    cells = full.groupBy(*CELL).agg(F.sum("count").alias("r"))
-    columns = full.groupBy("associated_gene").agg(F.sum("count").alias("c"))
-    total, n = cells.agg(F.sum("r"), F.count("*")).first()
-    mu = F.col("r") * F.col("c") / total
-    z = (F.col("count") - mu) / F.sqrt(mu + mu * mu / theta)
-    own = full.join(cells, CELL).join(columns, "associated_gene")
-    return own.select(*KEYS, F.coalesce(F.greatest(F.least(z, F.lit(n**0.5)), F.lit(-(n**0.5))), F.lit(0.0)).alias("x"))
+    """Residuals over the chosen genes, zeros too, cut at the square root of the number of cells.
+
+    Each cell is one row with its counts, saved; zeros are made from it where it is, so that no row of a zero is shuffled. The
+    genes with their sums, a list that its choice bounds, are broadcast.
+    """
+    chosen = F.broadcast(genes.select("associated_gene").distinct().withColumn("__chosen", F.lit(True)))
+    count = F.coalesce(F.col("count").cast("double"), F.lit(0.0))
+    own = m.select(*KEYS, count.alias("count")).join(chosen, "associated_gene", "left")
+    counts = F.collect_list(F.when(F.col("__chosen"), F.struct("associated_gene", "count"))).alias("own")
+    packed = Saved(m.sparkSession)(own.groupBy(*CELL).agg(counts, F.coalesce(F.sum(F.when(F.col("__chosen"), F.col("count"))), F.lit(0.0)).alias("r")))
+    total, n = packed.agg(F.sum("r"), F.count("*")).first()
+    sums = packed.select(F.inline("own")).groupBy("associated_gene").agg(F.sum("count").alias("c"))
+    sums = F.broadcast(genes.select("associated_gene").distinct().join(sums, "associated_gene", "left").na.fill(0.0, ["c"]))
+    names = F.broadcast(sums.agg(F.array_sort(F.collect_list("associated_gene")).alias("names")))
+    zeros = F.transform(F.array_except("names", "own.associated_gene"), lambda g: F.struct(g.alias("associated_gene"), F.lit(0.0).alias("count")))
+    full = packed.join(names).select(*CELL, "r", F.inline(F.concat("own", zeros))).join(sums, "associated_gene")
+    mu = F.col("r") * F.col("c") / (total or 1.0)
+    z = F.coalesce(F.try_divide(F.col("count") - mu, F.sqrt(mu + mu * mu / theta)), F.lit(0.0))
+    return full.select(*KEYS, F.greatest(F.least(z, F.lit(n**0.5)), F.lit(-(n**0.5))).alias("x"))
 
 
 def highly_variable_genes(x: DataFrame, n_top: int = 2000, bins: int = 20) -> DataFrame:

@@ -269,3 +269,13 @@ def test_cells_travel_to_blocks_of_many_lists(spark, monkeypatch):
         d[i] = np.inf
         assert got[f"c{i:05}"] == {f"c{j:05}" for j in np.argsort(d)[:5]}
     assert sent.value < 10 * len(x)
+
+
+def test_residuals_are_made_without_shuffling_zeros(spark):
+    m = spark.createDataFrame([("S", "a", "g1", 3.0), ("S", "a", "g2", 1.0), ("T", "b", "g3", 2.0), ("T", "c", "g1", 1.0)], "sampleID string, CB string, associated_gene string, count double")
+    out = K.normalize_pearson(m, m.filter("associated_gene != 'g3'").select("associated_gene"))
+    assert "hashpartitioning(sampleID" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r["CB"], r["associated_gene"]): r["x"] for r in out.collect()}
+    z = lambda n, mu: max(min((n - mu) / (mu + mu * mu / 100) ** 0.5, 3**0.5), -(3**0.5))
+    want = {("a", "g1"): z(3, 3.2), ("a", "g2"): z(1, 0.8), ("b", "g1"): 0.0, ("b", "g2"): 0.0, ("c", "g1"): z(1, 0.8), ("c", "g2"): z(0, 0.2)}
+    assert got == pytest.approx(want)
