@@ -54,6 +54,11 @@ def junction_weights(junctions: DataFrame, cls: DataFrame, column: str = "_weigh
     return junctions.join(weights, ROW, "left").withColumn(column, F.coalesce(column, F.lit(1.0)))
 
 
+def row_weights(cells: DataFrame, column: str = "_weight") -> DataFrame:
+    """Rows with the weight of their isoform's junctions, as ``junction_weights`` gives it."""
+    return cells.withColumn(column, F.coalesce(F.max(C.isoform_weight("FL")).over(W.partitionBy(*ROW)), F.lit(1.0)))
+
+
 def attach_ujc(cls: DataFrame, ujc: DataFrame) -> DataFrame:
     """Junction chain and hash by isoform; mono-exon rows get a chain of their transcript."""
     own = cls.drop("jxn_string", "jxnHash").join(ujc.select(*ROW, "jxn_string"), ROW, "left")

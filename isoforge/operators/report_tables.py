@@ -147,12 +147,19 @@ def exon_profile(cells: DataFrame, most: int = 20, least_rows: int = 5) -> DataF
 
 
 def junction_type_by_category(cells: DataFrame, junctions: DataFrame, weight: str | None = None) -> DataFrame:
-    """Percent of each junction type in each cell and category, by junctions or by their weights; joined by isoform and cell."""
+    """Percent of each junction type in each cell and category, by junctions or by their weights; joined by isoform and cell.
+
+    ``weight`` is a column of ``junctions``, or one of ``cells`` that all junctions of a row have. A row's junctions are one
+    row with a number for each type before they are joined.
+    """
+    own, keys, of_row = [*ROW, "CB"], [*KEY, "structural_category"], weight is not None and weight not in junctions.columns
+    named = cells.filter("structural_category IS NOT NULL").select(*own, "structural_category", *([F.col(weight).cast("double").alias("__w")] if of_row else []))
+    each = F.lit(1) if weight is None or of_row else F.col(weight).cast("double")
     typed = junctions.filter(C.valid_cell()).withColumn("junction_type", C.junction_type())
-    typed = typed.join(cells.select(*ROW, "CB", "structural_category"), [*ROW, "CB"]).filter("structural_category IS NOT NULL")
-    keys = [*KEY, "structural_category"]
-    own = typed.groupBy(*keys, "junction_type").agg(_junctions(weight).alias("n"))
-    return share_within(complete(own, keys, "junction_type", C.JUNCTION_TYPES, {"n": 0}), keys)
+    counted = typed.groupBy(*own).agg(*(F.sum(F.when(F.col("junction_type") == t, each)).alias(t) for t in C.JUNCTION_TYPES)).join(named, own)
+    sums = counted.groupBy(*keys).agg(*(F.sum(F.col(t) * F.col("__w") if of_row else F.col(t)).alias(t) for t in C.JUNCTION_TYPES))
+    rows = F.inline(F.array(*(F.struct(F.lit(t).alias("junction_type"), F.col(t).alias("n")) for t in C.JUNCTION_TYPES)))
+    return share_within(sums.select(*keys, rows).na.fill(0, ["n"]), keys)
 
 
 def label_of(junctions: DataFrame) -> Column:

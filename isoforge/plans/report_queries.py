@@ -394,7 +394,7 @@ def _(spark, d):
 
 @add("a74_junction_type_by_category_weighted", _by_category("sum(weight)", _WEIGHTED_JUNC))
 def _(spark, d):
-    return R.junction_type_by_category(cells_of(spark, d), weighted_junctions(spark, d), "_weight")
+    return R.junction_type_by_category(E.row_weights(cells_of(spark, d)), junctions(spark, d), "_weight")
 
 
 _RTS = "count(CASE WHEN RTS_junction = 'true' THEN 1 END)"

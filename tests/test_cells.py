@@ -326,3 +326,14 @@ def test_rows_are_shuffled_by_cell_before_sums(spark):
         plan = made._jdf.queryExecution().sparkPlan().toString()
         assert plan.count("Exchange") == 1
         assert made._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_junctions_are_counted_before_they_are_joined(spark):
+    """One join, of one row for each read; weights of rows or of their junctions give the same."""
+    cells = spark.createDataFrame([("S", "r1", "C1", "genic", 2.0), ("S", "r2", "C1", "genic", 3.0)], "sampleID string, isoform string, CB string, structural_category string, _weight double")
+    own = spark.createDataFrame([("S", f"r{i}", "C1", k, "canonical") for i, k in ((1, "known"), (1, "known"), (1, "novel"), (2, "novel"), (2, "odd"))], "sampleID string, isoform string, CB string, junction_category string, canonical string")
+    want = {"known_canonical": 4.0, "novel_canonical": 5.0, "known_non_canonical": 0.0, "novel_non_canonical": 0.0}
+    for junctions in (own, own.join(cells.select("isoform", "_weight"), "isoform")):
+        out = R.junction_type_by_category(cells, junctions, "_weight")
+        assert {r["junction_type"]: r["n"] for r in out.collect()} == want
+    assert R.junction_type_by_category(cells, own, "_weight")._jdf.queryExecution().sparkPlan().toString().count("Join") == 1
