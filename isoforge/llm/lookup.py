@@ -13,7 +13,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoforge.llm.common import reserved, save
+from isoforge.llm.common import discard, recorded, reserved, save
 
 #: Rows of a file.
 TABLE_ROWS = 1 << 22
@@ -28,13 +28,15 @@ class Table:
     lasts: tuple[int, ...]
     default: float
 
-    def look_up(self, keys: np.ndarray) -> np.ndarray:
+    def look_up(self, keys: np.ndarray, column: str = "ratio") -> np.ndarray:
+        """Values of ``keys``; of a further ``column`` of the table, NaN for other keys."""
         keys = keys.view(np.int64)
-        out = np.full(len(keys), self.default)
+        out = np.full(len(keys), self.default if column == "ratio" else np.nan)
         part = np.searchsorted(np.array(self.lasts, np.int64), keys)
         for i in np.unique(part[part < len(self.names)]).tolist():
             rows = np.flatnonzero(part == i)
-            known, values = _mapped(self.folder, self.names[i])
+            columns = _columns(self.folder, self.names[i])
+            known, values = columns["key"], columns[column]
             at = np.minimum(np.searchsorted(known, keys[rows]), len(known) - 1)
             there = known[at] == keys[rows]
             out[rows[there]] = values[at[there]]
@@ -42,12 +44,18 @@ class Table:
 
 
 @lru_cache(256)
-def _mapped(folder: str, name: str) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and values of a file: mapped where the folder is a mounted one, so that a machine's workers share its pages; else read."""
+def _columns(folder: str, name: str) -> dict[str, np.ndarray]:
+    """Keys and values of a file by column: mapped where the folder is a mounted one, so that a machine's workers share its pages; else read."""
     store, base = fs.FileSystem.from_uri(folder)
     path = f"{base}/{name}"
     own = pa.ipc.open_file(pa.memory_map(path) if isinstance(store, fs.LocalFileSystem) else store.open_input_file(path)).read_all()
-    return own["key"].to_numpy(), own["ratio"].to_numpy()
+    return {c: own[c].to_numpy() for c in own.column_names}
+
+
+def _mapped(folder: str, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """A file's keys and values."""
+    columns = _columns(folder, name)
+    return columns["key"], columns["ratio"]
 
 
 def _files(batches, folder: str) -> Iterator[pa.RecordBatch]:
@@ -64,13 +72,15 @@ def _files(batches, folder: str) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([last])], names=["name", "last"])
 
 
-def saved_table(spark: SparkSession, df: DataFrame, key: str, value: str, default: float) -> Table:
-    """A table of keys and values that workers look up; it never passes through the driver, which gets the files' names."""
-    folder = reserved(spark, "model")
-    own = save(spark, df.select(F.col(key).alias("key"), F.col(value).cast("float").alias("ratio")), "ratios")
+def saved_table(spark: SparkSession, df: DataFrame, key: str, value: str, default: float, more: tuple[str, ...] = ()) -> Table:
+    """A table of keys and values, and of ``more`` columns as doubles, that workers look up; it never passes through the driver, which gets the files' names."""
+    folder, kept = reserved(spark, "model"), []
+    with recorded(kept):
+        own = save(spark, df.select(F.col(key).alias("key"), F.col(value).cast("float").alias("ratio"), *(F.col(c).cast("double").alias(c) for c in more)), "ratios")
     parts = -(-own.count() // TABLE_ROWS)
     dealt = own.repartitionByRange(max(parts, 1), "key").sortWithinPartitions("key")
     files = sorted((r["last"], r["name"]) for r in dealt.mapInArrow(lambda b: _files(b, folder), "name string, last long").collect())
+    discard(spark, *kept)
     return Table(folder, tuple(n for _, n in files), tuple(k for k, _ in files), default)
 
 

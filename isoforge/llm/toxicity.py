@@ -13,7 +13,7 @@ expressions and the length, fitted on labelled rows apart from the counted ones,
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoforge.llm import bytescan
-from isoforge.llm.common import held_out, labelled, runs, save, table, text_udf
+from isoforge.llm.common import discard, held_out, labelled, recorded, runs, save, table, text_udf
 from isoforge.llm.lookup import Table, _mapped, label_table, looked_up, saved_table  # noqa: F401
 
 #: Of all labelled rows one in so many serves for the curve, the others for counts.
@@ -104,10 +104,21 @@ def _discount(column: str, d: list[float]) -> Column:
     return F.when(c <= 0, 0.0).when(c == 1, d[0]).when(c == 2, d[1]).otherwise(d[2])
 
 
-def _hashed(batches):
+def _freed(n: np.ndarray, d: list[float]) -> np.ndarray:
+    return np.select([n <= 0, n == 1, n == 2], [0.0, d[0], d[1]], d[2])
+
+
+def _bigram_ratios(batches, word: Table, context: Table, d2: dict[str, list[float]]) -> Iterator[pa.RecordBatch]:
+    """Hash and ratio of bigrams (v, w, t, o), with what their words and contexts have looked up in place, neither shuffled nor joined."""
     for batch in batches:
-        v, w = (batch.column(i).to_numpy().astype(np.uint64) for i in (0, 1))
-        yield pa.RecordBatch.from_arrays([pa.array(bigram_hash(v, w).view(np.int64)), batch.column(2)], names=["key", "ratio"])
+        v, w, *counts = (c.to_numpy() for c in batch.columns)
+        p = []
+        for c, n in zip("to", counts, strict=True):
+            seen, share = context.look_up(v, f"c{c}"), context.look_up(v, f"l{c}")
+            p.append((n - _freed(n, d2[c])) / np.maximum(seen, 1) + share * word.look_up(w, f"p{c}"))
+        ratio = np.log(p[0] / p[1]) - np.log(word.look_up(w, "pt") / word.look_up(w, "po")) - np.log(context.look_up(v, "lt") / context.look_up(v, "lo"))
+        key = bigram_hash(v.astype(np.uint64), w.astype(np.uint64)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ratio.astype(np.float32))], names=["key", "ratio"])
 
 
 def build_model(spark: SparkSession, counts: DataFrame) -> dict[str, Table]:
@@ -141,17 +152,10 @@ def build_model(spark: SparkSession, counts: DataFrame) -> dict[str, Table]:
         contexts = contexts.withColumn(f"l{c}", F.when(F.col(f"c{c}") > 0, share).otherwise(1.0))
     word = save(spark, word.select("w", "n", "pt", "po", F.log(F.col("pt") / F.col("po")).alias("ratio")), "word-ratios")
     contexts = save(spark, contexts.select("v", "n", "ct", "co", "lt", "lo", F.log(F.col("lt") / F.col("lo")).alias("ratio")), "contexts")
-    of_word = word.select("w", "pt", "po", F.col("ratio").alias("word_ratio"))
-    of_context = contexts.select("v", "ct", "co", "lt", "lo", F.col("ratio").alias("context_ratio"))
-    both = pairs.select("v", "w", "t", "o").join(of_word, "w").join(of_context, "v")
-    p = {c: (F.col(c) - _discount(c, d2[c])) / F.greatest(F.col(f"c{c}"), F.lit(1)) + F.col(f"l{c}") * F.col(f"p{c}") for c in "to"}
-    both = both.withColumn("ratio", F.log(p["t"] / p["o"]) - F.col("word_ratio") - F.col("context_ratio"))
-    both = both.select("v", "w", F.col("ratio").cast("float").alias("ratio")).mapInArrow(_hashed, "key long, ratio float")
-    return {
-        "word": saved_table(spark, word, "w", "ratio", float(np.log(freed["t"] / freed["o"]))),
-        "context": saved_table(spark, contexts, "v", "ratio", 0.0),
-        "bigram": saved_table(spark, both, "key", "ratio", 0.0),
-    }
+    words_of = saved_table(spark, word, "w", "ratio", float(np.log(freed["t"] / freed["o"])), ("pt", "po"))
+    contexts_of = saved_table(spark, contexts, "v", "ratio", 0.0, ("ct", "co", "lt", "lo"))
+    both = pairs.select("v", "w", "t", "o").mapInArrow(lambda b: _bigram_ratios(b, words_of, contexts_of, d2), "key long, ratio float")
+    return {"word": words_of, "context": contexts_of, "bigram": saved_table(spark, both, "key", "ratio", 0.0)}
 
 
 def _features(texts: list[bytes], model: dict) -> np.ndarray:
@@ -215,7 +219,10 @@ def toxicity_column(spark: SparkSession, docs: DataFrame, labels: DataFrame, hel
     if share in (0, 1):
         return lambda _: F.struct(F.lit(float(share)).alias("score"), F.lit(int(share >= THRESHOLD)).alias("predicted"))
     places = label_table(spark, rows)
-    model = build_model(spark, count_corpus(spark, docs, places, text))
+    made: list[str] = []
+    with recorded(made):
+        model = build_model(spark, count_corpus(spark, docs, places, text))
+    discard(spark, *(x for x in made if "/model-" not in x))  # only the model's own files are read from here on
 
     def features(batches):
         for batch in batches:

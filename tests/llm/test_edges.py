@@ -7,6 +7,7 @@ import re
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from isoforge.llm import byte_bpe, bytescan, license_scan, ngram_join, packing, progressive_jpeg, quality, secret_scan, toxicity, warc
+from isoforge.llm import byte_bpe, bytescan, common, license_scan, ngram_join, packing, progressive_jpeg, quality, secret_scan, toxicity, warc
 from isoforge.llm.common import held_out
 
 #: Names that the operators use inside, as columns of the input.
@@ -353,3 +354,15 @@ def test_notices_of_long_texts_take_time_in_proportion():
         times.append(time.time() - began)
         assert sum(x[3] == "gpl" for x in found) == 2 * n
     assert times[1] < 24 * times[0] + 1
+
+
+def test_toxicity_leaves_its_models_files_alone(spark, monkeypatch):
+    """Counts and the like are deleted once the model is there, and bigrams are joined with nothing on the way to it."""
+    docs = spark.createDataFrame([(i, f"some words {i % 7} bad{i % 2} end") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    made = []
+    with common.recorded(made):
+        out = toxicity.score_toxicity(spark, docs, labels, F.lit(False))
+    left = {Path(x.removeprefix("file:")).name.rsplit("-", 1)[0] for x in made if Path(x.removeprefix("file:")).exists()}
+    assert "model" in left and not left & {"counts", "words", "word-ratios", "contexts", "ratios"}
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in out.collect())
