@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +12,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoforge.llm.common import discard, recorded, reserved, save
+from isoforge.llm.common import discard, giving_back, recorded, reserved, save, worker_cache
 
 #: Rows of a file.
 TABLE_ROWS = 1 << 22
@@ -43,7 +42,7 @@ class Table:
         return out
 
 
-@lru_cache(256)
+@worker_cache(256)
 def _columns(folder: str, name: str) -> dict[str, np.ndarray]:
     """Keys and values of a file by column: mapped where the folder is a mounted one, so that a machine's workers share its pages; else read."""
     store, base = fs.FileSystem.from_uri(folder)
@@ -58,6 +57,7 @@ def _mapped(folder: str, name: str) -> tuple[np.ndarray, np.ndarray]:
     return columns["key"], columns["ratio"]
 
 
+@giving_back
 def _files(batches, folder: str) -> Iterator[pa.RecordBatch]:
     """Writes a task's sorted rows as one file under a name of its own; only files that a finished task has named count."""
     store, base = fs.FileSystem.from_uri(folder)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoforge.llm import bytescan
-from isoforge.llm.common import held_out, labelled, runs, save, table, text_udf
+from isoforge.llm.common import giving_back, held_out, labelled, runs, save, table, text_udf
 from isoforge.llm.lookup import label_table, looked_up
 
 TREES, DEPTH, LASSO = 24, 3, 0.001
@@ -127,6 +127,7 @@ def quality_score(spark: SparkSession, docs: DataFrame, labels: DataFrame, held:
     """
     places = label_table(spark, labelled(labels, "quality", held).select("doc_id", F.col("quality").cast("int").alias("place")))
 
+    @giving_back
     def known(batches):
         for batch in batches:
             place = looked_up(batch.column(0), places)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoforge.llm import bytescan
-from isoforge.llm.common import discard, held_out, labelled, recorded, runs, save, table, text_udf
+from isoforge.llm.common import discard, giving_back, held_out, labelled, recorded, runs, save, table, text_udf
 from isoforge.llm.lookup import Table, _mapped, label_table, looked_up, saved_table  # noqa: F401
 
 #: Of all labelled rows one in so many serves for the curve, the others for counts.
@@ -48,6 +48,7 @@ def _word_lists(texts: pa.Array):
                 yield a + part.first + i, words[firsts[i] : firsts[i + 1]]
 
 
+@giving_back
 def _counts(batches, fit):
     """Word counts of all texts and bigram counts of the labelled ones: kind, v, w, t, o, n."""
     words, pairs, size = [], [], 0
@@ -108,6 +109,7 @@ def _freed(n: np.ndarray, d: list[float]) -> np.ndarray:
     return np.select([n <= 0, n == 1, n == 2], [0.0, d[0], d[1]], d[2])
 
 
+@giving_back
 def _bigram_ratios(batches, word: Table, context: Table, d2: dict[str, list[float]]) -> Iterator[pa.RecordBatch]:
     """Hash and ratio of bigrams (v, w, t, o), with what their words and contexts have looked up in place, neither shuffled nor joined."""
     for batch in batches:
@@ -224,6 +226,7 @@ def toxicity_column(spark: SparkSession, docs: DataFrame, labels: DataFrame, hel
         model = build_model(spark, count_corpus(spark, docs, places, text))
     discard(spark, *(x for x in made if "/model-" not in x))  # only the model's own files are read from here on
 
+    @giving_back
     def features(batches):
         for batch in batches:
             place = looked_up(batch.column(0), places)

@@ -10,6 +10,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("public_tokenizers")
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from isoforge.llm import byte_bpe, bytescan, common, license_scan, ngram_join, packing, progressive_jpeg, quality, secret_scan, toxicity, warc
+from isoforge.llm import byte_bpe, bytescan, common, license_scan, lookup, ngram_join, packing, progressive_jpeg, quality, secret_scan, toxicity, warc
 from isoforge.llm.common import held_out
 
 #: Names that the operators use inside, as columns of the input.
@@ -366,3 +367,16 @@ def test_toxicity_leaves_its_models_files_alone(spark, monkeypatch):
     left = {Path(x.removeprefix("file:")).name.rsplit("-", 1)[0] for x in made if Path(x.removeprefix("file:")).exists()}
     assert "model" in left and not left & {"counts", "words", "word-ratios", "contexts", "ratios"}
     assert all(r["predicted"] == r["doc_id"] % 2 for r in out.collect())
+
+
+def test_workers_keep_what_one_operator_needs(tmp_path):
+    """A vocabulary is dropped when tables are opened, and the other way round: stages follow each other in the same workers."""
+    vocabulary = public_tokenizers.path(byte_bpe.PACKING_FILE)
+    byte_bpe.coder(vocabulary)
+    rows = pa.table({"key": [1, 5], "ratio": pa.array([2.0, 3.0], pa.float32())})
+    names = [b["name"][0].as_py() for b in lookup._files(rows.to_batches(), str(tmp_path))]
+    table = lookup.Table(str(tmp_path), tuple(names), (5,), -1.0)
+    assert table.look_up(np.array([1, 2, 5])).tolist() == [2, -1, 3]
+    assert byte_bpe.coder.cache_info().currsize == 0 and lookup._columns.cache_info().currsize == 1
+    byte_bpe.coder(vocabulary)
+    assert lookup._columns.cache_info().currsize == 0
