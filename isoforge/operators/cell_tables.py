@@ -31,33 +31,36 @@ def majority_value(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     return counts.groupBy(*keys).agg(F.min_by(F.col(column), F.struct(-F.col("n"), F.col(column))).alias(column))
 
 
-def junction_counts_by_chain(cells: DataFrame, junctions: DataFrame) -> DataFrame:
-    """Junctions of each type for each sample's chains, over all cells and reads."""
-    chain = cells.select(*ROW, "jxnHash").filter("jxnHash IS NOT NULL AND jxnHash != ''").distinct()
-    typed = junctions.withColumn("type", C.junction_type()).join(chain, ROW)
-    return typed.groupBy("sampleID", "jxnHash").agg(*(F.count(F.when(F.col("type") == t, 1)).alias(t) for t in C.JUNCTION_TYPES))
+def junction_counts_by_chain(cells: DataFrame, junctions: DataFrame, placed: bool = False) -> DataFrame:
+    """Junctions of each type for each sample's chains, over all cells and reads; a read's are counted before they are joined. ``placed``: rows lie by their names."""
+    chain = cells.select(*ROW, "jxnHash").filter("jxnHash IS NOT NULL AND jxnHash != ''")
+    chain = (chain if placed else chain.repartition(*ROW)).distinct()  # one shuffle for both, by row
+    kind = junctions.select(*ROW, C.junction_type().alias("type"))
+    counts = kind.groupBy(*ROW).agg(*(F.count(F.when(F.col("type") == t, 1)).alias(t) for t in C.JUNCTION_TYPES))
+    return counts.join(chain, ROW).groupBy("sampleID", "jxnHash").agg(*(F.sum(t).alias(t) for t in C.JUNCTION_TYPES))
 
 
 def ujc_counts_by_cell(cells: DataFrame, junctions: DataFrame, placed: bool = False, by_row: DataFrame | None = None) -> DataFrame:
     """Chains of each cell: multi-exon ones with the gene and category of most rows, mono-exon ones by gene and category.
 
-    One aggregate by chain, cell, gene and category serves both; the majorities are taken of its rows. ``placed``: a
-    cell's rows lie in one partition; ``by_row`` may hold the same rows so that they join the junctions without a shuffle.
+    One aggregate by chain, cell, gene and category serves both; the majorities are taken of its rows, and the top chains of a gene
+    before junctions are joined, so that rows are shuffled by cell once. ``placed``: a cell's rows lie in one partition; ``by_row``
+    may hold the same rows so that they join the junctions without a shuffle.
     """
     keys, values = ["sampleID", "jxnHash", "CB"], ["associated_gene", "structural_category"]
-    own = cells.filter("jxnHash IS NOT NULL AND exons IS NOT NULL").groupBy(*keys, *values, C.multi_exon().alias("multi")).agg(F.count("*").alias("read_count"))
-    own = own if placed else own.repartition(*keys)
-    multi = own.filter("multi")
-    most = {v: F.sum("read_count").over(W.partitionBy(*keys, v)) for v in values}
-    multi = multi.withColumns({f"__{v}": n for v, n in most.items()})
+    own = cells.filter("jxnHash IS NOT NULL AND exons IS NOT NULL").select(*keys, *values, C.multi_exon().alias("multi"))
+    own = (own if placed else own.repartition(*KEY)).groupBy(*keys, *values, "multi").agg(F.count("*").alias("read_count"))
+    own = own.filter("multi OR (associated_gene IS NOT NULL AND structural_category IS NOT NULL)")
+    own = own.withColumns({f"__{v}": F.sum("read_count").over(W.partitionBy(*keys, "multi", v)) for v in values})
     majority = [F.min_by(v, F.when(F.col(v).isNotNull(), F.struct(-F.col(f"__{v}"), F.col(v)))).alias(v) for v in values]
-    multi = multi.groupBy(*keys).agg(F.sum("read_count").alias("read_count"), *majority)
-    counts = multi.join(junction_counts_by_chain(cells if by_row is None else by_row, junctions), ["sampleID", "jxnHash"], "left").na.fill(0, list(C.JUNCTION_TYPES))
-    mono = own.filter("NOT multi AND associated_gene IS NOT NULL AND structural_category IS NOT NULL").drop("multi")
-    both = counts.unionByName(mono.withColumns({t: F.lit(0).cast("long") for t in C.JUNCTION_TYPES}))
+    mono = [F.when(~F.col("multi"), F.col(v)).alias(f"__mono{i}") for i, v in enumerate(values)]  # a group for each of their rows
+    both = own.groupBy(*keys, "multi", *mono).agg(F.sum("read_count").alias("read_count"), *majority)
     top = F.max("read_count").over(W.partitionBy("sampleID", "associated_gene", "CB"))
     flag = F.when(F.col("associated_gene").isNotNull(), (F.col("read_count") == top).cast("int"))
-    return both.withColumn("flag_MEI", flag).withColumn("flag_annotated_gene", _annotated())
+    chains = junction_counts_by_chain(cells, junctions) if by_row is None else junction_counts_by_chain(by_row, junctions, True)
+    out = both.withColumn("flag_MEI", flag).join(chains, ["sampleID", "jxnHash"], "left")
+    counts = (F.when(F.col("multi"), F.coalesce(t, F.lit(0))).otherwise(0).alias(t) for t in C.JUNCTION_TYPES)
+    return out.select(*keys, "read_count", *values, *counts, "flag_MEI", _annotated().alias("flag_annotated_gene"))
 
 
 def _end(side: str, donor: str) -> Column:

@@ -337,3 +337,27 @@ def test_junctions_are_counted_before_they_are_joined(spark):
         out = R.junction_type_by_category(cells, junctions, "_weight")
         assert {r["junction_type"]: r["n"] for r in out.collect()} == want
     assert R.junction_type_by_category(cells, own, "_weight")._jdf.queryExecution().sparkPlan().toString().count("Join") == 1
+
+
+def exchanges(df):
+    return len(re.findall(r"(?m)^[\s:+\-*()\d]*Exchange ", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_chains_are_shuffled_by_cell_once(spark):
+    """Cells go by cell and by row, a read's counted junctions by row, chains' sums and chains to each other by chain."""
+    cells = explode_cells(classification(spark, [{"exons": 2, "jxnHash": "h", "associated_gene": "g"}]))
+    own = spark.createDataFrame([], JUNCTIONS + ", CB string, junction_category string, canonical string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(T.ujc_counts_by_cell(cells, own)) <= 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_mono_and_multi_rows_of_a_chain_stay_apart(spark):
+    rows = [{"exons": 2, "associated_gene": "a"}, {"exons": 2, "associated_gene": "b"}, {"exons": 2, "associated_gene": "b"}, {"exons": 1, "associated_gene": "a"}, {"exons": 1, "associated_gene": "c"}, {"exons": 1}]
+    cells = explode_cells(classification(spark, [{"jxnHash": "h"} | r for r in rows]))
+    own = spark.createDataFrame([("S", "i1", "known", "canonical"), ("S", "i3", "known", "canonical")], "sampleID string, isoform string, junction_category string, canonical string")
+    got = sorted((r["associated_gene"], r["read_count"], r["known_canonical"], r["flag_MEI"]) for r in T.ujc_counts_by_cell(cells, own).collect())
+    assert got == [("a", 1, 0, 1), ("b", 3, 2, 1), ("c", 1, 0, 1)]
