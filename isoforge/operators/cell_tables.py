@@ -69,14 +69,22 @@ def _end(side: str, donor: str) -> Column:
 
 
 def junction_cv_by_cell(cells: DataFrame, junctions: DataFrame) -> DataFrame:
-    """Variation of both junction ends around each reference site in each cell: one join, each row for both its ends."""
-    own = junctions.drop("CB").join(cells.select(*ROW, "associated_gene", "CB"), ROW)
-    own = own.filter("diff_to_Ref_start_site IS NOT NULL AND diff_to_Ref_end_site IS NOT NULL")
-    ends = own.select(*KEY, "chrom", "strand", "associated_gene", F.inline(F.array(_end("start", "+"), _end("end", "-"))))
-    out = ends.groupBy("sampleID", "chrom", "strand", "coord", "CB", "donor").agg(
-        F.avg("d").alias("mean_abs_diff"), F.stddev_samp("d").alias("std_abs_diff"), F.stddev_pop("d").alias("__pop"),
-        F.count("*").alias("count"), F.array_sort(F.collect_set("associated_gene")).alias("genes"),
-    )
+    """Variation of both junction ends around each reference site in each cell: one join, each row for both its ends.
+
+    A site of a cell has few rows, so that sums before the shuffle save nothing: junctions are shuffled by cell, chromosome and
+    strand before they become two ends, and one sort by site then serves all measures; of a site's rows the first is kept.
+    """
+    own = junctions.drop("CB").filter("diff_to_Ref_start_site IS NOT NULL AND diff_to_Ref_end_site IS NOT NULL").join(cells.select(*ROW, "associated_gene", "CB"), ROW)
+    own = own.select(*KEY, "chrom", "strand", "associated_gene", F.array(_end("start", "+"), _end("end", "-")).alias("ends"))
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # not lowered by rows' sizes, since time goes by sites
+    own = own.repartition(tasks, *KEY, "chrom", "strand")
+    ends = own.select(*KEY, "chrom", "strand", "associated_gene", F.inline("ends"))
+    by = W.partitionBy("coord", "CB", "chrom", "sampleID", "strand", "donor").orderBy("d")  # the most telling first, since rows are sorted so
+    site = by.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    out = ends.withColumns({
+        "mean_abs_diff": F.avg("d").over(site), "std_abs_diff": F.stddev_samp("d").over(site), "__pop": F.stddev_pop("d").over(site),
+        "count": F.count("*").over(site), "genes": F.array_sort(F.collect_set("associated_gene").over(site)), "__first": F.row_number().over(by),
+    }).filter("__first = 1")
     mean, genes, pop = F.col("mean_abs_diff"), F.col("genes"), F.col("__pop")
     known = (F.size(genes) > 0) & F.forall(genes, lambda g: ~g.startswith("novel"))
     return out.select(

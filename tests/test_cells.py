@@ -361,3 +361,10 @@ def test_mono_and_multi_rows_of_a_chain_stay_apart(spark):
     own = spark.createDataFrame([("S", "i1", "known", "canonical"), ("S", "i3", "known", "canonical")], "sampleID string, isoform string, junction_category string, canonical string")
     got = sorted((r["associated_gene"], r["read_count"], r["known_canonical"], r["flag_MEI"]) for r in T.ujc_counts_by_cell(cells, own).collect())
     assert got == [("a", 1, 0, 1), ("b", 3, 2, 1), ("c", 1, 0, 1)]
+
+
+def test_junction_ends_are_shuffled_as_one_row(spark):
+    """Joined rows are shuffled once, before they become two ends, and no sets are merged between sorts."""
+    cells = explode_cells(classification(spark, [{"associated_gene": "g"}]))
+    plan = T.junction_cv_by_cell(cells, spark.createDataFrame([], JUNCTIONS + ", CB string"))._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and plan.index("Generate") < plan.index("REPARTITION_BY_NUM")
