@@ -380,3 +380,29 @@ def test_workers_keep_what_one_operator_needs(tmp_path):
     assert byte_bpe.coder.cache_info().currsize == 0 and lookup._columns.cache_info().currsize == 1
     byte_bpe.coder(vocabulary)
     assert lookup._columns.cache_info().currsize == 0
+
+
+def test_a_worker_keeps_the_ids_of_words_that_it_meets_again(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 200)
+    coder, asked = byte_bpe.Coder(public_tokenizers.path(byte_bpe.PACKING_FILE)), []
+    model = coder.merges
+
+    class Asked:
+        def tokenize(self, word):
+            asked.append(word)
+            return model.tokenize(word)
+
+    coder.merges = Asked()
+    common = " ".join(f"common{i}" for i in range(20))
+    for turn in range(12):
+        text = f"{common} {' '.join(f'rare{turn}x{i}' for i in range(30))} {'long' * 40}"
+        assert coder.ids([text.encode()])[0].tolist() == coder.model.encode(text, add_special_tokens=False).ids
+    assert max(Counter(w for w in asked if "common" in w).values()) == 1
+    assert len(coder.known) <= 200
+
+
+def test_ids_where_all_words_share_a_hash(monkeypatch):
+    monkeypatch.setattr(bytescan, "hashed_runs", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    coder = byte_bpe.Coder(public_tokenizers.path(byte_bpe.PACKING_FILE))
+    for text in ("one two one three", "two four", "", "one", "four five"):
+        assert coder.ids([text.encode()])[0].tolist() == coder.model.encode(text, add_special_tokens=False).ids
