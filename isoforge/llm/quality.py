@@ -8,13 +8,14 @@ that scoring is a projection of the statistics.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,6 +95,24 @@ def rule_column(rule: tuple[tuple[int, str, float], ...], stats: str = "stats")
     return reduce(Column.__and__, tests)
 
 
+def rules_met(stats: Column, rules: list[tuple[tuple[int, str, float], ...]]) -> Column:
+    """An array of 1.0 for each rule whose tests the struct ``stats`` passes, else 0.0.
+
+    One function of all rules: as many columns would make a plan that the driver compiles, and sends with each job on them.
+    """
+
+    @F.arrow_udf("array<double>")
+    def met(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            values = [c.to_numpy(zero_copy_only=False) for c in batch.flatten()]
+            out = np.empty((len(batch), len(rules)))
+            for i, rule in enumerate(rules):
+                out[:, i] = np.logical_and.reduce([values[f] <= bound if op == "<=" else values[f] > bound for f, op, bound in rule])
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * np.int32(len(rules))), pa.array(out.ravel()))
+
+    return met(stats)
+
+
 def fit_rules(train: DataFrame, label: str = "label") -> tuple[float, list[tuple[float, tuple]]]:
     """Constant and weighted rules, from rows with ``stats`` and a label of 0.0 or 1.0 (both must occur)."""
     vectors = VectorAssembler(inputCols=list(STATS), outputCol="vector").transform(train.select(label, "stats.*"))
@@ -101,8 +120,7 @@ def fit_rules(train: DataFrame, label: str = "label") -> tuple[float, list[tuple
     rules = sorted({r for t in forest.trees for r in tree_rules(t.toDebugString)})
     if not rules:
         return float("nan"), []
-    tested = train.select(label, *(rule_column(r).cast("double").alias(f"r{i}") for i, r in enumerate(rules)))
-    tested = VectorAssembler(inputCols=[f"r{i}" for i in range(len(rules))], outputCol="rules").transform(tested).select(label, "rules")
+    tested = save(train.sparkSession, train.select(label, rules_met(F.col("stats"), rules).alias("met")), "rules").select(label, array_to_vector("met").alias("rules"))
     lasso = LogisticRegression(labelCol=label, featuresCol="rules", regParam=LASSO, elasticNetParam=1.0, maxIter=60, standardization=False).fit(tested)
     weights = lasso.coefficients.toArray()
     return float(lasso.intercept), [(float(w), r) for w, r in zip(weights, rules, strict=True) if abs(w) > 1e-6]

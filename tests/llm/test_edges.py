@@ -406,3 +406,28 @@ def test_ids_where_all_words_share_a_hash(monkeypatch):
     coder = byte_bpe.Coder(public_tokenizers.path(byte_bpe.PACKING_FILE))
     for text in ("one two one three", "two four", "", "one", "four five"):
         assert coder.ids([text.encode()])[0].tolist() == coder.model.encode(text, add_special_tokens=False).ids
+
+
+def test_rules_are_one_function_and_are_saved_before_the_lasso(spark, tables, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{tables}/{t}.parquet") for t in ("documents", "labels"))
+    train = docs.select("doc_id", quality.statistics_of(F.col("text")).alias("stats")).join(labels, "doc_id").select("stats", F.col("quality").cast("double").alias("label"))
+    widest, learnt_from = [], []
+
+    class Assembler(quality.VectorAssembler):
+        def transform(self, df, *args):
+            widest.append(len(self.getInputCols()))
+            return super().transform(df, *args)
+
+    class Lasso(quality.LogisticRegression):
+        def fit(self, df, *args):
+            learnt_from.append(df.inputFiles())
+            return super().fit(df, *args)
+
+    monkeypatch.setattr(quality, "VectorAssembler", Assembler)
+    monkeypatch.setattr(quality, "LogisticRegression", Lasso)
+    quality.fit_rules(train)
+    assert max(widest) == len(quality.STATS)
+    assert all("/rules-" in f for f in learnt_from[0])
+    rules = [((0, ">", 10.0),), ((0, "<=", 20.0), (2, ">", 0.5)), ((11, ">", 1.0), (1, "<=", 4.0))]
+    for r in train.select(quality.rules_met(F.col("stats"), rules).alias("met"), *(quality.rule_column(x).cast("double").alias(f"r{i}") for i, x in enumerate(rules))).collect():
+        assert r["met"] == [r["r0"], r["r1"], r["r2"]]
