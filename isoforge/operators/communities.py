@@ -58,9 +58,11 @@ def modularity(edges: DataFrame, labels: DataFrame, resolution: float = 1.0) ->
 def _round(nodes: DataFrame, edges: DataFrame, two_m: float, resolution: float) -> DataFrame:
     """node, degree, community, own (weight into its community but itself), best, gain: with the community totals of ``nodes`` as they stand."""
     totals = nodes.groupBy("community").agg(F.sum("degree").alias("total"))
-    around = edges.filter("a != b").join(nodes.select(F.col("node").alias("b"), F.col("community").alias("c")), "b").groupBy("a", "c").agg(F.sum("w").alias("w"))
-    near = around.join(totals.withColumnRenamed("community", "c"), "c").select(F.col("a").alias("node"), "c", "w", "total")
-    own = nodes.join(totals, "community").select("node", "degree", "community", (F.col("total") - F.col("degree")).alias("rest"))
+    nodes = nodes.join(totals, "community").select("node", "degree", "community", "total")
+    # Totals travel with the nodes, and a node's edges are brought together once for both sums and the join.
+    met = edges.filter("a != b").join(nodes.select(F.col("node").alias("b"), F.col("community").alias("c"), "total"), "b").select(F.col("a").alias("node"), "c", "w", "total")
+    near = met.repartition("node").groupBy("node", "c").agg(F.sum("w").alias("w"), F.max("total").alias("total"))
+    own = nodes.select("node", "degree", "community", (F.col("total") - F.col("degree")).alias("rest"))
     # What a node adds to Q, times m: weight into a community less the share that its degree makes likely.
     worth = F.col("w") - resolution * F.col("degree") * F.col("total") / two_m
     found = own.join(near, "node", "left").groupBy("node", "degree", "community", "rest").agg(

@@ -279,3 +279,25 @@ def test_residuals_are_made_without_shuffling_zeros(spark):
     z = lambda n, mu: max(min((n - mu) / (mu + mu * mu / 100) ** 0.5, 3**0.5), -(3**0.5))
     want = {("a", "g1"): z(3, 3.2), ("a", "g2"): z(1, 0.8), ("b", "g1"): 0.0, ("b", "g2"): 0.0, ("c", "g1"): z(1, 0.8), ("c", "g2"): z(0, 0.2)}
     assert got == pytest.approx(want)
+
+
+def test_a_round_of_moves_shuffles_edges_by_node_alone(spark):
+    from isoforge.operators import communities
+
+    edges = communities.undirected(spark.createDataFrame([(1, 2, 1.0), (2, 3, 1.0), (1, 3, 2.0), (3, 4, 0.5), (4, 4, 1.0)], "a long, b long, w double"))
+    nodes = spark.createDataFrame([(1, 3.0, 1), (2, 2.0, 1), (3, 3.5, 3), (4, 2.5, 4)], "node long, degree double, community long")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        made = communities._round(nodes, edges, 11.0, 1.0)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        got = {r["node"]: (r["own"], r["best"], r["gain"]) for r in made.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "Exchange hashpartitioning" in plan
+    assert not any("Exchange hashpartitioning(" in line and ", c#" in line.split("hashpartitioning(")[1].split(")")[0] for line in plan.splitlines())
+    # Node 1: weight 2 into 3's community of total 3.5; 1 stays worth 1 - 3 * 2 / 11.
+    assert got[1][:2] == (1.0, 3) and abs(got[1][2] - ((2 - 3 * 3.5 / 11) - (1 - 3 * 2 / 11))) < 1e-12
+    assert got[4][:2] == (0.0, 3) and abs(got[4][2] - (0.5 - 2.5 * 3.5 / 11)) < 1e-12
