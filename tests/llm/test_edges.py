@@ -393,9 +393,9 @@ def test_a_worker_keeps_the_ids_of_words_that_it_meets_again(monkeypatch):
             return model.tokenize(word)
 
     coder.merges = Asked()
-    common = " ".join(f"common{i}" for i in range(20))
+    common = " ".join(f"common{chr(97 + i)}" for i in range(20))
     for turn in range(12):
-        text = f"{common} {' '.join(f'rare{turn}x{i}' for i in range(30))} {'long' * 40}"
+        text = f"{common} {' '.join(f'rare{chr(97 + turn)}x{chr(97 + i % 26)}{chr(97 + i // 26)}' for i in range(30))} {'long' * 40}"
         assert coder.ids([text.encode()])[0].tolist() == coder.model.encode(text, add_special_tokens=False).ids
     assert max(Counter(w for w in asked if "common" in w).values()) == 1
     assert len(coder.known) <= 200
