@@ -63,9 +63,11 @@ def ujc_counts_by_cell(cells: DataFrame, junctions: DataFrame, placed: bool = Fa
     return out.select(*keys, "read_count", *values, *counts, "flag_MEI", _annotated().alias("flag_annotated_gene"))
 
 
+_SIDES = {"start": "+", "end": "-"}
+
+
 def _end(side: str, donor: str) -> Column:
-    difference = F.col(f"diff_to_Ref_{side}_site")
-    return F.struct(F.lit(donor).alias("donor"), (F.col(f"genomic_{side}_coord") + difference).cast("long").alias("coord"), F.abs(difference).cast("double").alias("d"))
+    return F.struct(F.lit(donor).alias("donor"), F.col(f"{side}_coord").alias("coord"), F.abs(f"{side}_difference").cast("double").alias("d"))
 
 
 def junction_cv_by_cell(cells: DataFrame, junctions: DataFrame) -> DataFrame:
@@ -74,11 +76,13 @@ def junction_cv_by_cell(cells: DataFrame, junctions: DataFrame) -> DataFrame:
     A site of a cell has few rows, so that sums before the shuffle save nothing: junctions are shuffled by cell, chromosome and
     strand before they become two ends, and one sort by site then serves all measures; of a site's rows the first is kept.
     """
-    own = junctions.drop("CB").filter("diff_to_Ref_start_site IS NOT NULL AND diff_to_Ref_end_site IS NOT NULL").join(cells.select(*ROW, "associated_gene", "CB"), ROW)
-    own = own.select(*KEY, "chrom", "strand", "associated_gene", F.array(_end("start", "+"), _end("end", "-")).alias("ends"))
+    difference = {s: F.col(f"diff_to_Ref_{s}_site") for s in _SIDES}
+    places = [x for s, d in difference.items() for x in ((F.col(f"genomic_{s}_coord") + d).cast("long").alias(f"{s}_coord"), d.alias(f"{s}_difference"))]
+    own = junctions.filter(" AND ".join(f"diff_to_Ref_{s}_site IS NOT NULL" for s in _SIDES)).select(*ROW, "chrom", "strand", *places)
+    own = own.join(cells.select(*ROW, "associated_gene", "CB"), ROW).drop("isoform")
     tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # not lowered by rows' sizes, since time goes by sites
     own = own.repartition(tasks, *KEY, "chrom", "strand")
-    ends = own.select(*KEY, "chrom", "strand", "associated_gene", F.inline("ends"))
+    ends = own.select(*KEY, "chrom", "strand", "associated_gene", F.inline(F.array(*(_end(s, donor) for s, donor in _SIDES.items()))))
     by = W.partitionBy("coord", "CB", "chrom", "sampleID", "strand", "donor").orderBy("d")  # the most telling first, since rows are sorted so
     site = by.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     out = ends.withColumns({

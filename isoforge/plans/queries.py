@@ -10,7 +10,7 @@ from isoforge.functions import columns as C
 from isoforge.operators import cell_summary as S
 from isoforge.operators import cell_tables as T
 from isoforge.operators.explode import explode_cells
-from isoforge.plans.adapters import CLASSIFICATION, ISOFORMS, JUNCTIONS, classification, for_sql, junctions
+from isoforge.plans.adapters import CLASSIFICATION, ISOFORMS, JUNCTIONS, by_row, classification, for_sql, junctions, saved_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -353,4 +353,5 @@ GROUP BY sampleID, chrom, strand, coord, CB"""
 
 @add("a40_a41_junction_cv_by_cell", _cv("start", "+") + " UNION ALL " + _cv("end", "-"))
 def _(spark, d):
-    return T.junction_cv_by_cell(cells_of(spark, d), junctions(spark, d))
+    reads = by_row(saved_lines(spark, d, names_only=True))
+    return T.junction_cv_by_cell(explode_cells(classification(spark, d, reads)), junctions(spark, d, reads))
