@@ -4,8 +4,8 @@ Weighted sums come from one narrow aggregate by cell, category and subcategory;
 each cell then become one record: a struct of totals and a map from category to a struct. Distinct
 counts come from one pre-aggregate of genes, junction chains and molecules. So each table is read
 once for each of the two, and the hundreds of columns are projections of one row, never aggregates.
-Both shuffle rows by cell as they are: a task sees few rows of a cell, so that its partial sums, tens of
-numbers each, would be more than its rows.
+Both shuffle rows by cell and not sums: a task sees few rows of a cell, so that its partial sums, tens of
+numbers each, would be more than its rows. What a row's columns are tested for travels as the bits of one number.
 """
 
 from __future__ import annotations
@@ -41,8 +41,10 @@ def category_sums(
     for b in _BINS:
         measures |= {f"len_{b}": C.length_bin() == b, f"len_mono_{b}": (C.length_bin() == b) & mono}
     measures = {k: t for k, t in measures.items() if only is None or k == "w" or k in only}
-    sums = [F.sum(F.when(t, F.col("_count")).otherwise(0.0)).alias(k) for k, t in measures.items()]
-    fine = (cells if placed else cells.repartition(*KEY)).groupBy(*KEY, "structural_category", "subcategory").agg(*sums)
+    bits = sum((F.when(t, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, t in enumerate(measures.values())), F.lit(0).cast("long"))
+    rows = cells.select(*KEY, "structural_category", "subcategory", "_count", bits.alias("__bits"))
+    sums = [F.sum(F.when(F.col("__bits").bitwiseAND(F.lit(1 << i)) != 0, F.col("_count")).otherwise(0.0)).alias(k) for i, k in enumerate(measures)]
+    fine = (rows if placed else rows.repartition(*KEY)).groupBy(*KEY, "structural_category", "subcategory").agg(*sums)
     again = [F.sum(k).alias(k) for k in measures]
     known = F.when(F.col("subcategory").isNotNull(), F.struct("subcategory", "w"))
     by_category = fine.groupBy(*KEY, "structural_category").agg(*again, F.map_from_entries(F.collect_list(known)).alias("sub"))
@@ -124,11 +126,10 @@ def key_counts(cells: DataFrame, placed: bool = False) -> DataFrame:
     """
     chain = F.when(C.multi_exon(), F.col("jxn_string"))
     known = C.multi_exon() & ~C.starts_novel("associated_transcript")
-    of_gene = F.struct(
-        F.lit("g").alias("kind"), F.col("associated_gene").alias("a"), chain.alias("b"), C.multi_exon().alias("multi"), known.alias("known"), F.col("_count").alias("n")
-    )
+    rows = cells.select(*KEY, "associated_gene", chain.alias("chain"), C.multi_exon().alias("multi"), known.alias("known"), "UMI", "_count")
+    of_gene = F.struct(F.lit("g").alias("kind"), F.col("associated_gene").alias("a"), F.col("chain").alias("b"), "multi", "known", F.col("_count").alias("n"))
     of_molecule = F.struct(F.lit("u").alias("kind"), F.col("UMI").alias("a"), F.lit(None).cast("string").alias("b"), F.lit(False).alias("multi"), F.lit(False).alias("known"), F.lit(0.0).alias("n"))
-    each = (cells if placed else cells.repartition(*KEY)).select(*KEY, F.inline(F.array(of_gene, of_molecule)))
+    each = (rows if placed else rows.repartition(*KEY)).select(*KEY, F.inline(F.array(of_gene, of_molecule)))
     each = each.groupBy(*KEY, "kind", "a", "b").agg(F.sum("n").alias("n"), F.max("known").alias("known"), F.max("multi").alias("multi"))
     by_a, by_b = W.partitionBy(*KEY, "kind", "a"), W.partitionBy(*KEY, "kind", "b")
     each = each.withColumns({"gene_n": F.sum("n").over(by_a), "gene_chains": F.count("b").over(by_a), "gene_multi": F.max("multi").over(by_a), "a_at": F.row_number().over(by_a.orderBy("b"))})

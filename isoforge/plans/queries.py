@@ -260,8 +260,12 @@ def summary_sql(mode: str = "reads", skip_orf: bool = False, source: str = "cell
     return f"SELECT * EXCLUDE ({', '.join(JUNCTION_COUNTS)}), {filled} FROM (SELECT * {joined})"
 
 
-def summary_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.cell_summary(cells_of(spark, sf_dir), junctions(spark, sf_dir))
+def summary_of(spark: SparkSession, sf_dir: str, mode: str = "reads", skip_orf: bool = False) -> DataFrame:
+    lines = saved_lines(spark, sf_dir)
+    cells = explode_cells(classification(spark, sf_dir, lines))
+    if mode == "isoforms":
+        cells = cells.withColumn("_count", C.isoform_weight("FL"))
+    return S.cell_summary(cells, junctions(spark, sf_dir, lines), mode, skip_orf)
 
 
 @add("a15_cell_summary", summary_sql())
@@ -271,12 +275,12 @@ def _(spark, d):
 
 @add("a15_cell_summary_skip_orf", summary_sql(skip_orf=True))
 def _(spark, d):
-    return S.cell_summary(cells_of(spark, d), junctions(spark, d), skip_orf=True)
+    return summary_of(spark, d, skip_orf=True)
 
 
 @add("a15_cell_summary_isoforms", summary_sql("isoforms", source="weighted"))
 def _(spark, d):
-    return S.cell_summary(weighted_cells(spark, d), junctions(spark, d), "isoforms")
+    return summary_of(spark, d, "isoforms")
 
 
 _off = {k: "CAST(0 AS DOUBLE)" for k in quality_sql() if "CAGE_peak" in k or "PolyA_motif" in k}

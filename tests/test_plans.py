@@ -1,10 +1,16 @@
 """What queries over the order tables shuffle."""
 
+import re
 from contextlib import contextmanager
 from pathlib import Path
 
 import pytest
 
+from isoforge.functions import columns as C
+from isoforge.operators import cell_summary as S
+from isoforge.operators.explode import explode_cells
+from isoforge.plans import report_queries  # noqa: F401  it adds to the queries
+from isoforge.plans.adapters import classification
 from isoforge.plans.queries import QUERIES
 from test_cells import exchanges
 
@@ -31,3 +37,23 @@ def test_reads_are_shuffled_by_name_once(spark):
     """Reads and their junctions are made of the same lines, shuffled once by name; joined junctions are shuffled by cell."""
     with large_tables(spark):
         assert exchanges(QUERIES["a40_a41_junction_cv_by_cell"](spark, SF)) == 2
+
+
+@pytest.mark.parametrize(("name", "more"), [("a15_cell_summary_skip_orf", 0), ("a79_distribution_stats", 1), ("a64_describe_cells", 1)])
+def test_summaries_shuffle_each_part_once(spark, name, more):
+    """Tests' bits, keys and junction counts go by cell once; what is made of lines is not joined anew for each of them."""
+    with large_tables(spark):
+        assert exchanges(QUERIES[name](spark, SF)) == 3 + more
+
+
+def test_measures_travel_as_one_number(spark):
+    """What is shuffled for the sums has one number beside the keys, however many measures there are; the sums are those of the tests."""
+    cells = explode_cells(classification(spark, SF))
+    with large_tables(spark):
+        lines = S.category_sums(cells)._jdf.queryExecution().executedPlan().toString().splitlines()
+    sent = next(below for line, below in zip(lines, lines[1:], strict=False) if "REPARTITION_BY_COL" in line)
+    assert re.search(r"Project \[sampleID#\d+, CB#\d+, structural_category#\d+, subcategory#\d+, \(.* AS __bits#\d+L\]$", sent)
+    got = S.category_sums(cells).selectExpr("sampleID", "CB", "total.*").collect()
+    tests = C.quality_predicates()
+    for name in ("rts", "coding", "ratio"):
+        assert sum(r[name] for r in got) == cells.filter(tests[name]).count() > 0
