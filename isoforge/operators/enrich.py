@@ -13,14 +13,17 @@ from isoforge.operators.explode import ROW
 def annotate_cells_reads(cls: DataFrame, assoc: DataFrame) -> DataFrame:
     """CB and UMI by read; a ``_dupN`` row takes its primary's when the primary is in the association.
 
-    ``assoc`` has a row for each sampleID and isoform at most.
+    ``assoc`` has a row for each sampleID and isoform at most. Rows are joined once, by their primary's name: a duplicate's entry is
+    looked for beside its primary's, and left out where that is there.
     """
-    own = assoc.select(*ROW, F.struct("CB", "UMI").alias("__own"))
-    primary = assoc.select("sampleID", F.col("isoform").alias("__look"), F.struct("CB", "UMI").alias("__primary"))
-    out = cls.drop("CB", "UMI").withColumn("__look", F.coalesce(C.dup_primary(), F.col("isoform")))
-    out = out.join(primary, ["sampleID", "__look"], "left").join(own, ROW, "left")
-    taken = F.coalesce("__primary", "__own")
-    return out.withColumns({"CB": taken["CB"], "UMI": taken["UMI"]}).drop("__look", "__primary", "__own")
+    names = F.explode(F.array_compact(F.array("isoform", C.dup_primary())))
+    entry = assoc.select("sampleID", names.alias("__look"), F.col("isoform").alias("__name"), "CB", "UMI")
+    is_primary = F.col("__name") == F.col("__look")
+    primary_there = F.max(is_primary).over(W.partitionBy("sampleID", "__look"))
+    entry = entry.withColumn("__there", primary_there).filter(is_primary | ~F.col("__there")).drop("__there")
+    out = cls.drop("CB", "UMI").withColumn("__look", F.coalesce(C.dup_primary(), F.col("isoform"))).alias("c")
+    same = ["c.sampleID = e.sampleID", "c.__look = e.__look", "(e.__name = e.__look OR e.__name = c.isoform)"]
+    return out.join(entry.alias("e"), F.expr(" AND ".join(same)), "left").select("c.*", "e.CB", "e.UMI").drop("__look")
 
 
 def annotate_cells_isoforms(cls: DataFrame, assoc: DataFrame | None = None, abundance: DataFrame | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from isoforge.operators import report_tables as R
 from isoforge.operators import sketches as Q
 from isoforge.operators import sparse as P
 from isoforge.operators.explode import explode_cells
-from isoforge.plans.adapters import classification, isoform_counts, junctions
+from isoforge.plans.adapters import classification, isoform_counts, junctions, saved_lines
 from isoforge.plans.queries import JUNCTION_CELLS, NOVEL, SQL, TYPE, add, cells_of, prop, rounded, summary_of, summary_sql, w, weighted_cells
 from isoforge.sources.shared import Saved
 
@@ -78,8 +78,8 @@ _ASSOC = """SELECT sampleID, isoform, CB, UMI FROM cls WHERE exons > 2
 
 
 def _names_and_association(spark, d):
-    """Rows of new names, and an association of up to two entries of each row, by one scan each."""
-    cls = classification(spark, d)
+    """Rows of new names, and an association of up to two entries of each row, by one scan each of the same lines."""
+    cls = classification(spark, d, saved_lines(spark, d, names_only=True))
     name = F.when(F.col("exons") == 2, F.concat("isoform", F.lit("_dup1"))).otherwise(F.col("isoform"))
     entry = lambda isoform, cb: F.struct(isoform.alias("isoform"), cb.alias("CB"))
     own, two = entry(F.col("isoform"), F.col("CB")), F.col("exons") == 2

@@ -8,6 +8,7 @@ import pytest
 
 from isoforge.functions import columns as C
 from isoforge.operators import cell_summary as S
+from isoforge.operators import enrich as E
 from isoforge.operators.explode import explode_cells
 from isoforge.plans import report_queries  # noqa: F401  it adds to the queries
 from isoforge.plans.adapters import classification
@@ -57,3 +58,22 @@ def test_measures_travel_as_one_number(spark):
     tests = C.quality_predicates()
     for name in ("rts", "coding", "ratio"):
         assert sum(r[name] for r in got) == cells.filter(tests[name]).count() > 0
+
+
+def test_reads_and_entries_are_shuffled_once(spark):
+    """Rows and the association's entries go by the primary's name once each."""
+    with large_tables(spark):
+        assert exchanges(QUERIES["j01_annotate_cells_reads"](spark, SF)) == 2
+
+
+def test_duplicates_of_duplicates_and_missing_primaries(spark):
+    """Every name looks for its primary's entry and then for its own, whatever other duplicates the primary has."""
+    names = ["a", "a_dup1", "a_dup2", "a_dup1_dup3", "b_dup1", "b_dup2", "c", "c_dup1", "d_dup1", "d_dup1_dup2", None]
+    cls = spark.createDataFrame([(s, n, i) for s in ("S", "T") for i, n in enumerate(names * 2)], "sampleID string, isoform string, row int")
+    entries = [("S", "a", "Ca"), ("S", "a_dup1", "Ca1"), ("S", "b_dup1", "Cb1"), ("S", "b_dup2", None), ("S", "c_dup1", "Cc1"), ("S", "d_dup1_dup2", "Cd"), ("T", "c", "Tc"), ("T", None, "x")]
+    assoc = spark.createDataFrame([(*e, "U" + e[2] if e[2] else None) for e in entries], "sampleID string, isoform string, CB string, UMI string")
+    got = sorted((r["sampleID"], r["row"], r["CB"], r["UMI"]) for r in E.annotate_cells_reads(cls, assoc).collect())
+    own = {(s, n): cb for s, n, cb in entries if n}
+    primary = lambda n: m[1] if (m := re.fullmatch(r"(.+)_dup\d+", n or "")) else n
+    want = [(s, i, cb := own.get((s, primary(n)), own.get((s, n))), cb and "U" + cb) for s in ("S", "T") for i, n in enumerate(names * 2)]
+    assert got == sorted(want, key=lambda r: r[:2])
